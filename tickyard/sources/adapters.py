@@ -94,3 +94,58 @@ def envelopes(trades: DataFrame, every: str = "1 second", fanout: int = 8) -> Da
 
 def ensure_trade_columns(df: DataFrame) -> DataFrame:
     return df.select(*TRADE_COLUMNS)
+
+
+# Mutation applied by dirty_from_events, chosen by event_id % 16 (fixed list):
+#  0 valid, JSON numbers             8 price "<p>d" (not a Python float)
+#  1 valid, numbers as text          9 price "NaN"
+#  2 valid, ISO-8601 timestamp       10 price negative
+#  3 no symbol key, price null       11 volume negative
+#  4 symbol blank                    12 volume "1_000" (valid, 1000.0)
+#  5 symbol lower case               13 timestamp "x"
+#  6 symbol with trailing newline    14 timestamp as_of - 25 hours
+#  7 symbol of 33 characters         15 event_id blank
+DIRTY_KINDS = 16
+
+
+def dirty_from_events(events: DataFrame, as_of: str = "2024-01-31 00:00:00") -> DataFrame:
+    """events -> raw JSON trade messages, one rule exercised per row.
+
+    Valid timestamps are placed inside the last day before ``as_of`` (whole
+    seconds, derived from the event id) so the range rule only fires where the
+    mutation asks for it.  Output: event_id BIGINT, value STRING.
+    """
+    m = F.pmod(F.col("event_id"), F.lit(DIRTY_KINDS))
+    as_of_ms = F.unix_millis(F.lit(as_of).cast("timestamp"))
+    base_ms = as_of_ms - F.pmod(F.col("event_id") * 7919, F.lit(86000)) * 1000
+    sym = F.upper(F.col("event_type"))
+    k = F.get_json_object("props", "$.k")
+    p = F.col("value").cast("string")
+    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    iso = F.date_format(F.timestamp_millis(base_ms), "yyyy-MM-dd'T'HH:mm:ssXXX")
+    f_id = F.when(m == 15, F.lit('"  "')).otherwise(q(F.col("event_id").cast("string")))
+    f_sym = (F.when(m == 4, F.lit('"  "'))
+              .when(m == 5, q(F.lower(sym)))
+              .when(m == 6, F.concat(F.lit('"'), sym, F.lit('\\n"')))
+              .when(m == 7, q(F.rpad(sym, 33, "X")))
+              .otherwise(q(sym)))
+    f_price = (F.when(m == 1, q(p))
+                .when(m == 3, F.lit("null"))
+                .when(m == 8, q(F.concat(p, F.lit("d"))))
+                .when(m == 9, F.lit('"NaN"'))
+                .when(m == 10, F.concat(F.lit("-"), p))
+                .otherwise(p))
+    f_vol = (F.when(m == 1, q(k))
+              .when(m == 11, F.concat(F.lit("-"), (k.cast("int") + 1).cast("string")))
+              .when(m == 12, F.lit('"1_000"'))
+              .otherwise(k))
+    f_ts = (F.when(m == 1, q(base_ms.cast("string")))
+             .when(m == 2, q(iso))
+             .when(m == 13, F.lit('"x"'))
+             .when(m == 14, (as_of_ms - 25 * 3600 * 1000).cast("string"))
+             .otherwise(base_ms.cast("string")))
+    sym_part = F.when(m == 3, F.lit("")).otherwise(F.concat(F.lit('"symbol":'), f_sym, F.lit(",")))
+    value = F.concat(F.lit('{"event_id":'), f_id, F.lit(","), sym_part,
+                     F.lit('"price":'), f_price, F.lit(',"volume":'), f_vol,
+                     F.lit(',"timestamp":'), f_ts, F.lit("}"))
+    return events.select("event_id", value.alias("value"))
