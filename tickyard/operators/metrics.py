@@ -88,16 +88,17 @@ def slot_counts(df: DataFrame, every: str, keys: Sequence[str] = (), time_col: s
                     (F.unix_millis(F.col("w.start")) / _dur_ms(every)).cast("bigint").alias("slot")))
 
 
-def threshold_alerts(counts: DataFrame, threshold: float, hold: int, keys: Sequence[str] = (),
-                     every_seconds: int = 60) -> DataFrame:
-    """M4: alert episodes where the per-second rate stays above a threshold
-    for at least ``hold`` consecutive slots ("rate > x for N minutes").
+def threshold_alerts(counts: DataFrame, max_count: int, hold: int, keys: Sequence[str] = ()
+                     ) -> DataFrame:
+    """M4: alert episodes where the count per slot stays above ``max_count``
+    for at least ``hold`` consecutive slots ("rate > x for N minutes" with
+    max_count = x * slot seconds; see ``rate_alerts``).
 
     Gaps and islands over the breaching slots: slot - row_number is constant
     inside a run of consecutive slots.  Slots without rows have rate 0 and
     break a run.  Output: one row per firing episode.
     """
-    breach = counts.filter(F.col("n") / F.lit(float(every_seconds)) > F.lit(threshold))
+    breach = counts.filter(F.col("n") > F.lit(max_count))
     w = Window.partitionBy(*keys).orderBy("slot")
     isl = breach.withColumn("island", F.col("slot") - F.row_number().over(w))
     return (isl.groupBy(*keys, "island")
@@ -107,6 +108,14 @@ def threshold_alerts(counts: DataFrame, threshold: float, hold: int, keys: Seque
             .drop("island"))
 
 
+def rate_alerts(df: DataFrame, rate_per_s: float, every: str, every_seconds: int, hold: int,
+                keys: Sequence[str] = (), time_col: str = "event_time") -> DataFrame:
+    """M4 as written in alert rules: rate over ``every`` > ``rate_per_s`` for
+    ``hold`` consecutive slots."""
+    return threshold_alerts(slot_counts(df, every, keys, time_col),
+                            int(rate_per_s * every_seconds), hold, keys)
+
+
 def silence_gaps(trades: DataFrame, threshold: str = "10 minutes", as_of=None,
                  key: str = "symbol") -> DataFrame:
     """M5: periods longer than ``threshold`` without a trade, per key.

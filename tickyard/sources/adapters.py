@@ -113,7 +113,8 @@ def dirty_from_events(events: DataFrame, as_of: str = "2024-01-31 00:00:00") ->
 
     Valid timestamps are placed inside the last day before ``as_of`` (whole
     seconds, derived from the event id) so the range rule only fires where the
-    mutation asks for it.  Output: event_id BIGINT, value STRING.
+    mutation asks for it.  Output: event_id BIGINT, value STRING and the
+    broker receive time ``received_at`` (the event's own time).
     """
     m = F.pmod(F.col("event_id"), F.lit(DIRTY_KINDS))
     as_of_ms = F.unix_millis(F.lit(as_of).cast("timestamp"))
@@ -148,4 +149,5 @@ def dirty_from_events(events: DataFrame, as_of: str = "2024-01-31 00:00:00") ->
     value = F.concat(F.lit('{"event_id":'), f_id, F.lit(","), sym_part,
                      F.lit('"price":'), f_price, F.lit(',"volume":'), f_vol,
                      F.lit(',"timestamp":'), f_ts, F.lit("}"))
-    return events.select("event_id", value.alias("value"))
+    return events.select("event_id", value.alias("value"),
+                         _event_time(F.col("ts")).alias("received_at"))
