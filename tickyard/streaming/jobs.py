@@ -128,20 +128,29 @@ def publish(trades: DataFrame, path: str | None = None, kafka: dict | None = Non
         raise ValueError("give a path or kafka options")
 
 
-def await_any(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None
-              ) -> None:
-    """Block until any query ends; then stop the others and re-raise the
-    first failure, so one dead query cannot hide behind a live one."""
+def await_any(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None,
+              poll: float = 0.5) -> None:
+    """Block until any of ``queries`` ends; then stop the others and
+    re-raise the first failure, so one dead query cannot hide behind a live
+    one.  Only these queries count (not others of the session)."""
+    import time
+    from pyspark.errors import StreamingQueryException
+    failure = None
+    deadline = None if timeout is None else time.monotonic() + timeout
     try:
-        if timeout is None:
-            spark.streams.awaitAnyTermination()
-        else:
-            spark.streams.awaitAnyTermination(timeout)
+        while all(q.isActive for q in queries):
+            if deadline is not None and time.monotonic() >= deadline:
+                break
+            for q in queries:
+                if q.awaitTermination(poll):
+                    break
+    except StreamingQueryException as e:
+        failure = e
     finally:
-        errors = [q.exception() for q in queries if not q.isActive and q.exception()]
         for q in queries:
             if q.isActive:
                 q.stop()
-        spark.streams.resetTerminated()
-    if errors:
-        raise RuntimeError(f"streaming query failed: {errors[0]}")
+    if failure is None:
+        failure = next((q.exception() for q in queries if q.exception()), None)
+    if failure is not None:
+        raise RuntimeError(f"streaming query failed: {failure}") from None
