@@ -32,11 +32,6 @@ def _get(v: Column, name: str, typ: str = "variant") -> Column:
     return F.try_variant_get(v, f"$.{name}", typ)
 
 
-def _kind(v: Column, name: str) -> Column:
-    """JSON type of a field: STRING, BIGINT, DOUBLE, DECIMAL(p,s), BOOLEAN, VOID, ..."""
-    return F.schema_of_variant(_get(v, name))
-
-
 def _blank(text: Column) -> Column:
     return text.rlike(r"^\s*\z")
 
@@ -45,25 +40,23 @@ def _numeric(kind: Column) -> Column:
     return kind.isin(*_INT_KINDS, *_FLOAT_KINDS) | kind.startswith("DECIMAL")
 
 
-def _as_float(v: Column, name: str) -> Column:
+def _as_float(fv: Column, kind: Column, text: Column) -> Column:
     """float(x) semantics: JSON numbers, booleans (1.0/0.0) and numeric text."""
-    kind, text = _kind(v, name), _get(v, name, "string")
     clean = F.regexp_replace(text, r"^\s+|\s+\z|_", "")
-    return (F.when(_numeric(kind), _get(v, name, "double"))
+    return (F.when(_numeric(kind), F.try_variant_get(fv, "$", "double"))
             .when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0))
             .when((kind == "STRING") & text.rlike(NUMBER_TEXT), clean.try_cast("double")))
 
 
-def _as_epoch_ms(v: Column, name: str) -> tuple[Column, Column]:
+def _as_epoch_ms(fv: Column, kind: Column, text: Column) -> tuple[Column, Column]:
     """Timestamp rule: (epoch ms or NULL, error code or NULL).
 
     Integers are ms, fractional numbers truncate to ms, digit strings are ms,
     other text is parsed as ISO-8601 (naive = UTC); arrays/objects are the
     wrong type.
     """
-    kind, text = _kind(v, name), _get(v, name, "string")
-    ms = (F.when(kind.isin(*_INT_KINDS), _get(v, name, "bigint"))
-          .when(_numeric(kind), _get(v, name, "double").cast("bigint"))
+    ms = (F.when(kind.isin(*_INT_KINDS), F.try_variant_get(fv, "$", "bigint"))
+          .when(_numeric(kind), F.try_variant_get(fv, "$", "double").cast("bigint"))
           .when(kind == "BOOLEAN", F.when(text == "true", F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
           .when((kind == "STRING") & text.rlike(r"^[0-9]+\z"), text.try_cast("bigint"))
           .when(kind == "STRING", F.unix_millis(F.try_to_timestamp(text))))
@@ -90,9 +83,19 @@ def parse_json_text(text: Column) -> Column:
     return F.coalesce(F.try_parse_json(text), F.try_parse_json(quoted))
 
 
+def _codes(*rules: Column) -> Column:
+    """Non-null codes in order as an array, without a lambda (so the whole
+    projection keeps whole-stage codegen): concat_ws skips NULLs."""
+    joined = F.concat_ws(";", *rules)
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, ";"))
+
+
+_FIELDS = ("event_id",) + REQUIRED_FIELDS
+
+
 def validate(raw: DataFrame, value_col: str = "value", as_of=None, mode: str = "lenient",
              reject_nan_volume: bool = False) -> DataFrame:
-    """Validate raw JSON trade messages in one projection.
+    """Validate raw JSON trade messages in one pass.
 
     Adds ``errors ARRAY<STRING>``, ``is_valid BOOLEAN`` and ``norm`` (struct of
     the normalized event_id, symbol, price, volume, timestamp).  Rules, in
@@ -103,30 +106,38 @@ def validate(raw: DataFrame, value_col: str = "value", as_of=None, mode: str = "
     timestamp_parse_failed / timestamp_out_of_range ([as_of - 1 day,
     as_of + 5 minutes]), event_id_empty (present but null or blank).
     A message that is not a JSON object gets ``message_not_json``.
+
+    The message is parsed once; each field is extracted once into a column
+    (value, JSON type, text) and every rule reads those columns.
     """
     if mode not in ("lenient", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
+    keep = raw.columns
     df = raw.withColumn("_v", parse_json_text(F.col(value_col).cast("string")))
-    v = F.col("_v")
+    df = df.withColumns({f"_{f}_v": _get(F.col("_v"), f) for f in _FIELDS})
+    df = df.withColumns({**{f"_{f}_k": F.schema_of_variant(F.col(f"_{f}_v")) for f in _FIELDS},
+                         **{f"_{f}_t": F.try_variant_get(F.col(f"_{f}_v"), "$", "string") for f in _FIELDS}})
+    fv = {f: F.col(f"_{f}_v") for f in _FIELDS}
+    kind = {f: F.col(f"_{f}_k") for f in _FIELDS}
+    text = {f: F.col(f"_{f}_t") for f in _FIELDS}
     now = _as_of(as_of)
 
-    missing = []
-    for f in REQUIRED_FIELDS:
-        fv, kind = _get(v, f), _kind(v, f)
-        absent = fv.isNull() | F.is_variant_null(fv) | ((kind == "STRING") & _blank(_get(v, f, "string")))
-        missing.append(F.when(absent, F.lit(f"missing_{f}")))
-
-    sym = _get(v, "symbol", "string")
-    sym_ok = (_kind(v, "symbol") == "STRING") & sym.rlike(SYMBOL_PATTERN)
-    price = _as_float(v, "price")
-    volume = _as_float(v, "volume")
-    ts_ms, ts_err = _as_epoch_ms(v, "timestamp")
+    df = df.withColumns({
+        "_price": _as_float(fv["price"], kind["price"], text["price"]),
+        "_volume": _as_float(fv["volume"], kind["volume"], text["volume"]),
+        "_sym_ok": (kind["symbol"] == "STRING") & text["symbol"].rlike(SYMBOL_PATTERN),
+    })
+    ts_ms, ts_err = _as_epoch_ms(fv["timestamp"], kind["timestamp"], text["timestamp"])
+    df = df.withColumns({"_ts": ts_ms, "_ts_err": ts_err})
+    price, volume, sym_ok = F.col("_price"), F.col("_volume"), F.col("_sym_ok")
+
+    missing = [F.when(fv[f].isNull() | F.is_variant_null(fv[f])
+                      | ((kind[f] == "STRING") & _blank(text[f])), F.lit(f"missing_{f}"))
+               for f in REQUIRED_FIELDS]
     lo = F.unix_millis(now - F.expr(f"INTERVAL {MAX_PAST}"))
     hi = F.unix_millis(now + F.expr(f"INTERVAL {MAX_FUTURE}"))
-    eid = _get(v, "event_id")
-    eid_empty = eid.isNotNull() & (F.is_variant_null(eid) | (
-        (_kind(v, "event_id") == "STRING") & _blank(_get(v, "event_id", "string"))))
-
+    eid_empty = fv["event_id"].isNotNull() & (F.is_variant_null(fv["event_id"]) | (
+        (kind["event_id"] == "STRING") & _blank(text["event_id"])))
     if mode == "strict":
         vol_rule = F.when(~(volume > 0) | F.isnan(volume), F.lit("volume_not_positive"))
     else:
@@ -138,26 +149,23 @@ def validate(raw: DataFrame, value_col: str = "value", as_of=None, mode: str = "
         F.when(price.isNull(), F.lit("price_not_number_or_invalid"))
          .when(~(price > 0) | F.isnan(price), F.lit("price_not_positive")),
         F.when(volume.isNull(), F.lit("volume_not_number_or_invalid")).otherwise(vol_rule),
-        F.coalesce(ts_err, F.when((ts_ms < lo) | (ts_ms > hi), F.lit("timestamp_out_of_range"))),
+        F.coalesce(F.col("_ts_err"),
+                   F.when((F.col("_ts") < lo) | (F.col("_ts") > hi), F.lit("timestamp_out_of_range"))),
         F.when(eid_empty, F.lit("event_id_empty")),
     ]
-    not_null = lambda x: x.isNotNull()
-    missing_arr = F.filter(F.array(*missing), not_null)
-    rules_arr = F.filter(F.array(*rules), not_null)
-    errors = (F.when(v.isNull(), F.array(F.lit("message_not_json")))
-              .when(F.size(missing_arr) > 0, missing_arr)
-              .otherwise(rules_arr))
+    any_missing = F.greatest(*[F.when(m.isNotNull(), F.lit(1)).otherwise(F.lit(0)) for m in missing]) > 0
+    errors = (F.when(F.col("_v").isNull(), F.array(F.lit("message_not_json")))
+              .when(any_missing, _codes(*missing))
+              .otherwise(_codes(*rules)))
     norm = F.struct(
-        _get(v, "event_id", "string").alias("event_id"),
-        F.when(sym_ok, F.upper(F.trim(sym))).otherwise(sym).alias("symbol"),
+        text["event_id"].alias("event_id"),
+        F.when(sym_ok, F.upper(F.trim(text["symbol"]))).otherwise(text["symbol"]).alias("symbol"),
         price.alias("price"),
         volume.alias("volume"),
-        ts_ms.alias("timestamp"),
+        F.col("_ts").alias("timestamp"),
     )
-    return (df.withColumn("errors", errors)
-              .withColumn("is_valid", F.size("errors") == 0)
-              .withColumn("norm", norm)
-              .drop("_v"))
+    return (df.select(*keep, errors.alias("errors"), norm.alias("norm"))
+              .withColumn("is_valid", F.size("errors") == 0))
 
 
 def valid_trades(validated: DataFrame) -> DataFrame:

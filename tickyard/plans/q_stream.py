@@ -20,6 +20,7 @@ from .catalog import ORDER_SQL, SQL_EV_TRADES, bars_out, ev_trades, register, sq
 from .q_quality import _DIRTY, AS_OF
 
 SLICES = 8
+FILES_PER_SLICE = 2
 DELAY = "5 minutes"
 
 # Stream event time is the message's epoch-ms timestamp (ms grain).
@@ -32,10 +33,15 @@ def replay_files(spark: SparkSession, sf_dir: str) -> str:
     again = rows.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 SECOND"))
     late = rows.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 3 DAYS"))
     path = fresh_dir(spark, "replay")
-    write_message_files(rows.unionByName(again).unionByName(late), path, SLICES)
+    write_message_files(rows.unionByName(again).unionByName(late), path, SLICES,
+                        files_per_slice=FILES_PER_SLICE)
     return path
 
 
+def replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return file_stream(spark, replay_files(spark, sf_dir), max_files_per_trigger=FILES_PER_SLICE)
+
+
 def _run(q) -> None:
     q.awaitTermination()
     if q.exception():
@@ -47,7 +53,7 @@ WITH t AS ({SQL_EV_TRADES})
 SELECT event_id, symbol, price, volume, "timestamp" FROM t""")
 def stream_dedupe(spark, sf_dir):
     """S1 + P2 + U1/W7: at-least-once delivery replayed, each trade kept once."""
-    src = file_stream(spark, replay_files(spark, sf_dir))
+    src = replay_stream(spark, sf_dir)
     out, ck = fresh_dir(spark, "sink"), fresh_dir(spark, "checkpoints")
     t = J.trades_stream(src, DELAY).select("event_id", "symbol", "price", "volume", "timestamp",
                                            "trade_date")
@@ -62,7 +68,7 @@ WHERE window_end <= (SELECT CAST(max(epoch_us(ts) // 1000) AS BIGINT) - 300000 F
 def stream_bars_append(spark, sf_dir):
     """Hourly bars in append mode; windows the final watermark has
     not closed are not emitted, late redeliveries are dropped."""
-    src = file_stream(spark, replay_files(spark, sf_dir))
+    src = replay_stream(spark, sf_dir)
     out, ck = fresh_dir(spark, "sink"), fresh_dir(spark, "checkpoints")
     bars = J.bars_stream(J.trades_stream(src, DELAY), "1 hour")
     _run(J.start_append(bars, out, ck, partition_col="trade_date", available_now=True))
@@ -73,7 +79,7 @@ def stream_bars_append(spark, sf_dir):
 def stream_bars_update(spark, sf_dir):
     """W4 + K1/K2 in foreachBatch: update-mode bars upserted by key; the table
     ends equal to the batch bars, open windows included."""
-    src = file_stream(spark, replay_files(spark, sf_dir))
+    src = replay_stream(spark, sf_dir)
     tbl, ck = fresh_dir(spark, "tables"), fresh_dir(spark, "checkpoints")
     bars = J.bars_stream(J.trades_stream(src, DELAY), "1 hour")
     _run(J.start_upsert(bars, tbl, ("trade_date", "symbol", "window_start"), "trade_date", ck,

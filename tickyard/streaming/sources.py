@@ -36,25 +36,32 @@ def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1)
                     F.col("value").cast("binary").alias("value"), "timestamp"))
 
 
-def write_message_files(rows: DataFrame, path: str, slices: int, time_col: str = "timestamp") -> int:
-    """Write broker rows as ``slices`` JSON-line folders in time order.
+def write_message_files(rows: DataFrame, path: str, slices: int, time_col: str = "timestamp",
+                        files_per_slice: int = 2) -> int:
+    """Write broker rows as ``slices`` time-ordered groups of JSON-line files.
 
     Slice i holds the rows whose time falls in the i-th equal part of the
-    time range; slices are written one after the other so file modification
-    times follow event time, which is what a replay in order needs.  Returns
-    the number of slices written.
+    time range, spread evenly over ``files_per_slice`` files.  Slices are
+    written one after the other, so file modification times follow event
+    time; reading with ``max_files_per_trigger=files_per_slice`` then replays
+    exactly one slice per micro-batch, in order.  Returns the slice count.
     """
-    span = rows.agg(F.min(F.unix_millis(time_col)).alias("lo"),
-                    F.max(F.unix_millis(time_col)).alias("hi")).first()
-    if span is None or span["lo"] is None:
-        return 0
-    lo, hi = span["lo"], span["hi"]
-    width = max(1, (hi - lo) // slices + 1)
-    sl = F.floor((F.unix_millis(time_col) - F.lit(lo)) / F.lit(width))
-    tagged = rows.withColumn("_slice", sl)
-    for i in range(slices):
-        (tagged.filter(F.col("_slice") == i).drop("_slice")
-         .select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-                 "timestamp")
-         .write.mode("append").json(path))
+    # The slices are cut from one materialization of the rows, not recomputed
+    # per slice; storage may spill to disk, so any size works.
+    from pyspark import StorageLevel
+    staged = rows.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+                         F.col(time_col).alias("timestamp")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        span = staged.agg(F.min(F.unix_millis("timestamp")).alias("lo"),
+                          F.max(F.unix_millis("timestamp")).alias("hi")).first()
+        if span is None or span["lo"] is None:
+            return 0
+        lo, hi = span["lo"], span["hi"]
+        width = max(1, (hi - lo) // slices + 1)
+        sl = F.floor((F.unix_millis("timestamp") - F.lit(lo)) / F.lit(width))
+        for i in range(slices):
+            (staged.filter(sl == i).repartition(files_per_slice)
+             .write.mode("append").json(path))
+    finally:
+        staged.unpersist()
     return slices
