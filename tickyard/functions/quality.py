@@ -12,6 +12,8 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import spread
+
 # Rule constants (fixed values).
 SYMBOL_PATTERN = r"^[A-Z0-9.\-:/]{1,32}\z"
 REQUIRED_FIELDS = ("symbol", "price", "volume", "timestamp")
@@ -83,6 +85,15 @@ def parse_json_text(text: Column) -> Column:
     return F.coalesce(F.try_parse_json(text), F.try_parse_json(quoted))
 
 
+def _fence(df: DataFrame, cols: dict) -> DataFrame:
+    """Add columns through a one-row-per-row ``inline``: the optimizer keeps
+    them as computed values instead of copying their (large) defining
+    expressions into every later reference or pushed-down filter, which
+    would multiply the plan size with each nested rule."""
+    packed = F.struct(*[c.alias(n) for n, c in cols.items()])
+    return df.select(*df.columns, F.inline(F.array(packed)))
+
+
 def _codes(*rules: Column) -> Column:
     """Non-null codes in order as an array, without a lambda (so the whole
     projection keeps whole-stage codegen): concat_ws skips NULLs."""
@@ -113,7 +124,7 @@ def validate(raw: DataFrame, value_col: str = "value", as_of=None, mode: str = "
     if mode not in ("lenient", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
     keep = raw.columns
-    df = raw.withColumn("_v", parse_json_text(F.col(value_col).cast("string")))
+    df = _fence(spread(raw), {"_v": parse_json_text(F.col(value_col).cast("string"))})
     df = df.withColumns({f"_{f}_v": _get(F.col("_v"), f) for f in _FIELDS})
     df = df.withColumns({**{f"_{f}_k": F.schema_of_variant(F.col(f"_{f}_v")) for f in _FIELDS},
                          **{f"_{f}_t": F.try_variant_get(F.col(f"_{f}_v"), "$", "string") for f in _FIELDS}})
@@ -164,8 +175,10 @@ def validate(raw: DataFrame, value_col: str = "value", as_of=None, mode: str = "
         volume.alias("volume"),
         F.col("_ts").alias("timestamp"),
     )
-    return (df.select(*keep, errors.alias("errors"), norm.alias("norm"))
-              .withColumn("is_valid", F.size("errors") == 0))
+    out = _fence(df.select(*keep, "_v", "_price", "_volume", "_sym_ok", "_ts", "_ts_err",
+                           *[f"_{f}_{x}" for f in _FIELDS for x in "vkt"]),
+                 {"errors": errors, "norm": norm})
+    return out.select(*keep, "errors", "norm").withColumn("is_valid", F.size("errors") == 0)
 
 
 def valid_trades(validated: DataFrame) -> DataFrame:

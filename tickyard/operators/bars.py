@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import spread
+
 ORDER_COLS = ("event_time", "event_id", "price", "volume")
 
 
@@ -58,7 +60,7 @@ def ohlcv_aggs(order: Column | None = None) -> list[Column]:
 def ohlcv_bars(trades: DataFrame, every: str = "1 minute", time_col: str = "event_time",
                order: Column | None = None) -> DataFrame:
     """B2 + B4: OHLCV bars with sample-stddev volatility and VWAP."""
-    return (trades
+    return (spread(trades)
             .groupBy(F.window(time_col, every).alias("window"), "symbol")
             .agg(*ohlcv_aggs(order))
             .select("symbol", *window_bounds(), "total_volume", "avg_price", "high_price",

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import spread
 from .bars import ORDER_COLS
 
 # Default key of a trade: producer id plus the day it belongs to is not needed;
@@ -33,7 +34,7 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER_COLS
         raise ValueError("keep must be 'first' or 'last'")
     row = F.struct(*[F.col(c) for c in df.columns])
     pick = F.min_by if keep == "first" else F.max_by
-    return (df.groupBy(*keys)
+    return (spread(df).groupBy(*keys)
               .agg(pick(row, survivor_order(df, order)).alias("_row"))
               .select("_row.*"))
 

@@ -11,7 +11,7 @@ UTC = "UTC"
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "tickyard") -> SparkSession:
+                app_name: str = "tickyard", driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session configured the way the library expects.
 
     On a cluster pass ``master=None`` and let spark-submit decide; the
@@ -28,6 +28,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.ui.showConsoleProgress", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:  # only takes effect when this call starts the JVM
+        b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()
     use_utc(spark)
     return spark
@@ -61,3 +63,15 @@ def work_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, kind: str) -> str:
     """A new, unique path below the shared work folder."""
     return f"{work_root(spark)}/tickyard/{kind}/{uuid.uuid4().hex}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a batch frame over the cluster when it arrives in fewer
+    partitions than there are cores (one big non-splittable file, a single
+    row group).  A no-op for normally split inputs and for streams, so it
+    costs nothing at scale; before heavy per-row work it keeps every core
+    busy instead of one."""
+    if df.isStreaming:
+        return df
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
