@@ -66,3 +66,15 @@ def test_threshold_alert_needs_consecutive_slots(spark):
     df = spark.createDataFrame(rows, "event_time timestamp")
     a = M.threshold_alerts(M.slot_counts(df, "1 hour"), 10, 3).collect()
     assert [(r.n_slots, r.n_events) for r in a] == [(3, 60)]
+
+
+def test_gap_fill_carries_across_empty_blocks(spark):
+    t0 = dt.datetime(2024, 1, 1, 22)
+    bars = spark.createDataFrame(
+        [("A", t0, 1.0, 1.0, 1.0, 1.0, 1.0, 1), ("A", t0 + dt.timedelta(hours=30), 3.0, 3.0, 3.0, 3.0, 1.0, 1)],
+        "symbol string, window_start timestamp, open_price double, high_price double, low_price double, "
+        "close_price double, total_volume double, trade_count bigint")
+    g = M.gap_fill(bars, "1 hour").orderBy("window_start").collect()
+    assert len(g) == 31
+    assert all(r.close_price == 1.0 for r in g[:-1]) and g[-1].close_price == 3.0
+    assert sum(r.is_filled for r in g) == 29

@@ -141,20 +141,40 @@ def silence_gaps(trades: DataFrame, threshold: str = "10 minutes", as_of=None,
             .filter(F.col("gap_ms") > t_ms))
 
 
-def gap_fill(bars: DataFrame, every: str = "1 hour", key: str = "symbol") -> DataFrame:
+def gap_fill(bars: DataFrame, every: str = "1 hour", key: str = "symbol",
+             carry_unit: str = "1 day") -> DataFrame:
     """M6: complete each key's bar series between its first and last bar.
 
     Missing slots get volume 0, count 0 and the previous close carried
     forward (open = high = low = close).  The slot grid is generated per key
-    with ``sequence`` (span / width rows), joined to the bars on (key, start)
-    and forward-filled with ``last(..., ignorenulls)`` over the ordered slots.
+    with ``sequence`` and left-joined to the bars on (key, start).
+
+    The forward fill runs in two levels so no window holds a key's whole
+    series: inside each (key, ``carry_unit``) block with
+    ``last(..., ignorenulls)``, then across blocks from a small per-block
+    table (last close of each block, carried over the block sequence of the
+    key).  Window partitions are bounded by block/width and by the number
+    of blocks, whatever the series length.
     """
     span = bars.groupBy(key).agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi"))
     grid = span.select(key, F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {every}")))
                        .alias("window_start"))
-    j = grid.join(bars, [key, "window_start"], "left")
-    w = Window.partitionBy(key).orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
-    carried = F.last("close_price", ignorenulls=True).over(w)
+    block = F.window("window_start", carry_unit).start
+    j = grid.join(bars, [key, "window_start"], "left").withColumn("_block", block)
+    w_in = (Window.partitionBy(key, "_block").orderBy("window_start")
+            .rowsBetween(Window.unboundedPreceding, 0))
+    j = j.withColumn("_carry_in", F.last("close_price", ignorenulls=True).over(w_in))
+
+    block_last = (bars.groupBy(key, block.alias("_block"))
+                  .agg(F.max_by("close_price", "window_start").alias("_block_close")))
+    blocks = (grid.select(key, block.alias("_block")).distinct()
+              .join(block_last, [key, "_block"], "left"))
+    w_blk = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(key, "_block",
+                           F.last("_block_close", ignorenulls=True).over(w_blk).alias("_carry_prev"))
+    j = j.join(blocks, [key, "_block"], "left")
+
+    carried = F.coalesce(F.col("_carry_in"), F.col("_carry_prev"))
     filled = F.col("trade_count").isNull()
     return j.select(
         key, "window_start",

@@ -67,13 +67,13 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
     another when its version is greater or equal.  Returns a small summary.
     """
     spark = df.sparkSession
-    if df.isEmpty():  # K2: nothing to do for an empty batch
-        return {"partitions": 0, "written": False}
     if partition_col not in keys:
         raise ValueError("the key must contain the partition column")
     ver = F.col(version) if isinstance(version, str) else version
     incoming = df.withColumn("_ver", ver)
     touched = [r[0] for r in incoming.select(partition_col).distinct().collect()]
+    if not touched:  # K2: nothing to do for an empty batch (no extra job)
+        return {"partitions": 0, "written": False}
     current = read_table(spark, path, df.schema)
     if current is not None:
         old = (current.filter(_partition_filter(touched, partition_col))
@@ -96,6 +96,18 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
     return {"partitions": len(touched), "written": True, "staging": staging}
 
 
+def backfill_from_files(spark: SparkSession, source: str, target: str, start, end,
+                        keys: Sequence[str], version: str, fmt: str = "parquet",
+                        schema: StructType | None = None, time_col: str = "trade_time",
+                        partition_col: str = "trade_date") -> dict:
+    """K8: historical files -> time filter (end day whole) -> year/month/day/
+    hour bucket columns -> keyed upsert into the target table."""
+    from ..functions.columns import add_partitioning_columns
+    rows = load_historical(spark, source, start, end, fmt, schema, time_col)
+    rows = add_partitioning_columns(rows, time_col).withColumn(partition_col, F.to_date(time_col))
+    return upsert(rows, target, keys, version, partition_col)
+
+
 def scan_range(spark: SparkSession, path: str, start, end, partition_col: str = "trade_date",
                schema: StructType | None = None) -> DataFrame:
     """Table rows whose date partition lies in [start, end] (inclusive

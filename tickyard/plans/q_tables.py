@@ -132,3 +132,24 @@ def load_historical(spark, sf_dir):
     h = K.load_historical(spark, path, "2024-01-10 00:00:00", "2024-01-12", schema=t.schema)
     return h.select(F.col("event_id").cast("bigint").alias("event_id"), "symbol", "price", "volume",
                     "timestamp")
+
+
+@register("backfill_files", f"""
+WITH t AS ({SQL_EV_TRADES})
+SELECT CAST(event_id AS BIGINT) AS event_id, symbol, price, volume, "timestamp",
+       CAST(year(event_time) AS INTEGER) AS trade_year, CAST(month(event_time) AS INTEGER) AS trade_month,
+       CAST(day(event_time) AS INTEGER) AS trade_day, CAST(hour(event_time) AS INTEGER) AS trade_hour
+FROM t WHERE event_time >= TIMESTAMP '2024-01-20 00:00:00' AND event_time < TIMESTAMP '2024-01-26 00:00:00'""")
+def backfill_files(spark, sf_dir):
+    """K8: backfill [Jan 20, Jan 25] from plain files into a keyed table, twice
+    (the replay changes nothing)."""
+    t = ev_trades(spark, sf_dir).withColumnRenamed("event_time", "trade_time")
+    src, dst = fresh_dir(spark, "files"), fresh_dir(spark, "tables")
+    t.write.parquet(src)
+    for _ in range(2):
+        K.backfill_from_files(spark, src, dst, "2024-01-20 00:00:00", "2024-01-25",
+                              keys=("trade_date", "symbol", "event_id"), version="processed_at",
+                              schema=t.schema)
+    out = spark.read.parquet(dst)
+    return out.select(F.col("event_id").cast("bigint").alias("event_id"), "symbol", "price", "volume",
+                      "timestamp", "trade_year", "trade_month", "trade_day", "trade_hour")
