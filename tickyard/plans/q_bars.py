@@ -18,7 +18,7 @@ def ohlcv_1h(spark, sf_dir):
 @register("ohlcv_daily_lineitem", sql_bars(SQL_LI_TRADES, "day", ORDER_SQL))
 def ohlcv_daily_lineitem(spark, sf_dir):
     """Daily bars over lineitem trades: many time ties, order needs 4 fields."""
-    return bars_out(B.ohlcv_bars(li_trades(spark, sf_dir), "1 day"))
+    return bars_out(B.ohlcv_bars(li_trades(spark, sf_dir), "1 day", tie_break="lexicographic"))
 
 
 @register("basic_bar_1h", f"""
