@@ -17,7 +17,7 @@ from ..functions.parse import fill_event_id, parse_messages
 from ..operators.bars import ohlcv_aggs, window_bounds
 from ..operators.tables import upsert
 
-# Defaults of the reference jobs (fixed values).
+# Job defaults kept from the original pipeline (fixed values).
 WATERMARK_DELAY = "5 minutes"
 BAR_WINDOW = "1 minute"
 TRIGGER_INTERVAL = "5 seconds"
