@@ -20,7 +20,7 @@ from .catalog import ORDER_SQL, SQL_EV_TRADES, bars_out, ev_trades, register, sq
 from .q_quality import _DIRTY, AS_OF
 
 SLICES = 8
-FILES_PER_SLICE = 2
+FILES_PER_SLICE = 4
 DELAY = "5 minutes"
 
 # Stream event time is the message's epoch-ms timestamp (ms grain).
