@@ -239,6 +239,15 @@ def rejection_counts(validated: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_errors")))
 
 
+def rejection_totals(validated: DataFrame) -> DataFrame:
+    """The message counters next to the per-reason error counter: all
+    messages, rejected (dead-lettered) messages and errors, in one pass."""
+    bad = ~F.col("is_valid")
+    return validated.agg(F.count(F.lit(1)).alias("n_messages"),
+                         F.count_if(bad).alias("n_rejected"),
+                         F.sum(F.size("errors")).cast("bigint").alias("n_errors"))
+
+
 def filter_outliers(df: DataFrame, price_col: str = "price", std_dev: float = 3.0) -> DataFrame:
     """Keep rows within mean +- k * sample stddev (inclusive), global stats.
 

@@ -30,6 +30,16 @@ def message_rate(trades: DataFrame, every: str = "1 minute", seconds: int = 60,
                     (F.col("n_messages") / F.lit(float(seconds))).alias("rate_per_s")))
 
 
+def message_counts(validated: DataFrame, every: str = "1 minute", time_col: str = "received_at",
+                   key: Column | str | None = None) -> DataFrame:
+    """M1: received / sent (valid) / rejected messages per window (and key)."""
+    keys = [F.window(time_col, every).alias("w")] + ([key] if key is not None else [])
+    return (validated.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("n_received"), F.count_if("is_valid").alias("n_sent"),
+                 F.count_if(~F.col("is_valid")).alias("n_rejected"))
+            .withColumn("window_start", F.col("w.start")).drop("w"))
+
+
 def latency_seconds(trades: DataFrame) -> Column:
     return (F.col("processed_at") - F.col("timestamp")) / F.lit(1000.0)
 

@@ -51,7 +51,7 @@ def _partition_filter(values: list, col: str) -> Column:
 
 def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
            partition_col: str, cluster: Sequence[Column | str] = (),
-           files_per_partition: int = 8) -> dict:
+           files_per_partition: int = 8, keep_staging: bool = False) -> dict:
     """K1 (+K2, K4, K5): replay-safe keyed upsert, last *version* wins.
 
     1. The touched partition values (one per day: bounded by the time span,
@@ -93,9 +93,18 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
     staged = spark.read.schema(df.schema).parquet(staging)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
+    if not keep_staging:  # the swap is committed; the staged copy is no longer needed
+        _delete(spark, staging)
     return {"partitions": len(touched), "written": True, "staging": staging}
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    """Recursive delete through the cluster file system (HDFS, object store, local)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def backfill_from_files(spark: SparkSession, source: str, target: str, start, end,
                         keys: Sequence[str], version: str, fmt: str = "parquet",
                         schema: StructType | None = None, time_col: str = "trade_time",
@@ -154,12 +163,8 @@ def expire(spark: SparkSession, path: str, days: int, as_of,
     deleted (a file-system delete per folder; no row is rewritten).  The
     wide-column TTL counted from write time; this counts from event time."""
     gone = expired_partitions(spark, path, days, as_of, partition_col, schema)
-    if gone:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for v in gone:
-            p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={v}")
-            p.getFileSystem(conf).delete(p, True)
+    for v in gone:
+        _delete(spark, f"{path.rstrip('/')}/{partition_col}={v}")
     return gone
 
 

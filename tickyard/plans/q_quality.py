@@ -104,3 +104,26 @@ def outliers_3s(spark, sf_dir):
     """D13 + B3: keep rows within 3 global sample stddevs of the mean."""
     kept = Q.filter_outliers(ev_trades(spark, sf_dir), "price", 3.0)
     return kept.select(F.col("event_id").cast("bigint").alias("event_id"), "symbol", "price")
+
+
+@register("rejection_totals", _DIRTY + """
+SELECT count(*) AS n_messages, count(*) FILTER (WHERE errors <> '') AS n_rejected,
+       CAST(sum(CASE WHEN errors = '' THEN 0
+                     ELSE length(errors) - length(replace(errors, ';', '')) + 1 END) AS BIGINT) AS n_errors
+FROM v""")
+def rejection_totals(spark, sf_dir):
+    """Message, dead-letter and error counters."""
+    return Q.rejection_totals(_validated(spark, sf_dir))
+
+
+@register("message_counts", _DIRTY + """
+SELECT CAST(epoch_us(date_trunc('hour', ev.ts)) // 1000 AS BIGINT) AS window_start,
+       count(*) AS n_received, count(*) FILTER (WHERE v.errors = '') AS n_sent,
+       count(*) FILTER (WHERE v.errors <> '') AS n_rejected
+FROM v JOIN events ev USING (event_id) GROUP BY ALL""")
+def message_counts(spark, sf_dir):
+    """M1: received / sent / rejected messages per hour of arrival."""
+    from ..operators.metrics import message_counts as mc
+    c = mc(_validated(spark, sf_dir), "1 hour")
+    return c.select(F.unix_millis("window_start").alias("window_start"), "n_received", "n_sent",
+                    "n_rejected")
