@@ -3,23 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import ENVELOPE, TRADE_V1_ID
 from .columns import epoch_ms_to_ts
 
 
+_CORRUPT = "_corrupt_record"
+
+
 def parse_messages(rows: DataFrame, schema: StructType = TRADE_V1_ID,
                    keep_broker_time: bool = True) -> DataFrame:
     """Broker rows (key, value, timestamp) -> typed trade columns.
 
     ``from_json`` is PERMISSIVE: a malformed message becomes a row of NULLs,
     so ``_parse_ok`` tells a real message from such a row (route the rest to
-    the dead-letter table).  ``event_time`` comes from the epoch-ms field.
+    the dead-letter table).  The flag comes from the parser's own corrupt-record
+    column (set for malformed text and for fields of the wrong type), so each
+    message is parsed once.  ``event_time`` comes from the epoch-ms field.
     """
     text = F.col("value").cast("string")
-    msg = F.from_json(text, schema)
-    ok = F.coalesce(F.try_parse_json(text).isNotNull(), F.lit(False))
+    with_bad = StructType(schema.fields + [StructField(_CORRUPT, StringType())])
+    rows = rows.withColumn("_m", F.from_json(text, with_bad, {"columnNameOfCorruptRecord": _CORRUPT}))
+    msg = F.col("_m")
+    ok = msg.isNotNull() & msg.getField(_CORRUPT).isNull()
     cols = [msg.getField(f.name).alias(f.name) for f in schema.fields]
     if keep_broker_time:
         cols.append(F.col("timestamp").alias("kafka_timestamp"))

@@ -11,11 +11,15 @@ UTC = "UTC"
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "tickyard", driver_memory: str | None = None) -> SparkSession:
+                app_name: str = "tickyard", driver_memory: str | None = None,
+                rocksdb_state: bool = False) -> SparkSession:
     """Build (or reuse) a session configured the way the library expects.
 
     On a cluster pass ``master=None`` and let spark-submit decide; the
     settings below are all SQL confs that are safe to apply at any scale.
+    ``rocksdb_state=True`` keeps streaming state (dedupe ids, open bars) in
+    RocksDB with changelog checkpoints instead of executor heap - the choice
+    for many symbols or long watermarks; it is fixed per query at first start.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -28,6 +32,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.ui.showConsoleProgress", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if rocksdb_state:
+        b = (b.config("spark.sql.streaming.stateStore.providerClass",
+                      "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+              .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"))
     if driver_memory:  # only takes effect when this call starts the JVM
         b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()
