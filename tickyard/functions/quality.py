@@ -9,6 +9,7 @@ shuffle: the pass is a single projection that stays in whole-stage codegen.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -194,13 +195,15 @@ def invalid_rows(validated: DataFrame) -> DataFrame:
 
 
 def dlq_records(invalid: DataFrame, source_topic: str = "market", value_col: str = "value",
-                failed_at: Column | None = None, processor_id: str = "tickyard") -> DataFrame:
+                failed_at: Column | None = None, processor_id: str = "tickyard",
+                carry: Sequence[str] = ()) -> DataFrame:
     """Dead-letter records with both the compact and the full schema.
 
     ``original``/``errors``/``dlq_timestamp``/``source_topic`` plus
     ``error_reasons`` (';'-joined), ``error_type`` (PARSING_ERROR for
     non-JSON input, else VALIDATION_ERROR), ``failed_at``, ``retry_count``
-    and ``processor_id``.  Optional broker columns are carried when present.
+    and ``processor_id``.  Broker columns (partition, offset, key) fill the
+    ``original_*`` fields when present; ``carry`` names extra columns to keep.
     """
     stamp = F.unix_millis(F.current_timestamp()) if failed_at is None else failed_at
     cols = set(invalid.columns)
@@ -208,7 +211,7 @@ def dlq_records(invalid: DataFrame, source_topic: str = "market", value_col: str
     etype = F.when(F.array_contains("errors", "message_not_json"), F.lit("PARSING_ERROR")) \
              .otherwise(F.lit("VALIDATION_ERROR"))
     return invalid.select(
-        *[c for c in ("event_key",) if c in cols],
+        *carry,
         F.col(value_col).cast("string").alias("original"),
         "errors",
         F.array_join("errors", ";").alias("error_reasons"),
@@ -256,8 +259,8 @@ def filter_outliers(df: DataFrame, price_col: str = "price", std_dev: float = 3.
     than two rows) leaves the frame unchanged.  Batch only (or inside
     ``foreachBatch``): a stream cannot compute a global aggregate eagerly.
     """
-    stats = df.agg(F.avg(price_col).alias("m"), F.stddev_samp(price_col).alias("s"))
-    m = stats.select("m").scalar()
-    s = stats.select("s").scalar()
+    stats = df.agg(F.struct(F.avg(price_col).alias("m"), F.stddev_samp(price_col).alias("s")).alias("st"))
+    st = stats.scalar()  # one scalar subquery; its repeated uses are reused, not re-run
+    m, s = st.getField("m"), st.getField("s")
     p = F.col(price_col)
     return df.filter(s.isNull() | p.between(m - F.lit(std_dev) * s, m + F.lit(std_dev) * s))

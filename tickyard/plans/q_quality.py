@@ -81,8 +81,8 @@ FROM v WHERE errors <> ''""")
 def dlq_records(spark, sf_dir):
     """D9 dead-letter path + D11 record shape."""
     bad = Q.invalid_rows(_validated(spark, sf_dir))
-    d = Q.dlq_records(bad.withColumnRenamed("event_id", "event_key"), source_topic="market")
-    return d.select(F.col("event_key").alias("event_id"), "error_reasons", "error_message", "error_type",
+    d = Q.dlq_records(bad, source_topic="market", carry=["event_id"])
+    return d.select("event_id", "error_reasons", "error_message", "error_type",
                     "retry_count", "source_topic", F.size("errors").alias("n_errors"))
 
 
