@@ -21,6 +21,12 @@ def _dur_ms(every: str) -> Column:
     return F.expr(f"CAST(unix_millis(TIMESTAMP '1970-01-01 00:00:00' + INTERVAL {every}) AS BIGINT)")
 
 
+def _floor_to(ts: Column, every: str) -> Column:
+    """Start of the epoch-aligned slot of width ``every`` containing ``ts``."""
+    d = _dur_ms(every)
+    return F.timestamp_millis(F.floor(F.unix_millis(ts) / d) * d)
+
+
 def message_rate(trades: DataFrame, every: str = "1 minute", seconds: int = 60,
                  key: str = "symbol") -> DataFrame:
     """M1: messages per second per key in tumbling windows."""
@@ -166,19 +172,26 @@ def gap_fill(bars: DataFrame, every: str = "1 hour", key: str = "symbol",
     key).  Window partitions are bounded by block/width and by the number
     of blocks, whatever the series length.
     """
-    span = bars.groupBy(key).agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi"))
+    block = _floor_to(F.col("window_start"), carry_unit)
+    # one pass over the bars for the per-block summary; the key span and the
+    # carried close both come from this small table
+    blk = (bars.groupBy(key, block.alias("_block"))
+           .agg(F.max_by("close_price", "window_start").alias("_block_close"),
+                F.min("window_start").alias("_lo"), F.max("window_start").alias("_hi")))
+    span = blk.groupBy(key).agg(F.min("_lo").alias("lo"), F.max("_hi").alias("hi"))
     grid = span.select(key, F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {every}")))
                        .alias("window_start"))
-    block = F.window("window_start", carry_unit).start
     j = grid.join(bars, [key, "window_start"], "left").withColumn("_block", block)
     w_in = (Window.partitionBy(key, "_block").orderBy("window_start")
             .rowsBetween(Window.unboundedPreceding, 0))
     j = j.withColumn("_carry_in", F.last("close_price", ignorenulls=True).over(w_in))
 
-    block_last = (bars.groupBy(key, block.alias("_block"))
-                  .agg(F.max_by("close_price", "window_start").alias("_block_close")))
-    blocks = (grid.select(key, block.alias("_block")).distinct()
-              .join(block_last, [key, "_block"], "left"))
+    # every block of the key's span (blocks without bars too), then the close
+    # of the latest earlier block that had one
+    blocks = (span.select(key, F.explode(F.sequence(_floor_to(F.col("lo"), carry_unit),
+                                                    _floor_to(F.col("hi"), carry_unit),
+                                                    F.expr(f"INTERVAL {carry_unit}"))).alias("_block"))
+              .join(blk.select(key, "_block", "_block_close"), [key, "_block"], "left"))
     w_blk = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(key, "_block",
                            F.last("_block_close", ignorenulls=True).over(w_blk).alias("_carry_prev"))
