@@ -61,9 +61,28 @@ def _trigger(w, trigger: str | None, available_now: bool):
     return w.trigger(processingTime=trigger or TRIGGER_INTERVAL)
 
 
+def _start(df: DataFrame, w, state_partitions: int | None) -> StreamingQuery:
+    """Start a query with a chosen number of state partitions.
+
+    A stateful query keeps the shuffle partition count of its first start in
+    its checkpoint, and adaptive execution is off for streams, so the count
+    is chosen here: ``state_partitions`` or, by default, the cluster's
+    parallelism.  The session setting is restored once the query has
+    captured its own copy."""
+    spark = df.sparkSession
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, old)
+
+
 def start_append(df: DataFrame, path: str, checkpoint: str, partition_col: str | None = None,
                  trigger: str | None = None, available_now: bool = False,
-                 name: str | None = None) -> StreamingQuery:
+                 name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """W3 + W5: append-mode Parquet sink; a windowed aggregate emits each bar
     once, after the watermark has closed it."""
     w = df.writeStream.outputMode("append").format("parquet").option("path", path) \
@@ -72,7 +91,7 @@ def start_append(df: DataFrame, path: str, checkpoint: str, partition_col: str |
         w = w.partitionBy(partition_col)
     if name:
         w = w.queryName(name)
-    return _trigger(w, trigger, available_now).start()
+    return _start(df, _trigger(w, trigger, available_now), state_partitions)
 
 
 def upsert_batches(table: str, keys: Sequence[str], partition_col: str, version: str | None = None,
@@ -99,14 +118,15 @@ def upsert_batches(table: str, keys: Sequence[str], partition_col: str, version:
 
 def start_upsert(df: DataFrame, table: str, keys: Sequence[str], partition_col: str, checkpoint: str,
                  output_mode: str = "update", version: str | None = None, trigger: str | None = None,
-                 available_now: bool = False, name: str | None = None) -> StreamingQuery:
+                 available_now: bool = False, name: str | None = None,
+                 state_partitions: int | None = None) -> StreamingQuery:
     """W4 + W5: update (or append) mode into a keyed table via foreachBatch."""
     w = (df.writeStream.outputMode(output_mode)
          .foreachBatch(upsert_batches(table, keys, partition_col, version))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
-    return _trigger(w, trigger, available_now).start()
+    return _start(df, _trigger(w, trigger, available_now), state_partitions)
 
 
 def to_messages(trades: DataFrame, key: str = "symbol") -> DataFrame:
