@@ -39,11 +39,16 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER_COLS
               .select("_row.*"))
 
 
-def deduplicate_trades(df: DataFrame, legacy_key: bool = False) -> DataFrame:
+def deduplicate_trades(df: DataFrame, legacy_key: bool = False, keep: str = "first") -> DataFrame:
     """Trades deduplicated by (symbol, event_id), or by (symbol, timestamp)
-    with ``legacy_key=True`` (that key merges distinct trades in one ms)."""
+    with ``legacy_key=True`` (that key merges distinct trades in one ms).
+
+    The survivor is the first arrival (smallest ``processed_at``) when the
+    frame carries it, then the earliest by (event_time, event_id, price,
+    volume)."""
     keys = ("symbol", "timestamp") if legacy_key else TRADE_KEY
-    return dedupe(df, keys)
+    order = (("processed_at",) if "processed_at" in df.columns else ()) + ORDER_COLS
+    return dedupe(df, keys, order, keep)
 
 
 def distinct_buckets(df: DataFrame, cols: Sequence[str] = ("trade_year", "trade_month", "trade_day")
