@@ -34,15 +34,20 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
         raise
 
 
-def write_layout(df: DataFrame, partition_col: str, files_per_partition: int = 8,
+def write_layout(df: DataFrame, partition_col: str, n: int | None = None,
                  cluster: Sequence[Column | str] = ()) -> DataFrame:
-    """K4 + K5: spread each date partition over ``files_per_partition`` writer
-    tasks (hash of the whole key, so a hot symbol-day is split too), then sort
-    rows inside each file by the clustering order for row-group pruning."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c != partition_col]),
-                  F.lit(files_per_partition))
-    out = df.repartition(F.col(partition_col), salt)
-    return out.sortWithinPartitions(partition_col, *cluster) if cluster else out
+    """K4 + K5: range-partition the rows by (date, clustering columns) into
+    ``n`` writer tasks (default: the session's shuffle partitions) and sort
+    inside each task.
+
+    Each task then writes one contiguous slice of one or two date partitions:
+    files are sorted for row-group pruning, their count grows with ``n``
+    rather than with tasks x dates, and a date (or a symbol-date) holding a
+    large share of the rows is split over as many tasks as its size needs,
+    since the range bounds are sampled from the data."""
+    order = [F.col(partition_col)] + [F.col(c) if isinstance(c, str) else c for c in cluster]
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
 
 def _partition_filter(values: list, col: str) -> Column:
@@ -51,7 +56,7 @@ def _partition_filter(values: list, col: str) -> Column:
 
 def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
            partition_col: str, cluster: Sequence[Column | str] = (),
-           files_per_partition: int = 8, keep_staging: bool = False) -> dict:
+           writers: int | None = None, keep_staging: bool = False) -> dict:
     """K1 (+K2, K4, K5): replay-safe keyed upsert, last *version* wins.
 
     1. The touched partition values (one per day: bounded by the time span,
@@ -88,7 +93,7 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
               .agg(F.max_by(row, F.struct(F.col("_ver"), *tie)).alias("_r"))
               .select("_r.*"))
     staging = fresh_dir(spark, "staging")
-    (write_layout(merged, partition_col, files_per_partition, cluster)
+    (write_layout(merged, partition_col, writers, cluster or [k for k in keys if k != partition_col])
      .write.mode("overwrite").partitionBy(partition_col).parquet(staging))
     staged = spark.read.schema(df.schema).parquet(staging)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -91,7 +91,8 @@ def upsert_result(spark, sf_dir):
 
 def _write_dated(spark, df: DataFrame) -> str:
     path = fresh_dir(spark, "tables")
-    K.write_layout(df, "trade_date", 4).write.partitionBy("trade_date").parquet(path)
+    K.write_layout(df, "trade_date", cluster=["symbol", F.col("event_time").desc()]) \
+        .write.partitionBy("trade_date").parquet(path)
     return path
 
 
