@@ -74,3 +74,21 @@ def test_publish_round_trip(spark):
     J.publish(df, path=path)
     got = sorted((r.key, r.value) for r in spark.read.json(path).collect())
     assert got[0][0] == "A" and '"price":1.5' in got[0][1]
+
+
+def test_trades_and_bars_from_one_source(spark):
+    trades = trades_from_events(table(spark, SMALL, "events"))
+    rows = message_rows(trades)
+    again = rows.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 SECOND"))
+    src_path = fresh_dir(spark, "test-replay")
+    write_message_files(rows.unionByName(again), src_path, 4, files_per_slice=1)
+    tbl, bars_out_path = fresh_dir(spark, "test-table"), fresh_dir(spark, "test-sink")
+    qs = J.start_trades_and_bars(file_stream(spark, src_path), tbl, bars_out_path,
+                                 fresh_dir(spark, "test-ck"), every="1 hour", available_now=True)
+    for q in qs:
+        q.awaitTermination()
+        assert q.exception() is None
+    got = spark.read.parquet(tbl)
+    assert got.count() == trades.count()
+    assert got.select("event_id").distinct().count() == trades.count()
+    assert spark.read.parquet(bars_out_path).count() > 0

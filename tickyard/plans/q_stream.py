@@ -101,3 +101,23 @@ def publish_messages(spark, sf_dir):
     body = F.from_json("value", "event_id STRING, symbol STRING, price DOUBLE, volume DOUBLE, "
                                 "timestamp BIGINT")
     return msgs.select("key", body.alias("m")).select("key", "m.*")
+
+
+@register("stream_trades_table", f"""
+WITH t AS ({_SQL_STREAM_TRADES})
+SELECT event_id, symbol, price, volume, "timestamp", strftime(event_time, '%Y-%m-%d') AS trade_date,
+       CAST(hour(event_time) AS INTEGER) AS trade_hour, strftime(event_time, '%Y%m%d') AS date_bucket,
+       CASE WHEN volume > 1000 THEN 'high_volume' ELSE 'normal_volume' END AS price_change_indicator
+FROM t""")
+def stream_trades_table(spark, sf_dir):
+    """W6 + K1 in foreachBatch: the ingest job's two queries over one replayed
+    source; the raw trade table ends with every trade once."""
+    src = replay_stream(spark, sf_dir)
+    tbl, bars_path, ck = fresh_dir(spark, "tables"), fresh_dir(spark, "sink"), fresh_dir(spark, "checkpoints")
+    for q in J.start_trades_and_bars(src, tbl, bars_path, ck, every="1 hour", delay=DELAY,
+                                     available_now=True):
+        _run(q)
+    t = spark.read.parquet(tbl)
+    return t.select("event_id", "symbol", "price", "volume", "timestamp",
+                    F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"), "trade_hour",
+                    "date_bucket", "price_change_indicator")

@@ -129,6 +129,34 @@ def start_upsert(df: DataFrame, table: str, keys: Sequence[str], partition_col:
     return _start(df, _trigger(w, trigger, available_now), state_partitions)
 
 
+TRADE_TABLE_COLUMNS = ["trade_date", "symbol", "event_id", "event_time", "timestamp", "price", "volume",
+                       "conditions", "processed_at", "kafka_timestamp", "spark_processed_at",
+                       "price_change_indicator", "trade_hour", "date_bucket"]
+
+
+def start_trades_and_bars(rows: DataFrame, trades_table: str, bars_path: str, checkpoint_root: str,
+                          every: str = BAR_WINDOW, delay: str = WATERMARK_DELAY,
+                          trigger: str | None = None, available_now: bool = False,
+                          state_partitions: int | None = None) -> list[StreamingQuery]:
+    """The two queries of the ingest job over one source.
+
+    1. deduplicated raw trades -> keyed upsert into the trade table
+       (key: day, symbol, event id; version: ingest time), one checkpoint;
+    2. bars of the same deduplicated stream -> append sink, its own checkpoint.
+    Wait on them with ``await_any``.
+    """
+    trades = trades_stream(rows, delay)
+    cols = [c for c in TRADE_TABLE_COLUMNS if c in trades.columns]
+    q1 = start_upsert(trades.select(*cols), trades_table, ("trade_date", "symbol", "event_id"),
+                      "trade_date", f"{checkpoint_root}/trades", output_mode="append",
+                      version="processed_at", trigger=trigger, available_now=available_now,
+                      state_partitions=state_partitions)
+    q2 = start_append(bars_stream(trades, every), bars_path, f"{checkpoint_root}/aggregates",
+                      partition_col="trade_date", trigger=trigger, available_now=available_now,
+                      state_partitions=state_partitions)
+    return [q1, q2]
+
+
 def to_messages(trades: DataFrame, key: str = "symbol") -> DataFrame:
     """K3: main-topic records keyed by symbol with a JSON value."""
     cols = [c for c in trades.columns if not c.startswith("_")]
