@@ -48,6 +48,8 @@ CASES = [
     ("timestamp ISO naive", msg(timestamp="2024-01-30T12:00:00"), []),
     ("timestamp ISO offset", msg(timestamp="2024-01-30T12:00:00+02:00"), []),
     ("timestamp digits", msg(timestamp=str(NOW_MS)), []),
+    ("timestamp huge number", msg(timestamp=1e30), ["timestamp_out_of_range"]),
+    ("timestamp huge digits", msg(timestamp="9" * 30), ["timestamp_out_of_range"]),
     ("timestamp float", msg(timestamp=NOW_MS - 0.5), []),
     ("timestamp 25h old", msg(timestamp=NOW_MS - 25 * H), ["timestamp_out_of_range"]),
     ("timestamp 6min ahead", msg(timestamp=NOW_MS + 6 * 60 * 1000), ["timestamp_out_of_range"]),
@@ -82,8 +84,9 @@ def test_normalized_values(validated):
     r = validated[1].norm
     assert (r.symbol, r.price, r.volume, r.timestamp) == ("AAPL", 150.5, 10.0, NOW_MS - H)
     assert validated[11].norm.price == 1000.0
-    assert validated[21].norm.timestamp == NOW_MS - 12 * H - 2 * H
-    assert validated[23].norm.timestamp == NOW_MS - 1
+    by_name = {c[0]: validated[i] for i, c in enumerate(CASES)}
+    assert by_name["timestamp ISO offset"].norm.timestamp == NOW_MS - 12 * H - 2 * H
+    assert by_name["timestamp float"].norm.timestamp == NOW_MS - 1
 
 
 def test_strict_mode_rejects_zero_volume(spark):

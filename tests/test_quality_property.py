@@ -84,10 +84,11 @@ number_like = st.one_of(
     st.builds(lambda a, t, b: a + t + b, ws, num_text, ws),
     st.just([1]), st.just({}))
 in_range = st.integers(LO - 3_600_000, HI + 3_600_000)
+huge = st.sampled_from([10**30, 1e30, "9" * 25, -10**25])
 iso = st.builds(lambda ms, fmt: dt.datetime.fromtimestamp(ms / 1000, tz=dt.timezone.utc).strftime(fmt),
                 in_range, st.sampled_from(["%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%SZ",
                                            "%Y-%m-%dT%H:%M:%S+00:00", "%Y-%m-%d"]))
-timestamps = st.one_of(in_range, in_range.map(str), in_range.map(lambda v: v + 0.5), iso,
+timestamps = st.one_of(in_range, in_range.map(str), in_range.map(lambda v: v + 0.5), iso, huge,
                        st.sampled_from(["x", "", " ", "yesterday"]), st.none(), st.just([1]),
                        st.booleans())
 symbols = st.one_of(st.text(alphabet="ABCXYZ019.-:/ ab\n", min_size=0, max_size=35),

@@ -3,7 +3,7 @@
 ``validate`` parses each raw JSON message once into a VARIANT and evaluates
 every rule as a column expression; the result carries ``errors
 ARRAY<STRING>`` (empty = valid) and the normalized typed fields.  No UDF, no
-shuffle: the pass is a single projection that stays in whole-stage codegen.
+shuffle: a few projections over each row, nothing else.
 """
 
 from __future__ import annotations
@@ -58,12 +58,15 @@ def _as_epoch_ms(fv: Column, kind: Column, text: Column) -> tuple[Column, Column
     other text is parsed as ISO-8601 (naive = UTC); arrays/objects are the
     wrong type.
     """
+    digits = (kind == "STRING") & text.rlike(r"^[0-9]+\z")
     ms = (F.when(kind.isin(*_INT_KINDS), F.try_variant_get(fv, "$", "bigint"))
-          .when(_numeric(kind), F.try_variant_get(fv, "$", "double").cast("bigint"))
+          .when(_numeric(kind), F.try_variant_get(fv, "$", "double").try_cast("bigint"))
           .when(kind == "BOOLEAN", F.when(text == "true", F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
-          .when((kind == "STRING") & text.rlike(r"^[0-9]+\z"), text.try_cast("bigint"))
+          .when(digits, text.try_cast("bigint"))
           .when(kind == "STRING", F.unix_millis(F.try_to_timestamp(text))))
-    err = (F.when(_numeric(kind) | (kind == "BOOLEAN"), F.lit(None).cast("string"))
+    # a number too large for 64-bit ms is a valid number far out of range
+    err = (F.when(_numeric(kind) | (kind == "BOOLEAN") | digits,
+                  F.when(ms.isNull(), F.lit("timestamp_out_of_range")))
            .when(kind == "STRING", F.when(ms.isNull(), F.lit("timestamp_parse_failed")))
            .otherwise(F.lit("timestamp_invalid_type")))
     return ms, err
