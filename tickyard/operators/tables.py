@@ -79,21 +79,16 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
     touched = [r[0] for r in incoming.select(partition_col).distinct().collect()]
     if not touched:  # K2: nothing to do for an empty batch (no extra job)
         return {"partitions": 0, "written": False}
+    order = cluster or [k for k in keys if k != partition_col]
     current = read_table(spark, path, df.schema)
-    if current is not None:
-        old = (current.filter(_partition_filter(touched, partition_col))
-               .withColumn("_ver", ver))
-        incoming = old.unionByName(incoming)
-    cols = df.columns
-    row = F.struct(*[F.col(c) for c in cols])
-    # Ties on the version are broken by the row's orderable columns so the
-    # survivor never depends on shuffle order.
-    tie = [F.col(f.name) for f in df.schema.fields if f.dataType.typeName() != "map"]
-    merged = (incoming.groupBy(*keys)
-              .agg(F.max_by(row, F.struct(F.col("_ver"), *tie)).alias("_r"))
-              .select("_r.*"))
+    if current is None:  # new table: nothing to merge with, no staging copy needed
+        (write_layout(_latest_per_key(incoming, df, keys), partition_col, writers, order)
+         .write.mode("overwrite").partitionBy(partition_col).parquet(path))
+        return {"partitions": len(touched), "written": True, "staging": None}
+    old = current.filter(_partition_filter(touched, partition_col)).withColumn("_ver", ver)
+    merged = _latest_per_key(old.unionByName(incoming), df, keys)
     staging = fresh_dir(spark, "staging")
-    (write_layout(merged, partition_col, writers, cluster or [k for k in keys if k != partition_col])
+    (write_layout(merged, partition_col, writers, order)
      .write.mode("overwrite").partitionBy(partition_col).parquet(staging))
     staged = spark.read.schema(df.schema).parquet(staging)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -122,6 +117,16 @@ def backfill_from_files(spark: SparkSession, source: str, target: str, start, en
     return upsert(rows, target, keys, version, partition_col)
 
 
+def _latest_per_key(rows: DataFrame, like: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the highest ``_ver``; ties broken by the row's
+    orderable columns so the survivor never depends on shuffle order."""
+    row = F.struct(*[F.col(c) for c in like.columns])
+    tie = [F.col(f.name) for f in like.schema.fields if f.dataType.typeName() != "map"]
+    return (rows.groupBy(*keys)
+            .agg(F.max_by(row, F.struct(F.col("_ver"), *tie)).alias("_r"))
+            .select("_r.*"))
+
+
 def scan_range(spark: SparkSession, path: str, start, end, partition_col: str = "trade_date",
                schema: StructType | None = None) -> DataFrame:
     """Table rows whose date partition lies in [start, end] (inclusive
