@@ -67,3 +67,17 @@ def test_dedupe_hot_key_defined_survivor(spark):
     assert len(r) == 1
     assert r[0].event_time == base.agg(F.min("event_time")).first()[0]
     assert r[0].price == 0.0
+
+
+def test_interrupted_swap_is_finished_by_recover(spark):
+    path = fresh_dir(spark, "test-tables")
+    a = _df(spark, [(D1, "A", "1", 1.0, 1), (D2, "A", "2", 2.0, 1)])
+    K.upsert(a, path, KEYS, "version", "trade_date")
+    # a staged merge and its marker as they are just before the swap
+    b = _df(spark, [(D2, "A", "2", 20.0, 2), (D2, "A", "9", 9.0, 2)])
+    staging = fresh_dir(spark, "test-staging")
+    b.write.partitionBy("trade_date").parquet(staging)
+    K._write_text(spark, f"{path}/{K.PENDING_SWAP}", staging)
+    assert K.recover(spark, path, b.schema, "trade_date") is True
+    assert _content(spark, path) == [(D1, "A", "1", 1.0, 1), (D2, "A", "2", 20.0, 2), (D2, "A", "9", 9.0, 2)]
+    assert K.recover(spark, path, b.schema, "trade_date") is False

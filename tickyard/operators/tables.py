@@ -80,6 +80,7 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
     if not touched:  # K2: nothing to do for an empty batch (no extra job)
         return {"partitions": 0, "written": False}
     order = cluster or [k for k in keys if k != partition_col]
+    recover(spark, path, df.schema, partition_col)  # finish a swap a crash interrupted
     current = read_table(spark, path, df.schema)
     if current is None:  # new table: nothing to merge with, no staging copy needed
         (write_layout(_latest_per_key(incoming, df, keys), partition_col, writers, order)
@@ -90,19 +91,70 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
     staging = fresh_dir(spark, "staging")
     (write_layout(merged, partition_col, writers, order)
      .write.mode("overwrite").partitionBy(partition_col).parquet(staging))
-    staged = spark.read.schema(df.schema).parquet(staging)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    _write_text(spark, f"{path.rstrip('/')}/{PENDING_SWAP}", staging)
+    _swap_in(spark, staging, path, df.schema, partition_col)
+    _delete(spark, f"{path.rstrip('/')}/{PENDING_SWAP}")
     if not keep_staging:  # the swap is committed; the staged copy is no longer needed
         _delete(spark, staging)
     return {"partitions": len(touched), "written": True, "staging": staging}
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    """Recursive delete through the cluster file system (HDFS, object store, local)."""
+# Marker in the table folder naming the staged merge being swapped in.  Files
+# starting with '_' are ignored by Spark's readers.
+PENDING_SWAP = "_pending_swap"
+
+
+def _swap_in(spark: SparkSession, staging: str, path: str, schema: StructType, partition_col: str) -> None:
+    staged = spark.read.schema(schema).parquet(staging)
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
+
+
+def recover(spark: SparkSession, path: str, schema: StructType, partition_col: str) -> bool:
+    """Finish an upsert whose partition swap was interrupted (driver crash
+    during the overwrite commit).  The staged merge is complete before the
+    marker is written, so re-running the swap from it is safe and
+    idempotent.  Returns True when a swap was finished."""
+    marker = f"{path.rstrip('/')}/{PENDING_SWAP}"
+    staging = _read_text(spark, marker)
+    if not staging:
+        return False
+    _swap_in(spark, staging, path, schema, partition_col)
+    _delete(spark, marker)
+    _delete(spark, staging)
+    return True
+
+
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    p, fs = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    inp = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(inp, "UTF-8")
+    finally:
+        inp.close()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Recursive delete through the cluster file system (HDFS, object store, local)."""
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def backfill_from_files(spark: SparkSession, source: str, target: str, start, end,
