@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.columns import add_trade_date_hour, date_bucket, volume_class
+from ..functions.columns import (add_partitioning_columns, add_trade_date_hour, date_bucket,
+                                 volume_class, with_trade_time)
 from ..functions.parse import fill_event_id, parse_messages
 from ..operators.bars import ohlcv_aggs, window_bounds
 from ..operators.tables import upsert
@@ -43,16 +44,18 @@ def trades_stream(rows: DataFrame, delay: str = WATERMARK_DELAY, granularity: st
 
 
 def bars_stream(trades: DataFrame, every: str = BAR_WINDOW, delay: str | None = None) -> DataFrame:
-    """Windowed OHLCV bars on a stream (W1, W2, B2).  Pass ``delay`` when the
-    input has no watermark yet."""
+    """Windowed OHLCV bars on a stream (W1, W2, B2) in the bar-table shape:
+    bar columns, ``trade_time`` next to ``window_start`` (P13), the
+    year/month/day/hour bucket columns (P9) and ``trade_date`` for the table
+    partition.  Pass ``delay`` when the input has no watermark yet."""
     t = trades.withWatermark("event_time", delay) if delay else trades
-    return (t.groupBy(F.window("event_time", every).alias("window"), "symbol")
+    bars = (t.groupBy(F.window("event_time", every).alias("window"), "symbol")
             .agg(*ohlcv_aggs())
             .select("symbol", *window_bounds(), "total_volume", "avg_price", "high_price",
                     "low_price", "open_price", "close_price", "trade_count",
-                    "price_volatility", "vwap")
-            .withColumn("trade_time", F.col("window_start"))
-            .withColumn("trade_date", F.to_date("window_start")))
+                    "price_volatility", "vwap"))
+    bars = add_partitioning_columns(with_trade_time(bars), "window_start")
+    return bars.withColumn("trade_date", F.to_date("window_start"))
 
 
 def _trigger(w, trigger: str | None, available_now: bool):
