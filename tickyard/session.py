@@ -74,12 +74,13 @@ def fresh_dir(spark: SparkSession, kind: str) -> str:
 
 
 def spread(df, min_partitions: int | None = None):
-    """Round-robin a batch frame over the cluster when it arrives in fewer
-    partitions than there are cores (one big non-splittable file, a single
-    row group).  A no-op for normally split inputs and for streams, so it
-    costs nothing at scale; before heavy per-row work it keeps every core
-    busy instead of one."""
+    """Round-robin a batch frame over the cluster when it arrives badly
+    under-split: fewer partitions than a quarter of the cores (one big
+    non-splittable file, a single row group).  A no-op for normally split
+    inputs and for streams, so a large input is never reshuffled just to gain
+    a little parallelism; before heavy per-row work it keeps every core busy
+    instead of one."""
     if df.isStreaming:
         return df
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    return df.repartition(want) if df.rdd.getNumPartitions() * 4 <= want else df
