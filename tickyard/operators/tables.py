@@ -37,8 +37,10 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 def write_layout(df: DataFrame, partition_col: str, n: int | None = None,
                  cluster: Sequence[Column | str] = ()) -> DataFrame:
     """K4 + K5: range-partition the rows by (date, clustering columns) into
-    ``n`` writer tasks (default: the session's shuffle partitions) and sort
-    inside each task.
+    writer tasks and sort inside each task.  Without ``n`` the task count is
+    left to adaptive execution, which sizes the range partitions to its
+    advisory size (files of ~64 MB by default), so small batches do not
+    explode into many small files and large ones get as many as they need.
 
     Each task then writes one contiguous slice of one or two date partitions:
     files are sorted for row-group pruning, their count grows with ``n``
@@ -46,8 +48,8 @@ def write_layout(df: DataFrame, partition_col: str, n: int | None = None,
     large share of the rows is split over as many tasks as its size needs,
     since the range bounds are sampled from the data."""
     order = [F.col(partition_col)] + [F.col(c) if isinstance(c, str) else c for c in cluster]
-    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(n, *order) if n else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
 
 
 def _partition_filter(values: list, col: str) -> Column:
