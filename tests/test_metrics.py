@@ -1,7 +1,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
 
 from tickyard.operators import metrics as M
 

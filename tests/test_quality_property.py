@@ -3,7 +3,6 @@ the same rules on generated messages (brute force on a small fixture)."""
 
 import datetime as dt
 import json
-import math
 import re
 
 from hypothesis import HealthCheck, given, settings, strategies as st

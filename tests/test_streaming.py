@@ -1,6 +1,5 @@
 """Streaming: bounded replays through the file source."""
 
-import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
