@@ -81,3 +81,10 @@ def test_interrupted_swap_is_finished_by_recover(spark):
     assert K.recover(spark, path, b.schema, "trade_date") is True
     assert _content(spark, path) == [(D1, "A", "1", 1.0, 1), (D2, "A", "2", 20.0, 2), (D2, "A", "9", 9.0, 2)]
     assert K.recover(spark, path, b.schema, "trade_date") is False
+
+
+def test_upsert_reports_rows_without_extra_job(spark):
+    path = fresh_dir(spark, "test-tables")
+    out = K.upsert(_df(spark, [(D1, "A", "1", 1.0, 1), (D1, "A", "2", 1.0, 1)]), path, KEYS, "version",
+                   "trade_date")
+    assert out["rows"] == 2 and out["partitions"] == 1

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
@@ -78,16 +78,20 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
         raise ValueError("the key must contain the partition column")
     ver = F.col(version) if isinstance(version, str) else version
     incoming = df.withColumn("_ver", ver)
-    touched = [r[0] for r in incoming.select(partition_col).distinct().collect()]
+    # The input row count rides on the job that finds the touched days
+    obs = Observation("upsert_input")
+    counted = incoming.select(partition_col).observe(obs, F.count(F.lit(1)).alias("rows"))
+    touched = [r[0] for r in counted.distinct().collect()]
+    rows = obs.get.get("rows", 0)
     if not touched:  # K2: nothing to do for an empty batch (no extra job)
-        return {"partitions": 0, "written": False}
+        return {"partitions": 0, "rows": rows, "written": False}
     order = cluster or [k for k in keys if k != partition_col]
     recover(spark, path, df.schema, partition_col)  # finish a swap a crash interrupted
     current = read_table(spark, path, df.schema)
     if current is None:  # new table: nothing to merge with, no staging copy needed
         (write_layout(_latest_per_key(incoming, df, keys), partition_col, writers, order)
          .write.mode("overwrite").partitionBy(partition_col).parquet(path))
-        return {"partitions": len(touched), "written": True, "staging": None}
+        return {"partitions": len(touched), "rows": rows, "written": True, "staging": None}
     old = current.filter(_partition_filter(touched, partition_col)).withColumn("_ver", ver)
     merged = _latest_per_key(old.unionByName(incoming), df, keys)
     staging = fresh_dir(spark, "staging")
@@ -98,7 +102,7 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
     _delete(spark, f"{path.rstrip('/')}/{PENDING_SWAP}")
     if not keep_staging:  # the swap is committed; the staged copy is no longer needed
         _delete(spark, staging)
-    return {"partitions": len(touched), "written": True, "staging": staging}
+    return {"partitions": len(touched), "rows": rows, "written": True, "staging": staging}
 
 
 # Marker in the table folder naming the staged merge being swapped in.  Files
