@@ -57,17 +57,35 @@ def work_root(spark: SparkSession) -> str:
     chosen and registered, so that ``DataFrame.checkpoint()`` works too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         import tempfile
         root = os.path.join(tempfile.gettempdir(), "tickyard-checkpoints")
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
+    elif sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a remote (Connect) one."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no context
+        return None
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Cores of the cluster (default parallelism); shuffle partitions remotely."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def fresh_dir(spark: SparkSession, kind: str) -> str:
     """A new, unique path below the shared work folder."""
     return f"{work_root(spark)}/tickyard/{kind}/{uuid.uuid4().hex}"
@@ -80,7 +98,7 @@ def spread(df, min_partitions: int | None = None):
     inputs and for streams, so a large input is never reshuffled just to gain
     a little parallelism; before heavy per-row work it keeps every core busy
     instead of one."""
-    if df.isStreaming:
+    if df.isStreaming or _context(df.sparkSession) is None:
         return df
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    want = min_partitions or parallelism(df.sparkSession)
     return df.repartition(want) if df.rdd.getNumPartitions() * 4 <= want else df

@@ -17,6 +17,7 @@ from ..functions.columns import (add_partitioning_columns, add_trade_date_hour,
 from ..functions.parse import fill_event_id, parse_messages
 from ..operators.bars import ohlcv_aggs, window_bounds
 from ..operators.tables import upsert
+from ..session import parallelism
 
 # Job defaults kept from the original pipeline (fixed values).
 WATERMARK_DELAY = "5 minutes"
@@ -73,7 +74,7 @@ def _start(df: DataFrame, w, state_partitions: int | None) -> StreamingQuery:
     parallelism.  The session setting is restored once the query has
     captured its own copy."""
     spark = df.sparkSession
-    n = state_partitions or spark.sparkContext.defaultParallelism
+    n = state_partitions or parallelism(spark)
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
     spark.conf.set(key, str(n))
