@@ -70,3 +70,32 @@ def flatten_envelopes(env: DataFrame, value_col: str = "value",
                     F.col("d.t").alias("timestamp"), F.col("d.v").alias("volume"),
                     F.coalesce(F.col("d.c"), F.array().cast("array<string>")).alias("conditions"),
                     stamp.alias("processed_at")))
+
+
+# Feed tick field -> message field (fixed values).
+TICK_FIELDS = {"s": "symbol", "p": "price", "v": "volume", "t": "timestamp", "c": "conditions"}
+
+
+def envelope_messages(env: DataFrame, value_col: str = "value",
+                      processed_at: Column | None = None) -> DataFrame:
+    """S4 for the validator: feed envelopes (JSON text) -> one raw JSON trade
+    message per tick, with the tick values exactly as sent (a price sent as
+    "150.5" stays text, a null stays null, an absent field stays absent), so
+    ``quality.validate`` judges what the feed sent.  ``conditions`` defaults
+    to [] and ``processed_at`` (epoch ms, default: now) is stamped.
+
+    Output: ``key`` (the tick's symbol as text) and ``value`` (the message).
+    """
+    v = F.try_parse_json(F.col(value_col).cast("string"))
+    ticks = (env.select(v.alias("_e"))
+             .filter(F.try_variant_get("_e", "$.type", "string") == "trade")
+             .select(F.explode(F.try_variant_get("_e", "$.data", "array<variant>")).alias("_d")))
+    stamp = F.unix_millis(F.current_timestamp()) if processed_at is None else processed_at
+    fields = []
+    for src, dst in TICK_FIELDS.items():
+        f = F.try_variant_get("_d", f"$.{src}", "variant")
+        if dst == "conditions":
+            f = F.coalesce(f, F.parse_json(F.lit("[]")))
+        fields.append(f.alias(dst))
+    return ticks.select(F.try_variant_get("_d", "$.s", "string").alias("key"),
+                        F.to_json(F.struct(*fields, stamp.alias("processed_at"))).alias("value"))

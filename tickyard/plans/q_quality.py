@@ -127,3 +127,26 @@ def message_counts(spark, sf_dir):
     c = mc(_validated(spark, sf_dir), "1 hour")
     return c.select(F.unix_millis("window_start").alias("window_start"), "n_received", "n_sent",
                     "n_rejected")
+
+
+@register("route_envelopes", f"""
+WITH t AS ({SQL_EV_TRADES})
+SELECT upper(symbol) AS "key", "timestamp",
+       concat_ws(';',
+         CASE WHEN isnan(price) OR NOT price > 0 THEN 'price_not_positive' END,
+         CASE WHEN volume < 0 THEN 'volume_negative' END,
+         CASE WHEN "timestamp" < CAST(epoch_ms(TIMESTAMP '{AS_OF}') AS BIGINT) - 86400000
+                OR "timestamp" > CAST(epoch_ms(TIMESTAMP '{AS_OF}') AS BIGINT) + 300000
+              THEN 'timestamp_out_of_range' END) AS errors
+FROM t""")
+def route_envelopes(spark, sf_dir):
+    """S4 + D1-D9 as the feed handler runs them: envelopes -> per-tick raw
+    messages -> rule pass (only the last day before as_of is in range)."""
+    from ..functions.parse import envelope_messages
+    from ..sources.adapters import envelopes, trades_from_events
+    t = trades_from_events(table(spark, sf_dir, "events")).withColumn("symbol", F.upper("symbol"))
+    env = envelopes(t).select(F.to_json(F.struct("type", "data")).alias("value"))
+    msgs = envelope_messages(env, processed_at=F.lit(0).cast("bigint"))
+    v = Q.validate(msgs, as_of=AS_OF)
+    return v.select("key", F.col("norm.timestamp").alias("timestamp"),
+                    F.array_join("errors", ";").alias("errors"))
