@@ -42,3 +42,18 @@ def test_symbol_day_read_pushes_filters(spark):
     t = trades_from_events(table(spark, SMALL, "events"))
     plan = _plan(R.recent_trades(t, "click", "2024-01-15", 0, 10))
     assert "EqualTo(event_type,click)" in plan and "GreaterThanOrEqual(ts," in plan
+
+
+def test_bar_reads_prune_date_partitions(spark):
+    from pyspark.sql import functions as F
+    from tickyard.session import fresh_dir
+    bars = B.ohlcv_bars(trades_from_events(table(spark, SMALL, "events")), "1 hour") \
+        .withColumn("trade_date", F.to_date("window_start"))
+    path = fresh_dir(spark, "test-bars")
+    bars.write.partitionBy("trade_date").parquet(path)
+    t = spark.read.parquet(path)
+    for df in (R.top_volume(t, "2024-01-31 00:00:00", hours=24),
+               R.price_trend(t, ["click"], since="2024-01-29 00:00:00"),
+               R.bars_range(t, "view", "2024-01-10 00:00:00", "2024-01-12 23:00:00")):
+        plan = _plan(df)
+        assert "PartitionFilters: [isnotnull(trade_date" in plan and "trade_date#" in plan.split("PartitionFilters")[1][:200]

@@ -66,19 +66,28 @@ def top_n_latest(trades: DataFrame, symbols: Sequence[str], n: int = 3) -> DataF
             .orderBy(F.col("event_time").desc(), F.col("event_id").desc()).limit(n))
 
 
-def price_trend(bars: DataFrame, symbols: Sequence[str], n: int = 100) -> DataFrame:
-    """Q4: newest ``n`` (window_start, avg_price, symbol) bars of the symbols."""
-    return (bars.filter(F.col("symbol").isin(list(symbols)))
-            .select("window_start", "avg_price", "symbol")
+def price_trend(bars: DataFrame, symbols: Sequence[str], n: int = 100, since=None,
+                day_col: str = "trade_date") -> DataFrame:
+    """Q4: newest ``n`` (window_start, avg_price, symbol) bars of the symbols.
+
+    ``since`` bounds the scan (and, on a date-partitioned table, the
+    partitions read) when the dashboard only shows a recent range."""
+    b = bars.filter(F.col("symbol").isin(list(symbols)))
+    if since is not None:
+        lo = _ts(since)
+        b = _with_day(b.filter(F.col("window_start") >= lo), day_col, lo, None)
+    return (b.select("window_start", "avg_price", "symbol")
             .orderBy(F.col("window_start").desc(), F.col("symbol")).limit(n))
 
 
-def top_volume(bars: DataFrame, as_of, hours: int = 1, n: int = 10) -> DataFrame:
+def top_volume(bars: DataFrame, as_of, hours: int = 1, n: int = 10, day_col: str = "trade_date"
+               ) -> DataFrame:
     """Q5: symbols with the largest traded volume in the last ``hours`` before
     ``as_of`` (partial aggregate, then a top-n of the small result)."""
     hi = _ts(as_of)
     lo = hi - F.make_interval(hours=F.lit(hours))
-    b = bars.filter((F.col("window_start") > lo) & (F.col("window_start") <= hi))
+    b = _with_day(bars.filter((F.col("window_start") > lo) & (F.col("window_start") <= hi)),
+                  day_col, lo, hi)
     return (b.groupBy("symbol").agg(F.sum("total_volume").alias("total_volume"),
                                     F.sum("trade_count").alias("trade_count"))
             .orderBy(F.col("total_volume").desc(), F.col("symbol")).limit(n))
