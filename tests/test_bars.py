@@ -63,3 +63,18 @@ def test_observe_counts_without_extra_job(spark):
     df, obs = B.row_count(spark.range(123))
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 123
+
+
+def test_rollup_variance_is_stable_at_large_prices(spark):
+    import random
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(str(i), "BTC", 1_000_000.0 + rnd.random() * 1e-3, 1.0, base + dt.timedelta(minutes=7 * i))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "event_id string, symbol string, price double, volume double, "
+                                     "event_time timestamp")
+    direct = {r.window_start: r.price_volatility for r in B.ohlcv_bars(df, "1 day").collect()}
+    rolled = {r.window_start: r.price_volatility for r in B.rollup_bars(B.ohlcv_bars(df, "1 hour"), "1 day").collect()}
+    assert direct.keys() == rolled.keys()
+    for k in direct:
+        assert abs(direct[k] - rolled[k]) <= 1e-9 * max(direct[k], 1e-12) * 1e3

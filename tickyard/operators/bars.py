@@ -20,7 +20,7 @@ Two tie-break orders are offered:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import spread
 
@@ -116,18 +116,23 @@ def rollup_bars(bars: DataFrame, every: str = "1 day") -> DataFrame:
 
     Open = open of the earliest fine bar, close = close of the latest, high/low
     = max/min, volume and count add up, average price is count-weighted, VWAP is
-    volume-weighted, and the sample variance is pooled exactly from each bar's
-    (n, mean, variance): sum of squares = (n-1)*var + n*mean^2.
+    volume-weighted.  The sample variance is pooled exactly and stably (the
+    parallel-variance combination): M2 = sum(M2_i) + sum(n_i (mean_i - mean)^2)
+    with M2_i = (n_i - 1) var_i, where ``mean`` comes from a window over the
+    fine bars of the same coarse bar (a bounded partition: e.g. 24 hourly bars
+    per day), so no difference of large sums of squares is ever taken.
     """
     n = F.col("trade_count")
-    sq = F.coalesce(F.col("price_volatility") ** 2 * (n - 1), F.lit(0.0)) + n * F.col("avg_price") ** 2
+    g = bars.withColumn("_g", F.window("window_start", every))
+    w = Window.partitionBy("symbol", "_g")
+    g = g.withColumn("_mean", F.sum(n * F.col("avg_price")).over(w) / F.sum(n).over(w))
+    m2 = F.coalesce(F.col("price_volatility") ** 2 * (n - 1), F.lit(0.0)) \
+        + n * (F.col("avg_price") - F.col("_mean")) ** 2
     tot_n = F.sum(n)
-    tot_mean = F.sum(n * F.col("avg_price")) / tot_n
-    var = F.when(tot_n > 1, (F.sum(sq) - tot_n * tot_mean * tot_mean) / (tot_n - 1))
-    return (bars
-            .groupBy(F.window("window_start", every).alias("window"), "symbol")
+    var = F.when(tot_n > 1, F.sum(m2) / (tot_n - 1))
+    return (g.groupBy(F.col("_g").alias("window"), "symbol")
             .agg(F.sum("total_volume").alias("total_volume"),
-                 tot_mean.alias("avg_price"),
+                 F.first("_mean").alias("avg_price"),
                  F.max("high_price").alias("high_price"),
                  F.min("low_price").alias("low_price"),
                  F.min_by("open_price", "window_start").alias("open_price"),
