@@ -121,3 +121,14 @@ def test_outlier_filter_keeps_inside(spark):
     assert 1000.0 not in kept and len(kept) == 9
     one = spark.createDataFrame([(5.0,)], "price double")
     assert Q.filter_outliers(one).count() == 1
+
+
+def test_write_routed_splits_once(spark):
+    from tickyard.session import fresh_dir
+    df = spark.createDataFrame([(c[1],) for c in CASES], "value string")
+    main, dlq = fresh_dir(spark, "test-main"), fresh_dir(spark, "test-dlq")
+    out = Q.write_routed(Q.validate(df, as_of=AS_OF), main, dlq)
+    n_bad = sum(1 for c in CASES if c[2])
+    assert out == {"main": len(CASES) - n_bad, "dlq": n_bad}
+    assert spark.read.parquet(main).count() == len(CASES) - n_bad
+    assert spark.read.parquet(dlq).filter("error_reasons <> ''").count() == n_bad

@@ -233,6 +233,26 @@ def dlq_records(invalid: DataFrame, source_topic: str = "market", value_col: str
     )
 
 
+def write_routed(validated: DataFrame, main_path: str, dlq_path: str, source_topic: str = "market",
+                 fmt: str = "parquet") -> dict:
+    """Valid rows to the main sink, rejected rows to the dead-letter sink,
+    from one evaluation of the rule pass (persisted for the two writes, with
+    disk spill; released afterwards).  Returns the two row counts, taken as
+    side effects of the writes."""
+    from pyspark import StorageLevel
+    from pyspark.sql import Observation
+    v = validated.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ok, bad = Observation("routed_main"), Observation("routed_dlq")
+        (valid_trades(v).observe(ok, F.count(F.lit(1)).alias("n"))
+         .write.mode("append").format(fmt).save(main_path))
+        (dlq_records(invalid_rows(v), source_topic=source_topic).observe(bad, F.count(F.lit(1)).alias("n"))
+         .write.mode("append").format(fmt).save(dlq_path))
+        return {"main": ok.get["n"], "dlq": bad.get["n"]}
+    finally:
+        v.unpersist()
+
+
 def rejection_counts(validated: DataFrame) -> DataFrame:
     """Errors per reason (a message with two errors adds one to each).
 
