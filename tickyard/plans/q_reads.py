@@ -206,3 +206,10 @@ def gap_fill(spark, sf_dir):
 def frame_profile(spark, sf_dir):
     """M7 + B5: rows and columns of the trade frame."""
     return M.frame_profile(ev_trades(spark, sf_dir))
+
+
+@register("frame_partitions")
+def frame_partitions(spark, sf_dir):
+    """M7: rows per physical partition of the trade frame (a layout check; the
+    partition ids depend on the scan split, so there is no SQL twin)."""
+    return M.partition_sizes(ev_trades(spark, sf_dir))
