@@ -102,3 +102,16 @@ def test_envelope_messages_keep_raw_types(spark):
                          "conditions": [], "processed_at": 7}
     assert got[1][1]["volume"] is None and got[1][1]["conditions"] == ["1"]
     assert "volume" not in got[2][1]
+
+
+def test_trade_table_shapes(spark):
+    from tickyard.sources.adapters import trades_from_events
+    from tickyard.sources.tables import table
+    from conftest import SMALL
+    t = trades_from_events(table(spark, SMALL, "events"))
+    v2 = C.to_trade_table(t, "v2")
+    assert v2.columns == C.TRADE_TABLE_V2
+    r = v2.orderBy("timestamp").first()
+    assert (r.trade_year, r.trade_month) == (2024, 1) and r.trade_time is not None
+    v1 = C.to_trade_table(t, "v1")
+    assert v1.columns == C.TRADE_TABLE_V1 and v1.first().date_bucket.startswith("202401")

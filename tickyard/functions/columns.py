@@ -134,3 +134,32 @@ def conform_v2(df: DataFrame) -> DataFrame:
             dflt = F.lit(default).cast(f.dataType)
         cols[f.name] = F.coalesce(F.col(f.name), dflt) if f.name in have else dflt
     return df.withColumns(cols)
+
+
+# Column order of the two trade-table shapes (fixed values).
+TRADE_TABLE_V1 = ["symbol", "date_bucket", "event_time", "event_id", "price", "volume", "conditions",
+                  "processed_at", "kafka_timestamp", "spark_processed_at", "price_change_indicator",
+                  "trade_date", "trade_hour"]
+TRADE_TABLE_V2 = ["symbol", "trade_year", "trade_month", "trade_day", "timestamp", "price", "volume",
+                  "trade_time", "trade_hour", "conditions", "processed_at"]
+
+
+def to_trade_table(df: DataFrame, shape: str = "v2", ts: str = "event_time") -> DataFrame:
+    """Project a trade frame onto a trade-table shape, deriving what is missing:
+    ``v2`` = year/month/day buckets + trade_time; ``v1`` = daily date bucket,
+    volume class, trade date/hour (broker and ingest times NULL when absent)."""
+    if shape == "v2":
+        out = add_partitioning_columns(df, ts).withColumn("trade_time", F.col(ts))
+        cols = TRADE_TABLE_V2
+    elif shape == "v1":
+        out = add_trade_date_hour(df, ts)
+        extra = {"date_bucket": date_bucket(ts, "daily"),
+                 "price_change_indicator": volume_class("volume")}
+        for c in ("kafka_timestamp", "spark_processed_at"):
+            if c not in df.columns:
+                extra[c] = F.lit(None).cast("timestamp")
+        out = out.withColumns({k: v for k, v in extra.items() if k not in df.columns})
+        cols = TRADE_TABLE_V1
+    else:
+        raise ValueError("shape must be 'v1' or 'v2'")
+    return out.select(*cols)
