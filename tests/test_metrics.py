@@ -77,3 +77,15 @@ def test_gap_fill_carries_across_empty_blocks(spark):
     assert len(g) == 31
     assert all(r.close_price == 1.0 for r in g[:-1]) and g[-1].close_price == 3.0
     assert sum(r.is_filled for r in g) == 29
+
+
+def test_threshold_alert_chains_across_blocks(spark):
+    t0 = dt.datetime(2024, 1, 1, 0)
+    rows = []
+    for h, n in [(0, 20), (1, 20), (2, 20), (3, 20), (4, 20), (5, 5), (6, 20), (7, 20)]:
+        rows += [(t0 + dt.timedelta(hours=h, seconds=i),) for i in range(n)]
+    df = spark.createDataFrame(rows, "event_time timestamp")
+    counts = M.slot_counts(df, "1 hour")
+    small = sorted((r.n_slots, r.n_events) for r in M.threshold_alerts(counts, 10, 2, block_slots=2).collect())
+    big = sorted((r.n_slots, r.n_events) for r in M.threshold_alerts(counts, 10, 2).collect())
+    assert small == big == [(2, 40), (5, 100)]

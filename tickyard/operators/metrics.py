@@ -104,24 +104,35 @@ def slot_counts(df: DataFrame, every: str, keys: Sequence[str] = (), time_col: s
                     (F.unix_millis(F.col("w.start")) / _dur_ms(every)).cast("bigint").alias("slot")))
 
 
-def threshold_alerts(counts: DataFrame, max_count: int, hold: int, keys: Sequence[str] = ()
-                     ) -> DataFrame:
+def threshold_alerts(counts: DataFrame, max_count: int, hold: int, keys: Sequence[str] = (),
+                     block_slots: int = 1024) -> DataFrame:
     """M4: alert episodes where the count per slot stays above ``max_count``
     for at least ``hold`` consecutive slots ("rate > x for N minutes" with
-    max_count = x * slot seconds; see ``rate_alerts``).
-
-    Gaps and islands over the breaching slots: slot - row_number is constant
-    inside a run of consecutive slots.  Slots without rows have rate 0 and
-    break a run.  Output: one row per firing episode.
+    max_count = x * slot seconds; see ``rate_alerts``).  Slots without rows
+    have rate 0 and break a run.  Output: one row per firing episode.
+
+    Gaps and islands in two levels, so no window holds a whole series:
+    inside blocks of ``block_slots`` slots (slot - row_number is constant
+    along a run), then the per-block fragments are chained where one starts
+    right after the previous one ends.  The second window sees one row per
+    fragment (runs plus block cuts), not one per slot.
     """
-    breach = counts.filter(F.col("n") > F.lit(max_count))
-    w = Window.partitionBy(*keys).orderBy("slot")
-    isl = breach.withColumn("island", F.col("slot") - F.row_number().over(w))
-    return (isl.groupBy(*keys, "island")
-            .agg(F.min("slot_start").alias("first_slot"), F.max("slot_start").alias("last_slot"),
-                 F.count(F.lit(1)).alias("n_slots"), F.sum("n").alias("n_events"))
+    breach = (counts.filter(F.col("n") > F.lit(max_count))
+              .withColumn("_blk", F.floor(F.col("slot") / F.lit(block_slots))))
+    w1 = Window.partitionBy(*keys, "_blk").orderBy("slot")
+    frag = (breach.withColumn("_isl", F.col("slot") - F.row_number().over(w1))
+            .groupBy(*keys, "_blk", "_isl")
+            .agg(F.min("slot").alias("_s0"), F.max("slot").alias("_s1"),
+                 F.min("slot_start").alias("first_slot"), F.max("slot_start").alias("last_slot"),
+                 F.count(F.lit(1)).alias("n_slots"), F.sum("n").alias("n_events")))
+    w2 = Window.partitionBy(*keys).orderBy("_s0")
+    starts = F.when(F.col("_s0") == F.lag("_s1").over(w2) + 1, F.lit(0)).otherwise(F.lit(1))
+    chained = frag.withColumn("_chain", F.sum(starts).over(w2.rowsBetween(Window.unboundedPreceding, 0)))
+    return (chained.groupBy(*keys, "_chain")
+            .agg(F.min("first_slot").alias("first_slot"), F.max("last_slot").alias("last_slot"),
+                 F.sum("n_slots").alias("n_slots"), F.sum("n_events").alias("n_events"))
             .filter(F.col("n_slots") >= hold)
-            .drop("island"))
+            .drop("_chain"))
 
 
 def rate_alerts(df: DataFrame, rate_per_s: float, every: str, every_seconds: int, hold: int,
