@@ -89,3 +89,33 @@ def test_threshold_alert_chains_across_blocks(spark):
     small = sorted((r.n_slots, r.n_events) for r in M.threshold_alerts(counts, 10, 2, block_slots=2).collect())
     big = sorted((r.n_slots, r.n_events) for r in M.threshold_alerts(counts, 10, 2).collect())
     assert small == big == [(2, 40), (5, 100)]
+
+
+def test_sliding_rate_alert_matches_brute_force(spark):
+    rnd = random.Random(11)
+    t0 = dt.datetime(2024, 1, 1)
+    secs = sorted(rnd.randrange(0, 6 * 3600) for _ in range(3000))
+    secs += [7200 + i for i in range(0, 1200, 2)]  # a burst
+    df = spark.createDataFrame([(t0 + dt.timedelta(seconds=x),) for x in secs], "event_time timestamp")
+    got = sorted((int(r.first_slot.timestamp()), r.n_slots) for r in
+                 M.rate_alerts(df, 0.5, "5 minutes", 300, 5, slide="1 minute").collect())
+    # brute force: windows [m, m+5min) for every minute m, count > 150, runs of >= 5 minutes
+    base = int(t0.replace(tzinfo=dt.timezone.utc).timestamp())
+    counts = {}
+    for x in secs:
+        m = x // 60
+        for start in range(m - 4, m + 1):
+            counts[start] = counts.get(start, 0) + 1
+    hot = sorted(m for m, c in counts.items() if c > 150)
+    runs, cur = [], []
+    for m in hot:
+        if cur and m == cur[-1] + 1:
+            cur.append(m)
+        else:
+            if cur:
+                runs.append(cur)
+            cur = [m]
+    if cur:
+        runs.append(cur)
+    want = sorted((base + r[0] * 60, len(r)) for r in runs if len(r) >= 5)
+    assert got == want and want

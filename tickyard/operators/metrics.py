@@ -95,13 +95,19 @@ def latency_quantile_approx(trades: DataFrame, q: float = 0.95, keys: Sequence[s
         F.percentile_approx(latency_seconds(trades), q, accuracy).alias("quantile_approx"))
 
 
-def slot_counts(df: DataFrame, every: str, keys: Sequence[str] = (), time_col: str = "event_time"
-                ) -> DataFrame:
-    """Rows per (key, tumbling slot) with the slot index (epoch / width)."""
-    return (df.groupBy(*keys, F.window(time_col, every).alias("w"))
+def slot_counts(df: DataFrame, every: str, keys: Sequence[str] = (), time_col: str = "event_time",
+                slide: str | None = None) -> DataFrame:
+    """Rows per (key, slot) with the slot index.  Tumbling slots of width
+    ``every``; with ``slide``, windows of width ``every`` starting every
+    ``slide`` (a range rate evaluated at each step), indexed by start / slide.
+    Each row then counts in every/slide windows; the count is still a
+    map-side-combined aggregate."""
+    w = F.window(time_col, every, slide) if slide else F.window(time_col, every)
+    step = _dur_ms(slide or every)
+    return (df.groupBy(*keys, w.alias("w"))
             .agg(F.count(F.lit(1)).alias("n"))
             .select(*keys, F.col("w.start").alias("slot_start"), "n",
-                    (F.unix_millis(F.col("w.start")) / _dur_ms(every)).cast("bigint").alias("slot")))
+                    F.floor(F.unix_millis(F.col("w.start")) / step).cast("bigint").alias("slot")))
 
 
 def threshold_alerts(counts: DataFrame, max_count: int, hold: int, keys: Sequence[str] = (),
@@ -136,10 +142,13 @@ def threshold_alerts(counts: DataFrame, max_count: int, hold: int, keys: Sequenc
 
 
 def rate_alerts(df: DataFrame, rate_per_s: float, every: str, every_seconds: int, hold: int,
-                keys: Sequence[str] = (), time_col: str = "event_time") -> DataFrame:
+                keys: Sequence[str] = (), time_col: str = "event_time", slide: str | None = None
+                ) -> DataFrame:
     """M4 as written in alert rules: rate over ``every`` > ``rate_per_s`` for
-    ``hold`` consecutive slots."""
-    return threshold_alerts(slot_counts(df, every, keys, time_col),
+    ``hold`` consecutive slots.  ``slide`` evaluates the range rate at every
+    step ("rate(x[5m]) > r for 5m" = every="5 minutes", slide="1 minute",
+    hold=5)."""
+    return threshold_alerts(slot_counts(df, every, keys, time_col, slide),
                             int(rate_per_s * every_seconds), hold, keys)
 
 
