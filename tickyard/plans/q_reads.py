@@ -171,6 +171,26 @@ def error_rate_alert(spark, sf_dir):
                     "n_slots", "n_events")
 
 
+@register("error_rate_sliding", _DIRTY + f""",
+bad AS (SELECT CAST(epoch(ev.ts) AS BIGINT) // 3600 AS hslot
+        FROM v JOIN events ev USING (event_id) WHERE v.errors <> ''),
+st AS (SELECT DISTINCT hslot - k AS s FROM bad, range(0, 3) r(k)),
+c AS (SELECT st.s, count(*) AS n FROM st JOIN bad ON bad.hslot BETWEEN st.s AND st.s + 2 GROUP BY st.s),
+br AS (SELECT *, s - row_number() OVER (ORDER BY s) AS island FROM c WHERE n > 30)
+SELECT min(s) * 3600000 AS first_slot, max(s) * 3600000 AS last_slot, count(*) AS n_slots,
+       CAST(sum(n) AS BIGINT) AS n_events
+FROM br GROUP BY island HAVING count(*) >= 3""")
+def error_rate_sliding(spark, sf_dir):
+    """M4 with a range rate: rejected messages over 3-hour windows evaluated
+    every hour, above 30 for at least 3 consecutive evaluations."""
+    raw = dirty_from_events(table(spark, sf_dir, "events"), AS_OF)
+    bad = Q.invalid_rows(Q.validate(raw, as_of=AS_OF))
+    counts = M.slot_counts(bad, "3 hours", time_col="received_at", slide="1 hour")
+    a = M.threshold_alerts(counts, 30, 3)
+    return a.select(ms("first_slot").alias("first_slot"), ms("last_slot").alias("last_slot"),
+                    "n_slots", "n_events")
+
+
 @register("silence_gaps", f"""{_EV},
 g AS (SELECT symbol, "timestamp" AS gap_start_ms,
         coalesce(lead("timestamp") OVER (PARTITION BY symbol ORDER BY "timestamp"),
