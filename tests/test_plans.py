@@ -57,3 +57,12 @@ def test_bar_reads_prune_date_partitions(spark):
                R.bars_range(t, "view", "2024-01-10 00:00:00", "2024-01-12 23:00:00")):
         plan = _plan(df)
         assert "PartitionFilters: [isnotnull(trade_date" in plan and "trade_date#" in plan.split("PartitionFilters")[1][:200]
+
+
+def test_latest_price_fast_path_is_hash_aggregate_and_agrees(spark):
+    from tickyard.sources.adapters import wide_trades_from_events
+    t = wide_trades_from_events(table(spark, SMALL, "events"))
+    fast = R.latest_price(t, exact=False)
+    assert "HashAggregate" in _plan(fast) and "SortAggregate" not in _plan(fast)
+    exact = R.latest_price(t).select("symbol", "price", "timestamp")
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, exact.collect()))

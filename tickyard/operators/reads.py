@@ -48,17 +48,25 @@ def bars_range(bars: DataFrame, symbol: str, start, end, n: int | None = None,
 
 
 def latest_price(trades: DataFrame, symbols: Sequence[str] | None = None, since=None,
-                 day_col: str = "trade_date") -> DataFrame:
+                 day_col: str = "trade_date", exact: bool = True) -> DataFrame:
     """Q3: the last trade of each symbol (one row per symbol).
 
     ``max_by`` over (event_time, event_id) is a partial aggregate: a hot symbol
     is reduced in every input task before the shuffle.  ``since`` limits the
     scan to recent partitions when every symbol is known to have traded since.
+    ``exact=False`` returns (symbol, price, timestamp) through a hash aggregate
+    (fixed-width order key: microseconds, then a hash of the id for trades in
+    the same microsecond) instead of the sort-based struct path.
     """
     t = trades if not symbols else trades.filter(F.col("symbol").isin(list(symbols)))
     if since is not None:
         lo = _ts(since)
         t = _with_day(t.filter(F.col("event_time") >= lo), day_col, lo, None)
+    if not exact:
+        from .bars import trade_order_key
+        key = trade_order_key("event_time", ("event_id",))
+        return t.groupBy("symbol").agg(F.max_by("price", key).alias("price"),
+                                       F.max_by("timestamp", key).alias("timestamp"))
     last = F.max_by(F.struct("price", "timestamp", "event_id"), F.struct("event_time", "event_id"))
     return (t.groupBy("symbol").agg(last.alias("l"))
              .select("symbol", F.col("l.price").alias("price"), F.col("l.timestamp").alias("timestamp"),
