@@ -213,16 +213,32 @@ def load_historical(spark: SparkSession, path: str, start, end, fmt: str = "parq
     return df.filter((F.col(time_col) >= lo) & (F.col(time_col) < hi))
 
 
+def partition_values(spark: SparkSession, path: str, partition_col: str) -> list[str]:
+    """The values of the top-level partition folders (``col=value``) of a
+    table, from one directory listing: no file is opened, so the cost grows
+    with the number of partitions (days), not with the data."""
+    from urllib.parse import unquote
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    prefix = f"{partition_col}="
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            out.append(unquote(name[len(prefix):]))
+    return sorted(out)
+
+
 def expired_partitions(spark: SparkSession, path: str, days: int, as_of,
                        partition_col: str = "trade_date", schema: StructType | None = None) -> list:
-    """Partition values older than ``as_of - days`` (read from the folder
-    listing: only the partition column is selected)."""
-    df = read_table(spark, path, schema)
-    if df is None:
-        return []
-    cutoff = F.date_sub(F.lit(str(as_of)).cast("timestamp").cast("date"), days)
-    return [r[0] for r in df.select(partition_col).filter(F.col(partition_col) < cutoff)
-            .distinct().collect()]
+    """Date partition values older than ``as_of - days``, from the folder
+    listing (``schema`` is accepted for symmetry with the readers)."""
+    as_of_day = _dt.datetime.fromisoformat(str(as_of)).date() if not isinstance(as_of, _dt.date) \
+        else (as_of.date() if isinstance(as_of, _dt.datetime) else as_of)
+    cutoff = as_of_day - _dt.timedelta(days=days)
+    return [_dt.date.fromisoformat(v) for v in partition_values(spark, path, partition_col)
+            if _dt.date.fromisoformat(v) < cutoff]
 
 
 def expire(spark: SparkSession, path: str, days: int, as_of,
