@@ -88,3 +88,12 @@ def test_upsert_reports_rows_without_extra_job(spark):
     out = K.upsert(_df(spark, [(D1, "A", "1", 1.0, 1), (D1, "A", "2", 1.0, 1)]), path, KEYS, "version",
                    "trade_date")
     assert out["rows"] == 2 and out["partitions"] == 1
+
+
+def test_repartition_by_symbol_splits_a_hot_symbol(spark):
+    df = spark.range(4000).select(F.lit("HOT").alias("symbol"), F.col("id").cast("string").alias("event_id"))
+    sizes = [r[0] for r in K.repartition_by_symbol(df, 16, salt=8).groupBy(F.spark_partition_id())
+             .count().select("count").collect()]
+    assert len(sizes) > 1 and max(sizes) < 4000
+    plain = K.repartition_by_symbol(df, 16, salt=1).groupBy(F.spark_partition_id()).count().count()
+    assert plain == 1

@@ -52,6 +52,16 @@ def write_layout(df: DataFrame, partition_col: str, n: int | None = None,
     return ranged.sortWithinPartitions(*order)
 
 
+def repartition_by_symbol(df: DataFrame, n: int = 10, salt: int = 8, key: str = "symbol",
+                          spread_col: str = "event_id") -> DataFrame:
+    """K4: hash-partition by symbol into ``n`` partitions, salted so that one
+    symbol holding a large share of the rows is split over ``salt``
+    partitions instead of landing in one (``salt=1`` gives the plain form)."""
+    if salt <= 1:
+        return df.repartition(n, key)
+    return df.repartition(n, F.col(key), F.pmod(F.xxhash64(spread_col), F.lit(salt)))
+
+
 def _partition_filter(values: list, col: str) -> Column:
     return F.col(col).isin(values) if values else F.lit(False)
 
