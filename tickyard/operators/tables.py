@@ -78,10 +78,14 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
        ``max_by(row, version)`` - an aggregate combined map-side, so a hot key
        never forms one big group.
     3. The result is written to a staging folder under the shared work root
-       (the target is also an input), then swapped in with dynamic partition
-       overwrite: partitions not touched stay as they are.
+       (the target is also an input), a ``_pending_swap`` marker naming it is
+       written, and it is swapped in with dynamic partition overwrite:
+       partitions not touched stay as they are.  A crash during the swap is
+       finished by the next call (``recover``).  A new table is written
+       directly, without staging.
     Replaying an old batch changes nothing, because a row only replaces
-    another when its version is greater or equal.  Returns a small summary.
+    another when its version is greater or equal.  Returns a small summary
+    (touched partitions, input rows).
     """
     spark = df.sparkSession
     if partition_col not in keys:
