@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import spread
 
 # JSON-line message files written by ``write_message_files``.
 MESSAGE_FILE_SCHEMA = "key STRING, value STRING, timestamp TIMESTAMP"
@@ -43,15 +42,16 @@ def write_message_files(rows: DataFrame, path: str, slices: int, time_col: str =
     """Write broker rows as ``slices`` time-ordered groups of JSON-line files.
 
     Slice i holds the rows whose time falls in the i-th equal part of the
-    time range, in at most ``files_per_slice`` files (merged without a shuffle).  Slices are
+    time range, in ``files_per_slice`` files of about equal size.  Slices are
     written one after the other, so file modification times follow event
     time; reading with ``max_files_per_trigger=files_per_slice`` then replays
     exactly one slice per micro-batch, in order.  Returns the slice count.
     """
-    # The slices are cut from one materialization of the rows, not recomputed
-    # per slice; storage may spill to disk, so any size works.
+    # The rows are dealt round-robin into ``files_per_slice`` partitions once
+    # and kept (spilling to disk if needed); every slice is then cut from that
+    # materialization, each partition writing one file of the slice.
     from pyspark import StorageLevel
-    staged = spread(rows).select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+    staged = rows.repartition(files_per_slice).select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
                          F.col(time_col).alias("timestamp")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         span = staged.agg(F.min(F.unix_millis("timestamp")).alias("lo"),
@@ -62,8 +62,7 @@ def write_message_files(rows: DataFrame, path: str, slices: int, time_col: str =
         width = max(1, (hi - lo) // slices + 1)
         sl = F.floor((F.unix_millis("timestamp") - F.lit(lo)) / F.lit(width))
         for i in range(slices):
-            (staged.filter(sl == i).coalesce(files_per_slice)
-             .write.mode("append").json(path))
+            staged.filter(sl == i).write.mode("append").json(path)
     finally:
         staged.unpersist()
     return slices
