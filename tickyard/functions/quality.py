@@ -243,7 +243,7 @@ def write_routed(validated: DataFrame, main_path: str, dlq_path: str, source_top
     from pyspark.sql import Observation
     v = validated.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ok, bad = Observation("routed_main"), Observation("routed_dlq")
+        ok, bad = Observation(), Observation()
         (valid_trades(v).observe(ok, F.count(F.lit(1)).alias("n"))
          .write.mode("append").format(fmt).save(main_path))
         (dlq_records(invalid_rows(v), source_topic=source_topic).observe(bad, F.count(F.lit(1)).alias("n"))
