@@ -9,6 +9,7 @@ make one task hold its raw rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -148,8 +149,10 @@ def rate_alerts(df: DataFrame, rate_per_s: float, every: str, every_seconds: int
     ``hold`` consecutive slots.  ``slide`` evaluates the range rate at every
     step ("rate(x[5m]) > r for 5m" = every="5 minutes", slide="1 minute",
     hold=5)."""
-    return threshold_alerts(slot_counts(df, every, keys, time_col, slide),
-                            int(rate_per_s * every_seconds), hold, keys)
+    # n / seconds > rate  <=>  n > floor(rate * seconds) for whole counts; the
+    # epsilon keeps a product like 10/3600 * 3600 = 9.999... from losing one
+    max_count = math.floor(rate_per_s * every_seconds + 1e-9)
+    return threshold_alerts(slot_counts(df, every, keys, time_col, slide), max_count, hold, keys)
 
 
 def silence_gaps(trades: DataFrame, threshold: str = "10 minutes", as_of=None,
