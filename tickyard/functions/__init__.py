@@ -1,0 +1 @@
+"""Column functions, message parsing and the data-quality rule pass."""

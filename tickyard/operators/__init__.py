@@ -1,0 +1 @@
+"""Operators over trade and bar frames: bars, dedupe, keyed tables, reads, metrics."""

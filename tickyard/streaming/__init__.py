@@ -1,0 +1 @@
+"""Structured Streaming: sources, the deduplicated trade stream, sinks, waiting."""
