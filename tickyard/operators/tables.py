@@ -22,6 +22,9 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     """Read a table; ``None`` when it does not exist yet.  With a schema the
     partition column keeps its declared type (a bucket like 20240105 would
     otherwise be inferred as INT)."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):  # a new table: no failed read, no error in the logs
+        return None
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
