@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SMALL
-from scripts.oracle_check import TABLES, digest
+from scripts.oracle_check import TABLES, digest, type_mismatches
 
 NAMES = sorted(E.queries())
 
@@ -32,12 +32,15 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SMALL).toPandas()
+    frame = E.queries()[name](spark, SMALL)
+    sdf = frame.toPandas()
     sql = E.oracle_sql().get(name)
     if sql is None:
         assert len(sdf) > 0
         return
-    odf = con.sql(sql).df()
+    rel = con.sql(sql)
+    assert type_mismatches(frame.schema, rel) == {}
+    odf = rel.df()
     assert sorted(sdf.columns) == sorted(odf.columns)
     assert len(sdf) == len(odf)
     assert digest(sdf)[0] == digest(odf)[0]
