@@ -91,3 +91,18 @@ def test_trades_and_bars_from_one_source(spark):
     assert got.count() == trades.count()
     assert got.select("event_id").distinct().count() == trades.count()
     assert spark.read.parquet(bars_out_path).count() > 0
+
+
+def test_basic_bar_stream_update_mode(spark):
+    trades = trades_from_events(table(spark, SMALL, "events"))
+    src = fresh_dir(spark, "test-replay")
+    write_message_files(message_rows(trades), src, 3, files_per_slice=1)
+    tbl = fresh_dir(spark, "test-table")
+    bars = J.bars_stream(J.trades_stream(file_stream(spark, src), "5 minutes"), "1 hour", shape="basic")
+    q = J.start_upsert(bars, tbl, ("trade_date", "symbol", "window_start"), "trade_date",
+                       fresh_dir(spark, "test-ck"), available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = spark.read.parquet(tbl)
+    assert {"avg_price", "max_price", "min_price", "total_volume", "trade_count"} <= set(got.columns)
+    assert got.count() == B.basic_bars(trades, "1 hour").count()

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.columns import (add_partitioning_columns, add_trade_date_hour, date_bucket,
                                  volume_class, with_trade_time)
 from ..functions.parse import fill_event_id, parse_messages
-from ..operators.bars import ohlcv_aggs, window_bounds
+from ..operators.bars import basic_bars, ohlcv_aggs, window_bounds
 from ..operators.tables import upsert
 from ..session import parallelism
 
@@ -44,17 +44,25 @@ def trades_stream(rows: DataFrame, delay: str = WATERMARK_DELAY, granularity: st
     return t.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def bars_stream(trades: DataFrame, every: str = BAR_WINDOW, delay: str | None = None) -> DataFrame:
+def bars_stream(trades: DataFrame, every: str = BAR_WINDOW, delay: str | None = None,
+                shape: str = "ohlcv") -> DataFrame:
     """Windowed OHLCV bars on a stream (W1, W2, B2) in the bar-table shape:
     bar columns, ``trade_time`` next to ``window_start`` (P13), the
     year/month/day/hour bucket columns (P9) and ``trade_date`` for the table
-    partition.  Pass ``delay`` when the input has no watermark yet."""
+    partition.  Pass ``delay`` when the input has no watermark yet.
+    ``shape="basic"`` gives the basic bar instead (avg/max/min price, total
+    volume, trade count)."""
     t = trades.withWatermark("event_time", delay) if delay else trades
-    bars = (t.groupBy(F.window("event_time", every).alias("window"), "symbol")
-            .agg(*ohlcv_aggs())
-            .select("symbol", *window_bounds(), "total_volume", "avg_price", "high_price",
-                    "low_price", "open_price", "close_price", "trade_count",
-                    "price_volatility", "vwap"))
+    if shape == "basic":
+        bars = basic_bars(t, every)
+    elif shape == "ohlcv":
+        bars = (t.groupBy(F.window("event_time", every).alias("window"), "symbol")
+                .agg(*ohlcv_aggs())
+                .select("symbol", *window_bounds(), "total_volume", "avg_price", "high_price",
+                        "low_price", "open_price", "close_price", "trade_count",
+                        "price_volatility", "vwap"))
+    else:
+        raise ValueError("shape must be 'ohlcv' or 'basic'")
     bars = add_partitioning_columns(with_trade_time(bars), "window_start")
     return bars.withColumn("trade_date", F.to_date("window_start"))
 
