@@ -115,3 +115,12 @@ def test_trade_table_shapes(spark):
     assert (r.trade_year, r.trade_month) == (2024, 1) and r.trade_time is not None
     v1 = C.to_trade_table(t, "v1")
     assert v1.columns == C.TRADE_TABLE_V1 and v1.first().date_bucket.startswith("202401")
+
+
+def test_conform_v2_keeps_present_values_and_fills_nulls(spark):
+    from tickyard.schemas import TRADE_V2
+    df = spark.createDataFrame([("A", 1.0, 1, 1.0, [], 1, "X", "t1", 0.9, 1.1, True, {"k": "v"}),
+                                ("B", 1.0, 1, 1.0, [], 1, None, None, None, None, None, None)], TRADE_V2)
+    rows = {r.symbol: r for r in C.conform_v2(df).collect()}
+    assert rows["A"].exchange == "X" and rows["A"].is_market_hours is True and rows["A"].metadata == {"k": "v"}
+    assert rows["B"].is_market_hours is False and rows["B"].metadata == {} and rows["B"].bid_price is None

@@ -119,3 +119,19 @@ def test_sliding_rate_alert_matches_brute_force(spark):
         runs.append(cur)
     want = sorted((base + r[0] * 60, len(r)) for r in runs if len(r) >= 5)
     assert got == want and want
+
+
+def test_quantile_in_inf_bucket_returns_largest_finite_bound(spark):
+    rows = [("A", 0, 5000)] * 10  # 5 s latency: beyond the last finite bound (1.0 s)
+    df = spark.createDataFrame(rows, "symbol string, timestamp bigint, processed_at bigint")
+    q = M.histogram_quantile(M.latency_histogram(df), 0.95).first().quantile
+    assert q == 1.0
+
+
+def test_message_counts_by_window(spark):
+    t0 = dt.datetime(2024, 1, 1, 10)
+    rows = [(t0, True), (t0 + dt.timedelta(seconds=30), False), (t0 + dt.timedelta(minutes=1), True)]
+    df = spark.createDataFrame(rows, "received_at timestamp, is_valid boolean")
+    got = sorted((r.window_start, r.n_received, r.n_sent, r.n_rejected)
+                 for r in M.message_counts(df, "1 minute").collect())
+    assert got == [(t0, 2, 1, 1), (t0 + dt.timedelta(minutes=1), 1, 1, 0)]
