@@ -28,7 +28,7 @@ def parse_messages(rows: DataFrame, schema: StructType = TRADE_V1_ID,
     msg = F.col("_m")
     ok = msg.isNotNull() & msg.getField(_CORRUPT).isNull()
     cols = [msg.getField(f.name).alias(f.name) for f in schema.fields]
-    if keep_broker_time:
+    if keep_broker_time and "timestamp" in rows.columns:
         cols.append(F.col("timestamp").alias("kafka_timestamp"))
     out = rows.select(*cols, ok.alias("_parse_ok"))
     if "timestamp" in schema.fieldNames():
