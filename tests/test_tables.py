@@ -97,3 +97,13 @@ def test_repartition_by_symbol_splits_a_hot_symbol(spark):
     assert len(sizes) > 1 and max(sizes) < 4000
     plain = K.repartition_by_symbol(df, 16, salt=1).groupBy(F.spark_partition_id()).count().count()
     assert plain == 1
+
+
+def test_upsert_caps_records_per_file(spark):
+    import glob
+    path = fresh_dir(spark, "test-tables")
+    rows = [(D1, "A", str(i), float(i), 1) for i in range(50)]
+    K.upsert(_df(spark, rows), path, KEYS, "version", "trade_date", max_records_per_file=10)
+    assert len(glob.glob(path.replace("file:", "") + "/trade_date=*/*.parquet")) >= 5
+    K.upsert(_df(spark, rows[:5]), path, KEYS, "version", "trade_date", max_records_per_file=10)
+    assert spark.read.parquet(path).count() == 50

@@ -71,7 +71,8 @@ def _partition_filter(values: list, col: str) -> Column:
 
 def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
            partition_col: str, cluster: Sequence[Column | str] = (),
-           writers: int | None = None, keep_staging: bool = False) -> dict:
+           writers: int | None = None, keep_staging: bool = False,
+           max_records_per_file: int | None = None) -> dict:
     """K1 (+K2, K4, K5): replay-safe keyed upsert, last *version* wins.
 
     1. The touched partition values (one per day: bounded by the time span,
@@ -87,8 +88,9 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
        finished by the next call (``recover``).  A new table is written
        directly, without staging.
     Replaying an old batch changes nothing, because a row only replaces
-    another when its version is greater or equal.  Returns a small summary
-    (touched partitions, input rows).
+    another when its version is greater or equal.  ``max_records_per_file``
+    caps file size on top of the AQE-sized writer tasks.  Returns a small
+    summary (touched partitions, input rows).
     """
     spark = df.sparkSession
     if partition_col not in keys:
@@ -105,17 +107,18 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
     order = cluster or [k for k in keys if k != partition_col]
     recover(spark, path, df.schema, partition_col)  # finish a swap a crash interrupted
     current = read_table(spark, path, df.schema)
+    cap = {"maxRecordsPerFile": str(max_records_per_file)} if max_records_per_file else {}
     if current is None:  # new table: nothing to merge with, no staging copy needed
         (write_layout(_latest_per_key(incoming, df, keys), partition_col, writers, order)
-         .write.mode("overwrite").partitionBy(partition_col).parquet(path))
+         .write.options(**cap).mode("overwrite").partitionBy(partition_col).parquet(path))
         return {"partitions": len(touched), "rows": rows, "written": True, "staging": None}
     old = current.filter(_partition_filter(touched, partition_col)).withColumn("_ver", ver)
     merged = _latest_per_key(old.unionByName(incoming), df, keys)
     staging = fresh_dir(spark, "staging")
     (write_layout(merged, partition_col, writers, order)
-     .write.mode("overwrite").partitionBy(partition_col).parquet(staging))
+     .write.options(**cap).mode("overwrite").partitionBy(partition_col).parquet(staging))
     _write_text(spark, f"{path.rstrip('/')}/{PENDING_SWAP}", staging)
-    _swap_in(spark, staging, path, df.schema, partition_col)
+    _swap_in(spark, staging, path, df.schema, partition_col, cap)
     _delete(spark, f"{path.rstrip('/')}/{PENDING_SWAP}")
     if not keep_staging:  # the swap is committed; the staged copy is no longer needed
         _delete(spark, staging)
@@ -127,9 +130,10 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
 PENDING_SWAP = "_pending_swap"
 
 
-def _swap_in(spark: SparkSession, staging: str, path: str, schema: StructType, partition_col: str) -> None:
+def _swap_in(spark: SparkSession, staging: str, path: str, schema: StructType, partition_col: str,
+             options: dict | None = None) -> None:
     staged = spark.read.schema(schema).parquet(staging)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (staged.write.options(**(options or {})).mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
