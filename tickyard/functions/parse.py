@@ -24,7 +24,11 @@ def parse_messages(rows: DataFrame, schema: StructType = TRADE_V1_ID,
     """
     text = F.col("value").cast("string")
     with_bad = StructType(schema.fields + [StructField(_CORRUPT, StringType())])
-    rows = rows.withColumn("_m", F.from_json(text, with_bad, {"columnNameOfCorruptRecord": _CORRUPT}))
+    parsed = F.from_json(text, with_bad, {"columnNameOfCorruptRecord": _CORRUPT})
+    # The parsed struct is produced by a one-to-one ``inline`` so that a later
+    # filter on ``_parse_ok`` is not pushed below it with the parser inlined
+    # (which would parse every message again inside the filter).
+    rows = rows.select(*rows.columns, F.inline(F.array(F.struct(parsed.alias("_m")))))
     msg = F.col("_m")
     ok = msg.isNotNull() & msg.getField(_CORRUPT).isNull()
     cols = [msg.getField(f.name).alias(f.name) for f in schema.fields]
