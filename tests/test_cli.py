@@ -29,3 +29,16 @@ def test_ingest_command_available_now(spark):
     cli.main(["ingest", "--files", src, "--trades-table", tbl, "--bars-path", bars, "--checkpoint", ck,
               "--window", "1 hour", "--available-now"])
     assert spark.read.parquet(tbl).count() == trades.count()
+
+
+def test_backfill_command_from_files(spark):
+    t = trades_from_events(table(spark, SMALL, "events")).withColumnRenamed("event_time", "trade_time")
+    src, dst = fresh_dir(spark, "test-files"), fresh_dir(spark, "test-dst")
+    t.write.parquet(src)
+    cli.main(["backfill", "--files", "--source", src, "--target", dst, "--start", "2024-01-10 00:00:00",
+              "--end", "2024-01-11", "--time-col", "trade_time"])
+    got = spark.read.parquet(dst)
+    want = t.filter((F.col("trade_time") >= F.lit("2024-01-10").cast("timestamp"))
+                    & (F.col("trade_time") < F.lit("2024-01-12").cast("timestamp")))
+    assert got.count() == want.count() > 0
+    assert {"trade_year", "trade_month", "trade_day", "trade_hour"} <= set(got.columns)
