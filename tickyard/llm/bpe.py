@@ -230,10 +230,13 @@ def _encode_long(rows: DataFrame, tokenizer: str, kind: str, leaf: int) -> DataF
                                               ["row", "key", "part", "ids"])
         yield from by_slices(one)(batches)
 
+    held: list[Bpe] = []   # filled by the first group of a task
+
     def together(pdf: pd.DataFrame) -> pd.DataFrame:
-        bpe = Bpe(tokenizer)
+        if not held:
+            held.append(Bpe(tokenizer))
         pdf = pdf.sort_values("part")
-        ids = bpe.concat([np.frombuffer(x, "<u4") for x in pdf["ids"]])
+        ids = held[0].concat([np.frombuffer(x, "<u4") for x in pdf["ids"]])
         return pd.DataFrame({"key": pdf["key"].iloc[:1].array, "ids": [ids.astype(np.int32)]})
 
     parts = (rows.select(F.monotonically_increasing_id().alias("row"), "key", "text")

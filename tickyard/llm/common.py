@@ -61,6 +61,11 @@ def by_slices(fn: Callable[[pa.RecordBatch], pa.RecordBatch], text: str = "text"
     return run
 
 
+def raw(texts: pa.StringArray) -> list[bytes | None]:
+    """The texts' bytes in UTF-8, without decoding them."""
+    return texts.cast(pa.binary()).to_pylist()
+
+
 def int_lists(rows: list[np.ndarray], dtype=np.int32) -> pa.ListArray:
     """A list column built from one flat buffer."""
     ends = np.cumsum([0, *map(len, rows)], dtype=np.int64)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import use_utc
 from ..sources.tables import table
-from . import bpe
+from . import bpe, decontaminate, near_dedup, quality_classifier, quality_rules
 from .common import QueryFn
 
 QUERIES: dict[str, QueryFn] = {}
@@ -37,3 +37,30 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the verdict of the learned fences for every document."""
+    judged = quality_rules.rules(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept")
+
+
+@register("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every document from a model fitted on the training fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_classifier.scores(docs, quality_classifier.train(docs, labels))
+
+
+@register("op9_near_dedup")
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents over two-word shingles."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
+@register("op3_decontaminate")
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, test item) where the document holds the item."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
