@@ -100,10 +100,11 @@ def candidates(docs: DataFrame, sets: DataFrame, key: str = "doc_id", text: str
     if (facts.shingles or 0) <= BROADCAST_SHINGLES:
         index = F.broadcast(index)
     hashed = with_shingles(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("__t")),
-                           "doc_id", text="__t").filter(F.size("hashes") > 0)
+                           "doc_id", text="__t")
     ordered = hashed.select("doc_id", size_class(F.size("hashes")).alias("class"),
                             F.sort_array("hashes").alias("hashes"))
-    bins = ordered.select("doc_id", "class", F.explode(
+    # explode_outer: no filter on the minima is inferred and pushed below the sort
+    bins = ordered.select("doc_id", "class", F.explode_outer(
         minima(F.col("hashes"), _bits(F.col("class"), extra))).alias("value"))
     in_class = F.call_function("shiftright", F.col("classes"), F.col("class")).bitwiseAND(F.lit(1)) == 1
     return bins.join(index, "value").filter(in_class).select("doc_id", "item_id").distinct()
