@@ -25,6 +25,7 @@ MIN_WORDS = 50            # the contract's base rule
 MAX_REPEAT_PERCENT = 50   # the contract's base rule
 MIN_ROWS = 50             # documents a group needs for fences of its own
 SPREAD = 6
+BROADCAST_GROUPS = 100_000   # rows of some 100 bytes
 
 SYMBOLS = b"#*$%&|<>"
 STARTS = bytes(b for b in range(256) if not 0x80 <= b < 0xC0)   # first bytes of code points
@@ -43,10 +44,10 @@ class Measure:
 
 
 MEASURES = (
-    Measure("word_length", "word_chars", "n_words", 1000, 900, low=True),
+    Measure("word_length", "word_chars", "n_words", 1000, 1500, low=True),
     Measure("symbols", "n_symbols", "n_words", 1000, 100),
-    Measure("dup_lines", "n_dup_lines", "n_lines", 1000, 300),
-    Measure("repeats", "n_repeat_words", "n_words", 1000, 200),
+    Measure("dup_lines", "n_dup_lines", "n_lines", 1000, 500),
+    Measure("repeats", "n_repeat_words", "n_words", 1000, 400),
 )
 
 
@@ -145,13 +146,15 @@ def fences(sketches: DataFrame, min_rows: int = MIN_ROWS, spread: int = SPREAD)
 
     own = wide(quantiles(sketches, "lang", "source"), "lang", "source", tag="own")
     by_lang = wide(quantiles(sketches, "lang"), "lang", tag="lang")
-    whole = wide(quantiles(sketches.withColumn("all", F.lit(1)), "all"), "all", tag="all")
-    joined = (own.join(by_lang, "lang", "left")
-              .withColumn("all", F.lit(1)).join(whole, "all", "left"))
-    return joined.select("lang", "source", *[
+    corpus = wide(quantiles(sketches.withColumn("all", F.lit(1)), "all"), "all", tag="all").first()
+
+    def whole(m: Measure) -> Column:   # one row for the corpus: its fences are constants
+        fence = corpus[f"all_{m.name}"] if corpus else (None, None)
+        return F.struct(F.lit(fence[0]).cast("long").alias("low"), F.lit(fence[1]).cast("long").alias("high"))
+    return own.join(by_lang, "lang", "left").select("lang", "source", *[
         F.when(F.col("own_rows") >= min_rows, F.col(f"own_{m.name}"))
         .when(F.col("lang_rows") >= min_rows, F.col(f"lang_{m.name}"))
-        .otherwise(F.col(f"all_{m.name}")).alias(f"fence_{m.name}") for m in MEASURES])
+        .otherwise(whole(m)).alias(f"fence_{m.name}") for m in MEASURES])
 
 
 def judge(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
@@ -160,7 +163,9 @@ def judge(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: st
     A group without fences has only documents that fail the base rules."""
     rows = (measured.withColumn("base_failed", base_failed())
             .withColumn("__lang", key_of(lang)).withColumn("__source", key_of(source)))
-    limits = limits.withColumnsRenamed({"lang": "__lang", "source": "__source"})
+    limits = stored(limits, "quality-fences").withColumnsRenamed({"lang": "__lang", "source": "__source"})
+    if limits.count() <= BROADCAST_GROUPS:   # else a shuffle join, whose hot keys are split
+        limits = F.broadcast(limits)
     good = F.lit(True)
     for m in MEASURES:
         fence, v = F.col(f"fence_{m.name}"), value_of(m)
@@ -188,7 +193,7 @@ def accepted(docs: DataFrame) -> DataFrame:
     Texts are measured twice, once for the sketches and once with the rows:
     only counts by bucket are moved or stored, never the texts.
     """
-    limits = stored(fences(sketch(measure(docs, "lang", "source"))), "quality-fences")
+    limits = fences(sketch(measure(docs, "lang", "source")))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(whole.alias("__row"), F.col("text").alias("__text"),
                        F.col("lang").alias("__l"), F.col("source").alias("__s"))
