@@ -28,6 +28,7 @@ from struct import pack
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
@@ -36,13 +37,19 @@ from .common import by_slices, int_lists
 
 LEAF = 16_384        # characters; longer documents are encoded as several rows
 RUN = 2_048          # characters; longer runs without white space are halved in the task
-MEMO = 400_000       # remembered pieces per task, and as many remembered words
+MEMO = 500_000       # remembered words per task
+SLICE = 32 << 20     # bytes of text whose distinct words are encoded at once
 AGREE = 4            # tokens that must agree on either side of a join
 WINDOW = 16          # tokens of the first window on either side
 
 # Unicode White_Space, as the pre-split understands it.
 SPACE = "\t-\r \x85\xa0  -     　"
 PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+?(?= [^{SPACE}])|[{SPACE}]")
+ODD_SPACE = f" (?:[{SPACE}]|$)|^[{SPACE}]"
+
+# Signs whose class no Unicode version moves; texts with others go to the library.
+MOVING = re.compile("[^\x00-\x1b -\u024f]")
+
 # Fixed value: the published pre-split pattern of byte-level BPE.
 PRESPLIT = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -64,7 +71,7 @@ class Bpe:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.run, self.memo_size, self.memo, self.words = run, memo, {}, {}
+        self.run, self.memo_size, self.words = run, memo, {}
         self.model = self.tok.model
         added = self.tok.get_added_tokens_decoder()
         if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
@@ -93,24 +100,48 @@ class Bpe:
         return b"".join(self.special.get(part) or self._plain(part)
                         for part in self.find_special.split(text) if part)
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids) of all texts; each distinct word of the batch is encoded once.
+
+        A space before a sign other than white space starts a new word of the
+        pre-split, so texts in which each space is one are cut there."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        odd = pc.match_substring_regex(texts, ODD_SPACE)
+        for special in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, special))
+        odd = odd.to_numpy(zero_copy_only=False)
+        even = texts.filter(pa.array(~odd))
+        cut = pc.split_pattern(even, " ")
+        starts = cut.offsets.to_numpy()[:-1]
+        words = cut.flatten().dictionary_encode()
+        which = words.indices.to_numpy().astype(np.int64)
+        first = words.dictionary.take(pa.array(which[starts])).to_pylist()
+        seen, distinct = self.words, words.dictionary.to_pylist()
+        known = [seen.get(p) or (self._piece(p) if len(p) <= self.run else self._plain(p))
+                 for p in [" " + w for w in distinct]]
+        known += [self._plain(w) for w in first]
+        which[starts] = len(distinct) + np.arange(len(first))
+        ids, ends = _gather(known, which, np.append(starts, len(which)))
+        if not odd.any():
+            return ends, ids
+        rows = np.split(ids, ends[1:-1]) if len(ends) > 1 else []
+        even_rows, all_rows = iter(rows), []
+        for text, is_odd in zip(texts.to_pylist(), odd, strict=True):
+            all_rows.append(self.encode(text) if is_odd else next(even_rows))
+        return np.cumsum([0, *map(len, all_rows)], dtype=np.int64), np.concatenate(all_rows)
+
     def _plain(self, text: str) -> bytes:
-        memo = self.memo
-        return b"".join([memo.get(p) or self._piece(p) for p in PIECES.findall(text)])
+        words = self.words
+        return b"".join([words.get(p) or self._piece(p) for p in PIECES.findall(text)])
 
     def _piece(self, piece: str) -> bytes:
+        """Text that starts and ends at a boundary of the pre-split."""
         if len(piece) > self.run:
             return self._halves(piece).astype("<u4", copy=False).tobytes()
-        if max(piece) < "\u0250":   # letters and digits no Unicode version moves
-            words, body = self.words, piece[piece[0] == " ":]
-            if body.isalpha():
-                out = words.get(piece) or self._word(piece)
-            else:
-                out = b"".join([words.get(w) or self._word(w) for w in PRESPLIT.findall(piece)])
-        else:
-            out = self._library(piece).astype("<u4", copy=False).tobytes()
-        if len(self.memo) < self.memo_size and len(piece) <= 64:
-            self.memo[piece] = out
-        return out
+        if MOVING.search(piece):
+            return self._library(piece).astype("<u4", copy=False).tobytes()
+        words = self.words
+        return b"".join([words.get(w) or self._word(w) for w in PRESPLIT.findall(piece)])
 
     def _word(self, word: str) -> bytes:
         """One word of the pre-split, by the library's own merge model."""
@@ -174,6 +205,17 @@ class Bpe:
         return b"".join([raw[i] for i in ids]).decode("utf-8", "replace")
 
 
+def _gather(known: list[bytes], which: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the words ``which`` in a row, and the offsets of the texts
+    that begin at the words ``starts``."""
+    size = np.array([len(k) // 4 for k in known], np.int64)
+    table, begin = np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size
+    n = size[which]
+    end = np.cumsum(n)
+    at = np.repeat(begin[which] - (end - n), n) + np.arange(end[-1] if len(end) else 0)
+    return table[at], np.append(0, end)[starts]
+
+
 def _agree(x: np.ndarray, y: np.ndarray) -> int:
     n = min(len(x), len(y))
     same = x[:n] == y[:n]
@@ -201,9 +243,9 @@ def _encode_short(rows: DataFrame, tokenizer: str, kind: str) -> DataFrame:
         bpe = Bpe(tokenizer)
 
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [bpe.encode(t) for t in b.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays([b.column(0), int_lists(ids)], ["key", "ids"])
-        yield from by_slices(one)(batches)
+            return pa.RecordBatch.from_arrays([b.column(0), int_lists(*bpe.encode_all(b.column(1)))],
+                                              ["key", "ids"])
+        yield from by_slices(one, max_bytes=SLICE)(batches)
     return rows.mapInArrow(run, f"key {kind}, ids array<int>")
 
 
@@ -225,7 +267,8 @@ def _encode_long(rows: DataFrame, tokenizer: str, kind: str, leaf: int) -> DataF
         bpe = Bpe(tokenizer)
 
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [bpe.encode(t).tobytes() for t in b.column(3).to_pylist()]
+            ends, flat = bpe.encode_all(b.column(3))
+            ids = [flat[s:e].tobytes() for s, e in zip(ends, ends[1:], strict=False)]
             return pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(ids, pa.binary())],
                                               ["row", "key", "part", "ids"])
         yield from by_slices(one)(batches)

@@ -52,11 +52,12 @@ def slices(batch: pa.RecordBatch, text: str, max_bytes: int = 16 << 20) -> Itera
         yield batch.slice(start)
 
 
-def by_slices(fn: Callable[[pa.RecordBatch], pa.RecordBatch], text: str = "text"):
+def by_slices(fn: Callable[[pa.RecordBatch], pa.RecordBatch], text: str = "text",
+              max_bytes: int = 16 << 20):
     """A mapInArrow function that applies ``fn`` to bounded slices."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, max_bytes):
                 yield fn(part)
     return run
 
@@ -66,8 +67,7 @@ def raw(texts: pa.StringArray) -> list[bytes | None]:
     return texts.cast(pa.binary()).to_pylist()
 
 
-def int_lists(rows: list[np.ndarray], dtype=np.int32) -> pa.ListArray:
-    """A list column built from one flat buffer."""
-    ends = np.cumsum([0, *map(len, rows)], dtype=np.int64)
-    flat = np.concatenate(rows).astype(dtype, copy=False) if rows else np.zeros(0, dtype)
-    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+def int_lists(offsets: np.ndarray, flat: np.ndarray, dtype=np.int32) -> pa.ListArray:
+    """A list column over one flat buffer."""
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)),
+                                    pa.array(flat.astype(dtype, copy=False)))

@@ -5,14 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import use_utc
+from ..session import fresh_dir, use_utc
 from ..sources.tables import table
-from . import bpe, decontaminate, near_dedup, quality_classifier, quality_rules
+from . import (bpe, decontaminate, near_dedup, quality_classifier, quality_rules, sharding,
+               token_files)
 from .common import QueryFn
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 TOKENIZER = "byte_bpe_50k.json"
+END_ID = 2
+SHARDS = 8
 
 
 def register(name: str, sql: str | None = None):
@@ -64,3 +67,20 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, test item) where the document holds the item."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op5_token_files")
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum, read back from the token files."""
+    path = fresh_dir(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path,
+                             public_tokenizers.path(TOKENIZER), END_ID)
+    return token_files.with_starts(token_files.read_tokens(spark, path))
+
+
+@register("op10_sharding")
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of nearly equal bytes, equal texts together."""
+    packed = sharding.pack(table(spark, sf_dir, "documents"), shards=SHARDS)
+    return packed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
