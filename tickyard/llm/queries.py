@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import fresh_dir, use_utc
 from ..sources.tables import table
 from . import (bpe, decontaminate, near_dedup, quality_classifier, quality_rules, sharding,
-               token_files)
+               token_files, url_filter, warc_zip)
 from .common import QueryFn
 
 QUERIES: dict[str, QueryFn] = {}
@@ -16,6 +16,8 @@ ORACLE: dict[str, str] = {}
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SHARDS = 8
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/")]
 
 
 def register(name: str, sql: str | None = None):
@@ -84,3 +86,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = sharding.pack(table(spark, sf_dir, "documents"), shards=SHARDS)
     return packed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op6_warc_zip")
+def op6_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from ZIP-packaged archives."""
+    path = fresh_dir(spark, "warc")
+    warc_zip.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc_zip.read_archives(spark, path).drop("payload", "url")
+
+
+@register("op7_url_filter")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's URL; the model learns from the URLs that rules decide."""
+    pages = table(spark, sf_dir, "pages")
+    model = url_filter.train(url_filter.labelled_by_rules(pages, URL_RULES))
+    return url_filter.judge(pages, URL_RULES, model, "page_id")
