@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import fresh_dir, use_utc
 from ..sources.tables import table
-from . import (bpe, decontaminate, near_dedup, quality_classifier, quality_rules, sharding,
-               token_files, url_filter, warc_zip)
+from . import (bpe, decontaminate, html_extract, near_dedup, quality_classifier, quality_rules,
+               sharding, token_files, url_filter, warc_zip)
 from .common import QueryFn
 
 QUERIES: dict[str, QueryFn] = {}
@@ -33,6 +33,13 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_html_extract")
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 @register("op2_bpe")
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text decoded from them, as digests."""
