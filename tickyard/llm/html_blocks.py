@@ -22,7 +22,7 @@ CLOSES = {   # a start tag that ends an open element of these names
     "th": ("td", "th"), "option": ("option",), "thead": ("tr",), "tbody": ("tr", "thead"), "tfoot": ("tr", "tbody")}
 SCOPES = frozenset("table ul ol dl select body html".split())
 
-TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 MARKS = re.compile(r"(?:^|\s)(class|id|role|data-main)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME_WORDS = re.compile(r"[a-z]+")
 
