@@ -8,13 +8,17 @@ similarity s share a key unless all left or all right groups differ:
 miss = 1 - (1 - (1 - s**3)**12) * (1 - (1 - s**2)**10), 2e-4 at s = 0.8 and
 4e-5 at 0.85; a document has that chance with each of its neighbours.
 
-Equal sets are one class before any table is built.  Candidates are taken in two rounds:
-first every member of a table's bucket with the bucket's smallest member; then,
-after these links are verified and joined to components, the pairs of one
-bucket that lie in different components.  Pairs inside one component could add
-no information, so no pair that matters is left out and a large group of
-copies costs a number of rows linear in its size.  Every link is confirmed on
-the full sets.
+Equal sets are one class before any table is built.  Candidates are taken in two
+steps.  First every member of a table's bucket with one member, the bucket's
+leader; which member leads changes from table to table, so a document in a large
+group meets TURNS leaders.  These links are verified and joined to components.
+Then, for the documents of buckets that still hold more than one component, the
+pairs across components: of these only pairs that share a shingle among their
+rarest ones, at a place where enough of both sets is left, can reach the
+similarity (prefix and positional filter of exact set joins, which lose
+nothing).  Pairs inside a component add no information.  So a large group of
+copies costs rows in proportion to its size, and heavily edited copies fall out
+by their own rare shingles.  Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -22,13 +26,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import by_slices, raw, stored
 from .graph import components
 
 LEFT, LEFT_ROWS = 12, 3
 RIGHT, RIGHT_ROWS = 10, 2
+TURNS = 4               # leaders that a member of a large group meets
 PERCENT = 80            # similarity, in hundredths, from which sets are linked
 BROADCAST_IDS = 1_000_000   # ids of 8 bytes; more of them are joined by a shuffle
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -207,35 +212,72 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = PERCENT, key: st
 
 def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
     """Confirmed links between classes, enough of them for the components."""
-    sizes = classes.select("id", "n")
     keys = table_keys(classes)
-    buckets = (keys.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last"))
-               .filter("lead < last").select("key", "lead"))
+    mixed_id = F.col("id").bitwiseXOR(_mask())
+    buckets = (keys.groupBy("key").agg(F.min(mixed_id).alias("first"), F.max(mixed_id).alias("last"))
+               .filter("first < last").select("key", F.col("first").bitwiseXOR(_mask()).alias("lead")))
     members = stored(keys.join(buckets, "key"), "dedup-buckets")
+    pairs = (members.filter("id <> lead")
+             .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct())
+    n = lambda c: classes.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"))
+    sized = (pairs.join(n("a"), "a").join(n("b"), "b")
+             .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b"))
+    first = stored(sized, "dedup-pairs")
+    stars = stored(confirmed(first, docs, width, percent, key, text), "dedup-links")
 
-    def sized(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes allow the similarity at all."""
-        n = lambda c: sizes.withColumnsRenamed({"id": c, "n": f"n_{c}"})
-        return (pairs.join(n("a"), "a").join(n("b"), "b")
-                .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-                .select("a", "b"))
-
-    first = sized(members.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))
-                  .distinct())
-    stars = stored(confirmed(stored(first, "dedup-pairs"), docs, width, percent, key, text), "dedup-links")
     part = components(stars)
     placed = members.join(part.withColumnsRenamed({"node": "id"}), "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("part"))
-    mixed = (placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q"))
-             .filter("p < q").select("key"))
-    rest = stored(placed.join(mixed, "key"), "dedup-mixed")
-    x, y = (rest.withColumnsRenamed({"id": c, "part": f"p_{c}"}) for c in "ab")
-    second = sized(x.join(y, "key").filter("p_a < p_b")
-                   .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    several = (placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q"))
+               .filter("p < q").select("key"))
+    open_ids = stored(placed.join(several, "key").select("id", "part").distinct(), "dedup-open")
+    second = _across(open_ids, docs, width, percent, key, text)
     second = stored(second.join(first, ["a", "b"], "left_anti"), "dedup-pairs")
     return stars.unionByName(confirmed(second, docs, width, percent, key, text))
 
 
+def _mask() -> Column:
+    """A constant per turn of a table key; ids are compared after XOR with it."""
+    return F.xxhash64(F.pmod("key", F.lit(TURNS)))
+
+
+def _across(members: DataFrame, docs: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
+    """Pairs (a, b) of ``members`` (id, part) in different parts that can reach the
+    similarity.
+
+    A document's shingles are placed from the rarest (among the members) to the
+    most frequent.  Sets of similarity s share one of their first
+    n - ceil(s n) + 1 shingles, and from the places of a shared shingle on they
+    can have no more in common than is left of either."""
+    sets = stored(sets_of(docs, members.select("id").distinct(), width, key, text), "dedup-sets")
+
+    def spread(batches):
+        for batch in batches:
+            for i, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                values = np.frombuffer(x.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(values), i)), pa.array(np.full(len(values), len(values))),
+                     pa.array(values)], ["id", "n", "shingle"])
+
+    rows = sets.mapInArrow(spread, "id bigint, n bigint, shingle bigint").join(members, "id")
+    common = (rows.groupBy("shingle").agg(F.count("*").alias("df"), F.min("part").alias("p"), F.max("part").alias("q"))
+              .filter("df > 1").select("shingle", "df", (F.col("p") < F.col("q")).alias("across")))
+    order = Window.partitionBy("id").orderBy("df", "shingle")
+    prefix = (rows.join(common, "shingle", "left").withColumn("df", F.coalesce("df", F.lit(1)))
+              .withColumn("at", F.row_number().over(order))
+              .filter((F.col("at") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1) & F.col("across"))
+              .select("id", "part", "n", "shingle", "at"))
+    prefix = stored(prefix, "dedup-prefixes")
+    x, y = (prefix.select(F.col("id").alias(c), F.col("part").alias(f"p_{c}"), F.col("n").alias(f"n_{c}"),
+                          "shingle", F.col("at").alias(f"at_{c}")) for c in "ab")
+    need = percent * (F.col("n_a") + F.col("n_b"))       # of 100 + percent times the common shingles
+    left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) + 1
+    can = ((F.col("p_a") < F.col("p_b")) & ((100 + percent) * left >= need)
+           & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
+    return (x.join(y, "shingle").filter(can)
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def survivors(docs: DataFrame, width: int, percent: int = PERCENT) -> DataFrame:
     """One row of ``docs`` for each component, all columns as they were: the one
     with the smallest doc_id.  Rows without a doc_id or without words all stay;
