@@ -82,6 +82,7 @@ class Bpe:
         ) if self.special else None
         alphabet = byte_chars()
         self.char_of = {b: c for c, b in alphabet.items()}
+        self.space = self.char_of[ord(" ")]
         self.raw: list[bytes] = [b""] * self.tok.get_vocab_size(with_added_tokens=True)
         for token, i in self.tok.get_vocab(with_added_tokens=False).items():
             self.raw[i] = bytes(alphabet[c] for c in token)
@@ -117,8 +118,7 @@ class Bpe:
         which = words.indices.to_numpy().astype(np.int64)
         first = words.dictionary.take(pa.array(which[starts])).to_pylist()
         seen, distinct = self.words, words.dictionary.to_pylist()
-        known = [seen.get(p) or (self._piece(p) if len(p) <= self.run else self._plain(p))
-                 for p in [" " + w for w in distinct]]
+        known = [seen.get(" " + w) or self._spaced(w) for w in distinct]
         known += [self._plain(w) for w in first]
         which[starts] = len(distinct) + np.arange(len(first))
         ids, ends = _gather(known, which, np.append(starts, len(which)))
@@ -134,6 +134,17 @@ class Bpe:
         words = self.words
         return b"".join([words.get(p) or self._piece(p) for p in PIECES.findall(text)])
 
+    def _spaced(self, word: str) -> bytes:
+        """A space and text without one; plain words with a comma or a full stop
+        are looked up as two."""
+        if word.isascii() and len(word) <= 64:
+            if word.isalpha():
+                return self._word(" " + word)
+            if word[-1:] in (",", ".") and word[:-1].isalpha():
+                stem = " " + word[:-1]
+                return (self.words.get(stem) or self._word(stem)) + (self.words.get(word[-1]) or self._word(word[-1]))
+        return self._piece(" " + word) if len(word) < self.run else self._plain(" " + word)
+
     def _piece(self, piece: str) -> bytes:
         """Text that starts and ends at a boundary of the pre-split."""
         if len(piece) > self.run:
@@ -145,7 +156,10 @@ class Bpe:
 
     def _word(self, word: str) -> bytes:
         """One word of the pre-split, by the library's own merge model."""
-        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.char_of))
+        if word.isascii() and word[1:].isalpha() and word[0] == " ":
+            tokens = self.model.tokenize(self.space + word[1:])      # letters stand for themselves
+        else:
+            tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.char_of))
         out = pack(f"<{len(tokens)}I", *[t.id for t in tokens])
         if len(self.words) < self.memo_size and len(word) <= 64:
             self.words[word] = out
