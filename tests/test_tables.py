@@ -1,5 +1,9 @@
 import datetime as dt
+import glob
+import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickyard.operators import dedupe as U
@@ -77,10 +81,10 @@ def test_interrupted_swap_is_finished_by_recover(spark):
     b = _df(spark, [(D2, "A", "2", 20.0, 2), (D2, "A", "9", 9.0, 2)])
     staging = fresh_dir(spark, "test-staging")
     b.write.partitionBy("trade_date").parquet(staging)
-    K._write_text(spark, f"{path}/{K.PENDING_SWAP}", staging)
-    assert K.recover(spark, path, b.schema, "trade_date") is True
+    K._write_text(spark, f"{path}/{K.PENDING_SWAP}", json.dumps({"staging": staging, "cols": ["trade_date"]}))
+    assert K.recover(spark, path) is True
     assert _content(spark, path) == [(D1, "A", "1", 1.0, 1), (D2, "A", "2", 20.0, 2), (D2, "A", "9", 9.0, 2)]
-    assert K.recover(spark, path, b.schema, "trade_date") is False
+    assert K.recover(spark, path) is False
 
 
 def test_upsert_reports_rows_without_extra_job(spark):
@@ -107,3 +111,81 @@ def test_upsert_caps_records_per_file(spark):
     assert len(glob.glob(path.replace("file:", "") + "/trade_date=*/*.parquet")) >= 5
     K.upsert(_df(spark, rows[:5]), path, KEYS, "version", "trade_date", max_records_per_file=10)
     assert spark.read.parquet(path).count() == 50
+
+
+def test_rows_without_a_day_are_kept_and_replaced(spark):
+    path = fresh_dir(spark, "test-tables")
+    for k, price in (("1", 1.0), ("2", 2.0), ("3", 3.0), ("1", 9.0)):
+        K.upsert(_df(spark, [(None, "A", k, price, int(price))]), path, KEYS, "version", "trade_date")
+    K.upsert(_df(spark, [(D1, "A", "1", 5.0, 1)]), path, KEYS, "version", "trade_date")
+    assert sorted((r.trade_date is None, r.event_id, r.price) for r in K.read_table(spark, path).collect()) == [
+        (False, "1", 5.0), (True, "1", 9.0), (True, "2", 2.0), (True, "3", 3.0)]
+    assert K.expire(spark, path, 1, "2024-02-01") == [D1]
+    assert K.read_table(spark, path).count() == 3
+
+
+def test_rows_without_an_id_are_not_merged(spark):
+    path = fresh_dir(spark, "test-tables")
+    rows = [(D1, "A", None, float(i), 1) for i in range(5)] + [(D1, "A", None, 0.0, 1)]
+    for _ in range(2):      # the replay doubles nothing
+        K.upsert(_df(spark, rows), path, KEYS, "version", "trade_date")
+    assert sorted(r.price for r in K.read_table(spark, path).collect()) == [0.0, 1.0, 2.0, 3.0, 4.0]
+
+
+def test_columns_come_and_stay(spark):
+    path = fresh_dir(spark, "test-tables")
+    K.upsert(_df(spark, [(D1, "A", "1", 1.0, 1), (D2, "A", "2", 2.0, 1)]).withColumn("note", F.lit("old")),
+             path, KEYS, "version", "trade_date")
+    K.upsert(_df(spark, [(D1, "A", "3", 3.0, 1)]), path, KEYS, "version", "trade_date")
+    K.upsert(_df(spark, [(D2, "A", "4", 4.0, 1)]).withColumn("extra", F.lit(7)), path, KEYS, "version", "trade_date")
+    got = {r.event_id: (r.note, r.extra) for r in K.read_table(spark, path).collect()}
+    assert got == {"1": ("old", None), "2": ("old", None), "3": (None, None), "4": (None, 7)}
+    with pytest.raises(ValueError):
+        K.upsert(_df(spark, [(D1, "A", "5", 3.0, 1)]).withColumn("note", F.lit(1)), path, KEYS, "version", "trade_date")
+
+
+def test_small_batch_rewrites_one_bucket(spark):
+    path = fresh_dir(spark, "test-tables")
+    rows = [(D1, "A", str(i), 1.0, 1) for i in range(400)]
+    K.upsert(_df(spark, rows), path, KEYS, "version", "trade_date", buckets=8)
+    files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/*/*/part-*")}
+    before = files()
+    out = K.upsert(_df(spark, [(D1, "A", "7", 2.0, 2)]), path, KEYS, "version", "trade_date", buckets=3)
+    after = files()
+    changed = {os.path.dirname(f) for f, _ in set(before.items()) ^ set(after.items())}
+    assert out["folders"] == 1 and len(changed) == 1 and len({os.path.dirname(f) for f in after}) == 8
+    got = {r.event_id: r.price for r in K.read_table(spark, path).collect()}
+    assert len(got) == 400 and got["7"] == 2.0 and "key_bucket" not in K.read_table(spark, path).columns
+
+
+def test_newer_write_wins_at_equal_versions(spark):
+    path = fresh_dir(spark, "test-tables")
+    for price in (5.0, 2.0):
+        K.upsert(_df(spark, [(D1, "A", "1", price, 1)]), path, KEYS, "version", "trade_date")
+    assert _content(spark, path) == [(D1, "A", "1", 2.0, 1)]
+
+
+def test_input_is_evaluated_once(spark):
+    """A day that depends on when it is computed does not disturb other days."""
+    path = fresh_dir(spark, "test-tables")
+    K.upsert(_df(spark, [(D1, "A", "1", 1.0, 1), (D2, "A", "2", 1.0, 1), (D3, "A", "3", 1.0, 1)]), path, KEYS,
+             "version", "trade_date")
+    moving = spark.range(1).select(
+        F.element_at(F.array(*[F.lit(d) for d in (D1, D2, D3)]), (F.floor(F.rand() * 3) + 1).cast("int")).alias("trade_date"),
+        F.lit("A").alias("symbol"), F.lit("9").alias("event_id"), F.lit(9.0).alias("price"),
+        F.lit(1).cast("bigint").alias("version"))
+    K.upsert(moving, path, KEYS, "version", "trade_date")
+    assert sorted(r.event_id for r in K.read_table(spark, path).collect()) == ["1", "2", "3", "9"]
+
+
+def test_dedupe_keeps_trades_without_an_id(spark):
+    df = spark.createDataFrame([("A", None, 1.0), ("A", None, 2.0), ("A", None, 2.0), ("A", "x", 3.0), ("A", "x", 4.0)],
+                               "symbol string, event_id string, price double")
+    assert sorted(r.price for r in U.dedupe(df, ("symbol", "event_id"), ("price",)).collect()) == [1.0, 2.0, 3.0]
+
+
+def test_end_time_is_inclusive_to_the_microsecond(spark):
+    path = fresh_dir(spark, "files")
+    spark.sql("SELECT timestamp_micros(1704067200000000 + id * 100) AS trade_time FROM range(20)").write.parquet(path)
+    assert K.load_historical(spark, path, "2024-01-01 00:00:00", "2024-01-01 00:00:00.000500").count() == 6
+    assert K.load_historical(spark, path, "2024-01-01", "2024-01-01").count() == 20

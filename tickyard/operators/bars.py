@@ -7,30 +7,30 @@ a hot symbol is combined before the shuffle and never lands whole in one task.
 
 Two tie-break orders are offered:
 
-* ``"hash"`` (default): one DECIMAL(38,0) key = event-time microseconds, then
-  a 64-bit hash of (event_id, price, volume).  Every aggregation buffer is
-  fixed-width, so Spark plans a HashAggregate (about 2x faster than the
-  sort-based path, measured at 2.4M rows).  Deterministic whatever the
-  partitioning; rows tied to the microsecond are ordered by the hash.
-* ``"lexicographic"``: struct (event_time, event_id, price, volume), exactly
-  SQL's ``arg_min(price, row(...))``; the struct buffer forces a
-  SortAggregate.  Use it when time ties are common and the tie order must be
-  the id order (day-grain timestamps).
+* ``"arrival"`` (default): struct (event_time, processed_at, event_id, price,
+  volume), exactly SQL's ``arg_min(price, row(...))``.  Ticks of one
+  millisecond are ordered by when they arrived, then by id.  The struct buffer
+  makes Spark plan a SortAggregate.
+* ``"hash"``: one DECIMAL(38,0) key = event-time microseconds, then a 64-bit
+  hash of (event_id, price, volume).  Every aggregation buffer is fixed-width,
+  so Spark plans a HashAggregate (about 2x faster, measured at 2.4M rows).  It
+  does not depend on the partitioning, but ticks tied to the microsecond come
+  in hash order: choose it only for data without ties.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import spread
 
+# Time, then arrival, then the id; the rest makes the order total.
+ORDER_COLS = ("event_time", "processed_at", "event_id", "price", "volume")
 
-ORDER_COLS = ("event_time", "event_id", "price", "volume")
 
-
-def trade_order(cols=ORDER_COLS) -> Column:
-    """Total order over trades, used to pick the open and the close."""
-    return F.struct(*[F.col(c) for c in cols])
+def trade_order(columns=ORDER_COLS) -> Column:
+    """Total order over trades, used to pick the open and the close: those of
+    ORDER_COLS that the frame has (``columns``)."""
+    return F.struct(*[F.col(c) for c in ORDER_COLS if c in columns])
 
 
 _HASH_SPAN = "CAST(18446744073709551616 AS DECIMAL(38,0))"  # 2^64
@@ -43,12 +43,12 @@ def trade_order_key(time_col: str = "event_time", tie_cols=("event_id", "price",
     return F.unix_micros(F.col(time_col)).cast("decimal(38,0)") * F.expr(_HASH_SPAN) + unsigned
 
 
-def order_for(tie_break: str) -> Column:
+def order_for(tie_break: str, columns=ORDER_COLS) -> Column:
     if tie_break == "hash":
         return trade_order_key()
-    if tie_break == "lexicographic":
-        return trade_order()
-    raise ValueError("tie_break must be 'hash' or 'lexicographic'")
+    if tie_break == "arrival":
+        return trade_order(columns)
+    raise ValueError("tie_break must be 'arrival' or 'hash'")
 
 
 def window_bounds(window_col: str = "window") -> list[Column]:
@@ -71,8 +71,8 @@ def basic_bars(trades: DataFrame, every: str = "1 minute",
                     "total_volume", "trade_count"))
 
 
-def ohlcv_aggs(order: Column | None = None, tie_break: str = "hash") -> list[Column]:
-    order = order_for(tie_break) if order is None else order
+def ohlcv_aggs(order: Column | None = None, tie_break: str = "arrival", columns=ORDER_COLS) -> list[Column]:
+    order = order_for(tie_break, columns) if order is None else order
     return [
         F.sum("volume").alias("total_volume"),
         F.avg("price").alias("avg_price"),
@@ -88,18 +88,11 @@ def ohlcv_aggs(order: Column | None = None, tie_break: str = "hash") -> list[Col
 
 
 def ohlcv_bars(trades: DataFrame, every: str = "1 minute", time_col: str = "event_time",
-               order: Column | None = None, tie_break: str = "hash") -> DataFrame:
-    """B2 + B4: OHLCV bars with sample-stddev volatility and VWAP.
-
-    The hash path reads its input as split: the hash aggregate is cheaper per
-    row than a round-robin shuffle (measured).  The sort-based lexicographic
-    path spreads an under-split input first, since sorting one big task is
-    slower than the shuffle (measured ~20% at 600k rows)."""
-    if tie_break == "lexicographic":
-        trades = spread(trades)
+               order: Column | None = None, tie_break: str = "arrival") -> DataFrame:
+    """B2 + B4: OHLCV bars with sample-stddev volatility and VWAP."""
     return (trades
             .groupBy(F.window(time_col, every).alias("window"), "symbol")
-            .agg(*ohlcv_aggs(order, tie_break))
+            .agg(*ohlcv_aggs(order, tie_break, trades.columns))
             .select("symbol", *window_bounds(), "total_volume", "avg_price", "high_price",
                     "low_price", "open_price", "close_price", "trade_count",
                     "price_volatility", "vwap"))

@@ -13,8 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import spread
 from .bars import ORDER_COLS
+from .tables import key_or_content
 
 # Default key of a trade: producer id plus the day it belongs to is not needed;
 # the (symbol, event_id) pair is unique by contract.
@@ -29,12 +29,16 @@ def survivor_order(df: DataFrame, order: Sequence[str] = ORDER_COLS) -> Column:
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER_COLS,
            keep: str = "first") -> DataFrame:
-    """One row per key; ``keep='first'`` (earliest) or ``'last'`` (latest)."""
+    """One row per key; ``keep='first'`` (earliest) or ``'last'`` (latest).
+
+    A row with a NULL in its key has no identity and is matched by its whole
+    content: only exact copies of it are removed."""
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
     row = F.struct(*[F.col(c) for c in df.columns])
     pick = F.min_by if keep == "first" else F.max_by
-    return (spread(df).groupBy(*keys)
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() != "map"]
+    return (df.groupBy(*keys, key_or_content(keys, plain).alias("_content"))
               .agg(pick(row, survivor_order(df, order)).alias("_row"))
               .select("_row.*"))
 
@@ -47,7 +51,7 @@ def deduplicate_trades(df: DataFrame, legacy_key: bool = False, keep: str = "fir
     frame carries it, then the earliest by (event_time, event_id, price,
     volume)."""
     keys = ("symbol", "timestamp") if legacy_key else TRADE_KEY
-    order = (("processed_at",) if "processed_at" in df.columns else ()) + ORDER_COLS
+    order = tuple(dict.fromkeys(("processed_at", *ORDER_COLS)))
     return dedupe(df, keys, order, keep)
 
 

@@ -8,28 +8,44 @@ rewrites the partitions its input touches.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from ..functions.columns import date_bucket
 from ..session import fresh_dir
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
-    """Read a table; ``None`` when it does not exist yet.  With a schema the
-    partition column keeps its declared type (a bucket like 20240105 would
-    otherwise be inferred as INT)."""
-    p, fs = _fs(spark, path)
-    if not fs.exists(p):  # a new table: no failed read, no error in the logs
-        return None
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
+# Files in the table folder; names that start with '_' are ignored by Spark's readers.
+TABLE_INFO = "_table_info"       # schema and bucket count, JSON
+PENDING_SWAP = "_pending_swap"   # the staged merge whose folders are being moved in
+BUCKET = "key_bucket"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def table_info(spark: SparkSession, path: str) -> dict | None:
+    """Schema and bucket count that ``upsert`` recorded; None for other folders."""
+    text = _read_text(spark, f"{path.rstrip('/')}/{TABLE_INFO}")
+    return json.loads(text) if text else None
+
+
+def _folder_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The recorded schema, else the one that all files together have."""
+    info = table_info(spark, path)
+    if info:
+        return StructType.fromJson(info["schema"])
+    df = _read(spark, path, None, mergeSchema="true")
+    return df.schema if df is not None else None
+
+
+def _read(spark: SparkSession, path: str, schema: StructType | None, **options) -> DataFrame | None:
+    r = spark.read.options(**options)
     try:
-        return r.parquet(path)
+        return (r.schema(schema) if schema is not None else r).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) \
                 or "UNABLE_TO_INFER_SCHEMA" in str(e):
@@ -37,6 +53,20 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
         raise
 
 
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """Read a table; ``None`` when it does not exist yet.  Without a schema the
+    recorded one is used, so rows of days written before a column was added
+    show it as NULL, and the partition column keeps its declared type."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):  # a new table: no failed read, no error in the logs
+        return None
+    info = table_info(spark, path)
+    if schema is None and info:
+        schema = StructType.fromJson(info["schema"])
+    df = _read(spark, path, schema)
+    return df.drop(BUCKET) if df is not None else None
+
+
 def write_layout(df: DataFrame, partition_col: str, n: int | None = None,
                  cluster: Sequence[Column | str] = ()) -> DataFrame:
     """K4 + K5: range-partition the rows by (date, clustering columns) into
@@ -65,90 +95,166 @@ def repartition_by_symbol(df: DataFrame, n: int = 10, salt: int = 8, key: str =
     return df.repartition(n, F.col(key), F.pmod(F.xxhash64(spread_col), F.lit(salt)))
 
 
-def _partition_filter(values: list, col: str) -> Column:
-    return F.col(col).isin(values) if values else F.lit(False)
-
-
 def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
            partition_col: str, cluster: Sequence[Column | str] = (),
            writers: int | None = None, keep_staging: bool = False,
-           max_records_per_file: int | None = None) -> dict:
+           max_records_per_file: int | None = None, buckets: int | None = None) -> dict:
     """K1 (+K2, K4, K5): replay-safe keyed upsert, last *version* wins.
 
-    1. The touched partition values (one per day: bounded by the time span,
-       not the row count) are the only thing brought to the driver.
-    2. Existing rows of those partitions are read with a partition filter,
-       unioned with the new rows, and reduced to one row per key with
-       ``max_by(row, version)`` - an aggregate combined map-side, so a hot key
-       never forms one big group.
-    3. The result is written to a staging folder under the shared work root
-       (the target is also an input), a ``_pending_swap`` marker naming it is
-       written, and it is swapped in with dynamic partition overwrite:
-       partitions not touched stay as they are.  A crash during the swap is
-       finished by the next call (``recover``).  A new table is written
-       directly, without staging.
-    Replaying an old batch changes nothing, because a row only replaces
-    another when its version is greater or equal.  ``max_records_per_file``
-    caps file size on top of the AQE-sized writer tasks.  Returns a small
-    summary (touched partitions, input rows).
+    The table is split into folders by ``partition_col`` (a date, text or whole
+    number) and, with ``buckets``, by a hash of the other key columns; a batch
+    rewrites only the folders that its keys fall into.
+
+    1. The input is persisted, so it is evaluated once.  The touched folders
+       (days x buckets: bounded by the time span, not the row count) are the
+       only thing brought to the driver.
+    2. Rows of those folders are read, unioned with the new rows by column
+       name (a column that one side lacks is NULL there) and reduced to one
+       row per key with ``max_by(row, version)``, an aggregate combined
+       map-side, so a hot key never forms one big group.
+    3. The result is written to a staging folder under the shared work root, a
+       ``_pending_swap`` marker naming it is written, and each staged folder is
+       moved in place of the old one.  A crash in between is finished by the
+       next call (``recover``).  A new table is written directly.
+
+    A row whose key columns are partly NULL has no identity: it is matched by
+    its whole content, so it is neither merged with others nor doubled by a
+    replay.  Rows without a ``partition_col`` value have a folder of their own.
+    Replaying an old batch changes nothing, because a row only replaces another
+    when its version is greater or equal; at equal versions the incoming row
+    wins.  ``buckets`` counts for a new table; later calls use the recorded
+    count.  ``max_records_per_file`` caps file size on top of the AQE-sized
+    writer tasks.  Returns a small summary (touched partitions, input rows).
     """
     spark = df.sparkSession
     if partition_col not in keys:
         raise ValueError("the key must contain the partition column")
+    kind = df.schema[partition_col].dataType.typeName()
+    if kind not in ("date", "string", "integer", "long"):
+        raise ValueError(f"a table cannot be partitioned by a {kind} column")
+    recover(spark, path)  # finish a swap a crash interrupted
+    old_schema = _folder_schema(spark, path)
+    info = table_info(spark, path)
+    n = (info or {}).get("buckets", 1) if old_schema is not None else (buckets or 1)
     ver = F.col(version) if isinstance(version, str) else version
     incoming = df.withColumn("_ver", ver)
-    # The input row count rides on the job that finds the touched days
+    if n > 1:
+        others = [F.col(k) for k in keys if k != partition_col]
+        incoming = incoming.withColumn(BUCKET, F.pmod(F.xxhash64(*others), F.lit(n)).cast("int"))
+    incoming = incoming.persist()
+    try:
+        return _merge_into(spark, incoming, df.schema, old_schema, path, keys, ver, partition_col, cluster,
+                           writers, keep_staging, max_records_per_file, n)
+    finally:
+        incoming.unpersist()
+
+
+def _merge_into(spark, incoming, new_schema, old_schema, path, keys, ver, partition_col, cluster, writers,
+                keep_staging, max_records_per_file, n) -> dict:
+    folder_cols = [partition_col] + ([BUCKET] if n > 1 else [])
+    # The input row count rides on the job that finds the touched folders
     obs = Observation("upsert_input")
-    counted = incoming.select(partition_col).observe(obs, F.count(F.lit(1)).alias("rows"))
-    touched = [r[0] for r in counted.distinct().collect()]
+    counted = incoming.select(*folder_cols).observe(obs, F.count(F.lit(1)).alias("rows"))
+    touched = {tuple(NULL_FOLDER if v is None else str(v) for v in r) for r in counted.distinct().collect()}
     rows = obs.get.get("rows", 0)
     if not touched:  # K2: nothing to do for an empty batch (no extra job)
         return {"partitions": 0, "rows": rows, "written": False}
-    order = cluster or [k for k in keys if k != partition_col]
-    recover(spark, path, df.schema, partition_col)  # finish a swap a crash interrupted
-    current = read_table(spark, path, df.schema)
+    order = list(cluster) or [k for k in keys if k != partition_col]
     cap = {"maxRecordsPerFile": str(max_records_per_file)} if max_records_per_file else {}
-    if current is None:  # new table: nothing to merge with, no staging copy needed
-        (write_layout(_latest_per_key(incoming, df, keys), partition_col, writers, order)
-         .write.options(**cap).mode("overwrite").partitionBy(partition_col).parquet(path))
-        return {"partitions": len(touched), "rows": rows, "written": True, "staging": None}
-    old = current.filter(_partition_filter(touched, partition_col)).withColumn("_ver", ver)
-    merged = _latest_per_key(old.unionByName(incoming), df, keys)
+    schema = _union_schema(old_schema, new_schema)
+
+    def write(merged: DataFrame, to: str) -> None:
+        (write_layout(merged, partition_col, writers, ([BUCKET] if n > 1 else []) + order)
+         .write.options(**cap).mode("overwrite").partitionBy(*folder_cols).parquet(to))
+
+    summary = {"partitions": len({t[0] for t in touched}), "folders": len(touched), "rows": rows, "written": True}
+    if old_schema is None:  # new table: nothing to merge with, no staging copy needed
+        write(_latest_per_key(incoming, new_schema, keys, partition_col, n), path)
+        _write_info(spark, path, schema, n)
+        return {**summary, "staging": None}
+    present = {v: f for v, f in _folders(spark, path, folder_cols).items() if v in touched}
+    new = incoming.withColumn("_new", F.lit(1))
+    if present:
+        old = (spark.read.schema(_with_bucket(schema, n)).option("basePath", path)
+               .parquet(*present.values()).withColumn("_ver", ver).withColumn("_new", F.lit(0)))
+        new = old.unionByName(new, allowMissingColumns=True)
     staging = fresh_dir(spark, "staging")
-    (write_layout(merged, partition_col, writers, order)
-     .write.options(**cap).mode("overwrite").partitionBy(partition_col).parquet(staging))
-    _write_text(spark, f"{path.rstrip('/')}/{PENDING_SWAP}", staging)
-    _swap_in(spark, staging, path, df.schema, partition_col, cap)
+    write(_latest_per_key(new, schema, keys, partition_col, n), staging)
+    strange = set(_folders(spark, staging, folder_cols)) - touched
+    if strange:
+        raise RuntimeError(f"the input gave other partitions when it was read again: {sorted(strange)[:3]}")
+    _write_info(spark, path, schema, n)
+    _write_text(spark, f"{path.rstrip('/')}/{PENDING_SWAP}", json.dumps({"staging": staging, "cols": folder_cols}))
+    _move_in(spark, staging, path, folder_cols)
     _delete(spark, f"{path.rstrip('/')}/{PENDING_SWAP}")
-    if not keep_staging:  # the swap is committed; the staged copy is no longer needed
+    if not keep_staging:
         _delete(spark, staging)
-    return {"partitions": len(touched), "rows": rows, "written": True, "staging": staging}
+    return {**summary, "staging": staging}
 
 
-# Marker in the table folder naming the staged merge being swapped in.  Files
-# starting with '_' are ignored by Spark's readers.
-PENDING_SWAP = "_pending_swap"
+def _union_schema(old: StructType | None, new: StructType) -> StructType:
+    """The stored columns, then the new ones; a column keeps its stored type."""
+    if old is None:
+        return new
+    fields = [f for f in old.fields if f.name != BUCKET]
+    known = {f.name: f for f in fields}
+    for f in new.fields:
+        if f.name in known and known[f.name].dataType.simpleString() != f.dataType.simpleString():
+            raise ValueError(f"column {f.name} is {known[f.name].dataType.simpleString()} in the table, "
+                             f"{f.dataType.simpleString()} in the batch")
+    return StructType([StructField(f.name, f.dataType, True) for f in fields]
+                      + [StructField(f.name, f.dataType, True) for f in new.fields if f.name not in known])
 
 
-def _swap_in(spark: SparkSession, staging: str, path: str, schema: StructType, partition_col: str,
-             options: dict | None = None) -> None:
-    staged = spark.read.schema(schema).parquet(staging)
-    (staged.write.options(**(options or {})).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+def _with_bucket(schema: StructType, n: int) -> StructType:
+    return StructType([*schema.fields, StructField(BUCKET, IntegerType())]) if n > 1 else schema
 
 
-def recover(spark: SparkSession, path: str, schema: StructType, partition_col: str) -> bool:
-    """Finish an upsert whose partition swap was interrupted (driver crash
-    during the overwrite commit).  The staged merge is complete before the
-    marker is written, so re-running the swap from it is safe and
-    idempotent.  Returns True when a swap was finished."""
+def _write_info(spark: SparkSession, path: str, schema: StructType, n: int) -> None:
+    text = json.dumps({"schema": schema.jsonValue(), "buckets": n}, sort_keys=True)
+    if _read_text(spark, f"{path.rstrip('/')}/{TABLE_INFO}") != text:
+        _write_text(spark, f"{path.rstrip('/')}/{TABLE_INFO}", text)
+
+
+def _folders(spark: SparkSession, path: str, cols: Sequence[str]) -> dict[tuple[str, ...], str]:
+    """Partition values -> folder, from directory listings of ``cols`` levels."""
+    found = {(): path.rstrip("/")}
+    for col in cols:
+        found = {(*values, unquote(name[len(col) + 1:])): f"{folder}/{name}"
+                 for values, folder in found.items() for name in _names(spark, folder)
+                 if name.startswith(f"{col}=")}
+    return found
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    p, fs = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _move_in(spark: SparkSession, staging: str, path: str, cols: Sequence[str]) -> None:
+    """Move each staged folder in place of the table's; those already moved are
+    no longer there, so a repeated call goes on where the first one ended."""
+    for folder in _folders(spark, staging, cols).values():
+        source, fs = _fs(spark, folder)
+        target, _ = _fs(spark, path.rstrip("/") + folder[len(staging.rstrip("/")):])
+        fs.delete(target, True)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(source, target):
+            raise RuntimeError(f"could not move {folder} to {target}")
+
+
+def recover(spark: SparkSession, path: str, *_) -> bool:
+    """Finish an upsert whose swap was interrupted (driver crash while folders
+    were moved).  The staged merge is complete before the marker is written.
+    Returns True when a swap was finished."""
     marker = f"{path.rstrip('/')}/{PENDING_SWAP}"
-    staging = _read_text(spark, marker)
-    if not staging:
+    text = _read_text(spark, marker)
+    if not text:
         return False
-    _swap_in(spark, staging, path, schema, partition_col)
+    pending = json.loads(text)
+    _move_in(spark, pending["staging"], path, pending["cols"])
     _delete(spark, marker)
-    _delete(spark, staging)
+    _delete(spark, pending["staging"])
     return True
 
 
@@ -196,13 +302,26 @@ def backfill_from_files(spark: SparkSession, source: str, target: str, start, en
     return upsert(rows, target, keys, version, partition_col)
 
 
-def _latest_per_key(rows: DataFrame, like: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: the highest ``_ver``; ties broken by the row's
-    orderable columns so the survivor never depends on shuffle order."""
-    row = F.struct(*[F.col(c) for c in like.columns])
-    tie = [F.col(f.name) for f in like.schema.fields if f.dataType.typeName() != "map"]
-    return (rows.groupBy(*keys)
-            .agg(F.max_by(row, F.struct(F.col("_ver"), *tie)).alias("_r"))
+def key_or_content(keys: Sequence[str], content: Sequence[Column | str]) -> Column:
+    """NULL for a complete key; else a hash of the row's content, which as one
+    more grouping column keeps rows without a full key apart."""
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    return F.when(missing, F.xxhash64(*content))
+
+
+def _latest_per_key(rows: DataFrame, schema: StructType, keys: Sequence[str], partition_col: str,
+                    n: int) -> DataFrame:
+    """One row per key: the highest ``_ver``, then the newer write, then the
+    row's orderable columns, so the survivor never depends on shuffle order."""
+    if "_new" not in rows.columns:
+        rows = rows.withColumn("_new", F.lit(1))
+    names = schema.names + ([BUCKET] if n > 1 else [])
+    plain = [F.col(f.name) for f in schema.fields if f.dataType.typeName() != "map"]
+    identity = key_or_content([k for k in keys if k != partition_col], plain)
+    return (rows.groupBy(*keys, identity.alias("_content"))
+            .agg(F.max_by(F.struct(*[F.col(c) for c in names]), F.struct("_ver", "_new", *plain)).alias("_r"))
             .select("_r.*"))
 
 
@@ -230,25 +349,16 @@ def load_historical(spark: SparkSession, path: str, start, end, fmt: str = "parq
     lo = F.lit(str(start)).cast("timestamp")
     end_s = str(end)
     hi = (F.lit(end_s).cast("date") + F.expr("INTERVAL 1 DAY")).cast("timestamp") if len(end_s) <= 10 \
-        else F.lit(end_s).cast("timestamp") + F.expr("INTERVAL 1 MILLISECOND")
-    return df.filter((F.col(time_col) >= lo) & (F.col(time_col) < hi))
+        else F.lit(end_s).cast("timestamp")
+    upto = F.col(time_col) < hi if len(end_s) <= 10 else F.col(time_col) <= hi   # a time is inclusive
+    return df.filter((F.col(time_col) >= lo) & upto)
 
 
 def partition_values(spark: SparkSession, path: str, partition_col: str) -> list[str]:
     """The values of the top-level partition folders (``col=value``) of a
     table, from one directory listing: no file is opened, so the cost grows
     with the number of partitions (days), not with the data."""
-    from urllib.parse import unquote
-    p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    prefix = f"{partition_col}="
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefix):
-            out.append(unquote(name[len(prefix):]))
-    return sorted(out)
+    return sorted(v for v, in _folders(spark, path, [partition_col]))
 
 
 def expired_partitions(spark: SparkSession, path: str, days: int, as_of,
@@ -258,8 +368,9 @@ def expired_partitions(spark: SparkSession, path: str, days: int, as_of,
     as_of_day = _dt.datetime.fromisoformat(str(as_of)).date() if not isinstance(as_of, _dt.date) \
         else (as_of.date() if isinstance(as_of, _dt.datetime) else as_of)
     cutoff = as_of_day - _dt.timedelta(days=days)
-    return [_dt.date.fromisoformat(v) for v in partition_values(spark, path, partition_col)
-            if _dt.date.fromisoformat(v) < cutoff]
+    days_there = [_dt.date.fromisoformat(v) for v in partition_values(spark, path, partition_col)
+                  if v != NULL_FOLDER]     # rows without a day never expire
+    return [d for d in days_there if d < cutoff]
 
 
 def expire(spark: SparkSession, path: str, days: int, as_of,
@@ -273,21 +384,16 @@ def expire(spark: SparkSession, path: str, days: int, as_of,
     return gone
 
 
-def live_rows(df: DataFrame, days: int, as_of, partition_col: str = "trade_date") -> DataFrame:
-    """Readers' view of retention (same cutoff as ``expire``)."""
-    cutoff = F.date_sub(F.lit(str(as_of)).cast("timestamp").cast("date"), days)
-    return df.filter(F.col(partition_col) >= cutoff)
-
-
 def backfill(spark: SparkSession, source: str, target: str, start, end, keys: Sequence[str],
              version: str, granularity: str = "daily", batch_days: int | None = None,
              partition_col: str = "trade_date", time_col: str = "event_time",
-             schema: StructType | None = None) -> list[dict]:
+             schema: StructType | None = None, writers: int | None = None) -> list[dict]:
     """K7/K8: copy [start, end] (inclusive days) from a source table into the
     target with date buckets, through the keyed upsert.
 
     One partition-pruned job by default; ``batch_days`` splits the range into
-    consecutive slices (each its own upsert) for very long ranges.  No sleep
+    consecutive slices (each its own upsert) for very long ranges; ``writers``
+    fixes the number of writer tasks of each.  No sleep
     between slices: back-pressure is the cluster's job.
     """
     d0 = _dt.date.fromisoformat(str(start)[:10])
@@ -299,6 +405,6 @@ def backfill(spark: SparkSession, source: str, target: str, start, end, keys: Se
         b = min(d1, a + _dt.timedelta(days=step - 1))
         rows = scan_range(spark, source, a.isoformat(), b.isoformat(), partition_col, schema)
         rows = rows.withColumn("date_bucket", date_bucket(time_col, granularity))
-        out.append(upsert(rows, target, keys, version, partition_col))
+        out.append(upsert(rows, target, keys, version, partition_col, writers=writers))
         a = b + _dt.timedelta(days=1)
     return out

@@ -66,27 +66,81 @@ _KEYS = ("trade_date", "symbol", "event_id")
 
 
 @register("upsert_result", _SQL_DATED + f""",
-a AS (SELECT *, 1 AS version FROM t WHERE trade_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-15'),
-b AS (SELECT * REPLACE (price + 1 AS price), 2 AS version FROM t
-      WHERE trade_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'),
+a AS (SELECT *, 1 AS version FROM t WHERE CAST(event_id AS BIGINT) % 4 <> 3),
+b AS (SELECT * REPLACE (price + 1 AS price), 2 AS version FROM t WHERE CAST(event_id AS BIGINT) % 4 >= 2),
 c AS (SELECT * FROM a WHERE trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'),
 u AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c)
 SELECT {_SQL_TABLE_OUT} FROM (
   SELECT *, row_number() OVER (PARTITION BY trade_date, symbol, event_id ORDER BY version DESC) AS rn FROM u)
 WHERE rn = 1""")
 def upsert_result(spark, sf_dir):
-    """K1 (+K2, K4, K5): three overlapping batches, the last one a replay of
-    older data; the table keeps the highest version of every key."""
+    """K1 (+K2, K4, K5): overlapping batches that together hold the whole table,
+    then a replay of older data; the highest version of every key stays."""
     t = _dated(ev_trades(spark, sf_dir)).withColumn("version", F.lit(1))
-    a = t.filter(_between("2024-01-01", "2024-01-15"))
-    b = (t.filter(_between("2024-01-10", "2024-01-20"))
+    part = F.pmod(F.col("event_id").cast("bigint"), F.lit(4))
+    a = t.filter(part != 3)
+    b = (t.filter(part >= 2)
          .withColumn("price", F.col("price") + 1).withColumn("version", F.lit(2)))
     c = a.filter(_between("2024-01-05", "2024-01-12"))
     path = fresh_dir(spark, "tables")
     for batch in (a, b, c, c.limit(0)):
         K.upsert(batch, path, _KEYS, "version", "trade_date",
                  cluster=[F.col("symbol"), F.col("event_time").desc()])
-    return _table_out(spark.read.parquet(path))
+    return _table_out(K.read_table(spark, path))
+
+
+@register("upsert_null_day", f"""
+WITH t AS (SELECT *, CASE WHEN CAST(event_id AS BIGINT) % 5 = 0 THEN NULL ELSE CAST(event_time AS DATE) END AS trade_date,
+           CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 THEN NULL ELSE event_id END AS id FROM ({SQL_EV_TRADES}))
+SELECT CASE WHEN id IS NULL THEN -1 ELSE CAST(id AS BIGINT) END AS event_id, symbol,
+       CASE WHEN CAST(event_id AS BIGINT) % 2 = 0 AND id IS NOT NULL THEN price + 1 ELSE price END AS price,
+       coalesce(strftime(trade_date, '%Y-%m-%d'), 'none') AS trade_date FROM t""")
+def upsert_null_day(spark, sf_dir):
+    """K1: rows without a day and rows without an id, in three batches, the first
+    one replayed and half of the table updated; nothing is lost or doubled."""
+    n = F.col("event_id").cast("bigint")
+    t = _dated(ev_trades(spark, sf_dir)).withColumns({
+        "n": n, "trade_date": F.when(n % 5 != 0, F.col("trade_date")),
+        "event_id": F.when(n % 3 != 0, F.col("event_id")), "version": F.lit(1)})
+    first, second = t.filter("n % 2 = 1"), t.filter("n % 2 = 0")
+    update = (second.filter("event_id is not null")
+              .withColumn("price", F.col("price") + 1).withColumn("version", F.lit(2)))
+    path = fresh_dir(spark, "tables")
+    for batch in (first, second, update, first):
+        K.upsert(batch, path, _KEYS, "version", "trade_date", buckets=2)
+    return K.read_table(spark, path).select(
+        F.coalesce(F.col("event_id").cast("bigint"), F.lit(-1)).alias("event_id"), "symbol", "price",
+        F.coalesce(F.date_format("trade_date", "yyyy-MM-dd"), F.lit("none")).alias("trade_date"))
+
+
+@register("upsert_schema_evolution", _SQL_DATED + """
+SELECT CAST(event_id AS BIGINT) AS event_id, price,
+       CASE WHEN CAST(event_id AS BIGINT) % 3 = 0 THEN volume END AS volume,
+       CASE WHEN CAST(event_id AS BIGINT) % 3 = 1 THEN symbol END AS note FROM t""")
+def upsert_schema_evolution(spark, sf_dir):
+    """K1: batches with different columns; each row keeps the columns it came with."""
+    t = _dated(ev_trades(spark, sf_dir)).withColumn("version", F.lit(1))
+    part = F.pmod(F.col("event_id").cast("bigint"), F.lit(3))
+    base = ["trade_date", "symbol", "event_id", "price", "version"]
+    path = fresh_dir(spark, "tables")
+    for batch in (t.filter(part == 0).select(*base, "volume"),
+                  t.filter(part == 1).select(*base, F.col("symbol").alias("note")),
+                  t.filter(part == 2).select(*base)):
+        K.upsert(batch, path, _KEYS, "version", "trade_date")
+    return K.read_table(spark, path).select(F.col("event_id").cast("bigint").alias("event_id"), "price", "volume",
+                                            "note")
+
+
+@register("dedupe_missing_ids", f"""
+WITH t AS (SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 2 = 0 THEN NULL ELSE event_id END AS event_id)
+           FROM ({SQL_EV_TRADES}))
+SELECT coalesce(event_id, 'none') AS event_id, symbol, price, volume, "timestamp" FROM t""")
+def dedupe_missing_ids(spark, sf_dir):
+    """Every trade sent twice, half of them without an id; each stays once."""
+    t = ev_trades(spark, sf_dir)
+    t = t.withColumn("event_id", F.when(F.col("event_id").cast("bigint") % 2 != 0, F.col("event_id")))
+    return U.deduplicate_trades(t.unionByName(t)).select(
+        F.coalesce("event_id", F.lit("none")).alias("event_id"), "symbol", "price", "volume", "timestamp")
 
 
 def _write_dated(spark, df: DataFrame) -> str:
@@ -118,7 +172,7 @@ def backfill_range(spark, sf_dir):
     dst = fresh_dir(spark, "tables")
     K.backfill(spark, src, dst, "2024-01-05", "2024-01-09", keys=_KEYS, version="version",
                granularity="hourly", batch_days=2, schema=t.schema)
-    return _table_out(spark.read.parquet(dst), "date_bucket")
+    return _table_out(K.read_table(spark, dst), "date_bucket")
 
 
 @register("load_historical", f"""
@@ -151,6 +205,6 @@ def backfill_files(spark, sf_dir):
         K.backfill_from_files(spark, src, dst, "2024-01-20 00:00:00", "2024-01-25",
                               keys=("trade_date", "symbol", "event_id"), version="processed_at",
                               schema=t.schema)
-    out = spark.read.parquet(dst)
+    out = K.read_table(spark, dst)
     return out.select(F.col("event_id").cast("bigint").alias("event_id"), "symbol", "price", "volume",
                       "timestamp", "trade_year", "trade_month", "trade_day", "trade_hour")

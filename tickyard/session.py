@@ -52,15 +52,18 @@ def use_utc(spark: SparkSession) -> None:
 def work_root(spark: SparkSession) -> str:
     """Shared folder for tables, staging and stream checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's shared location).  Only
-    when it is unset - local tests - is a folder under the system temp dir
-    chosen and registered, so that ``DataFrame.checkpoint()`` works too.
+    Read from ``spark.checkpoint.dir`` (the cluster's shared location).  When it
+    is unset a local master gets a folder under the system temp dir, registered
+    so that ``DataFrame.checkpoint()`` works too; on a cluster, where executors
+    would each write to their own disk, that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
         root = os.path.join(tempfile.gettempdir(), "tickyard-checkpoints")
         if sc is not None:
@@ -89,16 +92,3 @@ def parallelism(spark: SparkSession) -> int:
 def fresh_dir(spark: SparkSession, kind: str) -> str:
     """A new, unique path below the shared work folder."""
     return f"{work_root(spark)}/tickyard/{kind}/{uuid.uuid4().hex}"
-
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin a batch frame over the cluster when it arrives badly
-    under-split: fewer partitions than a quarter of the cores (one big
-    non-splittable file, a single row group).  A no-op for normally split
-    inputs and for streams, so a large input is never reshuffled just to gain
-    a little parallelism; before heavy per-row work it keeps every core busy
-    instead of one."""
-    if df.isStreaming or _context(df.sparkSession) is None:
-        return df
-    want = min_partitions or parallelism(df.sparkSession)
-    return df.repartition(want) if df.rdd.getNumPartitions() * 4 <= want else df
