@@ -42,7 +42,7 @@ CASES = [
     ("price zero", msg(price=0), ["price_not_positive"]),
     ("volume negative", msg(volume=-1), ["volume_negative"]),
     ("volume zero", msg(volume=0), []),
-    ("volume NaN text", msg(volume="NaN"), []),
+    ("volume NaN text", msg(volume="NaN"), ["volume_nan"]),
     ("timestamp x", msg(timestamp="x"), ["timestamp_parse_failed"]),
     ("timestamp list", msg(timestamp=[1]), ["timestamp_invalid_type"]),
     ("timestamp ISO naive", msg(timestamp="2024-01-30T12:00:00"), []),

@@ -27,7 +27,8 @@ def _backfill(a) -> None:
         print(json.dumps(out, default=str))
     else:
         for r in K.backfill(spark, a.source, a.target, a.start, a.end, keys, a.version,
-                            granularity=a.granularity, batch_days=a.batch_days, time_col=a.time_col):
+                            granularity=a.granularity, batch_days=a.batch_days, time_col=a.time_col,
+                            writers=a.partitions):
             print(json.dumps(r, default=str))
 
 
@@ -37,11 +38,13 @@ def _ingest(a) -> None:
     spark = get_session(a.master, rocksdb_state=a.rocksdb)
     if a.kafka:
         rows = S.kafka_stream(spark, a.kafka, a.topic, starting_offsets=a.starting_offsets,
-                              max_offsets_per_trigger=a.max_offsets)
+                              max_offsets_per_trigger=a.max_offsets,
+                              fail_on_data_loss=not a.allow_data_loss)
     else:
         rows = S.file_stream(spark, a.files, max_files_per_trigger=a.max_files)
-    qs = J.start_trades_and_bars(rows, a.trades_table, a.bars_path, a.checkpoint, every=a.window,
-                                 delay=a.delay, trigger=a.trigger, available_now=a.available_now)
+    qs = J.start_ingest(rows, a.trades_table, a.bars_path, a.dlq_path, a.checkpoint, every=a.window,
+                        delay=a.delay, trigger=a.trigger, available_now=a.available_now,
+                        source_topic=a.topic, buckets=a.buckets)
     if a.available_now:
         for q in qs:
             q.awaitTermination()
@@ -63,6 +66,7 @@ def main(argv=None) -> None:
     b.add_argument("--batch-days", type=int, default=None)
     b.add_argument("--version", default="processed_at")
     b.add_argument("--time-col", default="event_time")
+    b.add_argument("--partitions", type=int, default=None, help="writer tasks per slice")
     b.add_argument("--files", action="store_true", help="source is plain files, not a dated table")
     b.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     b.set_defaults(fn=_backfill)
@@ -73,8 +77,11 @@ def main(argv=None) -> None:
     src.add_argument("--kafka")
     i.add_argument("--topic", default="market")
     i.add_argument("--starting-offsets", default="latest")
-    i.add_argument("--max-offsets", type=int, default=10000)
-    i.add_argument("--max-files", type=int, default=1)
+    i.add_argument("--max-offsets", type=int, default=None, help="rate cap per trigger")
+    i.add_argument("--allow-data-loss", action="store_true", help="go on when broker offsets are lost")
+    i.add_argument("--dlq-path", required=True, help="sink of rejected messages")
+    i.add_argument("--buckets", type=int, default=1, help="key buckets of a new trade table")
+    i.add_argument("--max-files", type=int, default=None, help="rate cap per trigger")
     i.add_argument("--trades-table", required=True)
     i.add_argument("--bars-path", required=True)
     i.add_argument("--checkpoint", required=True)

@@ -97,7 +97,7 @@ SELECT symbol,
 FROM t GROUP BY ALL"""
 
 
-ORDER_SQL = "row(event_time, event_id, price, volume)"
+ORDER_SQL = "row(event_time, processed_at, event_id, price, volume)"
 
 
 def bars_out(df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import notional
 from ..operators import bars as B
 from .catalog import (ORDER_SQL, SQL_EV_TRADES, SQL_LI_TRADES, bars_out, ev_trades,
                       li_trades, ms, r6, register, sql_bars, sql_ms, sql_r6)
@@ -17,8 +18,18 @@ def ohlcv_1h(spark, sf_dir):
 
 @register("ohlcv_daily_lineitem", sql_bars(SQL_LI_TRADES, "day", ORDER_SQL))
 def ohlcv_daily_lineitem(spark, sf_dir):
-    """Daily bars over lineitem trades: many time ties, order needs 4 fields."""
-    return bars_out(B.ohlcv_bars(li_trades(spark, sf_dir), "1 day", tie_break="lexicographic"))
+    """Daily bars over lineitem trades: time and arrival tie, the id decides."""
+    return bars_out(B.ohlcv_bars(li_trades(spark, sf_dir), "1 day"))
+
+
+_TIED = f"SELECT * REPLACE (date_trunc('hour', event_time) AS event_time) FROM ({SQL_EV_TRADES})"
+
+
+@register("ohlcv_tied_1d", sql_bars(_TIED, "day", ORDER_SQL))
+def ohlcv_tied_1d(spark, sf_dir):
+    """B2, default order: all trades of an hour share one time, arrival decides."""
+    tied = ev_trades(spark, sf_dir).withColumn("event_time", F.date_trunc("hour", "event_time"))
+    return bars_out(B.ohlcv_bars(tied, "1 day"))
 
 
 @register("basic_bar_1h", f"""
@@ -45,9 +56,9 @@ FROM t GROUP BY ALL""")
 def vwap_1h(spark, sf_dir):
     """B4 + P11: hourly VWAP and notional (sum of price*volume)."""
     t = ev_trades(spark, sf_dir)
+    t = t.withColumn("n", notional())
     return (t.groupBy(F.window("event_time", "1 hour").alias("w"), "symbol")
-            .agg(F.try_divide(F.sum(F.col("price") * F.col("volume")), F.sum("volume")).alias("vwap"),
-                 F.sum(F.col("price") * F.col("volume")).alias("notional"))
+            .agg(F.try_divide(F.sum("n"), F.sum("volume")).alias("vwap"), F.sum("n").alias("notional"))
             .select("symbol", ms("w.start").alias("window_start"), r6("vwap").alias("vwap"),
                     r6("notional").alias("notional")))
 

@@ -14,27 +14,33 @@ AS_OF = "2024-01-31 00:00:00"
 # Expected outcome of each mutation, written as SQL over the source rows.
 _DIRTY = f"""
 WITH e AS (
-  SELECT event_id, event_id % 16 AS m, upper(event_type) AS sym, value AS p,
+  SELECT event_id, event_id % 24 AS m, upper(event_type) AS sym, value AS p,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
          CAST(epoch_ms(TIMESTAMP '{AS_OF}') AS BIGINT) - ((event_id * 7919) % 86000) * 1000 AS base_ms
   FROM events),
 r AS (
   SELECT *,
     CASE m WHEN 8 THEN NULL WHEN 9 THEN CAST('NaN' AS DOUBLE) WHEN 10 THEN -p ELSE p END AS price,
-    CASE m WHEN 11 THEN -(CAST(k AS INTEGER) + 1) WHEN 12 THEN 1000.0 ELSE k END AS volume,
-    CASE m WHEN 13 THEN NULL WHEN 14 THEN CAST(epoch_ms(TIMESTAMP '{AS_OF}') AS BIGINT) - 90000000
+    CASE m WHEN 11 THEN -(CAST(k AS INTEGER) + 1) WHEN 12 THEN 1000.0 WHEN 17 THEN NULL WHEN 19 THEN NULL
+           WHEN 22 THEN CAST('NaN' AS DOUBLE) ELSE k END AS volume,
+    CASE m WHEN 13 THEN NULL WHEN 18 THEN NULL WHEN 20 THEN NULL WHEN 23 THEN NULL WHEN 14 THEN CAST(epoch_ms(TIMESTAMP '{AS_OF}') AS BIGINT) - 90000000
            ELSE base_ms END AS ts_ms
   FROM e),
 v AS (
   SELECT *,
-    CASE WHEN m = 3 THEN 'missing_symbol;missing_price'
+    CASE WHEN m = 21 THEN 'message_not_json'
+         WHEN m = 3 THEN 'missing_symbol;missing_price'
+         WHEN m = 17 THEN 'missing_volume'
+         WHEN m = 18 THEN 'missing_timestamp'
          WHEN m = 4 THEN 'missing_symbol'
          ELSE concat_ws(';',
            CASE WHEN m IN (5, 6, 7) THEN 'symbol_invalid' END,
            CASE WHEN m = 8 THEN 'price_not_number_or_invalid'
                 WHEN isnan(price) OR NOT price > 0 THEN 'price_not_positive' END,
-           CASE WHEN volume < 0 THEN 'volume_negative' END,
-           CASE WHEN m = 13 THEN 'timestamp_parse_failed'
+           CASE WHEN m = 19 THEN 'volume_not_number_or_invalid' WHEN isnan(volume) THEN 'volume_nan'
+                WHEN volume < 0 THEN 'volume_negative' END,
+           CASE WHEN m IN (13, 23) THEN 'timestamp_parse_failed'
+                WHEN m = 20 THEN 'timestamp_invalid_type'
                 WHEN m = 14 THEN 'timestamp_out_of_range' END,
            CASE WHEN m = 15 THEN 'event_id_empty' END)
     END AS errors
@@ -54,36 +60,85 @@ def validate_errors(spark, sf_dir):
     return v.select("event_id", F.array_join("errors", ";").alias("errors"), "is_valid")
 
 
-@register("validate_valid", _DIRTY + """
-SELECT CAST(event_id AS VARCHAR) AS event_id, sym AS symbol, price, volume, ts_ms AS "timestamp"
-FROM v WHERE errors = ''""")
-def validate_valid(spark, sf_dir):
-    """D8 + D9 main path: normalized typed rows of the valid messages."""
-    return Q.valid_trades(_validated(spark, sf_dir)).select("event_id", "symbol", "price", "volume",
-                                                            "timestamp")
+# All fields of a valid message; an absent id is derived from the content, whose
+# number texts SQL spells otherwise, so that id is compared by its length.
+SQL_FIELDS = """CASE m WHEN 16 THEN 'derived 64' ELSE CAST(event_id AS VARCHAR) END AS event_id, sym AS symbol, price,
+       volume, ts_ms AS "timestamp", 'c' || m AS conditions, base_ms + CAST(k AS INTEGER) AS processed_at,
+       'venue={"id":' || event_id || '}' AS extra, ts_ms AS event_time"""
+
+
+def fields_out(trades):
+    derived = F.concat(F.lit("derived "), F.length("event_id").cast("string"))
+    extra = F.array_join(F.transform(F.map_entries("extra"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return trades.select(
+        F.when(F.length("event_id") == 64, derived).otherwise(F.col("event_id")).alias("event_id"), "symbol",
+        "price", "volume", "timestamp", F.array_join("conditions", ",").alias("conditions"), "processed_at",
+        extra.alias("extra"), F.unix_millis("event_time").alias("event_time"))
 
 
-@register("validate_strict", _DIRTY.replace(
-    "CASE WHEN volume < 0 THEN 'volume_negative' END",
-    "CASE WHEN NOT volume > 0 THEN 'volume_not_positive' END") + """
-SELECT event_id, errors FROM v""")
+@register("validate_valid", _DIRTY + f"""
+SELECT {SQL_FIELDS} FROM v WHERE errors = ''""")
+def validate_valid(spark, sf_dir):
+    """D8 + D9 main path + P3: all fields of the valid messages."""
+    return fields_out(Q.valid_trades(_validated(spark, sf_dir)))
+
+
+@register("latency_valid_p95", _DIRTY + """
+SELECT CAST(quantile_disc(CAST(k AS INTEGER), 0.95) AS BIGINT) AS p95_ms, count(*) AS n FROM v
+WHERE errors = '' AND m NOT IN (14)""")
+def latency_valid_p95(spark, sf_dir):
+    """M3 on validated trades: their arrival time is still there."""
+    t = Q.valid_trades(_validated(spark, sf_dir))
+    lat = t.select((F.col("processed_at") - F.col("timestamp")).alias("lat"))
+    return lat.agg(F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY lat)").cast("bigint").alias("p95_ms"),
+                   F.count("*").alias("n"))
+
+
+_STRICT = _DIRTY.replace("v AS (", "v0 AS (") + """,
+v AS (SELECT *, CASE WHEN m = 21 THEN 'message_not_json'
+  WHEN m = 3 THEN 'missing_symbol' WHEN m = 17 THEN 'missing_volume' WHEN m = 18 THEN 'missing_timestamp'
+  ELSE concat_ws(';',
+    CASE WHEN m = 8 THEN 'price_not_number_or_invalid' WHEN isnan(price) OR NOT price > 0 THEN 'price_not_positive' END,
+    CASE WHEN m = 19 THEN 'volume_not_number_or_invalid'
+         WHEN isnan(volume) OR NOT volume > 0 THEN 'volume_not_positive' END,
+    CASE WHEN m IN (2, 13, 23) THEN 'timestamp_parse_failed' WHEN m = 20 THEN 'timestamp_invalid_type' END) END AS strict
+  FROM v0)"""
+
+
+@register("validate_strict", _STRICT + """
+SELECT event_id, strict AS errors, CASE WHEN strict <> '' THEN '' WHEN m = 4 THEN '  ' WHEN m = 5 THEN lower(sym)
+  WHEN m = 6 THEN sym || chr(10) WHEN m = 7 THEN rpad(sym, 33, 'X') ELSE sym END AS symbol FROM v""")
 def validate_strict(spark, sf_dir):
-    """Strict mode, zero volume is rejected too."""
+    """The second validator's own rules; symbols, ids and time range are not judged."""
     v = _validated(spark, sf_dir, mode="strict")
-    return v.select("event_id", F.array_join("errors", ";").alias("errors"))
+    return v.select("event_id", F.array_join("errors", ";").alias("errors"),
+                    F.when(F.col("is_valid"), F.col("norm.symbol")).otherwise("").alias("symbol"))
+
+
+_STAMP = 1706659200000   # failed_at, given
 
 
-@register("dlq_records", _DIRTY + """
-SELECT event_id, errors AS error_reasons, errors AS error_message, 'VALIDATION_ERROR' AS error_type,
-       CAST(0 AS INTEGER) AS retry_count, 'market' AS source_topic,
-       CAST(length(errors) - length(replace(errors, ';', '')) + 1 AS INTEGER) AS n_errors
+@register("dlq_records", _DIRTY + f"""
+SELECT event_id, errors, errors AS error_reasons, errors AS error_message,
+       CASE WHEN m = 21 THEN 'PARSING_ERROR' ELSE 'VALIDATION_ERROR' END AS error_type,
+       CAST(NULL AS VARCHAR) AS error_stacktrace, CAST({_STAMP} AS BIGINT) AS dlq_timestamp,
+       CAST({_STAMP} AS BIGINT) AS failed_at, CAST(0 AS INTEGER) AS retry_count, 'market' AS source_topic,
+       'ticks' AS original_topic, CAST(event_id % 7 AS INTEGER) AS original_partition,
+       CAST(event_id * 3 AS BIGINT) AS original_offset, sym AS original_key, 'tickyard' AS processor_id, true AS kept
 FROM v WHERE errors <> ''""")
 def dlq_records(spark, sf_dir):
-    """D9 dead-letter path + D11 record shape."""
-    bad = Q.invalid_rows(_validated(spark, sf_dir))
-    d = Q.dlq_records(bad, source_topic="market", carry=["event_id"])
-    return d.select("event_id", "error_reasons", "error_message", "error_type",
-                    "retry_count", "source_topic", F.size("errors").alias("n_errors"))
+    """D9 dead-letter path + D11: all fields, with the message's broker position."""
+    raw = dirty_from_events(table(spark, sf_dir, "events"), AS_OF).join(
+        table(spark, sf_dir, "events").select("event_id", F.upper("event_type").alias("key")), "event_id")
+    raw = raw.withColumns({"topic": F.lit("ticks"), "partition": (F.col("event_id") % 7).cast("int"),
+                           "offset": F.col("event_id") * 3})
+    bad = Q.invalid_rows(Q.validate(raw, as_of=AS_OF))
+    d = Q.dlq_records(bad, source_topic="market", carry=["event_id", "value"],
+                      failed_at=F.lit(_STAMP).cast("bigint"))
+    return d.select("event_id", F.array_join("errors", ";").alias("errors"), "error_reasons", "error_message",
+                    "error_type", "error_stacktrace", "dlq_timestamp", "failed_at", "retry_count", "source_topic",
+                    "original_topic", "original_partition", "original_offset", "original_key", "processor_id",
+                    ((F.col("original") == F.col("value")) & (F.col("original_value") == F.col("value"))).alias("kept"))
 
 
 @register("rejections_by_reason", _DIRTY + """

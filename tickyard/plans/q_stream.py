@@ -11,16 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import quality as Q
+from ..operators.tables import read_table
 from ..session import fresh_dir
 from ..sources.adapters import dirty_from_events, message_rows
 from ..sources.tables import table
 from ..streaming import jobs as J
-from ..streaming.sources import file_stream, write_message_files
+from ..streaming.sources import file_stream
 from .catalog import ORDER_SQL, SQL_EV_TRADES, bars_out, ev_trades, register, sql_bars
-from .q_quality import _DIRTY, AS_OF
+from .q_quality import _DIRTY, AS_OF, SQL_FIELDS, fields_out
+from .replay import write_message_files
 
 SLICES = 8
-FILES_PER_SLICE = 4
 DELAY = "5 minutes"
 
 # Stream event time is the message's epoch-ms timestamp (ms grain).
@@ -33,13 +34,12 @@ def replay_files(spark: SparkSession, sf_dir: str) -> str:
     again = rows.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 SECOND"))
     late = rows.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 3 DAYS"))
     path = fresh_dir(spark, "replay")
-    write_message_files(rows.unionByName(again).unionByName(late), path, SLICES,
-                        files_per_slice=FILES_PER_SLICE)
+    write_message_files(rows.unionByName(again).unionByName(late), path, SLICES)
     return path
 
 
 def replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_stream(spark, replay_files(spark, sf_dir), max_files_per_trigger=FILES_PER_SLICE)
+    return file_stream(spark, replay_files(spark, sf_dir), max_files_per_trigger=1)
 
 
 def _run(q) -> None:
@@ -84,7 +84,7 @@ def stream_bars_update(spark, sf_dir):
     bars = J.bars_stream(J.trades_stream(src, DELAY), "1 hour")
     _run(J.start_upsert(bars, tbl, ("trade_date", "symbol", "window_start"), "trade_date", ck,
                         output_mode="update", available_now=True))
-    return bars_out(spark.read.parquet(tbl))
+    return bars_out(read_table(spark, tbl))
 
 
 @register("publish_messages", _DIRTY + """
@@ -113,19 +113,18 @@ def stream_trades_table(spark, sf_dir):
     """W6 + K1 in foreachBatch: the ingest job's two queries over one replayed
     source; the raw trade table ends with every trade once."""
     src = replay_stream(spark, sf_dir)
-    tbl, bars_path, ck = fresh_dir(spark, "tables"), fresh_dir(spark, "sink"), fresh_dir(spark, "checkpoints")
-    for q in J.start_trades_and_bars(src, tbl, bars_path, ck, every="1 hour", delay=DELAY,
-                                     available_now=True):
+    tbl, bars_path, dlq, ck = (fresh_dir(spark, k) for k in ("tables", "sink", "dlq", "checkpoints"))
+    for q in J.start_ingest(src, tbl, bars_path, dlq, ck, every="1 hour", delay=DELAY, available_now=True,
+                            buckets=4):
         _run(q)
-    t = spark.read.parquet(tbl)
+    t = read_table(spark, tbl)
     return t.select("event_id", "symbol", "price", "volume", "timestamp",
                     F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"), "trade_hour",
                     "date_bucket", "price_change_indicator")
 
 
-@register("stream_routed", _DIRTY + """
-SELECT CAST(event_id AS VARCHAR) AS event_id, sym AS symbol, price, volume, ts_ms AS "timestamp"
-FROM v WHERE errors = ''""")
+@register("stream_routed", _DIRTY + f"""
+SELECT {SQL_FIELDS} FROM v WHERE errors = ''""")
 def stream_routed(spark, sf_dir):
     """D1-D11 as a streaming job: raw messages replayed from files, each
     micro-batch validated once and routed to the main and dead-letter sinks;
@@ -135,9 +134,63 @@ def stream_routed(spark, sf_dir):
                       F.col("value").cast("binary").alias("value"),
                       F.col("received_at").alias("timestamp"))
     path = fresh_dir(spark, "replay")
-    write_message_files(rows, path, SLICES, files_per_slice=FILES_PER_SLICE)
-    src = file_stream(spark, path, max_files_per_trigger=FILES_PER_SLICE) \
+    write_message_files(rows, path, SLICES)
+    src = file_stream(spark, path, max_files_per_trigger=1) \
         .select(F.col("value").cast("string").alias("value"))
     main, dlq, ck = fresh_dir(spark, "sink"), fresh_dir(spark, "dlq"), fresh_dir(spark, "checkpoints")
     _run(J.start_validated_routing(src, main, dlq, ck, as_of=AS_OF, available_now=True))
-    return spark.read.parquet(main).select("event_id", "symbol", "price", "volume", "timestamp")
+    return fields_out(spark.read.parquet(main))
+
+
+_INGEST = f"""
+WITH t AS (SELECT *, CAST(event_id AS BIGINT) % 10 AS m FROM ({_SQL_STREAM_TRADES})),
+good AS (SELECT * FROM t WHERE m NOT IN (1, 2)),
+b AS ({sql_bars("SELECT * FROM good", "hour", ORDER_SQL).replace("WITH t AS", "WITH t2 AS").replace("FROM t GROUP", "FROM t2 GROUP")})
+SELECT 'trade' AS kind, event_id, symbol, price, volume, "timestamp", '' AS errors, '' AS error_type FROM good
+UNION ALL
+SELECT 'bar', '', symbol, close_price, total_volume, window_start, '', '' FROM b
+WHERE window_end <= (SELECT max("timestamp") FROM good) - 300000
+UNION ALL
+SELECT 'dead', event_id, symbol, price, volume, 0,
+       CASE m WHEN 1 THEN 'message_not_json' ELSE 'missing_timestamp' END,
+       CASE m WHEN 1 THEN 'PARSING_ERROR' ELSE 'VALIDATION_ERROR' END FROM t WHERE m IN (1, 2)"""
+
+
+@register("stream_ingest_job", _INGEST)
+def stream_ingest_job(spark, sf_dir):
+    """W6 + D9 + D11: the whole ingest job over a replay in which of ten messages
+    one is cut off, one has no timestamp and one sends its price as text; every
+    message ends as a trade or as a dead letter, and bars hold the trades."""
+    t = ev_trades(spark, sf_dir)
+    m = F.pmod(F.col("event_id").cast("bigint"), F.lit(10))
+    names = ["event_id", "symbol", "price", "volume", "timestamp", "conditions", "processed_at"]
+    body = F.to_json(F.struct(*names))
+    value = (F.when(m == 1, F.concat(F.lit("{"), F.concat_ws("|", "event_id", "symbol", F.col("price").cast("string"),
+                                                             F.col("volume").cast("string"))))
+             .when(m == 2, F.to_json(F.struct(*[n for n in names if n != "timestamp"])))
+             .when(m == 3, F.to_json(F.struct(*[F.col("price").cast("string").alias("price") if n == "price"
+                                                else F.col(n) for n in names])))
+             .otherwise(body))
+    rows = t.select(F.col("symbol").cast("binary").alias("key"), value.cast("binary").alias("value"),
+                    F.col("event_time").alias("timestamp"))
+    path = fresh_dir(spark, "replay")
+    write_message_files(rows, path, SLICES)
+    tbl, bars_path, dlq, ck = (fresh_dir(spark, k) for k in ("tables", "sink", "dlq", "checkpoints"))
+    for q in J.start_ingest(file_stream(spark, path, max_files_per_trigger=2), tbl, bars_path, dlq, ck,
+                            every="1 hour", delay=DELAY, available_now=True):
+        _run(q)
+    none = F.lit("")
+    trades = read_table(spark, tbl).select(F.lit("trade").alias("kind"), "event_id", "symbol", "price", "volume",
+                                           "timestamp", none.alias("errors"), none.alias("error_type"))
+    bars = spark.read.parquet(bars_path).select(
+        F.lit("bar"), none, "symbol", "close_price", "total_volume", F.unix_millis("window_start"), none, none)
+    cut = F.split(F.substring("original", 2, 1000), "\\|")
+    sent = F.from_json("original", "event_id STRING, symbol STRING, price DOUBLE, volume DOUBLE")
+    broken = F.col("error_type") == "PARSING_ERROR"
+    dead = spark.read.parquet(dlq).select(
+        F.lit("dead"), F.when(broken, cut[0]).otherwise(sent["event_id"]),
+        F.when(broken, cut[1]).otherwise(sent["symbol"]),
+        F.when(broken, cut[2].try_cast("double")).otherwise(sent["price"]),
+        F.when(broken, cut[3].try_cast("double")).otherwise(sent["volume"]),
+        F.lit(0).cast("bigint"), "error_reasons", "error_type")
+    return trades.union(bars).union(dead)

@@ -41,23 +41,6 @@ ENVELOPE = T.StructType([
     T.StructField("data", T.ArrayType(RAW_TICK)),
 ])
 
-# Raw message fields read as text, so that the validator sees "150.5" and "abc"
-# instead of the nulls a typed from_json would produce.
-RAW_TEXT = T.StructType([
-    T.StructField("event_id", _S),
-    T.StructField("symbol", _S),
-    T.StructField("price", _S),
-    T.StructField("volume", _S),
-    T.StructField("timestamp", _S),
-])
-
-# Message row as delivered by a broker or the file replay source.
-MESSAGE_ROW = T.StructType([
-    T.StructField("key", T.BinaryType()),
-    T.StructField("value", T.BinaryType()),
-    T.StructField("timestamp", T.TimestampType()),
-])
-
 # Canonical trade frame used by every operator downstream of parsing.
 TRADE_COLUMNS = ["event_id", "symbol", "price", "volume", "timestamp",
                  "event_time", "conditions", "processed_at"]

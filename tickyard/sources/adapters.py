@@ -11,8 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..schemas import TRADE_COLUMNS
-
 
 def _event_time(ts: Column) -> Column:
     # events.ts is TIMESTAMP_NTZ; the session is UTC (session.use_utc), so the
@@ -92,20 +90,20 @@ def envelopes(trades: DataFrame, every: str = "1 second", fanout: int = 8) -> Da
             .select(F.lit("trade").alias("type"), "data"))
 
 
-def ensure_trade_columns(df: DataFrame) -> DataFrame:
-    return df.select(*TRADE_COLUMNS)
-
-
-# Mutation applied by dirty_from_events, chosen by event_id % 16 (fixed list):
-#  0 valid, JSON numbers             8 price "<p>d" (not a Python float)
-#  1 valid, numbers as text          9 price "NaN"
-#  2 valid, ISO-8601 timestamp       10 price negative
-#  3 no symbol key, price null       11 volume negative
-#  4 symbol blank                    12 volume "1_000" (valid, 1000.0)
-#  5 symbol lower case               13 timestamp "x"
-#  6 symbol with trailing newline    14 timestamp as_of - 25 hours
-#  7 symbol of 33 characters         15 event_id blank
-DIRTY_KINDS = 16
+# Mutation applied by dirty_from_events, chosen by event_id % 24 (fixed list):
+#  0 valid, JSON numbers             12 volume "1_000" (valid, 1000.0)
+#  1 valid, numbers as text          13 timestamp "x"
+#  2 valid, ISO-8601 timestamp       14 timestamp as_of - 25 hours
+#  3 no symbol key, price null       15 event_id blank
+#  4 symbol blank                    16 no event_id (valid, derived)
+#  5 symbol lower case               17 no volume
+#  6 symbol with trailing newline    18 no timestamp
+#  7 symbol of 33 characters         19 volume "many"
+#  8 price "<p>d" (not a number)     20 timestamp [1]
+#  9 price "NaN"                     21 cut-off message
+# 10 price negative                  22 volume "NaN"
+# 11 volume negative                 23 timestamp "03:40" (no date)
+DIRTY_KINDS = 24
 
 
 def dirty_from_events(events: DataFrame, as_of: str = "2024-01-31 00:00:00") -> DataFrame:
@@ -124,7 +122,8 @@ def dirty_from_events(events: DataFrame, as_of: str = "2024-01-31 00:00:00") ->
     p = F.col("value").cast("string")
     q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     iso = F.date_format(F.timestamp_millis(base_ms), "yyyy-MM-dd'T'HH:mm:ssXXX")
-    f_id = F.when(m == 15, F.lit('"  "')).otherwise(q(F.col("event_id").cast("string")))
+    f_id = (F.when(m == 15, F.lit('"event_id":"  ",')).when(m == 16, F.lit(""))
+            .otherwise(F.concat(F.lit('"event_id":'), q(F.col("event_id").cast("string")), F.lit(","))))
     f_sym = (F.when(m == 4, F.lit('"  "'))
               .when(m == 5, q(F.lower(sym)))
               .when(m == 6, F.concat(F.lit('"'), sym, F.lit('\\n"')))
@@ -139,15 +138,24 @@ def dirty_from_events(events: DataFrame, as_of: str = "2024-01-31 00:00:00") ->
     f_vol = (F.when(m == 1, q(k))
               .when(m == 11, F.concat(F.lit("-"), (k.cast("int") + 1).cast("string")))
               .when(m == 12, F.lit('"1_000"'))
+              .when(m == 19, F.lit('"many"'))
+              .when(m == 22, F.lit('"NaN"'))
               .otherwise(k))
     f_ts = (F.when(m == 1, q(base_ms.cast("string")))
              .when(m == 2, q(iso))
              .when(m == 13, F.lit('"x"'))
+             .when(m == 20, F.lit("[1]"))
+             .when(m == 23, F.lit('"03:40"'))
              .when(m == 14, (as_of_ms - 25 * 3600 * 1000).cast("string"))
              .otherwise(base_ms.cast("string")))
     sym_part = F.when(m == 3, F.lit("")).otherwise(F.concat(F.lit('"symbol":'), f_sym, F.lit(",")))
-    value = F.concat(F.lit('{"event_id":'), f_id, F.lit(","), sym_part,
-                     F.lit('"price":'), f_price, F.lit(',"volume":'), f_vol,
-                     F.lit(',"timestamp":'), f_ts, F.lit("}"))
+    vol_part = F.when(m == 17, F.lit("")).otherwise(F.concat(F.lit(',"volume":'), f_vol))
+    ts_part = F.when(m == 18, F.lit("")).otherwise(F.concat(F.lit(',"timestamp":'), f_ts))
+    # fields beside the validated ones: conditions, arrival and one the library does not know
+    more = F.concat(F.lit(',"conditions":["c'), m.cast("string"), F.lit('"],"processed_at":'),
+                    (base_ms + k.cast("int")).cast("string"), F.lit(',"venue":{"id":'),
+                    F.col("event_id").cast("string"), F.lit("}"))
+    value = F.concat(F.lit("{"), f_id, sym_part, F.lit('"price":'), f_price, vol_part, ts_part, more,
+                     F.when(m == 21, F.lit("")).otherwise(F.lit("}")))
     return events.select("event_id", value.alias("value"),
                          _event_time(F.col("ts")).alias("received_at"))

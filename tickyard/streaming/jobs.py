@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.columns import (add_partitioning_columns, add_trade_date_hour, date_bucket,
+from ..functions.columns import (add_partitioning_columns, add_trade_date_hour, date_bucket, ingest_stamp,
                                  volume_class, with_trade_time)
-from ..functions.parse import fill_event_id, parse_messages
+from ..functions.quality import dlq_records, invalid_rows, valid_trades, validate, write_routed
 from ..operators.bars import basic_bars, ohlcv_aggs, window_bounds
 from ..operators.tables import upsert
 from ..session import parallelism
@@ -25,22 +25,31 @@ BAR_WINDOW = "1 minute"
 TRIGGER_INTERVAL = "5 seconds"
 
 
+def checked_stream(rows: DataFrame, mode: str = "types", as_of=None) -> DataFrame:
+    """Broker rows through the rule pass; broker columns stay beside the verdict.
+    By default only types are judged: the producer has applied its rules, and
+    kept messages may be read long after their time range."""
+    rows = rows.withColumn("value", F.col("value").cast("string"))
+    if "timestamp" in rows.columns:
+        rows = rows.withColumnRenamed("timestamp", "kafka_timestamp")
+    return validate(rows, as_of=as_of, mode=mode)
+
+
 def trades_stream(rows: DataFrame, delay: str = WATERMARK_DELAY, granularity: str = "daily",
-                  volume_threshold: float = 1000.0) -> DataFrame:
-    """Broker rows -> parsed, enriched, deduplicated trades.
-
-    Malformed messages are dropped here (route them with ``functions.quality``
-    first if they must be kept).  Duplicates of an event id are removed while
-    the watermark can still see the first copy: ``dropDuplicatesWithinWatermark``
-    evicts its state once the watermark passes, unlike a plain
-    ``dropDuplicates`` on the id, whose state grows forever.
+                  volume_threshold: float = 1000.0, checked: DataFrame | None = None) -> DataFrame:
+    """Broker rows -> valid, enriched, deduplicated trades.
+
+    Rejected messages are the other half of ``checked_stream`` (pass it as
+    ``checked`` to share it); ``start_ingest`` sends them to a dead-letter sink.
+    Duplicates of an event id are removed while the watermark can still see the
+    first copy: ``dropDuplicatesWithinWatermark`` evicts its state once the
+    watermark passes, unlike a plain ``dropDuplicates`` on the id, whose state
+    grows forever.
     """
-    t = parse_messages(rows).filter("_parse_ok").drop("_parse_ok")
-    t = fill_event_id(t)
+    t = valid_trades(checked if checked is not None else checked_stream(rows))
     t = t.withColumns({"date_bucket": date_bucket("event_time", granularity),
-                       "price_change_indicator": volume_class("volume", volume_threshold),
-                       "spark_processed_at": F.current_timestamp()})
-    t = add_trade_date_hour(t)
+                       "price_change_indicator": volume_class("volume", volume_threshold)})
+    t = add_trade_date_hour(t.withColumn("spark_processed_at", ingest_stamp()))
     return t.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
@@ -57,7 +66,7 @@ def bars_stream(trades: DataFrame, every: str = BAR_WINDOW, delay: str | None =
         bars = basic_bars(t, every)
     elif shape == "ohlcv":
         bars = (t.groupBy(F.window("event_time", every).alias("window"), "symbol")
-                .agg(*ohlcv_aggs())
+                .agg(*ohlcv_aggs(columns=t.columns))
                 .select("symbol", *window_bounds(), "total_volume", "avg_price", "high_price",
                         "low_price", "open_price", "close_price", "trade_count",
                         "price_volatility", "vwap"))
@@ -106,35 +115,27 @@ def start_append(df: DataFrame, path: str, checkpoint: str, partition_col: str |
     return _start(df, _trigger(w, trigger, available_now), state_partitions)
 
 
-def upsert_batches(table: str, keys: Sequence[str], partition_col: str, version: str | None = None,
-                   cluster: Sequence = ()):
-    """K1 + K2 inside ``foreachBatch``: persist the micro-batch once, skip it
-    when empty, upsert it.  Without a version column the batch id is the
-    version: a re-run of the same batch after a failure writes the same rows,
-    and a later batch always wins."""
+def upsert_batches(table: str, keys: Sequence[str], partition_col: str, version: str,
+                   cluster: Sequence = (), buckets: int | None = None):
+    """K1 + K2 inside ``foreachBatch``.  The version is a column of the rows, so
+    that a job started anew, whose batch ids begin at 0 again, neither loses to
+    what is stored nor overwrites it with less."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist()
-        try:
-            if b.isEmpty():
-                return
-            ver = version if version else "_batch_id"
-            if not version:
-                b2 = b.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
-            else:
-                b2 = b
-            upsert(b2, table, keys, ver, partition_col, cluster=cluster)
-        finally:
-            b.unpersist()
+        upsert(batch, table, keys, version, partition_col, cluster=cluster, buckets=buckets)
     return run
 
 
 def start_upsert(df: DataFrame, table: str, keys: Sequence[str], partition_col: str, checkpoint: str,
-                 output_mode: str = "update", version: str | None = None, trigger: str | None = None,
+                 output_mode: str = "update", version: str = "trade_count", trigger: str | None = None,
                  available_now: bool = False, name: str | None = None,
-                 state_partitions: int | None = None) -> StreamingQuery:
-    """W4 + W5: update (or append) mode into a keyed table via foreachBatch."""
+                 state_partitions: int | None = None, buckets: int | None = None) -> StreamingQuery:
+    """W4 + W5: update (or append) mode into a keyed table via foreachBatch.
+
+    An updated bar's version is its trade count, which only grows while its
+    window fills: a bar of more trades replaces one of fewer, whatever batch or
+    checkpoint it comes from; at equal counts the later write wins."""
     w = (df.writeStream.outputMode(output_mode)
-         .foreachBatch(upsert_batches(table, keys, partition_col, version))
+         .foreachBatch(upsert_batches(table, keys, partition_col, version, buckets=buckets))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
@@ -142,48 +143,50 @@ def start_upsert(df: DataFrame, table: str, keys: Sequence[str], partition_col:
 
 
 TRADE_TABLE_COLUMNS = ["trade_date", "symbol", "event_id", "event_time", "timestamp", "price", "volume",
-                       "conditions", "processed_at", "kafka_timestamp", "spark_processed_at",
+                       "conditions", "processed_at", "extra", "kafka_timestamp", "spark_processed_at",
                        "price_change_indicator", "trade_hour", "date_bucket"]
 
 
-def start_trades_and_bars(rows: DataFrame, trades_table: str, bars_path: str, checkpoint_root: str,
-                          every: str = BAR_WINDOW, delay: str = WATERMARK_DELAY,
-                          trigger: str | None = None, available_now: bool = False,
-                          state_partitions: int | None = None) -> list[StreamingQuery]:
-    """The two queries of the ingest job over one source.
+def start_ingest(rows: DataFrame, trades_table: str, bars_path: str, dlq_path: str, checkpoint_root: str,
+                 every: str = BAR_WINDOW, delay: str = WATERMARK_DELAY, trigger: str | None = None,
+                 available_now: bool = False, state_partitions: int | None = None,
+                 source_topic: str = "market", buckets: int | None = None) -> list[StreamingQuery]:
+    """The queries of the ingest job over one source, each with its checkpoint.
 
-    1. deduplicated raw trades -> keyed upsert into the trade table
-       (key: day, symbol, event id; version: ingest time), one checkpoint;
-    2. bars of the same deduplicated stream -> append sink, its own checkpoint.
+    1. deduplicated valid trades -> keyed upsert into the trade table (key: day,
+       symbol, event id; version: ingest time; ``buckets`` limits what a batch
+       rewrites);
+    2. bars of the same trades -> append sink;
+    3. rejected messages -> dead-letter sink, with reasons and broker position.
     Wait on them with ``await_any``.
     """
-    trades = trades_stream(rows, delay)
+    checked = checked_stream(rows)
+    trades = trades_stream(rows, delay, checked=checked)
     cols = [c for c in TRADE_TABLE_COLUMNS if c in trades.columns]
-    q1 = start_upsert(trades.select(*cols), trades_table, ("trade_date", "symbol", "event_id"),
-                      "trade_date", f"{checkpoint_root}/trades", output_mode="append",
-                      version="processed_at", trigger=trigger, available_now=available_now,
-                      state_partitions=state_partitions)
-    q2 = start_append(bars_stream(trades, every), bars_path, f"{checkpoint_root}/aggregates",
-                      partition_col="trade_date", trigger=trigger, available_now=available_now,
-                      state_partitions=state_partitions)
-    return [q1, q2]
+    common = {"trigger": trigger, "available_now": available_now, "state_partitions": state_partitions}
+    return [
+        start_upsert(trades.select(*cols), trades_table, ("trade_date", "symbol", "event_id"), "trade_date",
+                     f"{checkpoint_root}/trades", output_mode="append", version="spark_processed_at",
+                     buckets=buckets, **common),
+        start_append(bars_stream(trades, every), bars_path, f"{checkpoint_root}/aggregates",
+                     partition_col="trade_date", **common),
+        start_append(dlq_records(invalid_rows(checked), source_topic=source_topic), dlq_path,
+                     f"{checkpoint_root}/dead-letters", **common)]
 
 
 def start_validated_routing(raw: DataFrame, main_path: str, dlq_path: str, checkpoint: str,
                             value_col: str = "value", as_of=None, mode: str = "lenient",
                             source_topic: str = "market", trigger: str | None = None,
-                            available_now: bool = False) -> StreamingQuery:
+                            available_now: bool = False, reject_nan_volume: bool = True) -> StreamingQuery:
     """D1-D11 on a stream: each micro-batch of raw JSON messages goes through
     the rule pass once (persisted), valid rows are appended to the main sink
     and rejected ones, with reasons, to the dead-letter sink.  ``as_of=None``
     judges timestamps against the batch's processing time, as a live feed
-    handler does.  Stateless, so a replayed batch appends its rows again;
-    key the main sink with the upsert when that matters."""
-    from ..functions.quality import validate, write_routed
-
+    handler does.  Each batch has a folder of its own in both sinks, which a
+    retry of the batch overwrites."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        write_routed(validate(batch, value_col=value_col, as_of=as_of, mode=mode),
-                     main_path, dlq_path, source_topic=source_topic)
+        checked = validate(batch, value_col=value_col, as_of=as_of, mode=mode, reject_nan_volume=reject_nan_volume)
+        write_routed(checked, main_path, dlq_path, source_topic=source_topic, batch_id=batch_id)
 
     w = raw.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger, available_now).start()

@@ -9,60 +9,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-# JSON-line message files written by ``write_message_files``.
+# JSON-line message files written by a producer or ``plans.replay``.
 MESSAGE_FILE_SCHEMA = "key STRING, value STRING, timestamp TIMESTAMP"
 
 
 def kafka_options(servers: str, topic: str, starting_offsets: str = "latest",
-                  max_offsets_per_trigger: int = 10000, fail_on_data_loss: bool = False) -> dict:
-    """Options of the broker source (the connector jar must be on the classpath)."""
-    return {"kafka.bootstrap.servers": servers, "subscribe": topic,
-            "startingOffsets": starting_offsets,
-            "maxOffsetsPerTrigger": str(max_offsets_per_trigger),
-            "failOnDataLoss": str(fail_on_data_loss).lower()}
+                  max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> dict:
+    """Options of the broker source (the connector jar must be on the classpath).
+
+    Lost offsets stop the query unless ``fail_on_data_loss=False`` is chosen;
+    there is no rate cap unless one is given."""
+    cap = {"maxOffsetsPerTrigger": str(max_offsets_per_trigger)} if max_offsets_per_trigger else {}
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting_offsets,
+            "failOnDataLoss": str(fail_on_data_loss).lower(), **cap}
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, **kw) -> DataFrame:
-    """Broker topic as a stream of (key, value, timestamp)."""
+    """Broker topic as a stream of (key, value, timestamp, topic, partition, offset)."""
     return (spark.readStream.format("kafka").options(**kafka_options(servers, topic, **kw)).load()
-            .select("key", "value", "timestamp"))
+            .select("key", "value", "timestamp", "topic", "partition", "offset"))
 
 
-def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """S1 without a broker: JSON-line message files, ``max_files_per_trigger``
-    files per micro-batch (the rate cap), in file modification order."""
-    return (spark.readStream.schema(MESSAGE_FILE_SCHEMA)
-            .option("maxFilesPerTrigger", max_files_per_trigger).json(path)
+def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """S1 without a broker: JSON-line message files in file modification order;
+    ``max_files_per_trigger`` caps a micro-batch where a rate cap is wanted."""
+    reader = spark.readStream.schema(MESSAGE_FILE_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return (reader.json(path)
             .select(F.col("key").cast("binary").alias("key"),
                     F.col("value").cast("binary").alias("value"), "timestamp"))
-
-
-def write_message_files(rows: DataFrame, path: str, slices: int, time_col: str = "timestamp",
-                        files_per_slice: int = 2) -> int:
-    """Write broker rows as ``slices`` time-ordered groups of JSON-line files.
-
-    Slice i holds the rows whose time falls in the i-th equal part of the
-    time range, in ``files_per_slice`` files of about equal size.  Slices are
-    written one after the other, so file modification times follow event
-    time; reading with ``max_files_per_trigger=files_per_slice`` then replays
-    exactly one slice per micro-batch, in order.  Returns the slice count.
-    """
-    # The rows are dealt round-robin into ``files_per_slice`` partitions once
-    # and kept (spilling to disk if needed); every slice is then cut from that
-    # materialization, each partition writing one file of the slice.
-    from pyspark import StorageLevel
-    staged = rows.repartition(files_per_slice).select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-                         F.col(time_col).alias("timestamp")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        span = staged.agg(F.min(F.unix_millis("timestamp")).alias("lo"),
-                          F.max(F.unix_millis("timestamp")).alias("hi")).first()
-        if span is None or span["lo"] is None:
-            return 0
-        lo, hi = span["lo"], span["hi"]
-        width = max(1, (hi - lo) // slices + 1)
-        sl = F.floor((F.unix_millis("timestamp") - F.lit(lo)) / F.lit(width))
-        for i in range(slices):
-            staged.filter(sl == i).write.mode("append").json(path)
-    finally:
-        staged.unpersist()
-    return slices
