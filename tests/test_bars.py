@@ -26,7 +26,7 @@ def test_open_close_by_time_then_id(spark):
             ("3", "A", 6.0, 1.0, ts + dt.timedelta(minutes=1))]
     df = spark.createDataFrame(rows, "event_id string, symbol string, price double, volume double, "
                                      "event_time timestamp")
-    r = B.ohlcv_bars(df, "1 hour", tie_break="lexicographic").first()
+    r = B.ohlcv_bars(df, "1 hour", tie_break="arrival").first()
     assert (r.open_price, r.close_price, r.trade_count) == (7.0, 6.0, 3)
     h = B.ohlcv_bars(df, "1 hour").first()  # hash tie-break: close is still the later trade
     assert h.close_price == 6.0 and h.open_price in (5.0, 7.0)

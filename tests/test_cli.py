@@ -6,7 +6,7 @@ from tickyard.operators import tables as K
 from tickyard.session import fresh_dir
 from tickyard.sources.adapters import message_rows, trades_from_events
 from tickyard.sources.tables import table
-from tickyard.streaming.sources import write_message_files
+from tickyard.plans.replay import write_message_files
 
 
 def test_backfill_command(spark):
@@ -24,10 +24,10 @@ def test_backfill_command(spark):
 def test_ingest_command_available_now(spark):
     trades = trades_from_events(table(spark, SMALL, "events"))
     src = fresh_dir(spark, "test-replay")
-    write_message_files(message_rows(trades), src, 2, files_per_slice=1)
+    write_message_files(message_rows(trades), src, 2)
     tbl, bars, ck = fresh_dir(spark, "test-t"), fresh_dir(spark, "test-b"), fresh_dir(spark, "test-ck")
     cli.main(["ingest", "--files", src, "--trades-table", tbl, "--bars-path", bars, "--checkpoint", ck,
-              "--window", "1 hour", "--available-now"])
+              "--window", "1 hour", "--available-now", "--dlq-path", fresh_dir(spark, "test-dlq")])
     assert spark.read.parquet(tbl).count() == trades.count()
 
 

@@ -8,35 +8,22 @@ from tickyard.functions import parse as P
 from tickyard.schemas import TRADE_V1
 
 
-def test_bucket_helper_known_values():
-    t = dt.datetime(2025, 9, 24, 13, 45)
-    assert C.compute_date_bucket_str(t, "daily") == "20250924"
-    assert C.compute_date_bucket_str(t, "hourly") == "2025092413"
-    assert C.compute_date_bucket_str(dt.datetime(2025, 1, 5), "monthly") == "202501"
-    ms = int(dt.datetime(2025, 9, 24, 13, 0, tzinfo=dt.timezone.utc).timestamp() * 1000)
-    assert C.compute_date_bucket_str(ms, "hourly") == "2025092413"
+EDGES = [(dt.datetime(2023, 12, 31, 23, 59, 59, 999999), ("20231231", "2023123123", "202312")),
+         (dt.datetime(2024, 1, 1), ("20240101", "2024010100", "202401")),
+         (dt.datetime(2024, 2, 29, 7, 5), ("20240229", "2024022907", "202402")),
+         (dt.datetime(2024, 3, 10, 2, 30), ("20240310", "2024031002", "202403")),     # skipped in New York
+         (dt.datetime(1969, 12, 31, 5), ("19691231", "1969123105", "196912"))]
+
+
+def test_buckets_at_calendar_edges(spark):
+    df = spark.createDataFrame([(t,) for t, _ in EDGES], "t timestamp")
+    got = df.select(*[C.date_bucket("t", g).alias(g) for g in ("daily", "hourly", "monthly")]).collect()
+    assert [tuple(r) for r in got] == [want for _, want in EDGES]
+    parts = C.add_partitioning_columns(df, "t").collect()
+    assert [(r.trade_year, r.trade_month, r.trade_day, r.trade_hour) for r in parts] == [
+        (t.year, t.month, t.day, t.hour) for t, _ in EDGES]
     with pytest.raises(ValueError):
-        C.compute_date_bucket_str(t, "weekly")
-    with pytest.raises(ValueError):
-        C.date_bucket("event_time", "weekly")
-
-
-def test_partitioning_columns(spark):
-    df = spark.createDataFrame(
-        [("AAPL", 150.0, 1635724800000, 100.0, dt.datetime(2021, 11, 1, 10, 30))],
-        "symbol string, price double, timestamp bigint, volume double, trade_time timestamp")
-    r = C.add_partitioning_columns(df, "trade_time").first()
-    assert (r.trade_year, r.trade_month, r.trade_day, r.trade_hour) == (2021, 11, 1, 10)
-    b = df.select(C.date_bucket("trade_time", "daily").alias("d"),
-                  C.date_bucket("trade_time", "hourly").alias("h"),
-                  C.date_bucket("trade_time", "monthly").alias("m")).first()
-    assert (b.d, b.h, b.m) == ("20211101", "2021110110", "202111")
-
-
-def test_three_distinct_days(spark):
-    rows = [(dt.datetime(2021, 11, d, 12),) for d in (1, 2, 3)]
-    df = C.add_partitioning_columns(spark.createDataFrame(rows, "event_time timestamp"))
-    assert df.select("trade_year", "trade_month", "trade_day").distinct().count() == 3
+        C.date_bucket("t", "weekly")
 
 
 def test_epoch_ms_exact(spark):

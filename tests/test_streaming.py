@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from tickyard.operators import bars as B
+from tickyard.operators.tables import read_table
 from tickyard.session import fresh_dir
 from tickyard.sources.adapters import message_rows, trades_from_events
 from tickyard.sources.tables import table
 from tickyard.streaming import jobs as J
-from tickyard.streaming.sources import file_stream, write_message_files
+from tickyard.plans.replay import write_message_files
+from tickyard.streaming.sources import file_stream
 
 
 def _dropped(q):
@@ -25,7 +27,7 @@ def test_append_bars_equal_batch_without_open_windows_and_late_rows_dropped(spar
     src_path = fresh_dir(spark, "test-replay")
     write_message_files(rows.unionByName(late), src_path, 6)
     out, ck = fresh_dir(spark, "test-sink"), fresh_dir(spark, "test-ck")
-    bars = J.bars_stream(J.trades_stream(file_stream(spark, src_path), "5 minutes"), "1 hour")
+    bars = J.bars_stream(J.trades_stream(file_stream(spark, src_path, 1), "5 minutes"), "1 hour")
     q = J.start_append(bars, out, ck, available_now=True)
     q.awaitTermination()
     assert q.exception() is None
@@ -45,12 +47,12 @@ def test_replay_of_same_files_into_upsert_is_idempotent(spark):
     tbl = fresh_dir(spark, "test-table")
     for _ in range(2):  # second run: new checkpoint, same input = a full replay
         ck = fresh_dir(spark, "test-ck")
-        bars = J.bars_stream(J.trades_stream(file_stream(spark, src_path), "5 minutes"), "1 hour")
+        bars = J.bars_stream(J.trades_stream(file_stream(spark, src_path, 1), "5 minutes"), "1 hour")
         q = J.start_upsert(bars, tbl, ("trade_date", "symbol", "window_start"), "trade_date", ck,
                            available_now=True)
         q.awaitTermination()
         assert q.exception() is None
-    got = spark.read.parquet(tbl)
+    got = read_table(spark, tbl)
     assert got.count() == B.ohlcv_bars(trades, "1 hour").count()
     assert got.groupBy("symbol", "window_start").count().filter("count > 1").count() == 0
 
@@ -80,29 +82,58 @@ def test_trades_and_bars_from_one_source(spark):
     rows = message_rows(trades)
     again = rows.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 SECOND"))
     src_path = fresh_dir(spark, "test-replay")
-    write_message_files(rows.unionByName(again), src_path, 4, files_per_slice=1)
+    write_message_files(rows.unionByName(again), src_path, 4)
     tbl, bars_out_path = fresh_dir(spark, "test-table"), fresh_dir(spark, "test-sink")
-    qs = J.start_trades_and_bars(file_stream(spark, src_path), tbl, bars_out_path,
-                                 fresh_dir(spark, "test-ck"), every="1 hour", available_now=True)
+    dlq = fresh_dir(spark, "test-dlq")
+    qs = J.start_ingest(file_stream(spark, src_path, 1), tbl, bars_out_path, dlq, fresh_dir(spark, "test-ck"),
+                        every="1 hour", available_now=True, buckets=2)
     for q in qs:
         q.awaitTermination()
         assert q.exception() is None
-    got = spark.read.parquet(tbl)
+    got = read_table(spark, tbl)
     assert got.count() == trades.count()
     assert got.select("event_id").distinct().count() == trades.count()
     assert spark.read.parquet(bars_out_path).count() > 0
+    assert spark.read.parquet(dlq).count() == 0
+
+
+def test_bars_survive_a_new_checkpoint(spark):
+    """A job started anew with more data replaces old bars; with less it does not."""
+    trades = trades_from_events(table(spark, SMALL, "events"))
+    tbl = fresh_dir(spark, "test-table")
+    for rows in (trades.filter("event_id % 2 = 0"), trades, trades.filter("event_id % 3 = 0")):
+        src = fresh_dir(spark, "test-replay")
+        write_message_files(message_rows(rows), src, 2)
+        bars = J.bars_stream(J.trades_stream(file_stream(spark, src), "5 minutes"), "1 hour")
+        q = J.start_upsert(bars, tbl, ("trade_date", "symbol", "window_start"), "trade_date",
+                           fresh_dir(spark, "test-ck"), available_now=True)
+        q.awaitTermination()
+        assert q.exception() is None
+    cols = ["symbol", "window_start", "open_price", "close_price", "trade_count"]
+    want = B.ohlcv_bars(trades.withColumn("event_time", F.timestamp_millis("timestamp")), "1 hour")
+    assert sorted(map(tuple, read_table(spark, tbl).select(*cols).collect())) == sorted(
+        map(tuple, want.select(*cols).collect()))
+
+
+def test_routing_again_doubles_nothing(spark):
+    from tickyard.functions import quality as Q
+    raw = spark.createDataFrame([('{"symbol":"A","price":1,"volume":1,"timestamp":1}',), ("{",)], "value string")
+    main, dlq = fresh_dir(spark, "test-sink"), fresh_dir(spark, "test-dlq")
+    for _ in range(2):
+        Q.write_routed(Q.validate(raw, mode="types"), main, dlq, batch_id=3)
+    assert spark.read.parquet(main).count() == 1 and spark.read.parquet(dlq).count() == 1
 
 
 def test_basic_bar_stream_update_mode(spark):
     trades = trades_from_events(table(spark, SMALL, "events"))
     src = fresh_dir(spark, "test-replay")
-    write_message_files(message_rows(trades), src, 3, files_per_slice=1)
+    write_message_files(message_rows(trades), src, 3)
     tbl = fresh_dir(spark, "test-table")
     bars = J.bars_stream(J.trades_stream(file_stream(spark, src), "5 minutes"), "1 hour", shape="basic")
     q = J.start_upsert(bars, tbl, ("trade_date", "symbol", "window_start"), "trade_date",
                        fresh_dir(spark, "test-ck"), available_now=True)
     q.awaitTermination()
     assert q.exception() is None
-    got = spark.read.parquet(tbl)
+    got = read_table(spark, tbl)
     assert {"avg_price", "max_price", "min_price", "total_volume", "trade_count"} <= set(got.columns)
     assert got.count() == B.basic_bars(trades, "1 hour").count()

@@ -5,15 +5,12 @@ All are projections made of built-in expressions: no UDF, no shuffle.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import TRADE_V2_EXTRA
 
 # Date bucket formats (fixed values): granularity -> Spark datetime pattern.
 BUCKET_FORMATS = {"daily": "yyyyMMdd", "hourly": "yyyyMMddHH", "monthly": "yyyyMM"}
-_PY_BUCKET_FORMATS = {"daily": "%Y%m%d", "hourly": "%Y%m%d%H", "monthly": "%Y%m"}
 
 
 def _c(c: Column | str) -> Column:
@@ -37,19 +34,6 @@ def date_bucket(ts: Column | str, granularity: str = "daily") -> Column:
     return F.date_format(_c(ts), BUCKET_FORMATS[granularity])
 
 
-def compute_date_bucket_str(ts, granularity: str = "daily") -> str:
-    """Scalar form of ``date_bucket`` for epoch-ms ints or datetimes (UTC)."""
-    if granularity not in _PY_BUCKET_FORMATS:
-        raise ValueError(f"unknown granularity {granularity!r}")
-    if isinstance(ts, (int, float)):
-        ts = datetime.fromtimestamp(ts / 1000.0, tz=timezone.utc)
-    elif isinstance(ts, datetime) and ts.tzinfo is not None:
-        ts = ts.astimezone(timezone.utc)
-    elif not isinstance(ts, datetime):
-        raise ValueError(f"unsupported timestamp {ts!r}")
-    return ts.strftime(_PY_BUCKET_FORMATS[granularity])
-
-
 def volume_class(volume: Column | str = "volume", threshold: float = 1000.0) -> Column:
     """P7: 'high_volume' above the threshold, else (also for NULL) 'normal_volume'."""
     return F.when(_c(volume) > threshold, F.lit("high_volume")).otherwise(F.lit("normal_volume"))

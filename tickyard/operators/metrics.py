@@ -22,12 +22,6 @@ def _dur_ms(every: str) -> Column:
     return F.expr(f"CAST(unix_millis(TIMESTAMP '1970-01-01 00:00:00' + INTERVAL {every}) AS BIGINT)")
 
 
-def _floor_to(ts: Column, every: str) -> Column:
-    """Start of the epoch-aligned slot of width ``every`` containing ``ts``."""
-    d = _dur_ms(every)
-    return F.timestamp_millis(F.floor(F.unix_millis(ts) / d) * d)
-
-
 def message_rate(trades: DataFrame, every: str = "1 minute", seconds: int = 60,
                  key: str = "symbol") -> DataFrame:
     """M1: messages per second per key in tumbling windows."""
@@ -180,56 +174,34 @@ def silence_gaps(trades: DataFrame, threshold: str = "10 minutes", as_of=None,
             .filter(F.col("gap_ms") > t_ms))
 
 
-def gap_fill(bars: DataFrame, every: str = "1 hour", key: str = "symbol",
-             carry_unit: str = "1 day") -> DataFrame:
-    """M6: complete each key's bar series between its first and last bar.
+FILL_BLOCK = 1024     # slots that one row is spread to at a time
 
-    Missing slots get volume 0, count 0 and the previous close carried
-    forward (open = high = low = close).  The slot grid is generated per key
-    with ``sequence`` and left-joined to the bars on (key, start).
 
-    The forward fill runs in two levels so no window holds a key's whole
-    series: inside each (key, ``carry_unit``) block with
-    ``last(..., ignorenulls)``, then across blocks from a small per-block
-    table (last close of each block, carried over the block sequence of the
-    key).  Window partitions are bounded by block/width and by the number
-    of blocks, whatever the series length.
+def gap_fill(bars: DataFrame, every: str = "1 hour", key: str = "symbol") -> DataFrame:
+    """M6: complete each key's bar series between its first and last bar.
+
+    Missing slots get volume 0, count 0 and the previous close carried forward
+    (open = high = low = close).  One pass over the bars: a window over a key's
+    bars gives each its successor, and a bar is then spread to its own slot and
+    the empty ones up to the next bar, in blocks, so a long silence is never one
+    array.  There is no grid and no join.
     """
-    block = _floor_to(F.col("window_start"), carry_unit)
-    # one pass over the bars for the per-block summary; the key span and the
-    # carried close both come from this small table
-    blk = (bars.groupBy(key, block.alias("_block"))
-           .agg(F.max_by("close_price", "window_start").alias("_block_close"),
-                F.min("window_start").alias("_lo"), F.max("window_start").alias("_hi")))
-    span = blk.groupBy(key).agg(F.min("_lo").alias("lo"), F.max("_hi").alias("hi"))
-    grid = span.select(key, F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {every}")))
-                       .alias("window_start"))
-    j = grid.join(bars, [key, "window_start"], "left").withColumn("_block", block)
-    w_in = (Window.partitionBy(key, "_block").orderBy("window_start")
-            .rowsBetween(Window.unboundedPreceding, 0))
-    j = j.withColumn("_carry_in", F.last("close_price", ignorenulls=True).over(w_in))
-
-    # every block of the key's span (blocks without bars too), then the close
-    # of the latest earlier block that had one
-    blocks = (span.select(key, F.explode(F.sequence(_floor_to(F.col("lo"), carry_unit),
-                                                    _floor_to(F.col("hi"), carry_unit),
-                                                    F.expr(f"INTERVAL {carry_unit}"))).alias("_block"))
-              .join(blk.select(key, "_block", "_block_close"), [key, "_block"], "left"))
-    w_blk = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(key, "_block",
-                           F.last("_block_close", ignorenulls=True).over(w_blk).alias("_carry_prev"))
-    j = j.join(blocks, [key, "_block"], "left")
-
-    carried = F.coalesce(F.col("_carry_in"), F.col("_carry_prev"))
-    filled = F.col("trade_count").isNull()
-    return j.select(
-        key, "window_start",
-        F.when(filled, carried).otherwise(F.col("open_price")).alias("open_price"),
-        F.when(filled, carried).otherwise(F.col("high_price")).alias("high_price"),
-        F.when(filled, carried).otherwise(F.col("low_price")).alias("low_price"),
-        F.coalesce(F.col("close_price"), carried).alias("close_price"),
-        F.coalesce(F.col("total_volume"), F.lit(0.0)).alias("total_volume"),
-        F.coalesce(F.col("trade_count"), F.lit(0)).cast("bigint").alias("trade_count"),
+    step = F.lit(_dur_ms(every))
+    start = F.unix_millis("window_start")
+    after = F.lead(start).over(Window.partitionBy(key).orderBy("window_start"))
+    slots = F.coalesce(F.floor((after - start) / step), F.lit(1))
+    blocks = bars.withColumn("_slots", slots).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_slots") - 1) / FILL_BLOCK))))
+    first = F.col("_block") * FILL_BLOCK
+    spread = blocks.withColumn("_slot", F.explode(F.sequence(
+        first, F.least(first + FILL_BLOCK, F.col("_slots")) - 1)))
+    filled = F.col("_slot") > 0
+    carried = lambda c: F.when(filled, F.col("close_price")).otherwise(F.col(c)).alias(c)
+    return spread.select(
+        key, F.timestamp_millis(start + F.col("_slot") * step).alias("window_start"),
+        carried("open_price"), carried("high_price"), carried("low_price"), "close_price",
+        F.when(filled, F.lit(0.0)).otherwise(F.col("total_volume")).alias("total_volume"),
+        F.when(filled, F.lit(0)).otherwise(F.col("trade_count")).cast("bigint").alias("trade_count"),
         filled.alias("is_filled"))
 
 
