@@ -9,6 +9,7 @@ from ..session import fresh_dir, use_utc
 from ..sources.tables import table
 from . import (bpe, decontaminate, html_extract, near_dedup, quality_classifier, quality_rules,
                sharding, token_files, url_filter, warc_zip)
+from . import oracles
 from .common import QueryFn
 
 QUERIES: dict[str, QueryFn] = {}
@@ -51,7 +52,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-@register("op4_quality_rules")
+@register("op4_quality_rules", oracles.OP4)
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and the verdict of the learned fences for every document."""
     judged = quality_rules.rules(table(spark, sf_dir, "documents"))
@@ -66,13 +67,13 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.scores(docs, quality_classifier.train(docs, labels))
 
 
-@register("op9_near_dedup")
+@register("op9_near_dedup", oracles.OP9)
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over two-word shingles."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
-@register("op3_decontaminate")
+@register("op3_decontaminate", oracles.OP3)
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, test item) where the document holds the item."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -95,7 +96,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-@register("op6_warc_zip")
+@register("op6_warc_zip", oracles.OP6)
 def op6_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record, read back from ZIP-packaged archives."""
     path = fresh_dir(spark, "warc")
