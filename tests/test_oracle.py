@@ -5,10 +5,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tickyard.plans import ORACLE, QUERIES
 from conftest import SMALL
 from scripts.oracle_check import TABLES, digest, type_mismatches
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -20,8 +21,8 @@ def con():
 
 
 def test_every_query_has_oracle_or_is_listed():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= {"latency_p95_approx", "frame_partitions"}
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):

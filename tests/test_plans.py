@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from tickyard.plans import QUERIES
 from conftest import SMALL
 from tickyard.operators import bars as B
 from tickyard.operators import dedupe as U
@@ -18,7 +19,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python_in_registered_queries(spark, name):
     plan = _plan(E.queries()[name](spark, SMALL))
     for bad in FORBIDDEN:
