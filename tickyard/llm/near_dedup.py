@@ -211,7 +211,8 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = PERCENT, key: st
 
 
 def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
-    """Confirmed links between classes, enough of them for the components."""
+    """Confirmed links between classes, enough of them for the components: those
+    of the first step as stars already, then those across them."""
     keys = table_keys(classes)
     mixed_id = F.col("id").bitwiseXOR(_mask())
     buckets = (keys.groupBy("key").agg(F.min(mixed_id).alias("first"), F.max(mixed_id).alias("last"))
@@ -225,7 +226,7 @@ def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int, key: s
     first = stored(sized, "dedup-pairs")
     stars = stored(confirmed(first, docs, width, percent, key, text), "dedup-links")
 
-    part = components(stars)
+    part = stored(components(stars), "dedup-parts")
     placed = members.join(part.withColumnsRenamed({"node": "id"}), "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("part"))
     several = (placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q"))
@@ -233,7 +234,8 @@ def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int, key: s
     open_ids = stored(placed.join(several, "key").select("id", "part").distinct(), "dedup-open")
     second = _across(open_ids, docs, width, percent, key, text)
     second = stored(second.join(first, ["a", "b"], "left_anti"), "dedup-pairs")
-    return stars.unionByName(confirmed(second, docs, width, percent, key, text))
+    known = part.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return known.unionByName(confirmed(second, docs, width, percent, key, text))
 
 
 def _mask() -> Column:
