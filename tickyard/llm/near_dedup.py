@@ -250,7 +250,9 @@ def _across(members: DataFrame, docs: DataFrame, width: int, percent: int, key:
     A document's shingles are placed from the rarest (among the members) to the
     most frequent.  Sets of similarity s share one of their first
     n - ceil(s n) + 1 shingles, and from the places of a shared shingle on they
-    can have no more in common than is left of either."""
+    can have no more in common than is left of either.  Of the pairs left, what
+    the rarer halves of both sets share and all of the other halves bound what
+    the sets can share."""
     sets = stored(sets_of(docs, members.select("id").distinct(), width, key, text), "dedup-sets")
 
     def spread(batches):
@@ -267,17 +269,27 @@ def _across(members: DataFrame, docs: DataFrame, width: int, percent: int, key:
     order = Window.partitionBy("id").orderBy("df", "shingle")
     prefix = (rows.join(common, "shingle", "left").withColumn("df", F.coalesce("df", F.lit(1)))
               .withColumn("at", F.row_number().over(order))
-              .filter((F.col("at") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1) & F.col("across"))
-              .select("id", "part", "n", "shingle", "at"))
+              .withColumn("head", F.col("at") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)
+              .filter((F.col("head") | (F.col("at") <= F.ceil(F.col("n") / 2))) & F.col("across"))
+              .select("id", "part", "n", "shingle", "at", "head"))
     prefix = stored(prefix, "dedup-prefixes")
-    x, y = (prefix.select(F.col("id").alias(c), F.col("part").alias(f"p_{c}"), F.col("n").alias(f"n_{c}"),
+    x, y = (prefix.filter("head").select(F.col("id").alias(c), F.col("part").alias(f"p_{c}"), F.col("n").alias(f"n_{c}"),
                           "shingle", F.col("at").alias(f"at_{c}")) for c in "ab")
     need = percent * (F.col("n_a") + F.col("n_b"))       # of 100 + percent times the common shingles
     left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) + 1
     can = ((F.col("p_a") < F.col("p_b")) & ((100 + percent) * left >= need)
            & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
-    return (x.join(y, "shingle").filter(can)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    pairs = (x.join(y, "shingle").filter(can)
+             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+    behind = F.col("n") - F.greatest(F.col("n") - F.ceil(percent * F.col("n") / 100) + 1, F.ceil(F.col("n") / 2))
+    lists = stored(prefix.groupBy("id").agg(F.collect_list("shingle").alias("first"), F.max("n").alias("n"))
+                   .withColumn("behind", behind), "dedup-prefix-lists")
+    side = lambda c: lists.select(F.col("id").alias(c), *[
+        F.col(k).alias(f"{k}_{c}") for k in ("first", "n", "behind")])
+    most = F.size(F.array_intersect("first_a", "first_b")) + F.greatest("behind_a", "behind_b")
+    return (pairs.join(side("a"), "a").join(side("b"), "b")
+            .filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b"))
 
 
 def survivors(docs: DataFrame, width: int, percent: int = PERCENT) -> DataFrame:
