@@ -37,7 +37,7 @@ from .common import by_slices, int_lists
 
 LEAF = 16_384        # characters; longer documents are encoded as several rows
 RUN = 2_048          # characters; longer runs without white space are halved in the task
-MEMO = 500_000       # remembered words per task
+MEMO = 400_000       # remembered words per task
 SLICE = 32 << 20     # bytes of text whose distinct words are encoded at once
 AGREE = 4            # tokens that must agree on either side of a join
 WINDOW = 16          # tokens of the first window on either side

@@ -53,12 +53,16 @@ def slices(batch: pa.RecordBatch, text: str, max_bytes: int = 16 << 20) -> Itera
 
 
 def by_slices(fn: Callable[[pa.RecordBatch], pa.RecordBatch], text: str = "text",
-              max_bytes: int = 16 << 20):
-    """A mapInArrow function that applies ``fn`` to bounded slices."""
+              max_bytes: int = 4 << 20):
+    """A mapInArrow function that applies ``fn`` to bounded slices.  Freed Arrow
+    buffers go back to the system after each batch, not at the worker's end."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text, max_bytes):
                 yield fn(part)
+                part = None
+            batch = None
+            pa.default_memory_pool().release_unused()
     return run
 
 

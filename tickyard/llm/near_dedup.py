@@ -42,7 +42,7 @@ MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
 
-    def __init__(self, width: int, memo: int = 400_000):
+    def __init__(self, width: int, memo: int = 100_000):
         self.width, self.memo_size, self.memo = width, memo, {}
 
     def _hash(self, word: bytes) -> int:

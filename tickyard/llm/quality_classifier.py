@@ -42,7 +42,7 @@ def fold_of(key: Column) -> Column:
 class Features:
     """Hashed n-grams of a text; remembers the hashes of tokens it has seen."""
 
-    def __init__(self, bits: int = BITS, memo: int = 400_000):
+    def __init__(self, bits: int = BITS, memo: int = 150_000):
         self.shift, self.memo_size, self.memo = np.uint64(64 - bits), memo, {}
 
     def _hash(self, token: str) -> int:
