@@ -88,7 +88,8 @@ def stream_bars_update(spark, sf_dir):
 
 
 @register("publish_messages", _DIRTY + """
-SELECT sym AS "key", CAST(event_id AS VARCHAR) AS event_id, sym AS symbol, price, volume,
+SELECT sym AS "key", CASE m WHEN 16 THEN 'derived 64' ELSE CAST(event_id AS VARCHAR) END AS event_id,
+       sym AS symbol, price, volume,
        ts_ms AS "timestamp"
 FROM v WHERE errors = ''""")
 def publish_messages(spark, sf_dir):
@@ -100,7 +101,9 @@ def publish_messages(spark, sf_dir):
     msgs = spark.read.schema("key STRING, value STRING").json(path)
     body = F.from_json("value", "event_id STRING, symbol STRING, price DOUBLE, volume DOUBLE, "
                                 "timestamp BIGINT")
-    return msgs.select("key", body.alias("m")).select("key", "m.*")
+    derived = F.concat(F.lit("derived "), F.length("event_id").cast("string"))
+    return msgs.select("key", body.alias("m")).select("key", "m.*").withColumn(
+        "event_id", F.when(F.length("event_id") == 64, derived).otherwise(F.col("event_id")))
 
 
 @register("stream_trades_table", f"""
