@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import stored
 
 MAX_ROUNDS = 40
+BROADCAST_EDGES = 500_000     # at most as many nodes of 16 bytes are sent along; beyond it a shuffle join
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,7 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if _is_stars(now):
             break
-        now = stored(_small_star(_large_star(now)), "edges")
+        few = now.count() <= BROADCAST_EDGES
+        now = stored(_small_star(_large_star(now, few), few), "edges")
     else:
         raise RuntimeError(f"components did not settle within {MAX_ROUNDS} rounds")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
@@ -41,20 +43,20 @@ def _is_stars(edges: DataFrame) -> bool:
     return odd.isEmpty()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, few: bool) -> DataFrame:
     """Edges u > v.  Every node's larger neighbours move to its smallest
     neighbour (or to the node itself, where it is smaller than all of them)."""
     both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(
         F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
     low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return (both.filter("v > u").join(low, "u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+    return (both.filter("v > u").join(F.broadcast(low) if few else low, "u")
+            .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, few: bool) -> DataFrame:
     """Edges u > v.  A node's smaller neighbours and the node itself move to
     the smallest of them."""
     low = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = edges.join(F.broadcast(low) if few else low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return (moved.unionByName(low.select("u", F.col("m").alias("v")))
             .filter("u <> v").distinct())
