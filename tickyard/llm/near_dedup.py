@@ -33,7 +33,7 @@ from .graph import components
 
 LEFT, LEFT_ROWS = 12, 3
 RIGHT, RIGHT_ROWS = 10, 2
-TURNS = 4               # leaders that a member of a large group meets
+TURNS = 2               # leaders that a member of a large group meets
 PERCENT = 80            # similarity, in hundredths, from which sets are linked
 BROADCAST_IDS = 1_000_000   # ids of 8 bytes; more of them are joined by a shuffle
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
