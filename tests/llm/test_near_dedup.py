@@ -72,6 +72,30 @@ def test_chain_through_one_bucket(spark):
     assert result(N.near_duplicates(df, 2)) == brute(rows, 2)
 
 
+def edited(seed, n=120, edits=4):
+    """Copies of a text that is not there, similar around 0.8: few are linked with a bucket's leader."""
+    r = random.Random(seed)
+    for i in range(n):
+        words = [f"w{j}" for j in range(100)]
+        for at in r.sample(range(100), edits):
+            words[at] = f"n{i}x{at}"
+        yield i, " ".join(words)
+
+
+def test_links_of_repeated_rows(spark):
+    """Every row stands two or three times; copies must not take the places of rare shingles."""
+    rows = [row for row in edited(9) for _ in range(2 + row[0] % 2)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert result(N.near_duplicates(df, 2)) == brute(rows, 2)
+
+
+def test_links_of_ids_with_two_texts(spark):
+    """An id's texts are sets of their own: one is edited, the other is like nothing."""
+    rows = [(i, t) for i, copy in edited(9) for t in (copy, copy.upper(), " ".join(f"x{i}y{j}" for j in range(150)))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert result(N.near_duplicates(df, 2)) == brute(rows, 2)
+
+
 def test_odd_rows(docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     for k in (2, 5):

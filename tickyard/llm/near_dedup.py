@@ -152,7 +152,8 @@ def table_keys(classes: DataFrame) -> DataFrame:
 
 def sets_of(docs: DataFrame, ids: DataFrame, width: int, key: str = "doc_id",
             text: str = "text") -> DataFrame:
-    """(id, shingles binary) of the documents whose id is in ``ids``."""
+    """(id, set, shingles binary) of the documents whose id is in ``ids``, one row
+    for each distinct set of an id; ``set`` is a hash that tells an id's sets apart."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     few = ids.count() <= BROADCAST_IDS
     rows = rows.filter("text is not null").join(F.broadcast(ids) if few else ids, "id", "left_semi")
@@ -162,16 +163,21 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int, key: str = "doc_id",
 
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             sets = [s.of(t).tobytes() for t in raw(b.column(1))]
-            return pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
+            marks = np.fromiter(map(xxhash.xxh64_intdigest, sets), np.uint64, len(sets)).view(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(marks), pa.array(sets, pa.binary())], ["id", "set", "shingles"])
         yield from by_slices(one)(batches)
-    return rows.mapInArrow(run, "id bigint, shingles binary")
+    sets = stored(rows.mapInArrow(run, "id bigint, set bigint, shingles binary"), "dedup-sets")
+    if sets.select("id", "set").distinct().count() == sets.count():   # no row repeats: the sets need not be moved
+        return sets
+    return stored(sets.dropDuplicates(["id", "set"]), "dedup-sets")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int, key: str = "doc_id",
               text: str = "text") -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "dedup-ids")
-    sets = stored(sets_of(docs, ids, width, key, text), "dedup-sets")
+    sets = sets_of(docs, ids, width, key, text).select("id", "shingles")
     both = (pairs.join(sets.withColumnsRenamed({"id": "a", "shingles": "x"}), "a")
             .join(sets.withColumnsRenamed({"id": "b", "shingles": "y"}), "b"))
 
@@ -247,49 +253,51 @@ def _across(members: DataFrame, docs: DataFrame, width: int, percent: int, key:
     """Pairs (a, b) of ``members`` (id, part) in different parts that can reach the
     similarity.
 
-    A document's shingles are placed from the rarest (among the members) to the
-    most frequent.  Sets of similarity s share one of their first
+    Every set of a member stands for itself: rows that repeat an id can have
+    several, and copies count once.  A set's shingles are placed from the rarest
+    (among the sets) to the most frequent.  Sets of similarity s share one of their first
     n - ceil(s n) + 1 shingles, and from the places of a shared shingle on they
     can have no more in common than is left of either.  Of the pairs left, what
     the rarer halves of both sets share and all of the other halves bound what
     the sets can share."""
-    sets = stored(sets_of(docs, members.select("id").distinct(), width, key, text), "dedup-sets")
+    sets = sets_of(docs, members.select("id").distinct(), width, key, text)
 
     def spread(batches):
         for batch in batches:
-            for i, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for i, mark, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 values = np.frombuffer(x.as_buffer(), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(values), i)), pa.array(np.full(len(values), len(values))),
-                     pa.array(values)], ["id", "n", "shingle"])
+                    [pa.array(np.full(len(values), i)), pa.array(np.full(len(values), mark)),
+                     pa.array(np.full(len(values), len(values))), pa.array(values)], ["id", "set", "n", "shingle"])
 
-    rows = sets.mapInArrow(spread, "id bigint, n bigint, shingle bigint").join(members, "id")
+    rows = sets.mapInArrow(spread, "id bigint, set bigint, n bigint, shingle bigint").join(members, "id")
     common = (rows.groupBy("shingle").agg(F.count("*").alias("df"), F.min("part").alias("p"), F.max("part").alias("q"))
               .filter("df > 1").select("shingle", "df", (F.col("p") < F.col("q")).alias("across")))
-    order = Window.partitionBy("id").orderBy("df", "shingle")
+    order = Window.partitionBy("id", "set").orderBy("df", "shingle")
     prefix = (rows.join(common, "shingle", "left").withColumn("df", F.coalesce("df", F.lit(1)))
               .withColumn("at", F.row_number().over(order))
               .withColumn("head", F.col("at") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)
               .filter((F.col("head") | (F.col("at") <= F.ceil(F.col("n") / 2))) & F.col("across"))
-              .select("id", "part", "n", "shingle", "at", "head"))
+              .select("id", "set", "part", "n", "shingle", "at", "head"))
     prefix = stored(prefix, "dedup-prefixes")
-    x, y = (prefix.filter("head").select(F.col("id").alias(c), F.col("part").alias(f"p_{c}"), F.col("n").alias(f"n_{c}"),
-                          "shingle", F.col("at").alias(f"at_{c}")) for c in "ab")
+    x, y = (prefix.filter("head").select(F.col("id").alias(c), F.col("set").alias(f"set_{c}"),
+                                         F.col("part").alias(f"p_{c}"), F.col("n").alias(f"n_{c}"),
+                                         "shingle", F.col("at").alias(f"at_{c}")) for c in "ab")
     need = percent * (F.col("n_a") + F.col("n_b"))       # of 100 + percent times the common shingles
     left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) + 1
     can = ((F.col("p_a") < F.col("p_b")) & ((100 + percent) * left >= need)
            & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
-    pairs = (x.join(y, "shingle").filter(can)
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    pairs = x.join(y, "shingle").filter(can).select("a", "set_a", "b", "set_b").distinct()
 
     behind = F.col("n") - F.greatest(F.col("n") - F.ceil(percent * F.col("n") / 100) + 1, F.ceil(F.col("n") / 2))
-    lists = stored(prefix.groupBy("id").agg(F.collect_list("shingle").alias("first"), F.max("n").alias("n"))
+    lists = stored(prefix.groupBy("id", "set").agg(F.collect_list("shingle").alias("first"), F.max("n").alias("n"))
                    .withColumn("behind", behind), "dedup-prefix-lists")
     side = lambda c: lists.select(F.col("id").alias(c), *[
-        F.col(k).alias(f"{k}_{c}") for k in ("first", "n", "behind")])
+        F.col(k).alias(f"{k}_{c}") for k in ("set", "first", "n", "behind")])
     most = F.size(F.array_intersect("first_a", "first_b")) + F.greatest("behind_a", "behind_b")
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b"))
+    return (pairs.join(side("a"), ["a", "set_a"]).join(side("b"), ["b", "set_b"])
+            .filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b")))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def survivors(docs: DataFrame, width: int, percent: int = PERCENT) -> DataFrame:
