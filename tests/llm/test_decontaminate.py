@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -57,6 +58,29 @@ def test_against_all_pairs(spark):
         assert {r.doc_id for r in clean.collect()} == {d for d, _ in docs} - {g[0] for g in got}
 
 
+def test_items_of_one_shingle_are_always_found(spark):
+    """Five words each, in documents that nearly fill their size class."""
+    r = random.Random(6)
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(5))) for i in range(40)] + [(40, "one one one one one one one")]
+    items.append((41, " ".join(f"long{k}" for k in range(30))))
+    docs = []
+    for d in range(100):
+        parts = [t for _, t in items] + [f"d{d}x{k}" for k in range(200)]
+        r.shuffle(parts)
+        docs.append((d, " ".join(parts)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {tuple(x) for x in D.leaks(df, bench).collect()}
+    assert got == brute(docs, items) and len(got) == 100 * len(items)
+
+
+def test_bins_allow_for_the_unshared_shingles_of_the_item():
+    for n in range(2, 400):
+        both = 2.0 ** -D.extra_bits(n) * 100 / D.CONTAINMENT
+        shared = -(-D.CONTAINMENT * n // 100)
+        assert (1 - (1 - math.exp(-both)) / both) ** shared <= D.MISS
+
+
 def test_odd_rows_and_empty_tables(spark, docs, no_docs):
     items = [(1, "the quick brown fox jumps over the lazy dog"), (None, "runs away from every other animal"), (2, None), (3, "too few")]
     bench = spark.createDataFrame(items, "item_id bigint, text string")

@@ -7,9 +7,13 @@ and every partition has its own number of MinHash bins (one-permutation
 MinHash: the upper bits of a shingle's hash choose the bin, a bin keeps its
 smallest hash).  The bins grow with the partition's upper size, so the chance
 that a contained shingle is the minimum of its bin is the same for a document
-of fifty words and one of a million.  The width is set from the smallest item:
-with m = 0.8 * q shared shingles and n / bins <= load the chance to miss all of
-them is at most (1 - (1 - exp(-load)) / load) ** m, kept below ``MISS``.
+of fifty words and one of a million.  A shared shingle is lost if it is no
+minimum on either side; the item's own other shingles are at most a quarter of
+the document's, so load is n / bins / 0.8.  The width is set from the smallest
+item of two shingles or more: with m = 0.8 * q shared shingles the chance to
+miss all of them is at most (1 - (1 - exp(-load)) / load) ** m, kept below
+``MISS``.  No width does that for an item of one shingle: if there are such
+items, every shingle of a document probes for them.
 
 An item knows for each partition which of its shingles are minima there.  A
 document and an item that agree in a bin are a candidate; each candidate is
@@ -56,20 +60,23 @@ def size_class(n: Column) -> Column:
 
 
 def extra_bits(smallest_item: int, percent: int = CONTAINMENT, miss: float = MISS) -> int:
-    """Bins per partition are 2 ** (class + this)."""
+    """Bins per partition are 2 ** (class + this), for items of two shingles or more."""
     shared = max(1, math.ceil(percent * smallest_item / 100))
     need = 1 - miss ** (1 / shared)      # the chance each shared shingle must have
-    load = 4.0
-    while load > 1 / 64 and (1 - math.exp(-load)) / load < need:
+    load, both = 4.0, 100 / percent      # both: shingles of document and item for one of the document
+    while load > 1 / 64 and (1 - math.exp(-both * load)) / (both * load) < need:
         load /= 2
     return round(-math.log2(load))
 
 
 def minima(sorted_hashes: Column, bits: Column) -> Column:
     """The first of each run of hashes with equal upper ``bits``, from sorted hashes."""
+    return F.filter(sorted_hashes, _is_first(sorted_hashes, bits))
+
+
+def _is_first(sorted_hashes: Column, bits: Column):
     bin_of = lambda h: F.call_function("shiftright", h, F.lit(64) - bits)
-    return F.filter(sorted_hashes, lambda h, i: (i == 0) | (
-        bin_of(h) != bin_of(F.get(sorted_hashes, i - 1))))
+    return lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get(sorted_hashes, i - 1)))
 
 
 def item_sets(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
@@ -81,11 +88,13 @@ def item_sets(benchmark: DataFrame, item: str = "item_id", text: str = "text") -
 
 
 def item_minima(sets: DataFrame, extra: int) -> DataFrame:
-    """(value, item_id, classes): the classes in which the shingle is a minimum, as bits."""
+    """(value, item_id, classes, alone): the classes in which the shingle is a
+    minimum, as bits, and whether it is all of the item."""
     per_class = (sets.withColumn("class", F.explode(F.sequence(F.lit(1), F.lit(CLASSES - 1))))
                  .withColumn("value", F.explode(minima(F.col("hashes"), _bits(F.col("class"), extra)))))
     mark = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("class"))
-    return per_class.groupBy("value", "item_id").agg(F.bit_or(mark).alias("classes"))
+    return per_class.groupBy("value", "item_id").agg(F.bit_or(mark).alias("classes"),
+                                             F.max(F.col("n") == 1).alias("alone"))
 
 
 def _bits(size_of: Column, extra: int) -> Column:
@@ -93,8 +102,10 @@ def _bits(size_of: Column, extra: int) -> Column:
 
 
 def candidates(docs: DataFrame, sets: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Distinct (doc_id, item_id) that agree in a bin of the document's partition."""
-    facts = sets.agg(F.min("n").alias("least"), F.sum("n").alias("shingles")).first()
+    """Distinct (doc_id, item_id) that agree in a bin of the document's partition,
+    or at all if the item has one shingle."""
+    facts = sets.agg(F.min(F.when(F.col("n") > 1, F.col("n"))).alias("least"), F.sum("n").alias("shingles"),
+                     F.max(F.col("n") == 1).alias("alone")).first()
     extra = extra_bits(facts.least or WIDTH)
     index = item_minima(sets, extra)
     if (facts.shingles or 0) <= BROADCAST_SHINGLES:
@@ -103,11 +114,18 @@ def candidates(docs: DataFrame, sets: DataFrame, key: str = "doc_id", text: str
                            "doc_id", text="__t")
     ordered = hashed.select("doc_id", size_class(F.size("hashes")).alias("class"),
                             F.sort_array("hashes").alias("hashes"))
-    # explode_outer: no filter on the minima is inferred and pushed below the sort
-    bins = ordered.select("doc_id", "class", F.explode_outer(
-        minima(F.col("hashes"), _bits(F.col("class"), extra))).alias("value"))
     in_class = F.call_function("shiftright", F.col("classes"), F.col("class")).bitwiseAND(F.lit(1)) == 1
-    return bins.join(index, "value").filter(in_class).select("doc_id", "item_id").distinct()
+    of_bits = _bits(F.col("class"), extra)
+    # explode_outer: no filter on the minima is inferred and pushed below the sort
+    if facts.alone:
+        is_first = _is_first(F.col("hashes"), of_bits)
+        probes = F.transform("hashes", lambda h, i: F.struct(h.alias("value"), is_first(h, i).alias("least")))
+        bins = ordered.select("doc_id", "class", F.explode_outer(probes).alias("__p")).select("doc_id", "class", "__p.*")
+        fits = F.col("alone") | (F.col("least") & in_class)
+    else:
+        bins = ordered.select("doc_id", "class", F.explode_outer(minima(F.col("hashes"), of_bits)).alias("value"))
+        fits = in_class
+    return bins.join(index, "value").filter(fits).select("doc_id", "item_id").distinct()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAINMENT, key: str = "doc_id",
