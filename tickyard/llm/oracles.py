@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import fill_in_middle as fim, hard_negatives as neg
 from .near_dedup import PERCENT
 from .quality_rules import MEASURES, MIN_ROWS, SPREAD
 
@@ -103,3 +104,40 @@ ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)"""
+
+
+OP11 = f"""
+WITH u AS (
+  SELECT row_number() OVER () AS r, vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor({neg.SCALE} * CAST(c AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.r AS ar, a.id AS anchor_id, b.r AS br, b.id AS id, a.label = b.label AS same,
+             CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM u a, u b WHERE a.id % {neg.ANCHOR_EVERY} = 0 AND a.r <> b.r),
+p AS (SELECT ar, anchor_id, br AS pr, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, id, br) <= {neg.POSITIVES}),
+n AS (SELECT p.anchor_id, p.positive_id, p.positive_score, s.id AS negative_id, s.score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY p.ar, p.pr ORDER BY s.score DESC, s.id, s.br) AS INTEGER) AS rank
+      FROM p JOIN s ON p.ar = s.ar AND NOT s.same
+       AND {neg.LOW} * positive_score <= 100 * s.score AND 100 * s.score <= {neg.HIGH} * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= {neg.NEGATIVES}"""
+
+_DRAW = "CAST('0x' || h[{0}:{0} + 7] AS BIGINT)"
+_MARKS = (fim.PREFIX, fim.SUFFIX, fim.MIDDLE)
+
+OP12 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('{fim.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+t AS (SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM d),
+c AS (SELECT *, len(u) AS n, {_DRAW.format(1)} % (len(u) + 1) AS c1, {_DRAW.format(9)} % (len(u) + 1) AS c2,
+             CASE WHEN text = '' OR {' OR '.join(f"contains(text, '{m}')" for m in _MARKS)} OR {_DRAW.format(17)} % 100 >= {fim.FIM_PERCENT}
+                  THEN 'plain' WHEN {_DRAW.format(25)} % 100 < {fim.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM t),
+x AS (SELECT *, array_to_string(u[1:least(c1, c2)], '') AS p, array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+             array_to_string(u[greatest(c1, c2) + 1:], '') AS s FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '{fim.PREFIX}' || p || '{fim.SUFFIX}' || s || '{fim.MIDDLE}' || m
+              ELSE '{fim.SUFFIX}' || s || '{fim.PREFIX}' || p || '{fim.MIDDLE}' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM x"""

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import fresh_dir, use_utc
 from ..sources.tables import table
-from . import (bpe, decontaminate, html_extract, near_dedup, quality_classifier, quality_rules,
-               sharding, token_files, url_filter, warc_zip)
+from . import (bpe, decontaminate, fill_in_middle, hard_negatives, html_extract, near_dedup, quality_classifier,
+               quality_rules, sharding, token_counts, token_files, url_filter, warc_zip)
 from . import oracles
 from .common import QueryFn
 
@@ -110,3 +110,23 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     model = url_filter.train(url_filter.labelled_by_rules(pages, URL_RULES))
     return url_filter.judge(pages, URL_RULES, model, "page_id")
+
+
+@register("op11_hard_negatives", oracles.OP11)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every anchor and positive of the embeddings."""
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+@register("op12_fill_in_middle", oracles.OP12)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's form and cuts; digests of its output and of the text restored from it."""
+    made = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256"))
+
+
+@register("op13_token_counts")
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return token_counts.counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
