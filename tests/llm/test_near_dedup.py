@@ -134,3 +134,59 @@ def test_components(spark):
         got = {x.node: x.component for x in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
         assert all(got.get(i, i) == root[i] for i in range(n))
     assert components(spark.createDataFrame([], "a bigint, b bigint")).select(F.count("*")).first()[0] == 0
+
+
+def drifted(seed, n, least=2, most=3):
+    r = random.Random(seed)
+    for i in range(n):
+        words = [f"w{j}" for j in range(100)]
+        for at in r.sample(range(100), r.randint(least, most)):
+            words[at] = f"n{i}x{at}"
+        yield i, " ".join(words)
+
+
+def test_second_step_grows_with_the_group(spark, monkeypatch):
+    """One group of near copies of a text that is not there: few are linked, none of the rest is
+    paired with all others."""
+    rows = {}
+    keep = N.stored
+
+    def counted(df, kind):
+        out = keep(df, kind)
+        rows.setdefault(kind, []).append(out.count())
+        return out
+    monkeypatch.setattr(N, "stored", counted)
+    seen = []
+    for n in (150, 300, 600):
+        rows.clear()
+        texts = list(drifted(9, n))
+        df = spark.createDataFrame(texts, "doc_id bigint, text string")
+        assert result(N.near_duplicates(df, 5)) == brute(texts, 5)
+        first, second = rows["dedup-pairs"]
+        seen.append((rows["dedup-places"][0] + second, first, second))
+    for small, large in zip(seen, seen[1:], strict=False):
+        assert large[0] <= 2.3 * small[0] and large[1] <= 2.4 * small[1]
+    assert all(second < n for (_, _, second), n in zip(seen, (150, 300, 600), strict=True))
+
+
+def test_short_and_long_sets_across(spark):
+    """Sets of under sixteen shingles meet by their rarest ones, long ones by pieces."""
+    r = random.Random(3)
+    rows = []
+    for base in range(6):
+        words = [f"b{base}w{i}" for i in range(r.choice([6, 12, 20, 1500]))]
+        for _ in range(25):
+            w = list(words)
+            for at in r.sample(range(len(w)), max(1, len(w) // 40)):
+                w[at] = f"e{len(rows)}x{at}"
+            rows.append((len(rows), " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for k in (2, 5):
+        assert result(N.near_duplicates(df, k)) == brute(rows, k)
+
+
+def test_very_long_text(spark):
+    words = [f"w{i % 5000}x{i}" for i in range(120_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:110_000])), (3, " ".join(words[60_000:])), (4, "short one")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert result(N.near_duplicates(df, 5)) == brute(rows, 5)

@@ -13,12 +13,12 @@ steps.  First every member of a table's bucket with one member, the bucket's
 leader; which member leads changes from table to table, so a document in a large
 group meets TURNS leaders.  These links are verified and joined to components.
 Then, for the documents of buckets that still hold more than one component, the
-pairs across components: of these only pairs that share a shingle among their
-rarest ones, at a place where enough of both sets is left, can reach the
-similarity (prefix and positional filter of exact set joins, which lose
-nothing).  Pairs inside a component add no information.  So a large group of
-copies costs rows in proportion to its size, and heavily edited copies fall out
-by their own rare shingles.  Every link is confirmed on the full sets.
+pairs across components, found by exact filters of set joins: what a set shares
+with no other component counts against it, the rest is compared by pieces, by
+its rarest shingles and by parity sketches (``_across``).  Pairs inside a component
+add no information.  So a large group of copies costs rows in proportion to its
+size, and heavily edited copies fall out by their own shingles.  Every link is
+confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import by_slices, raw, stored
 from .graph import components
@@ -35,6 +35,8 @@ LEFT, LEFT_ROWS = 12, 3
 RIGHT, RIGHT_ROWS = 10, 2
 TURNS = 2               # leaders that a member of a large group meets
 PERCENT = 80            # similarity, in hundredths, from which sets are linked
+PIECE = 16              # least shingles of a set for each piece that sets are compared by
+SKETCH = 256            # bits of a set's parity sketch
 BROADCAST_IDS = 1_000_000   # ids of 8 bytes; more of them are joined by a shuffle
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -254,12 +256,23 @@ def _across(members: DataFrame, docs: DataFrame, width: int, percent: int, key:
     similarity.
 
     Every set of a member stands for itself: rows that repeat an id can have
-    several, and copies count once.  A set's shingles are placed from the rarest
-    (among the sets) to the most frequent.  Sets of similarity s share one of their first
-    n - ceil(s n) + 1 shingles, and from the places of a shared shingle on they
-    can have no more in common than is left of either.  Of the pairs left, what
-    the rarer halves of both sets share and all of the other halves bound what
-    the sets can share."""
+    several, and copies count once.  Sets of n and m shingles reach the similarity
+    if they differ in at most (100 - percent) / (100 + percent) of n + m shingles.
+    A shingle that no other part has always differs, so it is paid from its own
+    set's share of that sum; what both have left, the pair's slack, bounds the
+    difference of the other, shareable shingles.  Three exact filters follow:
+
+    * With a slack below P, sets dealt by hash into P pieces have a piece in
+      common; pieces are compared by their hash.  This is used while a piece has
+      PIECE shingles or more, so that empty ones do not decide.
+    * Other pairs share one of their rarest shingles, at a place where enough of
+      both sets is left (prefix and positional filter).
+    * The parities of SKETCH buckets of the sets differ in at most as many bits as
+      the sets differ in shingles.
+
+    Copies with edits of their own lose their slack to these, so a group of them
+    is compared by hashes that differ, and few pairs come out that are no links.
+    """
     sets = sets_of(docs, members.select("id").distinct(), width, key, text)
 
     def spread(batches):
@@ -272,32 +285,73 @@ def _across(members: DataFrame, docs: DataFrame, width: int, percent: int, key:
 
     rows = sets.mapInArrow(spread, "id bigint, set bigint, n bigint, shingle bigint").join(members, "id")
     common = (rows.groupBy("shingle").agg(F.count("*").alias("df"), F.min("part").alias("p"), F.max("part").alias("q"))
-              .filter("df > 1").select("shingle", "df", (F.col("p") < F.col("q")).alias("across")))
-    order = Window.partitionBy("id", "set").orderBy("df", "shingle")
-    prefix = (rows.join(common, "shingle", "left").withColumn("df", F.coalesce("df", F.lit(1)))
-              .withColumn("at", F.row_number().over(order))
-              .withColumn("head", F.col("at") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)
-              .filter((F.col("head") | (F.col("at") <= F.ceil(F.col("n") / 2))) & F.col("across"))
-              .select("id", "set", "part", "n", "shingle", "at", "head"))
-    prefix = stored(prefix, "dedup-prefixes")
-    x, y = (prefix.filter("head").select(F.col("id").alias(c), F.col("set").alias(f"set_{c}"),
-                                         F.col("part").alias(f"p_{c}"), F.col("n").alias(f"n_{c}"),
-                                         "shingle", F.col("at").alias(f"at_{c}")) for c in "ab")
-    need = percent * (F.col("n_a") + F.col("n_b"))       # of 100 + percent times the common shingles
+              .filter("p < q").select("shingle", "df"))
+    own = F.col("n") - F.size("shared")
+    slack = (100 - percent) * F.col("n") - (100 + percent) * own
+    shared = stored(rows.join(common, "shingle").groupBy("id", "set", "part", "n")
+                    .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
+                    .withColumn("slack", slack)
+                    # a partner has at most 100 / percent times the shingles, and no more slack than their share
+                    .filter(percent * F.col("slack") + 100 * (100 - percent) * F.col("n") >= 0)
+                    .select("id", "set", "part", "n", "slack", F.col("shared.shingle").alias("shared")), "dedup-shared")
+
+    places = stored(_places(shared, percent), "dedup-places")
+    several = places.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("key")
+    sketches = [f"s{i}" for i in range(SKETCH // 64)]
+    open_places = places.join(several, "key")
+    x, y = (open_places.select("key", *[F.col(k).alias(f"{k}_{c}") for k in ("id", "set", "part", "n", "slack", "at", *sketches)])
+            for c in "ab")
+    share = 100 + percent
+    both = F.col("slack_a") + F.col("slack_b")
+    room = F.floor(both / share)                                    # shareable shingles in which they may differ
+    pieces = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.when(room > 0, F.length(F.bin(room))).otherwise(0))
+    fewest = F.least("n_a", "n_b")
+    by_pieces = PIECE * pieces <= fewest
     left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) + 1
-    can = ((F.col("p_a") < F.col("p_b")) & ((100 + percent) * left >= need)
-           & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
-    pairs = x.join(y, "shingle").filter(can).select("a", "set_a", "b", "set_b").distinct()
-
-    behind = F.col("n") - F.greatest(F.col("n") - F.ceil(percent * F.col("n") / 100) + 1, F.ceil(F.col("n") / 2))
-    lists = stored(prefix.groupBy("id", "set").agg(F.collect_list("shingle").alias("first"), F.max("n").alias("n"))
-                   .withColumn("behind", behind), "dedup-prefix-lists")
-    side = lambda c: lists.select(F.col("id").alias(c), *[
-        F.col(k).alias(f"{k}_{c}") for k in ("set", "first", "n", "behind")])
-    most = F.size(F.array_intersect("first_a", "first_b")) + F.greatest("behind_a", "behind_b")
-    return (pairs.join(side("a"), ["a", "set_a"]).join(side("b"), ["b", "set_b"])
-            .filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b")))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    differ = sum((F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in sketches), F.lit(0))
+    can = ((F.col("part_a") < F.col("part_b")) & (both >= 0) & (100 * fewest >= percent * F.greatest("n_a", "n_b"))
+           & F.when(by_pieces, F.col("at_a") == -pieces)
+              .otherwise((F.col("at_a") > 0) & (share * left >= percent * (F.col("n_a") + F.col("n_b"))))
+           & (differ <= room))
+    return (x.join(y, "key").filter(can)
+            .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct())
+
+
+def _places(shared: DataFrame, percent: int) -> DataFrame:
+    """(key, id, set, part, n, slack, at, s0...): what a set can meet others by.
+    ``at`` is minus the number of pieces, or the place of one of the rarest shingles."""
+    names = ["id", "set", "part", "n", "slack"]
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                n = batch.column(3)[i].as_py()
+                v = batch.column(5)[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
+                bits = np.bincount((v % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+                sketch = np.packbits(bits.astype(np.uint8)).view(np.int64)
+                mixed = (v ^ (v >> np.uint64(31))) * np.uint64(MIX[1])
+                keys, at, pieces = [], [], 1
+                while PIECE * pieces <= n:
+                    total = np.zeros(pieces, np.uint64)
+                    piece = (mixed >> np.uint64(40)).astype(np.int64) % pieces
+                    np.add.at(total, piece, mixed)
+                    key = (total ^ np.uint64(pieces)) * np.uint64(MIX[0]) + np.arange(pieces, dtype=np.uint64)
+                    keys.append((key ^ (key >> np.uint64(29))) * np.uint64(MIX[1]))
+                    at.append(np.full(pieces, -pieces))
+                    pieces *= 2
+                own = n - len(v)                      # places of the shingles that no other part has
+                head = n - -(-percent * n // 100) + 1 - own
+                keys.append(v[:max(head, 0)])
+                at.append(np.arange(max(head, 0)) + own + 1)
+                at = np.concatenate(at)
+                one = batch.slice(i, 1)
+                cols = [pa.array(np.full(len(at), one.column(c)[0].as_py(), np.int64)) for c in range(5)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys).view(np.int64)), *cols, pa.array(at.astype(np.int64)),
+                     *[pa.array(np.full(len(at), w)) for w in sketch]],
+                    ["key", *names, "at", *[f"s{i}" for i in range(len(sketch))]])
+    columns = ["key", *names, "at", *[f"s{i}" for i in range(SKETCH // 64)]]
+    return shared.select(*names, "shared").mapInArrow(run, ", ".join(f"{c} bigint" for c in columns))
 
 
 def survivors(docs: DataFrame, width: int, percent: int = PERCENT) -> DataFrame:
