@@ -61,6 +61,41 @@ def test_rules_adapt_and_keep_clean_documents(spark):
     assert kept.filter("kept <> 7").isEmpty()
 
 
+def test_two_sources_with_levels_of_their_own(spark):
+    """Half a dozen symbols per word are ordinary in one source and junk in the other, whose
+    ordinary words are longer than the first one's junk: no single cutoff keeps both and drops both."""
+    r = random.Random(8)
+    marked = lambda k: " ".join(w + "#" * r.randint(k, k + 2) for w in good_text(r).split())
+    long = lambda k: " ".join("".join(r.choices("abcdefgh", k=r.randint(k, k + 4))) for _ in range(80))
+    rows = [(i, marked(2), "en", "code") for i in range(300)] + [(1000 + i, marked(9), "en", "code") for i in range(15)]
+    rows += [(2000 + i, long(14), "en", "terms") for i in range(300)] + [(3000 + i, marked(2), "en", "terms") for i in range(15)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    kept = {x.doc_id for x in R.rules(docs).filter("kept").collect()}
+    assert {i for i, *_ in rows if i % 2000 < 1000} == kept
+
+
+def test_a_tail_is_judged_by_its_word_lengths(spark):
+    """Repeated lines in ordinary documents are an ordinary tail, symbols in documents of odd words a junk one."""
+    r = random.Random(5)
+    line = lambda: good_text(r, 20)
+    rows = [(i, "\n".join(line() for _ in range(5)), "en", "s") for i in range(300)]
+    for i in range(30):
+        same = line()
+        rows.append((1000 + i, "\n".join([same, same, *(line() for _ in range(3 + i % 4))]), "en", "s"))
+    rows += [(2000 + i, " ".join(w * 4 + "#" for w in good_text(r).split()), "en", "s") for i in range(30)]
+    rows += [(3000 + i, " ".join(w + "#" for w in good_text(r).split()), "en", "s") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    kept = {x.doc_id for x in R.rules(docs).filter("kept").collect()}
+    assert kept == {i for i, *_ in rows if i < 2000}
+
+
+def test_a_small_group_leans_on_its_language(spark):
+    """Three documents follow their language, three hundred their own level; in between it is a mean."""
+    q = lambda docs, n: F.struct(*[F.lit(docs).alias(k) for k in R.QUARTERS], F.lit(n).cast("long").alias("rows"))
+    got = [spark.range(1).select(R._lean(q(1000, n), q(5000, 999), *R.QUARTERS).alias("q")).first().q.q2 for n in (1, 50, 10_000)]
+    assert got == [(1000 + 50 * 5000) // 51, 3000, (10_000 * 1000 + 50 * 5000) // 10_050]
+
+
 def test_sketches_merge(spark):
     docs = corpus(spark, random.Random(4))
     m = R.measure(docs, "lang", "source").cache()

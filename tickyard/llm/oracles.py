@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import fill_in_middle as fim, hard_negatives as neg
 from .near_dedup import PERCENT
-from .quality_rules import MEASURES, MIN_ROWS, SPREAD
+from .quality_rules import LENGTH, MEASURES, RATES, SHRINK, SPREAD, TAIL_JUNK
 
 _SPLIT = r"regexp_split_to_array({}, '[\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -29,27 +29,41 @@ GROUP BY doc_id, item_id, n HAVING 100 * count(*) >= 80 * n"""
 
 
 def _rules() -> str:
-    value = {m.name: f"CASE WHEN {m.bottom} > 0 THEN ({m.scale} * {m.top}) // {m.bottom} ELSE 0 END" for m in MEASURES}
+    value = {m.name: f"CASE WHEN {m.bottom} > 0 THEN (1000 * {m.top}) // {m.bottom} ELSE 0 END" for m in MEASURES}
     drop = "greatest(length(bin(v)) - 6, 0)"
+    one = "SELECT lang, source, '{}' AS measure, CAST({} AS BIGINT) AS v FROM c WHERE NOT base_failed"
     pairs = " UNION ALL ".join(
-        f"SELECT lang, source, '{m.name}' AS measure, CAST({value[m.name]} AS BIGINT) AS v FROM c WHERE NOT base_failed"
-        for m in MEASURES)
-    floors = "CASE measure " + " ".join(f"WHEN '{m.name}' THEN {m.floor}" for m in MEASURES) + " END"
+        [one.format(m.name, value[m.name]) for m in MEASURES]
+        + [one.format(f"@{m.name}", value[LENGTH.name]) + f" AND {value[m.name]} > 0" for m in RATES])
+    width = lambda outer, middle: f"greatest({SPREAD} * abs({outer} - {middle}), {outer} // 8 + 1)"
 
-    def quartiles(name: str, keys: str) -> str:
+    def level(name: str, keys: str) -> str:
         by = f"{keys}, measure" if keys else "measure"
-        return f"""{name} AS (
-  SELECT {by}, q2, greatest({floors}, {SPREAD} * least(q3 - q2, q2 - q1)) AS width, total FROM (
-    SELECT {by}, max(total) AS total, min(CASE WHEN 4 * upto >= total THEN b END) AS q1,
-           min(CASE WHEN 4 * upto >= 2 * total THEN b END) AS q2, min(CASE WHEN 4 * upto >= 3 * total THEN b END) AS q3
-    FROM (SELECT {by}, b, sum(n) OVER (PARTITION BY {by} ORDER BY b) AS upto, sum(n) OVER (PARTITION BY {by}) AS total
-          FROM (SELECT {by}, b, count(*) AS n FROM s GROUP BY ALL)) GROUP BY {by}))"""
-
-    fits = " AND ".join(
-        f"{value[m.name]} <= f.{m.name}_q + f.{m.name}_w" + (f" AND {value[m.name]} >= f.{m.name}_q - f.{m.name}_w" if m.low else "")
-        for m in MEASURES)
-    wide = ", ".join(f"max(CASE WHEN measure = '{m.name}' THEN q END) AS {m.name}_q, "
-                     f"max(CASE WHEN measure = '{m.name}' THEN w END) AS {m.name}_w" for m in MEASURES)
+        on = f"USING ({keys})" if keys else "ON true"
+        return f"""{name}_q AS (
+  SELECT {by}, max(total) AS total, min(CASE WHEN 4 * upto >= total THEN b END) AS q1,
+         min(CASE WHEN 4 * upto >= 2 * total THEN b END) AS q2, min(CASE WHEN 4 * upto >= 3 * total THEN b END) AS q3
+  FROM (SELECT {by}, b, sum(n) OVER (PARTITION BY {by} ORDER BY b) AS upto, sum(n) OVER (PARTITION BY {by}) AS total
+        FROM (SELECT {by}, b, count(*) AS n FROM st GROUP BY ALL)) GROUP BY {by}),
+{name}_o AS (
+  SELECT {keys + ',' if keys else ''} '+' || substr(s.measure, 2) AS measure,
+         (1000 * count_if(b > q3 + {width('q3', 'q2')} OR b < q1 - {width('q1', 'q2')})) // count(*) AS out
+  FROM s JOIN (SELECT * EXCLUDE (measure) FROM {name}_q WHERE measure = '{LENGTH.name}') {on} WHERE s.measure[1] = '@' GROUP BY ALL),
+{name} AS (SELECT * FROM {name}_q LEFT JOIN {name}_o USING ({by}))"""
+
+    def lean(own: str, wider: str) -> str:
+        return ", ".join(f"CASE WHEN {own}.total IS NULL THEN {wider}.{q} WHEN {wider}.{q} IS NULL THEN {own}.{q} "
+                         f"ELSE ({own}.total * {own}.{q} + {SHRINK} * {wider}.{q}) // ({own}.total + {SHRINK}) END AS {q}"
+                         for q in ("q1", "q2", "q3", "out"))
+
+    names = ", ".join(f"('{n}')" for n in [*[m.name for m in MEASURES], *[f"+{m.name}" for m in RATES]])
+    get = lambda name, q: f"max(CASE WHEN measure = '{name}' THEN {q} END)"
+    up = lambda name: f"({get(name, 'q3')} + {width(get(name, 'q3'), get(name, 'q2'))})"
+    low = f"{get(LENGTH.name, 'q1')} - {width(get(LENGTH.name, 'q1'), get(LENGTH.name, 'q2'))}"
+    highs = ", ".join(
+        f"CASE WHEN {get(m.name, 'q2')} > 0 THEN {up(m.name)} ELSE coalesce(CASE WHEN {get('+' + m.name, 'out')} > {TAIL_JUNK} "
+        f"THEN {get('+' + m.name, 'q1')} // 2 ELSE {up('+' + m.name)} END, 0) END AS high_{m.name}" for m in RATES)
+    fits = " AND ".join([f"{value[m.name]} <= f.high_{m.name}" for m in MEASURES] + [f"{value[LENGTH.name]} >= f.low"])
     return f"""
 WITH w AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '~') AS lang, coalesce(source, '~') AS source,
                   coalesce(text, '') AS text, {_words('text')} AS words FROM documents),
@@ -66,14 +80,18 @@ c AS (SELECT doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
       FROM w JOIN l USING (r) LEFT JOIN rep USING (r)),
 m AS ({pairs}),
 s AS (SELECT lang, source, measure, (v >> {drop}) << {drop} AS b FROM m),
-{quartiles('own', 'lang, source')},
-{quartiles('bylang', 'lang')},
-{quartiles('whole', '')},
-f AS (SELECT lang, source, {wide} FROM (
-        SELECT own.lang, own.source, own.measure,
-               CASE WHEN own.total >= {MIN_ROWS} THEN own.q2 WHEN bylang.total >= {MIN_ROWS} THEN bylang.q2 ELSE whole.q2 END AS q,
-               CASE WHEN own.total >= {MIN_ROWS} THEN own.width WHEN bylang.total >= {MIN_ROWS} THEN bylang.width ELSE whole.width END AS w
-        FROM own JOIN bylang USING (lang, measure) JOIN whole USING (measure)) GROUP BY lang, source)
+st AS (SELECT * FROM s WHERE measure[1] <> '@'
+       UNION ALL SELECT lang, source, '+' || measure, b FROM s WHERE measure IN ({', '.join(f"'{m.name}'" for m in RATES)}) AND b > 0),
+{level('whole', '')},
+{level('bylang', 'lang')},
+{level('own', 'lang, source')},
+names AS (SELECT col0 AS measure FROM (VALUES {names})),
+ll AS (SELECT l.lang, names.measure, {lean('bylang', 'whole')} FROM (SELECT DISTINCT lang FROM s) l CROSS JOIN names
+       LEFT JOIN bylang ON bylang.lang = l.lang AND bylang.measure = names.measure LEFT JOIN whole ON whole.measure = names.measure),
+gg AS (SELECT g.lang, g.source, names.measure, {lean('own', 'll')} FROM (SELECT DISTINCT lang, source FROM s) g CROSS JOIN names
+       LEFT JOIN own ON own.lang = g.lang AND own.source = g.source AND own.measure = names.measure
+       LEFT JOIN ll ON ll.lang = g.lang AND ll.measure = names.measure),
+f AS (SELECT lang, source, {low} AS low, {up(LENGTH.name)} AS high_{LENGTH.name}, {highs} FROM gg GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce({fits}, false) AS kept
 FROM c LEFT JOIN f USING (lang, source)"""

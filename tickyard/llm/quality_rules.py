@@ -5,10 +5,17 @@ into a quantile sketch: integer counts in log-linear buckets (64 exact values,
 then 32 buckets per doubling, relative error under 1/32).  Sketches merge by
 adding counts, so they combine map-side, a hot source costs no more than a
 small one, and a language's or the corpus's sketch is the sum of its sources'.
-A fence is the median plus or minus ``spread`` times the smaller half of the
-interquartile range, at least ``floor``: junk up to half a group on one side
-does not move it.  A source with fewer than ``MIN_ROWS`` measured documents
-uses its language's fences, a small language the corpus's.
+Fences come from the sketches' own spread: a quartile plus ``spread`` times its
+distance from the median, so junk up to a quarter of a group on one side does
+not move them.  Most documents score 0 in some measures.  Where more than half of
+a group does, the fence comes from the sketch of the values above 0, its tail.
+A tail may be ordinary or junk, which its values alone don't tell; the sketch of
+the word lengths of its documents does: where more than TAIL_JUNK of them lie
+outside the word-length fences, the tail is junk and the fence is half its lower
+quartile, else its upper quartile and spread.  The quartiles of a group are means
+of its own and its language's, weighted by documents against ``SHRINK``; those
+of a language likewise lean on the corpus.  So a small group follows its
+language smoothly, without a least number of rows.
 """
 
 from __future__ import annotations
@@ -23,8 +30,9 @@ from .common import by_slices, key_of, raw, stored
 
 MIN_WORDS = 50            # the contract's base rule
 MAX_REPEAT_PERCENT = 50   # the contract's base rule
-MIN_ROWS = 50             # documents a group needs for fences of its own
-SPREAD = 6
+SHRINK = 50               # documents that the wider sketch counts for beside a group's own
+SPREAD = 8
+TAIL_JUNK = 250           # of 1000 documents of a tail
 BROADCAST_GROUPS = 100_000   # rows of some 100 bytes
 
 SYMBOLS = b"#*$%&|<>"
@@ -34,21 +42,19 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_rep
 
 @dataclass(frozen=True)
 class Measure:
-    """An integer measure ``scale * top / bottom`` and the least width of its fence."""
+    """An integer measure ``1000 * top / bottom``."""
     name: str
     top: str
     bottom: str
-    scale: int
-    floor: int
-    low: bool = False      # a fence below as well
 
 
-MEASURES = (
-    Measure("word_length", "word_chars", "n_words", 1000, 1500, low=True),
-    Measure("symbols", "n_symbols", "n_words", 1000, 100),
-    Measure("dup_lines", "n_dup_lines", "n_lines", 1000, 500),
-    Measure("repeats", "n_repeat_words", "n_words", 1000, 400),
+LENGTH = Measure("word_length", "word_chars", "n_words")     # has a fence on either side
+RATES = (
+    Measure("symbols", "n_symbols", "n_words"),
+    Measure("dup_lines", "n_dup_lines", "n_lines"),
+    Measure("repeats", "n_repeat_words", "n_words"),
 )
+MEASURES = (LENGTH, *RATES)
 
 
 def counts_of(text: bytes) -> tuple[int, ...]:
@@ -103,7 +109,7 @@ def base_failed() -> Column:
 def value_of(m: Measure) -> Column:
     """The measure as a whole number; 0 where the denominator is 0."""
     return F.when(F.col(m.bottom) > 0,
-                  F.expr(f"({m.scale} * {m.top}) div {m.bottom}")).otherwise(F.lit(0)).cast("long")
+                  F.expr(f"(1000 * {m.top}) div {m.bottom}")).otherwise(F.lit(0)).cast("long")
 
 
 def bucket_of(value: Column) -> Column:
@@ -113,11 +119,13 @@ def bucket_of(value: Column) -> Column:
 
 
 def sketch(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, measure, bucket, n): the mergeable sketches, as key strings."""
-    pairs = F.array(*[F.struct(F.lit(m.name).alias("measure"), bucket_of(value_of(m)).alias("bucket"))
-                      for m in MEASURES])
+    """(lang, source, measure, bucket, n): the mergeable sketches, as key strings.
+    ``@symbols`` and so on are the word lengths of the documents in a tail."""
+    pair = lambda name, value: F.struct(F.lit(name).alias("measure"), bucket_of(value).alias("bucket"))
+    pairs = F.array(*[pair(m.name, value_of(m)) for m in MEASURES],
+                    *[F.when(value_of(m) > 0, pair(f"@{m.name}", value_of(LENGTH))) for m in RATES])
     return (measured.filter(~base_failed())
-            .select(key_of(lang).alias("lang"), key_of(source).alias("source"), F.inline(pairs))
+            .select(key_of(lang).alias("lang"), key_of(source).alias("source"), F.inline(F.array_compact(pairs)))
             .groupBy("lang", "source", "measure", "bucket").agg(F.count("*").alias("n")))
 
 
@@ -132,29 +140,71 @@ def quantiles(sketches: DataFrame, *keys: str) -> DataFrame:
         first(1).alias("q1"), first(2).alias("q2"), first(3).alias("q3"), F.max("total").alias("rows"))
 
 
-def fences(sketches: DataFrame, min_rows: int = MIN_ROWS, spread: int = SPREAD) -> DataFrame:
+def _width(outer: Column, middle: Column) -> Column:
+    """``SPREAD`` times the distance, at least four buckets: it may vanish between equal quartiles."""
+    return F.greatest(SPREAD * F.abs(outer - middle), F.floor(outer / 8) + 1)
+
+
+def statistics(sketches: DataFrame, *keys: str) -> DataFrame:
+    """One row per key: a struct (q1, q2, q3, rows) per measure, one per tail with
+    ``out``, the share outside the word-length fences in thousandths."""
+    tails = (sketches.filter(F.col("measure").isin([m.name for m in RATES]) & (F.col("bucket") > 0))
+             .withColumn("measure", F.concat(F.lit("+"), F.col("measure"))))
+    stat = F.struct("q1", "q2", "q3", "rows")
+    wide = quantiles(sketches.filter(~F.col("measure").startswith("@")).unionByName(tails), *keys).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("measure") == name, stat)).alias(name)
+          for name in [*[m.name for m in MEASURES], *[f"+{m.name}" for m in RATES]]])
+    length = F.col(LENGTH.name)
+    outside = ((F.col("bucket") > length["q3"] + _width(length["q3"], length["q2"]))
+               | (F.col("bucket") < length["q1"] - _width(length["q1"], length["q2"])))
+    company = (sketches.filter(F.col("measure").startswith("@")).join(wide.select(*keys, LENGTH.name), list(keys))
+               .groupBy(*keys).agg(*[F.floor(
+                   1000 * F.sum(F.when((F.col("measure") == f"@{m.name}") & outside, F.col("n")).otherwise(0))
+                   / F.sum(F.when(F.col("measure") == f"@{m.name}", F.col("n")))).alias(f"out_{m.name}") for m in RATES]))
+    return wide.join(company, list(keys), "left").select(*keys, *[F.col(m.name) for m in MEASURES], *[
+        F.when(F.col(f"+{m.name}").isNotNull(), F.struct(F.col(f"+{m.name}.*"), F.col(f"out_{m.name}").alias("out"))
+               ).alias(f"tail_{m.name}") for m in RATES])
+
+
+def _lean(own: Column, wider: Column, *fields: str) -> Column:
+    """The weighted mean of two structs' fields; one that is null counts for nothing."""
+    both = F.struct(*[F.floor((own["rows"] * own[f] + SHRINK * wider[f]) / (own["rows"] + SHRINK)).alias(f) for f in fields],
+                    own["rows"].alias("rows"))
+    only = F.struct(*[wider[f].alias(f) for f in fields], F.lit(0).cast("long").alias("rows"))
+    alone = F.struct(*[own[f].alias(f) for f in fields], own["rows"].alias("rows"))
+    return F.when(own.isNull() & wider.isNotNull(), only).when(wider.isNull() & own.isNotNull(), alone).when(own.isNotNull(), both)
+
+
+QUARTERS = ("q1", "q2", "q3")
+
+
+def fences(sketches: DataFrame) -> DataFrame:
     """One row per (lang, source): struct columns of (low, high) per measure."""
-    def wide(q: DataFrame, *keys: str, tag: str) -> DataFrame:
-        width = {m.name: F.greatest(F.lit(m.floor), spread * F.least(
-            F.col("q3") - F.col("q2"), F.col("q2") - F.col("q1"))) for m in MEASURES}
-        per = []
-        for m in MEASURES:
-            low = F.col("q2") - width[m.name] if m.low else F.lit(None).cast("long")
-            fence = F.struct(low.alias("low"), (F.col("q2") + width[m.name]).alias("high"))
-            per.append(F.max(F.when(F.col("measure") == m.name, fence)).alias(f"{tag}_{m.name}"))
-        return q.groupBy(*keys).agg(*per, F.max("rows").alias(f"{tag}_rows"))
-
-    own = wide(quantiles(sketches, "lang", "source"), "lang", "source", tag="own")
-    by_lang = wide(quantiles(sketches, "lang"), "lang", tag="lang")
-    corpus = wide(quantiles(sketches.withColumn("all", F.lit(1)), "all"), "all", tag="all").first()
-
-    def whole(m: Measure) -> Column:   # one row for the corpus: its fences are constants
-        fence = corpus[f"all_{m.name}"] if corpus else (None, None)
-        return F.struct(F.lit(fence[0]).cast("long").alias("low"), F.lit(fence[1]).cast("long").alias("high"))
-    return own.join(by_lang, "lang", "left").select("lang", "source", *[
-        F.when(F.col("own_rows") >= min_rows, F.col(f"own_{m.name}"))
-        .when(F.col("lang_rows") >= min_rows, F.col(f"lang_{m.name}"))
-        .otherwise(whole(m)).alias(f"fence_{m.name}") for m in MEASURES])
+    names = [m.name for m in MEASURES] + [f"tail_{m.name}" for m in RATES]
+    fields = {n: (*QUARTERS, "out") if n.startswith("tail_") else QUARTERS for n in names}
+    level = lambda tag, *keys: statistics(sketches, *keys).withColumnsRenamed({n: f"{tag}_{n}" for n in names})
+    corpus = statistics(sketches.withColumn("all", F.lit(1)), "all").first()
+
+    def whole(n: str) -> Column:     # one row for the corpus: its statistics are constants
+        got = corpus[n] if corpus else None
+        kind = ", ".join(f"{f}: bigint" for f in (*fields[n], "rows"))
+        if got is None:
+            return F.lit(None).cast(f"struct<{kind}>")
+        return F.struct(*[F.lit(got[f]).cast("long").alias(f) for f in (*fields[n], "rows")])
+    by_lang = level("lang", "lang").select("lang", *[
+        _lean(F.col(f"lang_{n}"), whole(n), *fields[n]).alias(f"lang_{n}") for n in names])
+    own = level("own", "lang", "source").join(by_lang, "lang", "left").select("lang", "source", *[
+        _lean(F.col(f"own_{n}"), F.col(f"lang_{n}"), *fields[n]).alias(n) for n in names])
+    high = lambda q: q["q3"] + _width(q["q3"], q["q2"])
+
+    def upper(m: Measure) -> Column:
+        tail = F.col(f"tail_{m.name}")
+        by_tail = F.when(tail["out"] > TAIL_JUNK, F.floor(tail["q1"] / 2)).otherwise(high(tail))
+        return F.when(F.col(m.name)["q2"] > 0, high(F.col(m.name))).otherwise(F.coalesce(by_tail, F.lit(0)))
+    q = F.col(LENGTH.name)
+    length = F.struct((q["q1"] - _width(q["q1"], q["q2"])).alias("low"), high(q).alias("high"))
+    return own.select("lang", "source", length.alias(f"fence_{LENGTH.name}"), *[
+        F.struct(F.lit(None).cast("long").alias("low"), upper(m).alias("high")).alias(f"fence_{m.name}") for m in RATES])
 
 
 def judge(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
@@ -170,7 +220,7 @@ def judge(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: st
     for m in MEASURES:
         fence, v = F.col(f"fence_{m.name}"), value_of(m)
         good = good & (v <= fence["high"])
-        if m.low:
+        if m is LENGTH:
             good = good & (v >= fence["low"])
     return (rows.join(limits, ["__lang", "__source"], "left")
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(good, F.lit(False)))
