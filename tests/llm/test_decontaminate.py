@@ -9,18 +9,18 @@ from tickyard.llm import decontaminate as D
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def shingles(text):
+def shingles(text, width=5):
     w = WORD.findall((text or "").lower())
-    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    return {tuple(w[i:i + width]) for i in range(len(w) - width + 1)}
 
 
 def brute(docs, items, percent=80):
     out = set()
     for d, text in docs:
-        have = shingles(text)
         for i, item in items:
-            want = shingles(item)
-            n = len(want & have)
+            width = min(5, len(WORD.findall(item or "")))       # short items are one shingle
+            want = shingles(item, width) if width else set()
+            n = len(want & shingles(text, width)) if want else 0
             if want and 100 * n >= percent * len(want):
                 out.add((d, i, len(want), n))
     return out
@@ -46,6 +46,19 @@ def corpus(seed):
     return docs, items
 
 
+def test_items_of_one_to_four_words(spark):
+    items = [(1, "Zeta"), (2, "alpha beta"), (3, "one two\tthree four"), (4, ""), (5, None), (6, " \n"), (None, "null id"),
+             (7, "a b c"), (7, "x y"), (8, "one two three four five six")]
+    docs = [(1, "the zeta of alpha  BETA"), (2, "beta alpha"), (3, "zero one\ntwo three FOUR five six"), (4, None),
+            (5, "a b x y"), (6, "alpha"), (None, "a null id zetas"), (8, "alpha beta " * 3000 + "zeta")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("value", F.lit(1)).withColumn("width", F.lit(2))
+    bench = spark.createDataFrame(items, "item_id bigint, text string").withColumn("value", F.lit(1))
+    got = sorted((tuple(r) for r in D.leaks(df, bench).collect()), key=str)
+    assert got == sorted(brute(docs, items), key=str) and len(got) == 8
+    assert {r.doc_id for r in D.clean(df, bench).collect()} == {2, 4, 6}
+    assert D.leaks(df.filter("false"), bench).collect() == [] and D.leaks(df, bench.filter("false")).collect() == []
+
+
 def test_against_all_pairs(spark):
     for seed in (1, 2):
         docs, items = corpus(seed)

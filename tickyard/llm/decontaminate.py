@@ -15,6 +15,9 @@ miss all of them is at most (1 - (1 - exp(-load)) / load) ** m, kept below
 ``MISS``.  No width does that for an item of one shingle: if there are such
 items, every shingle of a document probes for them.
 
+Items of fewer than WIDTH words are one shingle of their own length, searched
+exactly among the documents' shingles of that length.
+
 An item knows for each partition which of its shingles are minima there.  A
 document and an item that agree in a bin are a candidate; each candidate is
 then verified by exact containment over all shingles of the whole document.
@@ -25,8 +28,9 @@ for the search, and the texts of the candidates again for the verification.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import WORD_SPLIT, stored
 
@@ -128,13 +132,37 @@ def candidates(docs: DataFrame, sets: DataFrame, key: str = "doc_id", text: str
     return bins.join(index, "value").filter(fits).select("doc_id", "item_id").distinct()
 
 
+def short_items(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+    """(item_id, width, value) of the items of one to four words."""
+    rows = benchmark.select(F.col(item).alias("item_id"), F.col(text).alias("__t"))
+    per_width = [with_shingles(rows, "item_id", text="__t", width=k).filter(F.size("hashes") == 1)
+                 .select("item_id", F.lit(k).alias("width"), F.col("hashes")[0].alias("value")) for k in range(1, WIDTH)]
+    return reduce(DataFrame.unionByName, per_width).distinct()
+
+
+def short_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Distinct (doc_id, item_id) of the documents that hold all words of a short
+    item in a row; no pass over the documents where there is no such item."""
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("__t"))
+    found = [docs.sparkSession.createDataFrame([], T.StructType([rows.schema["doc_id"], items.schema["item_id"]]))]
+    widths = items.groupBy("width").agg(F.count("*").alias("n")).collect()       # at most four rows
+    for k, n in sorted(widths):
+        own = items.filter(F.col("width") == k).select("item_id", "value")
+        held = (with_shingles(rows, "doc_id", text="__t", width=k)
+                .select("doc_id", F.explode(F.array_distinct("hashes")).alias("value")))
+        found.append(held.join(F.broadcast(own) if n <= BROADCAST_SHINGLES else own, "value").select("doc_id", "item_id"))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAINMENT, key: str = "doc_id",
           text: str = "text", item: str = "item_id") -> DataFrame:
     """(doc_id, item_id, n_shingles, n_shared) for every item found in a document.
 
     A document holds an item if it has at least ``percent`` of the item's
-    distinct five-word shingles, wherever they stand.  Items of fewer than five
-    words have no shingle and are not searched; null texts hold nothing; a null
+    distinct five-word shingles, wherever they stand.  An item of fewer than five
+    words is held if its words stand in the document in a row; an item without
+    words is held by none.  Texts of any length are searched whole; null texts
+    hold nothing; a null
     doc_id or item_id is a value like others; rows that repeat an id count as one
     document (or item), and its best row counts.
     """
@@ -150,8 +178,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = CONTAINMENT, key
              .join(hashed, F.col("__doc").eqNullSafe(F.col("doc_id")))
              .join(sets, F.col("__item").eqNullSafe(F.col("item_id"))))
     shared = F.size(F.array_intersect(F.col("hashes"), F.col("__have")))
+    one = F.lit(1).cast("long")
+    brief = short_leaks(docs, stored(short_items(benchmark, item), "leak-short-items"), key, text)
     return (pairs.select("doc_id", "item_id", F.col("n").cast("long").alias("n_shingles"),
                          shared.cast("long").alias("n_shared"))
+            .unionByName(brief.select("doc_id", "item_id", one.alias("n_shingles"), one.alias("n_shared")))
             .filter(100 * F.col("n_shared") >= percent * F.col("n_shingles"))
             .groupBy("doc_id", "item_id").agg(F.max("n_shingles").alias("n_shingles"),
                                               F.max("n_shared").alias("n_shared")))

@@ -21,11 +21,16 @@ def _shingles(words: str, width: int) -> str:
 OP3 = f"""
 WITH d AS (SELECT doc_id, {_words('lower(text)')} AS w FROM documents),
 i AS (SELECT item_id, {_words('lower(text)')} AS w FROM benchmark),
-ds AS (SELECT doc_id, unnest({_shingles('w', 5)}) AS s FROM d WHERE len(w) >= 5),
-items AS (SELECT item_id, {_shingles('w', 5)} AS s FROM i WHERE len(w) >= 5)
-SELECT doc_id, item_id, CAST(n AS BIGINT) AS n_shingles, CAST(count(*) AS BIGINT) AS n_shared
-FROM (SELECT item_id, len(s) AS n, unnest(s) AS s FROM items) JOIN ds USING (s)
-GROUP BY doc_id, item_id, n HAVING 100 * count(*) >= 80 * n"""
+sizes AS (SELECT DISTINCT least(len(w), 5) AS k FROM i WHERE len(w) > 0),
+ds AS (SELECT doc_id, k, unnest(list_distinct(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1]))) AS s
+       FROM d JOIN sizes ON len(w) >= k),
+items AS (SELECT item_id, least(len(w), 5) AS k,
+                 list_distinct(list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda i: w[i:i + least(len(w), 5) - 1])) AS s
+          FROM i WHERE len(w) > 0),
+found AS (SELECT doc_id, item_id, CAST(n AS BIGINT) AS n_shingles, CAST(count(*) AS BIGINT) AS n_shared
+          FROM (SELECT item_id, k, len(s) AS n, unnest(s) AS s FROM items) JOIN ds USING (k, s)
+          GROUP BY doc_id, item_id, n HAVING 100 * count(*) >= 80 * n)
+SELECT * FROM found"""
 
 
 def _rules() -> str:
