@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
@@ -126,6 +127,14 @@ def test_ranges_and_whole_files_read_alike(spark, tmp_path):
         assert some == [x for x in every if x[0]["warc-record-id"] == "<urn:page:6>"]
 
 
+def test_archives_are_read_in_many_tasks(spark, tmp_path):
+    pages = spark.range(32).selectExpr("id AS page_id", "'u' AS url", "repeat(cast(id AS string), 100) AS html").repartition(32)
+    Z.write_archives(pages, str(tmp_path / "w"), archive_bytes=1)
+    archives = len(list((tmp_path / "w").glob("part-*")))
+    rows = Z.read_archives(spark, str(tmp_path / "w")).withColumn("task", F.spark_partition_id())
+    assert rows.count() == 32 and rows.select("task").distinct().count() >= archives / 8 >= 2
+
+
 def test_no_pages(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     Z.write_archives(pages, str(tmp_path / "w"))

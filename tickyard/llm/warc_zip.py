@@ -279,8 +279,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                         "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri)
                     with store.open_input_file(name) as f:
                         yield from _rows(records_of(lambda at, n, f=f: f.read_at(n, at), size))
-        listed = files.select("path", "length").repartition(F.col("path"))
-        return listed.mapInArrow(seek, schema)
+        return files.select("path", "length").mapInArrow(seek, schema)    # the scan deals files by their bytes
 
     def whole(batches):
         for batch in batches:
