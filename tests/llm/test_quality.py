@@ -141,6 +141,17 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark):
     assert np.array_equal(C.train(docs, labels), C.train(docs, flipped))
 
 
+def test_one_bounded_row_per_sampled_id(spark):
+    docs = spark.createDataFrame([(3, f"text {i % 7}") for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(3, 1), (3, 0), (3, None)], "doc_id bigint, quality int")
+    fold = docs.select(C.fold_of(F.lit(3))).first()[0]
+    rows = C.training_rows(docs, labels, limit=1).collect()
+    assert len(rows) == (fold != C.HELD_OUT_FOLD)
+    at, x = np.arange(C.MAX_FEATURES + 9), np.r_[np.zeros(9), np.ones(C.MAX_FEATURES)]
+    kept, values = C.strongest(at, x)
+    assert len(kept) == C.MAX_FEATURES and kept[0] == 9 and (values == 1).all()
+
+
 def test_score_is_the_sparse_dot_product():
     f, w = C.Features(), np.random.default_rng(0).normal(size=(1 << C.BITS) + 1).astype(np.float32)
     for text in ["", "a b a b a b", "One ONE one!! é 日本", "x" * 5000]:

@@ -26,6 +26,7 @@ from .common import by_slices
 
 BITS = 18
 MAX_LABELS = 4_000     # labelled documents that the model is fitted on, at most
+MAX_FEATURES = 16_384    # hashed features of a training document that reach the driver
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.1
 HELD_OUT_FOLD, FOLDS = 1, 3
@@ -115,22 +116,33 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, epochs
 def training_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id",
                   limit: int = MAX_LABELS) -> DataFrame:
     """(doc_id, quality, text) of the bounded training sample: labelled rows
-    outside the held-out fold, the ``limit`` ids with the smallest hash.  Rows
+    outside the held-out fold, the ``limit`` ids with the smallest hash, and one
+    text of each: that with the smallest hash, where rows repeat the id.  Rows
     without an id, a label or a text are not trained on."""
     picked = (labels.filter(F.col("quality").isNotNull() & (fold_of(F.col(key)) != HELD_OUT_FOLD))
               .groupBy(F.col(key).alias("doc_id")).agg(F.max("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
     texts = docs.select(F.col(key).alias("doc_id"), "text").filter(F.col("text").isNotNull())
-    return texts.join(F.broadcast(picked), "doc_id")   # at most ``limit`` narrow rows
+    found = texts.join(F.broadcast(picked), "doc_id")   # at most ``limit`` narrow rows
+    return found.groupBy("doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
+def strongest(at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At most MAX_FEATURES of a training row, in their order."""
+    if len(at) <= MAX_FEATURES:
+        return at, x
+    keep = np.sort(np.lexsort((at, -x))[:MAX_FEATURES])
+    return at[keep], x[keep]
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", limit: int = MAX_LABELS) -> np.ndarray:
     """Fit the model.  Tasks hash the sample's texts; the driver gets the hashed
-    rows of at most ``limit`` documents and runs the sequential updates.
+    rows of at most ``limit`` documents, at most MAX_FEATURES of each (those of
+    the largest values), and runs the sequential updates.
     Without labelled rows every weight is 0 and every score 0.5."""
     def one(b: pa.RecordBatch) -> pa.RecordBatch:
         f = Features()
-        got = [f.of(t) for t in b.column(2).to_pylist()]
+        got = [strongest(*f.of(t)) for t in b.column(2).to_pylist()]
         return pa.RecordBatch.from_arrays(
             [*b.columns[:2], pa.array([i.astype("<u4").tobytes() for i, _ in got], pa.binary()),
              pa.array([x.astype("<f4").tobytes() for _, x in got], pa.binary())],
