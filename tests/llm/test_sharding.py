@@ -91,3 +91,26 @@ def test_pack_is_nearly_equal(spark):
     check(out, docs.collect(), 8)
     load = [sum(r.size for r in out if r.shard == b) for b in range(8)]
     assert max(load) - min(load) <= 10
+
+
+def test_every_group_meets_one_run(spark):
+    """Long runs are met by whole blocks of ranks, their ends and short runs by the rank."""
+    runs, at = [], 0
+    for k, count in enumerate([1, 1, 1, 3, 40, 1, 2, 100, 7]):
+        runs.append((10, at, count, k))
+        at += count
+    runs.append((20, 0, 5, 99))
+    table = spark.createDataFrame(runs, "total bigint, first bigint, count bigint, shard bigint")
+    groups = spark.createDataFrame([(10, i) for i in range(at)] + [(20, i) for i in range(5)], "total bigint, rank bigint")
+    want = sorted((t, r, s) for t, first, n, s in runs for r in range(first, first + n))
+    for block in (1, 8, 4096):
+        assert sorted((r.total, r.rank, r.shard) for r in S.in_runs(groups, table, block).collect()) == want
+
+
+def test_capacity_with_many_equal_groups(spark):
+    docs = spark.createDataFrame([(i, f"text {i:04d}") for i in range(400)], "doc_id bigint, text string")
+    rows = S.pack(docs, capacity=35).collect()         # three groups of ten bytes each
+    load = {}
+    for r in rows:
+        load[r.shard] = load.get(r.shard, 0) + r.size
+    assert len(rows) == 400 and max(load.values()) <= 35 and len(load) == 134

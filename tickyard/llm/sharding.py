@@ -23,6 +23,7 @@ from .common import stored
 
 SALTS = 64              # parts in which the groups of one size are numbered
 CHUNK_ROWS = 2_000      # rows of a shard that are numbered together
+RUN_BLOCK = 4096         # ranks that a long run is joined by
 
 
 class CapacityTree:
@@ -143,6 +144,21 @@ def ranked(groups: DataFrame) -> DataFrame:
             .withColumn("rank", F.col("base") + F.col("place") - 1).drop("salt", "place", "base"))
 
 
+def in_runs(groups: DataFrame, runs: DataFrame, block: int = RUN_BLOCK) -> DataFrame:
+    """Each group with the shard of the run (total, first, count, shard) that its
+    rank falls in.  Runs cover the ranks of a total once, so a group meets one row:
+    the whole block of ranks that a long run takes, or the rank itself at the
+    run's ends and in short runs."""
+    end = F.col("first") + F.col("count")
+    low, high = F.ceil(F.col("first") / block), F.floor(end / block)     # whole blocks are low ... high - 1
+    upto = lambda a, b: F.when(a < b, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
+    whole = runs.select("total", F.explode(upto(low, high)).alias("block"), "shard")
+    ends = F.when(low < high, F.concat(upto(F.col("first"), low * block), upto(high * block, end))).otherwise(upto(F.col("first"), end))
+    single = runs.select("total", F.explode(ends).alias("rank"), "shard")
+    in_blocks = groups.withColumn("block", F.floor(F.col("rank") / block)).join(whole, ["total", "block"]).drop("block")
+    return in_blocks.unionByName(groups.join(single, ["total", "rank"]).select(in_blocks.columns))
+
+
 def pack(docs: DataFrame, shards: int | None = None, capacity: int | None = None,
          key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) for every row.
@@ -160,8 +176,7 @@ def pack(docs: DataFrame, shards: int | None = None, capacity: int | None = None
     runs = balanced_runs(sizes, shards) if shards else best_fit_decreasing(sizes, capacity)[0]
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("total", "first", "count", "shard")])
     table = spark.createDataFrame(runs, schema)
-    placed = (ranked(groups).join(table, "total")
-              .filter("rank >= first and rank < first + count").select("h1", "h2", "size", "shard"))
+    placed = in_runs(ranked(groups), table).select("h1", "h2", "size", "shard")
     rows = stored(base.join(placed, ["h1", "h2", "size"]), "shard-rows")
     return numbered(rows)
 
