@@ -179,10 +179,15 @@ QUARTERS = ("q1", "q2", "q3")
 
 
 def fences(sketches: DataFrame) -> DataFrame:
-    """One row per (lang, source): struct columns of (low, high) per measure."""
+    """One row per (lang, source): struct columns of (low, high) per measure.
+
+    The sketches and the statistics of each level are written once: they are
+    small, and the texts behind them are not measured again for each use."""
+    sketches = stored(sketches, "quality-sketches")
     names = [m.name for m in MEASURES] + [f"tail_{m.name}" for m in RATES]
     fields = {n: (*QUARTERS, "out") if n.startswith("tail_") else QUARTERS for n in names}
-    level = lambda tag, *keys: statistics(sketches, *keys).withColumnsRenamed({n: f"{tag}_{n}" for n in names})
+    level = lambda tag, *keys: stored(statistics(sketches, *keys), "quality-statistics").withColumnsRenamed(
+        {n: f"{tag}_{n}" for n in names})
     corpus = statistics(sketches.withColumn("all", F.lit(1)), "all").first()
 
     def whole(n: str) -> Column:     # one row for the corpus: its statistics are constants
