@@ -28,13 +28,13 @@ def test_open_close_by_time_then_id(spark):
                                      "event_time timestamp")
     r = B.ohlcv_bars(df, "1 hour", tie_break="arrival").first()
     assert (r.open_price, r.close_price, r.trade_count) == (7.0, 6.0, 3)
-    h = B.ohlcv_bars(df, "1 hour").first()  # hash tie-break: close is still the later trade
+    h = B.ohlcv_bars(df, "1 hour", tie_break="hash").first()  # hash tie-break: close is still the later trade
     assert h.close_price == 6.0 and h.open_price in (5.0, 7.0)
 
 
 def test_hash_order_plans_hash_aggregate(spark):
     t = trades_from_lineitem(table(spark, MEDIUM, "lineitem"))
-    plan = B.ohlcv_bars(t, "1 day")._jdf.queryExecution().executedPlan().toString()
+    plan = B.ohlcv_bars(t, "1 day", tie_break="hash")._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 

@@ -40,19 +40,26 @@ def parse_messages(rows: DataFrame, schema: StructType = TRADE_V1_ID,
     return out
 
 
-def content_id(symbol="symbol", timestamp="timestamp", price="price", volume="volume") -> Column:
-    """Deterministic id from the trade's content (same input, same id)."""
+def content_id(columns=(), symbol="symbol", timestamp="timestamp", price="price", volume="volume") -> Column:
+    """Deterministic id from all that the trade's message said (same input, same
+    id): the four fields and those of ``conditions``, ``processed_at`` and
+    ``extra`` that are among ``columns``, a map by its sorted entries.  Broker
+    positions are no part of it: a message delivered again keeps its id."""
+    sent = {"conditions": lambda c: F.to_json(c), "processed_at": lambda c: c.cast("string"),
+            "extra": lambda c: F.to_json(F.sort_array(F.map_entries(c)))}
+    more = [F.coalesce(text(F.col(name)), F.lit("")) for name, text in sent.items() if name in columns]
     return F.sha2(F.concat_ws(":", F.col(symbol).cast("string"), F.col(timestamp).cast("string"),
-                              F.col(price).cast("string"), F.col(volume).cast("string")), 256)
+                              F.col(price).cast("string"), F.col(volume).cast("string"), *more), 256)
 
 
 def fill_event_id(df: DataFrame, col: str = "event_id") -> DataFrame:
     """Keep the producer's id, else derive one from the content.
 
     A content hash instead of a random UUID: replays and plan rebuilds give
-    the same id, so dedupe and keyed upserts stay idempotent.
+    the same id, so dedupe and keyed upserts stay idempotent.  Trades that
+    differ in any field that was sent are different trades.
     """
-    return df.withColumn(col, F.coalesce(F.col(col), content_id()))
+    return df.withColumn(col, F.coalesce(F.col(col), content_id(df.columns)))
 
 
 def flatten_envelopes(env: DataFrame, value_col: str = "value",

@@ -250,10 +250,11 @@ def validate(raw: DataFrame, value_col: str = "value", as_of=None, mode: str = "
         F.map_filter(F.try_variant_get("_v", F.lit("$"), "map<string,string>"),
                      lambda k, _: ~k.isin(*_FIELDS, "conditions", "processed_at")).alias("extra"),
     )
+    # Only the verdict is fenced: ``norm`` stays a plain projection, so a read of the errors does
+    # not build it, and a filter on the verdict comes first.
     out = _fence(df.select(*keep, "_v", "_price", "_volume", "_sym_ok", "_ts", "_ts_err",
-                           *[f"_{f}_{x}" for f in _FIELDS for x in "vkt"]),
-                 {"errors": errors, "norm": norm})
-    return out.select(*keep, "errors", "norm").withColumn("is_valid", F.size("errors") == 0)
+                           *[f"_{f}_{x}" for f in _FIELDS for x in "vkt"]), {"errors": errors})
+    return out.select(*keep, "errors", norm.alias("norm")).withColumn("is_valid", F.size("errors") == 0)
 
 
 def valid_trades(validated: DataFrame) -> DataFrame:
@@ -309,12 +310,13 @@ def dlq_records(invalid: DataFrame, source_topic: str = "market", value_col: str
 
 
 def write_routed(validated: DataFrame, main_path: str, dlq_path: str, source_topic: str = "market",
-                 fmt: str = "parquet", batch_id: int | None = None) -> dict:
+                 fmt: str = "parquet", batch_id: int | None = None, job: str | None = None) -> dict:
     """Valid rows to the main sink, rejected rows to the dead-letter sink,
     from one evaluation of the rule pass (persisted for the two writes, with
     disk spill; released afterwards).  With ``batch_id`` each sink has a folder
     per batch that a repeated batch overwrites, so a retry doubles nothing;
-    without it rows are appended.  Returns the two row counts, taken as side
+    ``job`` names the query that the batch number belongs to, since a job
+    started anew counts from 0 again.  Without ``batch_id`` rows are appended.  Returns the two row counts, taken as side
     effects of the writes."""
     from pyspark import StorageLevel
     from pyspark.sql import Observation
@@ -324,7 +326,8 @@ def write_routed(validated: DataFrame, main_path: str, dlq_path: str, source_top
         if batch_id is None:
             df.write.mode("append").format(fmt).save(path)
         else:
-            df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
+            of = f"/job={job}" if job else ""
+            df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}{of}/batch_id={batch_id}")
     try:
         ok, bad = Observation(), Observation()
         save(valid_trades(v).observe(ok, F.count(F.lit(1)).alias("n")), main_path)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .bars import ORDER_COLS
-from .tables import key_or_content
+from .tables import hashable, key_or_content
 
 # Default key of a trade: producer id plus the day it belongs to is not needed;
 # the (symbol, event_id) pair is unique by contract.
@@ -24,7 +24,8 @@ TRADE_KEY = ("symbol", "event_id")
 def survivor_order(df: DataFrame, order: Sequence[str] = ORDER_COLS) -> Column:
     """Total order: the given columns first, then every other column."""
     rest = [c for c in df.columns if c not in order]
-    return F.struct(*[F.col(c) for c in list(order) + rest if c in df.columns])
+    form = dict(zip(df.columns, hashable(df.schema), strict=True))
+    return F.struct(*[form[c] for c in list(order) + rest if c in form])
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER_COLS,
@@ -37,8 +38,7 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER_COLS
         raise ValueError("keep must be 'first' or 'last'")
     row = F.struct(*[F.col(c) for c in df.columns])
     pick = F.min_by if keep == "first" else F.max_by
-    plain = [f.name for f in df.schema.fields if f.dataType.typeName() != "map"]
-    return (df.groupBy(*keys, key_or_content(keys, plain).alias("_content"))
+    return (df.groupBy(*keys, key_or_content(keys, hashable(df.schema)).alias("_content"))
               .agg(pick(row, survivor_order(df, order)).alias("_row"))
               .select("_row.*"))
 

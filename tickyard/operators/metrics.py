@@ -18,6 +18,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 LATENCY_BUCKETS = [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0]
 
 
+SKETCH_K = 400           # size parameter of the latency sketches
+SKETCH_ERROR = 0.02      # rank error that a merged sketch stays below (single-sided, over 99 percent sure)
+
+
 def _dur_ms(every: str) -> Column:
     return F.expr(f"CAST(unix_millis(TIMESTAMP '1970-01-01 00:00:00' + INTERVAL {every}) AS BIGINT)")
 
@@ -90,6 +94,30 @@ def latency_quantile_approx(trades: DataFrame, q: float = 0.95, keys: Sequence[s
         F.percentile_approx(latency_seconds(trades), q, accuracy).alias("quantile_approx"))
 
 
+def latency_sketches(trades: DataFrame, every: str = "1 hour", keys: Sequence[str] = ("symbol",),
+                     k: int = SKETCH_K) -> DataFrame:
+    """M3: a stored, mergeable sketch of the latencies per (key, slot): columns
+    ``slot_start``, ``sketch`` (KLL, a few kilobytes whatever the slot holds) and ``n``.
+
+    Raw rows are read once; dashboards merge sketches instead.  Rows without a
+    latency are not counted; slots without rows have none."""
+    lat = latency_seconds(trades)
+    return (trades.filter(lat.isNotNull()).groupBy(*keys, F.window("event_time", every).alias("w"))
+            .agg(F.kll_sketch_agg_double(lat, k).alias("sketch"), F.count(F.lit(1)).alias("n"))
+            .select(*keys, F.col("w.start").alias("slot_start"), "sketch", "n"))
+
+
+def sketch_quantile(sketches: DataFrame, q: float = 0.95, keys: Sequence[str] = ("symbol",),
+                    span: str | None = None) -> DataFrame:
+    """M3: the quantile over any span from ``latency_sketches``, by merging: the
+    whole time of each key, or its windows of width ``span`` (a multiple of the
+    slots).  The rank of the result is off by at most SKETCH_ERROR of ``n``."""
+    by = [*keys, *([F.window("slot_start", span).alias("w")] if span else [])]
+    merged = sketches.groupBy(*by).agg(F.kll_merge_agg_double("sketch").alias("sketch"), F.sum("n").alias("n"))
+    at = [F.col("w.start").alias("window_start")] if span else []
+    return merged.select(*keys, *at, "n", F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias("quantile"))
+
+
 def slot_counts(df: DataFrame, every: str, keys: Sequence[str] = (), time_col: str = "event_time",
                 slide: str | None = None) -> DataFrame:
     """Rows per (key, slot) with the slot index.  Tumbling slots of width

@@ -311,6 +311,12 @@ def key_or_content(keys: Sequence[str], content: Sequence[Column | str]) -> Colu
     return F.when(missing, F.xxhash64(*content))
 
 
+def hashable(schema: StructType) -> list[Column]:
+    """All columns in a form that can be hashed: a map by its sorted entries."""
+    return [F.to_json(F.sort_array(F.map_entries(f.name))) if f.dataType.typeName() == "map" else F.col(f.name)
+            for f in schema.fields]
+
+
 def _latest_per_key(rows: DataFrame, schema: StructType, keys: Sequence[str], partition_col: str,
                     n: int) -> DataFrame:
     """One row per key: the highest ``_ver``, then the newer write, then the
@@ -319,7 +325,7 @@ def _latest_per_key(rows: DataFrame, schema: StructType, keys: Sequence[str], pa
         rows = rows.withColumn("_new", F.lit(1))
     names = schema.names + ([BUCKET] if n > 1 else [])
     plain = [F.col(f.name) for f in schema.fields if f.dataType.typeName() != "map"]
-    identity = key_or_content([k for k in keys if k != partition_col], plain)
+    identity = key_or_content([k for k in keys if k != partition_col], hashable(schema))
     return (rows.groupBy(*keys, identity.alias("_content"))
             .agg(F.max_by(F.struct(*[F.col(c) for c in names]), F.struct("_ver", "_new", *plain)).alias("_r"))
             .select("_r.*"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import parse as P
+from ..functions import quality as Q
 from ..sources.adapters import envelopes, message_rows
 from .catalog import SQL_EV_TRADES, ev_trades, ms, register
 
@@ -110,7 +111,7 @@ def flatten_envelope(spark, sf_dir):
 
 @register("fill_event_id", f"""{_EV}
 SELECT sha256(concat_ws(':', symbol, CAST("timestamp" AS VARCHAR), CAST(price AS VARCHAR),
-                        CAST(volume AS VARCHAR))) AS event_id,
+                        CAST(volume AS VARCHAR), '[]', CAST(processed_at AS VARCHAR))) AS event_id,
        CAST(event_id AS BIGINT) AS source_id
 FROM t""")
 def fill_event_id(spark, sf_dir):
@@ -120,6 +121,31 @@ def fill_event_id(spark, sf_dir):
     return t.select("event_id", "source_id")
 
 
+_SENT = ("conditions", "processed_at", "extra")
+
+
+@register("missing_ids_by_content", f"""{_EV}
+SELECT symbol, {len(_SENT) + 1} * count(DISTINCT row("timestamp", price, volume, processed_at)) AS n_trades,
+       {len(_SENT) + 1} * count(DISTINCT row("timestamp", price, volume, processed_at)) AS n_ids
+FROM t GROUP BY symbol""")
+def missing_ids_by_content(spark, sf_dir):
+    """P3 on the ingest path: of every trade four messages without an id, which differ in
+    one sent field each, stay four trades; a message delivered twice stays one."""
+    t = ev_trades(spark, sf_dir)
+    base = ["symbol", "price", "volume", "timestamp"]
+    stamp = F.col("processed_at")
+    sent = [F.to_json(F.struct(*base, stamp.alias("processed_at"))),
+            F.to_json(F.struct(*base, stamp.alias("processed_at"), F.array(F.lit("odd lot")).alias("conditions"))),
+            F.to_json(F.struct(*base, (stamp + F.lit(1 << 40)).alias("processed_at"))),
+            F.to_json(F.struct(*base, stamp.alias("processed_at"), F.lit("ny").alias("venue")))]
+    messages = t.select(F.explode(F.array(*sent, sent[0])).alias("value"))
+    trades = Q.valid_trades(Q.validate(messages, mode="types"))
+    content = F.to_json(F.struct("timestamp", "price", "volume", "processed_at", "conditions",
+                                 F.map_entries("extra").alias("extra")))
+    return trades.groupBy("symbol").agg(F.countDistinct(content).alias("n_trades"),
+                                        F.countDistinct("event_id").alias("n_ids"))
+
+
 @register("conform_v2", f"""{_EV}
 SELECT CAST(event_id AS BIGINT) AS event_id, symbol, CAST(NULL AS VARCHAR) AS exchange,
        CAST(NULL AS VARCHAR) AS trade_id, CAST(NULL AS DOUBLE) AS bid_price,

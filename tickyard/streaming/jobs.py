@@ -174,6 +174,11 @@ def start_ingest(rows: DataFrame, trades_table: str, bars_path: str, dlq_path: s
                      f"{checkpoint_root}/dead-letters", **common)]
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps in its checkpoint, over all its restarts."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def start_validated_routing(raw: DataFrame, main_path: str, dlq_path: str, checkpoint: str,
                             value_col: str = "value", as_of=None, mode: str = "lenient",
                             source_topic: str = "market", trigger: str | None = None,
@@ -182,11 +187,16 @@ def start_validated_routing(raw: DataFrame, main_path: str, dlq_path: str, check
     the rule pass once (persisted), valid rows are appended to the main sink
     and rejected ones, with reasons, to the dead-letter sink.  ``as_of=None``
     judges timestamps against the batch's processing time, as a live feed
-    handler does.  Each batch has a folder of its own in both sinks, which a
-    retry of the batch overwrites."""
+    handler does.  Each batch has a folder of its own in both sinks, named by
+    the query's id and the batch, which a retry of the batch overwrites; a job
+    with another checkpoint has another id and leaves it alone."""
+    job: list[str] = []
+
     def run(batch: DataFrame, batch_id: int) -> None:
+        if not job:
+            job.append(query_id(batch.sparkSession, checkpoint))
         checked = validate(batch, value_col=value_col, as_of=as_of, mode=mode, reject_nan_volume=reject_nan_volume)
-        write_routed(checked, main_path, dlq_path, source_topic=source_topic, batch_id=batch_id)
+        write_routed(checked, main_path, dlq_path, source_topic=source_topic, batch_id=batch_id, job=job[0])
 
     w = raw.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger, available_now).start()
