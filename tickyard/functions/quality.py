@@ -257,12 +257,12 @@ def validate(raw: DataFrame, value_col: str = "value", as_of=None, mode: str = "
     return out.select(*keep, "errors", norm.alias("norm")).withColumn("is_valid", F.size("errors") == 0)
 
 
-def valid_trades(validated: DataFrame) -> DataFrame:
+def valid_trades(validated: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """D9 (main path): valid rows as typed trade columns with event_time; all
     fields of the message stay, and an absent event id is derived from the
-    trade's content (P3)."""
+    trade's content (P3).  ``carry`` names extra columns to keep."""
     broker = [c for c in ("kafka_timestamp", "topic", "partition", "offset") if c in validated.columns]
-    return (fill_event_id(validated.filter("is_valid").select("norm.*", *broker))
+    return (fill_event_id(validated.filter("is_valid").select("norm.*", *broker, *carry))
             .withColumn("event_time", F.timestamp_millis("timestamp")))
 
 
