@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
+from ..functions import quality as Q
 from ..operators import metrics as M
 from ..session import fresh_dir
 from ..sources.tables import table
-from ..streaming import health as H, jobs as J
+from ..streaming import health as H, jobs as J, late as L
 from .catalog import SQL_EV_TRADES, ev_trades, ms, register
 from .q_stream import DELAY, _run, replay_stream
 
@@ -64,3 +65,24 @@ def latency_p95_sketch(spark, sf_dir):
                   (F.count_if(lat <= F.col("quantile")) / F.count(F.lit(1))).alias("upto")))
     near = (F.col("below") <= 0.95 + M.SKETCH_ERROR) & (F.col("upto") >= 0.95 - M.SKETCH_ERROR)
     return merged.join(ranks, "symbol").select("symbol", "n", near.alias("within_bound"))
+
+
+@register("stream_late_rows", f"""WITH t AS ({SQL_EV_TRADES})
+SELECT event_id, symbol, price, volume, "timestamp", CAST(3 AS BIGINT) AS n_copies, TRUE AS in_time_once, TRUE AS placed_right
+FROM t""")
+def stream_late_rows(spark, sf_dir):
+    """The replay split into rows in time and late rows.  Of each message all three
+    deliveries are there, the first one in time, and each on the side that the greatest time
+    of the batches before its own says."""
+    main, late, marks, ck = (fresh_dir(spark, k) for k in ("sink", "late", "marks", "checkpoints"))
+    trades = Q.valid_trades(J.checked_stream(replay_stream(spark, sf_dir)))
+    _run(L.start_split(trades, main, late, marks, ck, DELAY, available_now=True))
+    rows = (spark.read.parquet(main).withColumn("late", F.lit(False))
+            .unionByName(spark.read.parquet(late).withColumn("late", F.lit(True))))
+    tops = rows.groupBy("batch_id").agg(F.max(F.unix_millis("event_time")).alias("top"))      # one row per batch
+    before = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.withColumn("mark", F.max("top").over(before)).drop("top")
+    right = F.col("late") == L.is_late(F.col("mark"), DELAY)
+    return (rows.join(tops, "batch_id").groupBy("event_id", "symbol", "price", "volume", "timestamp")
+            .agg(F.count(F.lit(1)).alias("n_copies"), (F.count_if(~F.col("late")) > 0).alias("in_time_once"),
+                 F.bool_and(right).alias("placed_right")))
