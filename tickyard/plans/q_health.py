@@ -72,7 +72,7 @@ SELECT event_id, symbol, price, volume, "timestamp", CAST(3 AS BIGINT) AS n_copi
 FROM t""")
 def stream_late_rows(spark, sf_dir):
     """The replay split into rows in time and late rows.  Of each message all three
-    deliveries are there, the first one in time, and each on the side that the greatest time
+    deliveries are there, at least one of them in time, and each on the side that the greatest time
     of the batches before its own says."""
     main, late, marks, ck = (fresh_dir(spark, k) for k in ("sink", "late", "marks", "checkpoints"))
     trades = Q.valid_trades(J.checked_stream(replay_stream(spark, sf_dir)))
