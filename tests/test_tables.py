@@ -1,6 +1,5 @@
 import datetime as dt
 import glob
-import json
 import os
 
 import pytest
@@ -73,18 +72,24 @@ def test_dedupe_hot_key_defined_survivor(spark):
     assert r[0].price == 0.0
 
 
-def test_interrupted_swap_is_finished_by_recover(spark):
+def test_failed_merge_leaves_the_table_as_it_was(spark):
     path = fresh_dir(spark, "test-tables")
-    a = _df(spark, [(D1, "A", "1", 1.0, 1), (D2, "A", "2", 2.0, 1)])
-    K.upsert(a, path, KEYS, "version", "trade_date")
-    # a staged merge and its marker as they are just before the swap
-    b = _df(spark, [(D2, "A", "2", 20.0, 2), (D2, "A", "9", 9.0, 2)])
-    staging = fresh_dir(spark, "test-staging")
-    b.write.partitionBy("trade_date").parquet(staging)
-    K._write_text(spark, f"{path}/{K.PENDING_SWAP}", json.dumps({"staging": staging, "cols": ["trade_date"]}))
-    assert K.recover(spark, path) is True
-    assert _content(spark, path) == [(D1, "A", "1", 1.0, 1), (D2, "A", "2", 20.0, 2), (D2, "A", "9", 9.0, 2)]
-    assert K.recover(spark, path) is False
+    K.upsert(_df(spark, [(D1, "A", "1", 1.0, 1), (D2, "A", "2", 2.0, 1)]), path, KEYS, "version", "trade_date")
+    before = _content(spark, path)
+    bad = F.when(F.col("price") > 10, F.raise_error(F.lit("stop")).cast("bigint")).otherwise(F.col("version"))
+    with pytest.raises(Exception, match="stop"):
+        K.upsert(_df(spark, [(D1, "A", "3", 3.0, 2), (D2, "A", "2", 20.0, 2)]), path, KEYS, bad, "trade_date")
+    assert _content(spark, path) == before
+    K.upsert(_df(spark, [(D2, "A", "2", 20.0, 2)]), path, KEYS, "version", "trade_date")
+    assert _content(spark, path) == [before[0], (D2, "A", "2", 20.0, 2)]
+
+
+def test_table_folder_holds_data_only(spark):
+    path = fresh_dir(spark, "test-tables")
+    for price in (1.0, 2.0):
+        K.upsert(_df(spark, [(D1, "A", "1", price, 1)]), path, KEYS, "version", "trade_date", buckets=4)
+    top = [n for n in os.listdir(path) if not n.startswith(".")]
+    assert [n for n in top if n != "_SUCCESS"] == ["trade_date=2024-01-01"]
 
 
 def test_upsert_reports_rows_without_extra_job(spark):
@@ -155,7 +160,7 @@ def test_small_batch_rewrites_one_bucket(spark):
     changed = {os.path.dirname(f) for f, _ in set(before.items()) ^ set(after.items())}
     assert out["folders"] == 1 and len(changed) == 1 and len({os.path.dirname(f) for f in after}) == 8
     got = {r.event_id: r.price for r in K.read_table(spark, path).collect()}
-    assert len(got) == 400 and got["7"] == 2.0 and "key_bucket" not in K.read_table(spark, path).columns
+    assert len(got) == 400 and got["7"] == 2.0 and not any("bucket" in c for c in K.read_table(spark, path).columns)
 
 
 def test_newer_write_wins_at_equal_versions(spark):

@@ -1,51 +1,33 @@
 """Keyed Parquet tables: upsert, layout, retention, backfill.
 
-A table is a Parquet directory partitioned by one date column.  The primary
-key must contain that column (as the wide-column keys did), so an upsert only
-rewrites the partitions its input touches.
+A table is plain Parquet partitioned by one date column and, if asked for, by a
+hash of the other key columns.  The primary key must contain the date column
+(as the wide-column keys did), so an upsert only rewrites the folders its input
+touches, by Spark's own dynamic partition overwrite.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import json
 from collections.abc import Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
 from pyspark.errors import AnalysisException
 
 from ..functions.columns import date_bucket
 from ..session import fresh_dir
 
 
-# Files in the table folder; names that start with '_' are ignored by Spark's readers.
-TABLE_INFO = "_table_info"       # schema and bucket count, JSON
-PENDING_SWAP = "_pending_swap"   # the staged merge whose folders are being moved in
-BUCKET = "key_bucket"
+BUCKET = "key_bucket_"   # the number of buckets follows: the column's name says how a table is split
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
-def table_info(spark: SparkSession, path: str) -> dict | None:
-    """Schema and bucket count that ``upsert`` recorded; None for other folders."""
-    text = _read_text(spark, f"{path.rstrip('/')}/{TABLE_INFO}")
-    return json.loads(text) if text else None
-
-
-def _folder_schema(spark: SparkSession, path: str) -> StructType | None:
-    """The recorded schema, else the one that all files together have."""
-    info = table_info(spark, path)
-    if info:
-        return StructType.fromJson(info["schema"])
-    df = _read(spark, path, None, mergeSchema="true")
-    return df.schema if df is not None else None
-
-
-def _read(spark: SparkSession, path: str, schema: StructType | None, **options) -> DataFrame | None:
+def _read(spark: SparkSession, paths: Sequence[str], schema: StructType | None, **options) -> DataFrame | None:
     r = spark.read.options(**options)
     try:
-        return (r.schema(schema) if schema is not None else r).parquet(path)
+        return (r.schema(schema) if schema is not None else r).parquet(*paths)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) \
                 or "UNABLE_TO_INFER_SCHEMA" in str(e):
@@ -55,16 +37,13 @@ def _read(spark: SparkSession, path: str, schema: StructType | None, **options)
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """Read a table; ``None`` when it does not exist yet.  Without a schema the
-    recorded one is used, so rows of days written before a column was added
-    show it as NULL, and the partition column keeps its declared type."""
+    columns of all files are merged, so rows of days written before a column
+    was added show it as NULL; a given schema saves reading the footers."""
     p, fs = _fs(spark, path)
     if not fs.exists(p):  # a new table: no failed read, no error in the logs
         return None
-    info = table_info(spark, path)
-    if schema is None and info:
-        schema = StructType.fromJson(info["schema"])
-    df = _read(spark, path, schema)
-    return df.drop(BUCKET) if df is not None else None
+    df = _read(spark, [path], schema, **({} if schema is not None else {"mergeSchema": "true"}))
+    return df.drop(*[c for c in df.columns if c.startswith(BUCKET)]) if df is not None else None
 
 
 def write_layout(df: DataFrame, partition_col: str, n: int | None = None,
@@ -97,32 +76,31 @@ def repartition_by_symbol(df: DataFrame, n: int = 10, salt: int = 8, key: str =
 
 def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
            partition_col: str, cluster: Sequence[Column | str] = (),
-           writers: int | None = None, keep_staging: bool = False,
-           max_records_per_file: int | None = None, buckets: int | None = None) -> dict:
+           writers: int | None = None, max_records_per_file: int | None = None,
+           buckets: int | None = None) -> dict:
     """K1 (+K2, K4, K5): replay-safe keyed upsert, last *version* wins.
 
     The table is split into folders by ``partition_col`` (a date, text or whole
     number) and, with ``buckets``, by a hash of the other key columns; a batch
     rewrites only the folders that its keys fall into.
 
-    1. The input is persisted, so it is evaluated once.  The touched folders
-       (days x buckets: bounded by the time span, not the row count) are the
-       only thing brought to the driver.
+    1. The input is written once below the shared work root, so a lost executor
+       cannot make it come out differently while it is merged.  The touched
+       folders (days x buckets: bounded by the time span, not the row count)
+       are the only thing brought to the driver.
     2. Rows of those folders are read, unioned with the new rows by column
        name (a column that one side lacks is NULL there) and reduced to one
        row per key with ``max_by(row, version)``, an aggregate combined
        map-side, so a hot key never forms one big group.
-    3. The result is written to a staging folder under the shared work root, a
-       ``_pending_swap`` marker naming it is written, and each staged folder is
-       moved in place of the old one.  A crash in between is finished by the
-       next call (``recover``).  A new table is written directly.
+    3. The result is written with dynamic partition overwrite: Spark replaces
+       the touched folders when all tasks have ended; others are not opened.
 
     A row whose key columns are partly NULL has no identity: it is matched by
     its whole content, so it is neither merged with others nor doubled by a
     replay.  Rows without a ``partition_col`` value have a folder of their own.
     Replaying an old batch changes nothing, because a row only replaces another
     when its version is greater or equal; at equal versions the incoming row
-    wins.  ``buckets`` counts for a new table; later calls use the recorded
+    wins.  ``buckets`` counts for a new table; later calls use the table's own
     count.  ``max_records_per_file`` caps file size on top of the AQE-sized
     writer tasks.  Returns a small summary (touched partitions, input rows).
     """
@@ -132,90 +110,68 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], version: str | Column,
     kind = df.schema[partition_col].dataType.typeName()
     if kind not in ("date", "string", "integer", "long"):
         raise ValueError(f"a table cannot be partitioned by a {kind} column")
-    recover(spark, path)  # finish a swap a crash interrupted
-    old_schema = _folder_schema(spark, path)
-    info = table_info(spark, path)
-    n = (info or {}).get("buckets", 1) if old_schema is not None else (buckets or 1)
-    ver = F.col(version) if isinstance(version, str) else version
-    incoming = df.withColumn("_ver", ver)
-    if n > 1:
+    bucket = _bucket_column(spark, path, partition_col, buckets)
+    folder_cols = [partition_col] + ([bucket] if bucket else [])
+    incoming = df
+    if bucket:
         others = [F.col(k) for k in keys if k != partition_col]
-        incoming = incoming.withColumn(BUCKET, F.pmod(F.xxhash64(*others), F.lit(n)).cast("int"))
-    incoming = incoming.persist()
+        count = int(bucket[len(BUCKET):])
+        incoming = df.withColumn(bucket, F.pmod(F.xxhash64(*others), F.lit(count)).cast("int"))
+    obs = Observation("upsert_input")  # B5: the input row count rides on the write
+    batch = fresh_dir(spark, "batches")
     try:
-        return _merge_into(spark, incoming, df.schema, old_schema, path, keys, ver, partition_col, cluster,
-                           writers, keep_staging, max_records_per_file, n)
+        incoming.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(batch)
+        incoming = spark.read.schema(incoming.schema).parquet(batch)
+        touched = {tuple(NULL_FOLDER if v is None else str(v) for v in r)
+                   for r in incoming.select(*folder_cols).distinct().collect()}
+        summary = {"partitions": len({t[0] for t in touched}), "folders": len(touched),
+                   "rows": obs.get.get("rows", 0), "written": bool(touched)}
+        if not touched:  # K2: nothing to write for an empty batch
+            return summary
+        ver = F.col(version) if isinstance(version, str) else version
+        rows = incoming.withColumns({"_ver": ver, "_new": F.lit(1)})
+        schema = incoming.schema
+        present = [f for v, f in _folders(spark, path, folder_cols).items() if v in touched]
+        if present:
+            at = {"basePath": path}
+            # footers of the touched folders only; the folder columns keep their declared types
+            there = _read(spark, present, None, mergeSchema="true", **at)
+            schema = _union_schema(there.drop(*folder_cols).schema if there is not None else None, schema)
+            old = _read(spark, present, schema, **at).withColumns({"_ver": ver, "_new": F.lit(0)})
+            rows = old.unionByName(rows, allowMissingColumns=True)
+        order = list(cluster) or [k for k in keys if k != partition_col]
+        cap = {"maxRecordsPerFile": str(max_records_per_file)} if max_records_per_file else {}
+        merged = _latest_per_key(rows, schema, keys, partition_col)
+        (write_layout(merged, partition_col, writers, folder_cols[1:] + order)
+         .write.options(partitionOverwriteMode="dynamic", **cap).mode("overwrite")
+         .partitionBy(*folder_cols).parquet(path))
+        return summary
     finally:
-        incoming.unpersist()
-
-
-def _merge_into(spark, incoming, new_schema, old_schema, path, keys, ver, partition_col, cluster, writers,
-                keep_staging, max_records_per_file, n) -> dict:
-    folder_cols = [partition_col] + ([BUCKET] if n > 1 else [])
-    # The input row count rides on the job that finds the touched folders
-    obs = Observation("upsert_input")
-    counted = incoming.select(*folder_cols).observe(obs, F.count(F.lit(1)).alias("rows"))
-    touched = {tuple(NULL_FOLDER if v is None else str(v) for v in r) for r in counted.distinct().collect()}
-    rows = obs.get.get("rows", 0)
-    if not touched:  # K2: nothing to do for an empty batch (no extra job)
-        return {"partitions": 0, "rows": rows, "written": False}
-    order = list(cluster) or [k for k in keys if k != partition_col]
-    cap = {"maxRecordsPerFile": str(max_records_per_file)} if max_records_per_file else {}
-    schema = _union_schema(old_schema, new_schema)
-
-    def write(merged: DataFrame, to: str) -> None:
-        (write_layout(merged, partition_col, writers, ([BUCKET] if n > 1 else []) + order)
-         .write.options(**cap).mode("overwrite").partitionBy(*folder_cols).parquet(to))
-
-    summary = {"partitions": len({t[0] for t in touched}), "folders": len(touched), "rows": rows, "written": True}
-    if old_schema is None:  # new table: nothing to merge with, no staging copy needed
-        write(_latest_per_key(incoming, new_schema, keys, partition_col, n), path)
-        _write_info(spark, path, schema, n)
-        return {**summary, "staging": None}
-    present = {v: f for v, f in _folders(spark, path, folder_cols).items() if v in touched}
-    new = incoming.withColumn("_new", F.lit(1))
-    if present:
-        old = (spark.read.schema(_with_bucket(schema, n)).option("basePath", path)
-               .parquet(*present.values()).withColumn("_ver", ver).withColumn("_new", F.lit(0)))
-        new = old.unionByName(new, allowMissingColumns=True)
-    staging = fresh_dir(spark, "staging")
-    write(_latest_per_key(new, schema, keys, partition_col, n), staging)
-    strange = set(_folders(spark, staging, folder_cols)) - touched
-    if strange:
-        raise RuntimeError(f"the input gave other partitions when it was read again: {sorted(strange)[:3]}")
-    _write_info(spark, path, schema, n)
-    _write_text(spark, f"{path.rstrip('/')}/{PENDING_SWAP}", json.dumps({"staging": staging, "cols": folder_cols}))
-    _move_in(spark, staging, path, folder_cols)
-    _delete(spark, f"{path.rstrip('/')}/{PENDING_SWAP}")
-    if not keep_staging:
-        _delete(spark, staging)
-    return {**summary, "staging": staging}
+        _delete(spark, batch)
+
+
+def _bucket_column(spark: SparkSession, path: str, partition_col: str, buckets: int | None) -> str | None:
+    """The bucket column that the table's folders show, else one for ``buckets``."""
+    days = _folders(spark, path, [partition_col])
+    if days:
+        inside = _names(spark, next(iter(days.values())))
+        return next((n.split("=")[0] for n in inside if n.startswith(BUCKET)), None)
+    return f"{BUCKET}{buckets}" if buckets and buckets > 1 else None
 
 
 def _union_schema(old: StructType | None, new: StructType) -> StructType:
     """The stored columns, then the new ones; a column keeps its stored type."""
     if old is None:
         return new
-    fields = [f for f in old.fields if f.name != BUCKET]
-    known = {f.name: f for f in fields}
+    known = {f.name: f for f in old.fields}
     for f in new.fields:
         if f.name in known and known[f.name].dataType.simpleString() != f.dataType.simpleString():
             raise ValueError(f"column {f.name} is {known[f.name].dataType.simpleString()} in the table, "
                              f"{f.dataType.simpleString()} in the batch")
-    return StructType([StructField(f.name, f.dataType, True) for f in fields]
+    return StructType([StructField(f.name, f.dataType, True) for f in old.fields]
                       + [StructField(f.name, f.dataType, True) for f in new.fields if f.name not in known])
 
 
-def _with_bucket(schema: StructType, n: int) -> StructType:
-    return StructType([*schema.fields, StructField(BUCKET, IntegerType())]) if n > 1 else schema
-
-
-def _write_info(spark: SparkSession, path: str, schema: StructType, n: int) -> None:
-    text = json.dumps({"schema": schema.jsonValue(), "buckets": n}, sort_keys=True)
-    if _read_text(spark, f"{path.rstrip('/')}/{TABLE_INFO}") != text:
-        _write_text(spark, f"{path.rstrip('/')}/{TABLE_INFO}", text)
-
-
 def _folders(spark: SparkSession, path: str, cols: Sequence[str]) -> dict[tuple[str, ...], str]:
     """Partition values -> folder, from directory listings of ``cols`` levels."""
     found = {(): path.rstrip("/")}
@@ -231,59 +187,12 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def _move_in(spark: SparkSession, staging: str, path: str, cols: Sequence[str]) -> None:
-    """Move each staged folder in place of the table's; those already moved are
-    no longer there, so a repeated call goes on where the first one ended."""
-    for folder in _folders(spark, staging, cols).values():
-        source, fs = _fs(spark, folder)
-        target, _ = _fs(spark, path.rstrip("/") + folder[len(staging.rstrip("/")):])
-        fs.delete(target, True)
-        fs.mkdirs(target.getParent())
-        if not fs.rename(source, target):
-            raise RuntimeError(f"could not move {folder} to {target}")
-
-
-def recover(spark: SparkSession, path: str, *_) -> bool:
-    """Finish an upsert whose swap was interrupted (driver crash while folders
-    were moved).  The staged merge is complete before the marker is written.
-    Returns True when a swap was finished."""
-    marker = f"{path.rstrip('/')}/{PENDING_SWAP}"
-    text = _read_text(spark, marker)
-    if not text:
-        return False
-    pending = json.loads(text)
-    _move_in(spark, pending["staging"], path, pending["cols"])
-    _delete(spark, marker)
-    _delete(spark, pending["staging"])
-    return True
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    p, fs = _fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    inp = fs.open(p)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(inp, "UTF-8")
-    finally:
-        inp.close()
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     """Recursive delete through the cluster file system (HDFS, object store, local)."""
     p, fs = _fs(spark, path)
@@ -317,17 +226,13 @@ def hashable(schema: StructType) -> list[Column]:
             for f in schema.fields]
 
 
-def _latest_per_key(rows: DataFrame, schema: StructType, keys: Sequence[str], partition_col: str,
-                    n: int) -> DataFrame:
+def _latest_per_key(rows: DataFrame, schema: StructType, keys: Sequence[str], partition_col: str) -> DataFrame:
     """One row per key: the highest ``_ver``, then the newer write, then the
     row's orderable columns, so the survivor never depends on shuffle order."""
-    if "_new" not in rows.columns:
-        rows = rows.withColumn("_new", F.lit(1))
-    names = schema.names + ([BUCKET] if n > 1 else [])
     plain = [F.col(f.name) for f in schema.fields if f.dataType.typeName() != "map"]
     identity = key_or_content([k for k in keys if k != partition_col], hashable(schema))
     return (rows.groupBy(*keys, identity.alias("_content"))
-            .agg(F.max_by(F.struct(*[F.col(c) for c in names]), F.struct("_ver", "_new", *plain)).alias("_r"))
+            .agg(F.max_by(F.struct(*schema.names), F.struct("_ver", "_new", *plain)).alias("_r"))
             .select("_r.*"))
 
 
