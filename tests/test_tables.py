@@ -194,3 +194,41 @@ def test_end_time_is_inclusive_to_the_microsecond(spark):
     spark.sql("SELECT timestamp_micros(1704067200000000 + id * 100) AS trade_time FROM range(20)").write.parquet(path)
     assert K.load_historical(spark, path, "2024-01-01 00:00:00", "2024-01-01 00:00:00.000500").count() == 6
     assert K.load_historical(spark, path, "2024-01-01", "2024-01-01").count() == 20
+
+
+def _source(spark, rows, **layout):
+    path = fresh_dir(spark, "test-source")
+    df = spark.createDataFrame(rows, "trade_date date, symbol string, event_id string, event_time timestamp, "
+                                     "price double, version bigint, extra map<string,string>")
+    df.repartition(layout.get("files", 1)).write.partitionBy("trade_date").parquet(path)
+    return path, df.schema
+
+
+def test_backfill_copies_only_days_that_differ(spark):
+    def row(d, i, price=1.0, version=1, extra=None):
+        return (d, "A" if i % 2 else None, str(i), dt.datetime.combine(d, dt.time(1)), price, version, extra)
+    rows = [row(d, i, extra={"b": "1", "a": "2"} if i == 3 else None) for d in (D1, D2, D3) for i in range(20)]
+    target = fresh_dir(spark, "test-target")
+
+    def copy(source_rows, **layout):
+        source, schema = _source(spark, source_rows, **layout)
+        return K.backfill_changed(spark, source, target, D1, D3, KEYS, "version", schema=schema)
+
+    assert copy(rows) == [str(D1), str(D2), str(D3)]
+    assert copy(list(reversed(rows)), files=5) == []      # other order, other files
+    assert copy([r if r[:3] != (D2, "A", "7") else row(D2, 7, 2.0, 2) for r in rows]) == [str(D2)]
+    assert K.read_table(spark, target).filter("price = 2.0").count() == 1
+    # a value that moves from one nullable column to another, a map entry, a repeated row
+    assert copy([r if r[:3] != (D3, "A", "3") else row(D3, 3, extra={"a": "1", "b": "2"}, version=3) for r in rows]) == [
+        str(D2), str(D3)]     # D2 holds the newer version, which stays
+    assert K.read_table(spark, target).count() == 60
+
+
+def test_fingerprints_tell_repeated_rows_and_null_places_apart(spark):
+    def prints(rows):
+        df = spark.createDataFrame(rows, "trade_date date, symbol string, a string, b string")
+        return sorted(map(tuple, K.fingerprints(df, ["trade_date", "symbol"]).collect()))
+    assert prints([(D1, "A", "x", None)]) != prints([(D1, "A", None, "x")])
+    assert prints([(D1, "A", "x", "y")]) != prints([(D1, "A", "x", "y")] * 2)
+    assert prints([(D1, "A", "x", "y"), (D1, "A", "z", "y")]) == prints([(D1, "A", "z", "y"), (D1, "A", "x", "y")])
+    assert prints([]) == []

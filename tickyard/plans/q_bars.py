@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import notional
+from ..functions.columns import notional, with_trade_time
 from ..operators import bars as B
 from .catalog import (ORDER_SQL, SQL_EV_TRADES, SQL_LI_TRADES, bars_out, ev_trades,
                       li_trades, ms, r6, register, sql_bars, sql_ms, sql_r6)
@@ -22,6 +22,16 @@ def ohlcv_daily_lineitem(spark, sf_dir):
     return bars_out(B.ohlcv_bars(li_trades(spark, sf_dir), "1 day"))
 
 
+@register("bars_trade_time", f"""
+SELECT symbol, window_start, window_start AS trade_time, trade_count
+FROM ({sql_bars(SQL_EV_TRADES, "hour", ORDER_SQL)})""")
+def bars_trade_time(spark, sf_dir):
+    """Bars for the sink, ``trade_time`` beside the window's start."""
+    bars = with_trade_time(B.ohlcv_bars(ev_trades(spark, sf_dir), "1 hour"))
+    return bars.select("symbol", ms("window_start").alias("window_start"), ms("trade_time").alias("trade_time"),
+                       "trade_count")
+
+
 _TIED = f"SELECT * REPLACE (date_trunc('hour', event_time) AS event_time) FROM ({SQL_EV_TRADES})"
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -159,3 +161,14 @@ def conform_v2(spark, sf_dir):
     return v2.select(F.col("event_id").cast("bigint").alias("event_id"), "symbol", "exchange", "trade_id",
                      "bid_price", "ask_price", "is_market_hours",
                      F.size("metadata").alias("n_metadata"))
+
+
+@register("ingest_stamped", f"""{_EV}
+SELECT CAST(event_id AS BIGINT) AS event_id, true AS after_start, true AS one_stamp FROM t""")
+def ingest_stamped(spark, sf_dir):
+    """P5: the ingest stamp of every trade: not before the query was built, one for all."""
+    start = F.lit(_dt.datetime.now(_dt.timezone.utc)).cast("timestamp")
+    t = ev_trades(spark, sf_dir).withColumn("spark_processed_at", C.ingest_stamp())
+    one = t.agg((F.count_distinct("spark_processed_at") <= 1).alias("one")).scalar()
+    return t.select(F.col("event_id").cast("bigint").alias("event_id"),
+                    (F.col("spark_processed_at") >= start).alias("after_start"), one.alias("one_stamp"))

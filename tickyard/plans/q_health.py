@@ -9,10 +9,14 @@ from pyspark.sql import Window, functions as F
 from ..functions import quality as Q
 from ..operators import metrics as M
 from ..session import fresh_dir
+from ..sources.adapters import dirty_from_events, message_rows
 from ..sources.tables import table
-from ..streaming import health as H, jobs as J, late as L
+from ..streaming import health as H, job_metrics as JM, jobs as J, late as L, outliers as O
+from ..streaming.sources import file_stream
 from .catalog import SQL_EV_TRADES, ev_trades, ms, register
-from .q_stream import DELAY, _run, replay_stream
+from .q_quality import _DIRTY, AS_OF
+from .q_stream import DELAY, SLICES, _run, replay_stream
+from .replay import write_message_files
 
 DELAY_MS = 300_000
 SILENCE = _dt.timedelta(hours=1)
@@ -86,3 +90,44 @@ def stream_late_rows(spark, sf_dir):
     return (rows.join(tops, "batch_id").groupBy("event_id", "symbol", "price", "volume", "timestamp")
             .agg(F.count(F.lit(1)).alias("n_copies"), (F.count_if(~F.col("late")) > 0).alias("in_time_once"),
                  F.bool_and(right).alias("placed_right")))
+
+
+@register("stream_outliers", f"""
+WITH t AS (SELECT *, CAST(make_timestamp("timestamp" * 1000) AS DATE) AS day FROM ({SQL_EV_TRADES})),
+days AS (SELECT DISTINCT symbol, day FROM t),
+past AS (SELECT d.symbol, d.day, avg(t.price) AS m, stddev_samp(t.price) AS sd
+         FROM days d JOIN t ON t.symbol = d.symbol AND t.day < d.day GROUP BY d.symbol, d.day)
+SELECT t.event_id, t.symbol, t.price,
+       coalesce(NOT t.price BETWEEN p.m - 1.5 * p.sd AND p.m + 1.5 * p.sd, false) AS is_outlier
+FROM t LEFT JOIN past p ON t.symbol = p.symbol AND t.day = p.day""")
+def stream_outliers(spark, sf_dir):
+    """D13 on a stream: every trade judged by stored moments of the days before its own
+    (1.5 deviations, since these prices have no value beyond three)."""
+    out, kept, ck = (fresh_dir(spark, k) for k in ("sink", "moments", "checkpoints"))
+    path = fresh_dir(spark, "replay")
+    write_message_files(message_rows(ev_trades(spark, sf_dir)), path, SLICES)
+    trades = J.valid_trades(J.checked_stream(file_stream(spark, path, max_files_per_trigger=1)))
+    _run(O.start_outliers(trades, out, kept, ck, std_dev=1.5, available_now=True))
+    return spark.read.parquet(out).select("event_id", "symbol", "price", "is_outlier")
+
+
+@register("stream_job_metrics", _DIRTY + """
+SELECT count(*) AS n_received, count(*) FILTER (WHERE errors = '') AS n_sent,
+       count(*) FILTER (WHERE errors <> '') AS n_rejected FROM v""")
+def stream_job_metrics(spark, sf_dir):
+    """W6 + M1: the counters that the listener of a running job wrote, summed over its
+    batches, are those of a batch pass over all messages."""
+    raw = dirty_from_events(table(spark, sf_dir, "events"), AS_OF)
+    rows = raw.select(F.col("event_id").cast("string").alias("key"), "value", F.col("received_at").alias("timestamp"))
+    path, out, ck, kept = (fresh_dir(spark, k) for k in ("replay", "sink", "checkpoints", "metrics"))
+    write_message_files(rows, path, SLICES)
+    checked = JM.counted(J.checked_stream(file_stream(spark, path, max_files_per_trigger=1), "lenient", AS_OF))
+    watch = JM.JobMetrics(spark, kept)
+    spark.streams.addListener(watch)
+    try:
+        q = J.start_append(J.valid_trades(checked), out, ck, available_now=True)
+        _run(q)
+        watch.wait(q)
+    finally:
+        spark.streams.removeListener(watch)
+    return JM.read_metrics(spark, kept).agg(*[F.sum(c).alias(c) for c in ("n_received", "n_sent", "n_rejected")])

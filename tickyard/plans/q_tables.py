@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import dedupe as U
@@ -175,6 +177,45 @@ def backfill_range(spark, sf_dir):
     return _table_out(K.read_table(spark, dst), "date_bucket")
 
 
+@register("backfill_difference", _SQL_DATED + f""",
+u AS (SELECT *, trade_date IN (DATE '2024-01-06', DATE '2024-01-08') AND CAST(event_id AS BIGINT) % 7 = 0 AS moved FROM t),
+c AS (SELECT trade_date AS day FROM u GROUP BY trade_date HAVING bool_or(moved)),
+v AS (SELECT * REPLACE (CASE WHEN moved THEN price + 1 ELSE price END AS price),
+             CASE WHEN moved THEN 2 ELSE 1 END AS version FROM u)
+SELECT {_SQL_TABLE_OUT}, CASE WHEN c.day IS NULL THEN 1 ELSE 2 END AS copies, 0 AS idle_days
+FROM v LEFT JOIN c ON v.trade_date = c.day""")
+def backfill_difference(spark, sf_dir):
+    """K7 by difference: the whole table copied, then again after rows of two days changed
+    (only those days are copied), then from the same rows in other files (no day is)."""
+    t = _dated(ev_trades(spark, sf_dir)).withColumn("version", F.lit(1))
+    moved = F.col("trade_date").isin(_dt.date(2024, 1, 6), _dt.date(2024, 1, 8)) \
+        & (F.col("event_id").cast("bigint") % 7 == 0)
+    later = t.withColumns({"price": F.when(moved, F.col("price") + 1).otherwise(F.col("price")),
+                           "version": F.when(moved, 2).otherwise(1)})
+    dst = fresh_dir(spark, "tables")
+    runs = [K.backfill_changed(spark, _write_dated(spark, rows), dst, "2020-01-01", "2030-01-01", _KEYS, "version",
+                               schema=t.schema)
+            for rows in (t, later, later.repartition(3, "price"))]
+    day = F.date_format("trade_date", "yyyy-MM-dd")
+    copies = sum((F.when(day.isin(days), 1).otherwise(0) for days in runs), F.lit(0))
+    return _table_out(K.read_table(spark, dst).withColumns({"copies": copies, "idle_days": F.lit(len(runs[2]))}),
+                      "copies", "idle_days")
+
+
+@register("symbol_partitions", f"""
+WITH t AS ({SQL_EV_TRADES})
+SELECT CAST(event_id AS BIGINT) AS event_id, symbol, price, true AS in_range, true AS few_per_symbol FROM t""")
+def symbol_partitions(spark, sf_dir):
+    """K4: every trade after the salted repartition by symbol; a symbol lies in at most
+    as many partitions as there are salts."""
+    n, salt = 10, 4
+    rows = K.repartition_by_symbol(ev_trades(spark, sf_dir), n, salt).withColumn("part", F.spark_partition_id())
+    spread = rows.groupBy("symbol").agg(F.count_distinct("part").alias("parts"))
+    return rows.join(spread, "symbol").select(
+        F.col("event_id").cast("bigint").alias("event_id"), "symbol", "price",
+        F.col("part").between(0, n - 1).alias("in_range"), (F.col("parts") <= salt).alias("few_per_symbol"))
+
+
 @register("load_historical", f"""
 WITH t AS ({SQL_EV_TRADES})
 SELECT CAST(event_id AS BIGINT) AS event_id, symbol, price, volume, "timestamp" FROM t
