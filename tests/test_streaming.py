@@ -1,5 +1,6 @@
 """Streaming: bounded replays through the file source."""
 
+import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +98,38 @@ def test_trades_and_bars_from_one_source(spark):
     assert spark.read.parquet(dlq).count() == 0
 
 
+def test_ingest_judges_once_and_loses_no_late_trade(spark):
+    """Late first deliveries reach the trade table, redeliveries of any age change nothing,
+    and a job started anew over the same messages doubles neither sink's trades."""
+    import json
+    from tickyard.functions import quality as Q
+    day = 24 * 3600 * 1000
+
+    def message(i, at, price=1.0):
+        return json.dumps({"event_id": i, "symbol": "A", "price": price, "volume": 1.0, "timestamp": at})
+    batches = [[message("a", 40 * day), "{"], [message("b", 50 * day)], [message("late", 41 * day)],
+               [message("late", 41 * day), message("a", 40 * day), "[]"]]
+    src = fresh_dir(spark, "test-replay")
+    for n, batch in enumerate(batches):
+        stamp = dt.datetime(2024, 1, 1 + n)
+        spark.createDataFrame([("k", m, stamp) for m in batch], "key string, value string, timestamp timestamp") \
+            .coalesce(1).write.mode("append").json(src)
+    tbl, dlq = fresh_dir(spark, "test-table"), fresh_dir(spark, "test-dlq")
+    judged = 0
+    for _ in range(2):
+        ck = fresh_dir(spark, "test-ck")
+        checked = J.checked_stream(file_stream(spark, src, 1))
+        q = (checked.writeStream.foreachBatch(J.batch_ingest(tbl, dlq, ck)).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert q.exception() is None
+        judged += 1
+        got = {r.event_id: r.kafka_timestamp.day for r in read_table(spark, tbl).collect()}
+        assert got == {"a": 1, "b": 2, "late": 3}        # the first delivery stays
+        assert spark.read.parquet(dlq).count() == 2 * judged
+    assert {r.error_type for r in spark.read.parquet(dlq).collect()} == set(Q.DLQ_ERROR_TYPES[:2])
+
+
 def test_bars_survive_a_new_checkpoint(spark):
     """A job started anew with more data replaces old bars; with less it does not."""
     trades = trades_from_events(table(spark, SMALL, "events"))

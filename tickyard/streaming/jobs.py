@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,6 +36,15 @@ def checked_stream(rows: DataFrame, mode: str = "types", as_of=None) -> DataFram
     return validate(rows, as_of=as_of, mode=mode)
 
 
+def enriched_trades(checked: DataFrame, granularity: str = "daily", volume_threshold: float = 1000.0) -> DataFrame:
+    """The valid trades of ``checked_stream``, or of one of its batches, with the trade
+    table's columns (P3-P8, D9)."""
+    t = valid_trades(checked)
+    t = t.withColumns({"date_bucket": date_bucket("event_time", granularity),
+                       "price_change_indicator": volume_class("volume", volume_threshold)})
+    return add_trade_date_hour(t.withColumn("spark_processed_at", ingest_stamp()))
+
+
 def trades_stream(rows: DataFrame, delay: str = WATERMARK_DELAY, granularity: str = "daily",
                   volume_threshold: float = 1000.0, checked: DataFrame | None = None) -> DataFrame:
     """Broker rows -> valid, enriched, deduplicated trades.
@@ -46,10 +56,7 @@ def trades_stream(rows: DataFrame, delay: str = WATERMARK_DELAY, granularity: st
     watermark passes, unlike a plain ``dropDuplicates`` on the id, whose state
     grows forever.
     """
-    t = valid_trades(checked if checked is not None else checked_stream(rows))
-    t = t.withColumns({"date_bucket": date_bucket("event_time", granularity),
-                       "price_change_indicator": volume_class("volume", volume_threshold)})
-    t = add_trade_date_hour(t.withColumn("spark_processed_at", ingest_stamp()))
+    t = enriched_trades(checked if checked is not None else checked_stream(rows), granularity, volume_threshold)
     return t.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
@@ -151,27 +158,49 @@ def start_ingest(rows: DataFrame, trades_table: str, bars_path: str, dlq_path: s
                  every: str = BAR_WINDOW, delay: str = WATERMARK_DELAY, trigger: str | None = None,
                  available_now: bool = False, state_partitions: int | None = None,
                  source_topic: str = "market", buckets: int | None = None) -> list[StreamingQuery]:
-    """The queries of the ingest job over one source, each with its checkpoint.
-
-    1. deduplicated valid trades -> keyed upsert into the trade table (key: day,
-       symbol, event id; version: ingest time; ``buckets`` limits what a batch
-       rewrites);
-    2. bars of the same trades -> append sink;
-    3. rejected messages -> dead-letter sink, with reasons and broker position.
+    """The two queries of the ingest job over one source, each with its checkpoint.
+
+    1. every batch is judged once; rejected messages go to the dead-letter sink with
+       reasons and broker position (a folder per job and batch, which a retry
+       overwrites), valid trades through the keyed upsert into the trade table (key:
+       day, symbol, event id; the first delivery stays).  The key removes redeliveries
+       however late they come, so this query keeps no state and no late trade is lost;
+       ``buckets`` limits what a batch rewrites;
+    2. bars of the trades, deduplicated within the watermark -> append sink.  The bars
+       need state of their own, so their messages are judged in that query.
     Wait on them with ``await_any``.
     """
     checked = checked_stream(rows)
-    trades = trades_stream(rows, delay, checked=checked)
-    cols = [c for c in TRADE_TABLE_COLUMNS if c in trades.columns]
     common = {"trigger": trigger, "available_now": available_now, "state_partitions": state_partitions}
+    write = batch_ingest(trades_table, dlq_path, f"{checkpoint_root}/ingest", source_topic, buckets)
+    w = checked.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint_root}/ingest")
     return [
-        start_upsert(trades.select(*cols), trades_table, ("trade_date", "symbol", "event_id"), "trade_date",
-                     f"{checkpoint_root}/trades", output_mode="append", version="spark_processed_at",
-                     buckets=buckets, **common),
-        start_append(bars_stream(trades, every), bars_path, f"{checkpoint_root}/aggregates",
-                     partition_col="trade_date", **common),
-        start_append(dlq_records(invalid_rows(checked), source_topic=source_topic), dlq_path,
-                     f"{checkpoint_root}/dead-letters", **common)]
+        _trigger(w, trigger, available_now).start(),
+        start_append(bars_stream(trades_stream(rows, delay, checked=checked), every), bars_path,
+                     f"{checkpoint_root}/aggregates", partition_col="trade_date", **common)]
+
+
+def batch_ingest(trades_table: str, dlq_path: str, checkpoint: str, source_topic: str = "market",
+                 buckets: int | None = None):
+    """D9 + K1 in ``foreachBatch``: a judged batch to the dead-letter sink and the trade
+    table, from one evaluation.  Both writes may be repeated without doubling a row."""
+    job: list[str] = []
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if not job:
+            job.append(query_id(batch.sparkSession, checkpoint))
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            (dlq_records(invalid_rows(batch), source_topic=source_topic)
+             .write.mode("overwrite").parquet(f"{dlq_path.rstrip('/')}/job={job[0]}/batch_id={batch_id}"))
+            trades = enriched_trades(batch)
+            delivered = "kafka_timestamp" if "kafka_timestamp" in trades.columns else "spark_processed_at"
+            first = -F.unix_micros(F.coalesce(delivered, "spark_processed_at"))    # the first delivery wins
+            upsert(trades.select(*[c for c in TRADE_TABLE_COLUMNS if c in trades.columns]), trades_table,
+                   ("trade_date", "symbol", "event_id"), first, "trade_date", buckets=buckets)
+        finally:
+            batch.unpersist()
+    return run
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
