@@ -46,6 +46,21 @@ def test_batches(texts):
     assert got == [library(t or "") for t in texts]
 
 
+def test_unknown_words_go_to_the_library_together():
+    one_by_one, fresh = [], bpe.Bpe(PATH)
+    word = fresh._word
+    fresh._word = lambda w: one_by_one.append(w) or word(w)
+    text = "first " + " ".join(f"w{i}é's, q{i}\nz!" for i in range(5_000)) + " 日本 " + "x" * 3_000
+    ends, flat = fresh.encode_all(pa.array([text]))
+    assert ends.tolist() == [0, len(flat)] and flat.tolist() == library(text)
+    assert one_by_one == ["first"]
+
+
+def test_tasks_of_a_worker_share_the_words_they_met():
+    bpe.held(PATH).encode_all(pa.array(["a sharedword met"]))
+    assert " sharedword" in bpe.held(PATH).words
+
+
 def test_long_unsplit_text():
     r = random.Random(1)
     text = "".join(r.choice("abcdeé") for _ in range(20_000))

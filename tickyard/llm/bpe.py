@@ -15,7 +15,8 @@ same text find the same boundaries.
 Two kinds of cut use this.  Documents over ``leaf`` characters are cut into
 rows that Spark spreads over the cluster, whatever their content; inside a
 task, a run without white space longer than ``RUN`` is halved as well.  Text
-between white space is looked up in a bounded memo, since words repeat.
+between white space is looked up in a bounded memo, since words repeat; the
+memo lives as long as the Python worker, so later tasks find what earlier ones met.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from struct import pack
 
 import numpy as np
@@ -31,16 +33,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from .common import by_slices, int_lists
 
 LEAF = 16_384        # characters; longer documents are encoded as several rows
 RUN = 2_048          # characters; longer runs without white space are halved in the task
-MEMO = 400_000       # remembered words per task
+MEMO = 400_000       # remembered words per Python worker
 SLICE = 32 << 20     # bytes of text whose distinct words are encoded at once
 AGREE = 4            # tokens that must agree on either side of a join
 WINDOW = 16          # tokens of the first window on either side
+AT_ONCE = 4_096      # words of the pre-split in one call of the library
 
 # Unicode White_Space, as the pre-split understands it.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -88,6 +91,11 @@ class Bpe:
             self.raw[i] = bytes(alphabet[c] for c in token)
         for i, t in added.items():
             self.raw[i] = t.content.encode()
+        # the merge model alone, for many words of the pre-split in one call; 0xFF is in no UTF-8
+        self.merges = Tokenizer(self.model)
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        self.lined = {**self.char_of, 0xFF: "\n"}
+        self.raw_size = np.array([len(r) for r in self.raw], np.int64)
 
     # -- encoding -------------------------------------------------------------
 
@@ -117,11 +125,10 @@ class Bpe:
         words = cut.flatten().dictionary_encode()
         which = words.indices.to_numpy().astype(np.int64)
         first = words.dictionary.take(pa.array(which[starts])).to_pylist()
-        seen, distinct = self.words, words.dictionary.to_pylist()
-        known = [seen.get(" " + w) or self._spaced(w) for w in distinct]
-        known += [self._plain(w) for w in first]
+        distinct = words.dictionary.to_pylist()
+        known = _concat(self._all_spaced(distinct), _table([self._plain(w) for w in first]))
         which[starts] = len(distinct) + np.arange(len(first))
-        ids, ends = _gather(known, which, np.append(starts, len(which)))
+        ids, ends = _gather(*known, which, np.append(starts, len(which)))
         if not odd.any():
             return ends, ids
         rows = np.split(ids, ends[1:-1]) if len(ends) > 1 else []
@@ -134,6 +141,51 @@ class Bpe:
         words = self.words
         return b"".join([words.get(p) or self._piece(p) for p in PIECES.findall(text)])
 
+    def _all_spaced(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, their number per word) of a space and each of ``words``, which hold
+        no space and do not start with white space.
+
+        In the words' concatenation each space starts a word of the pre-split, so
+        one scan splits them all, and each distinct piece is encoded once."""
+        apart = [not w or len(w) >= self.run or MOVING.search(w) is not None for w in words]
+        pieces = PRESPLIT.findall("".join([" " + w for w, a in zip(words, apart, strict=True) if not a]))
+        index: dict[str, int] = {}
+        which = np.array([index.setdefault(p, len(index)) for p in pieces], np.int64)
+        begins = np.flatnonzero([p[0] == " " for p in pieces])
+        ids, ends = _gather(*_table(self._all_words(list(index))), which, np.append(begins, len(pieces)))
+        if not any(apart):
+            return ids, np.diff(ends)
+        joined = iter(np.split(ids, ends[1:-1]) if len(ends) > 1 else [])
+        rows = [(np.frombuffer(self._spaced(w), "<u4") if w else np.zeros(0, "<u4")) if a else next(joined)
+                for w, a in zip(words, apart, strict=True)]
+        return np.concatenate(rows), np.array([len(r) for r in rows], np.int64)
+
+    def _all_words(self, pieces: list[str]) -> list[bytes]:
+        """``_word`` of distinct words of the pre-split; the unknown ones go to the
+        library's merge model together and are told apart by their bytes."""
+        words = self.words
+        new = [p for p in pieces if p not in words]
+        found: dict[str, bytes] = {}
+        for i in range(0, len(new), AT_ONCE):
+            some = new[i:i + AT_ONCE]
+            lines = "\udcff".join(some).encode("utf-8", "surrogateescape").decode("latin-1").translate(self.lined)
+            ids = np.array(self.merges.encode_batch_fast([lines], add_special_tokens=False)[0].ids, "<u4")
+            size = np.cumsum([len(p.encode()) for p in some])
+            covered = np.cumsum(self.raw_size[ids])
+            ends = np.searchsorted(covered, size) + 1
+            if ends[-1] != len(ids) or not np.array_equal(covered[ends - 1], size):
+                continue                                      # a vocabulary without all bytes: one by one
+            data = ids.tobytes()
+            cuts = [0, *(4 * ends).tolist()]
+            found.update(zip(some, [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
+        out = [words.get(p) or found.get(p) or self._word(p) for p in pieces]
+        for p in found:
+            if len(words) >= self.memo_size:
+                break
+            if len(p) <= 64:
+                words[p] = found[p]
+        return out
+
     def _spaced(self, word: str) -> bytes:
         """A space and text without one; plain words with a comma or a full stop
         are looked up as two."""
@@ -219,12 +271,31 @@ class Bpe:
         return b"".join([raw[i] for i in ids]).decode("utf-8", "replace")
 
 
-def _gather(known: list[bytes], which: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def held(path: str) -> Bpe:
+    """The worker's tokenizer of a file: its tasks share one, with the words they have met."""
+    st = os.stat(path)
+    return _held(path, st.st_mtime_ns, st.st_size)
+
+
+@lru_cache(maxsize=1)
+def _held(path: str, mtime_ns: int, size: int) -> Bpe:
+    return Bpe(path)
+
+
+def _table(known: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in a row, and their number per entry."""
+    return np.frombuffer(b"".join(known), "<u4"), np.array([len(k) // 4 for k in known], np.int64)
+
+
+def _concat(*tables: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    ids, sizes = zip(*tables, strict=True)
+    return np.concatenate(ids), np.concatenate(sizes)
+
+
+def _gather(table: np.ndarray, size: np.ndarray, which: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids of the words ``which`` in a row, and the offsets of the texts
     that begin at the words ``starts``."""
-    size = np.array([len(k) // 4 for k in known], np.int64)
-    table, begin = np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size
-    n = size[which]
+    begin, n = np.cumsum(size) - size, size[which]
     end = np.cumsum(n)
     at = np.repeat(begin[which] - (end - n), n) + np.arange(end[-1] if len(end) else 0)
     return table[at], np.append(0, end)[starts]
@@ -254,7 +325,7 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
 
 def _encode_short(rows: DataFrame, tokenizer: str, kind: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(tokenizer)
+        bpe = held(tokenizer)
 
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([b.column(0), int_lists(*bpe.encode_all(b.column(1)))],
@@ -278,7 +349,7 @@ def _encode_long(rows: DataFrame, tokenizer: str, kind: str, leaf: int) -> DataF
                     ["row", "key", "part", "text"])
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(tokenizer)
+        bpe = held(tokenizer)
 
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             ends, flat = bpe.encode_all(b.column(3))
@@ -287,13 +358,9 @@ def _encode_long(rows: DataFrame, tokenizer: str, kind: str, leaf: int) -> DataF
                                               ["row", "key", "part", "ids"])
         yield from by_slices(one)(batches)
 
-    held: list[Bpe] = []   # filled by the first group of a task
-
     def together(pdf: pd.DataFrame) -> pd.DataFrame:
-        if not held:
-            held.append(Bpe(tokenizer))
         pdf = pdf.sort_values("part")
-        ids = held[0].concat([np.frombuffer(x, "<u4") for x in pdf["ids"]])
+        ids = held(tokenizer).concat([np.frombuffer(x, "<u4") for x in pdf["ids"]])
         return pd.DataFrame({"key": pdf["key"].iloc[:1].array, "ids": [ids.astype(np.int32)]})
 
     parts = (rows.select(F.monotonically_increasing_id().alias("row"), "key", "text")
@@ -310,7 +377,7 @@ def decode(encoded: DataFrame, tokenizer: str, key: str = "doc_id", ids: str = "
     kind = rows.schema["key"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(tokenizer)
+        bpe = held(tokenizer)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 b = batch.slice(at, 1024)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .bpe import SLICE, Bpe
+from .bpe import SLICE, held
 from .common import slices, stored
 
 MAGIC = b"PFOR0001"
@@ -46,7 +46,8 @@ def pack_block(values: np.ndarray) -> bytes:
     at = min(len(rest) - 1, len(rest) * PERCENTILE // 100)
     width = int(np.partition(rest, at)[at]).bit_length()
     odd = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.zeros(0, int)
-    bits = np.unpackbits(rest.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
+    kept = rest.astype("<u2") if width <= 16 else rest     # the low bits are all that is packed
+    bits = np.unpackbits(kept.view(np.uint8).reshape(len(kept), -1), axis=1, bitorder="little")[:, :width]
     return b"".join([struct.pack(HEAD, low, len(rest), len(odd), width),
                      np.packbits(bits, bitorder="little").tobytes(),
                      odd.astype("<u2").tobytes(), (rest[odd] >> np.uint32(min(width, 31))).tobytes()])
@@ -56,10 +57,11 @@ def unpack_block(data: bytes | memoryview, at: int = 0) -> np.ndarray:
     low, n, n_odd, width = struct.unpack_from(HEAD, data, at)
     at += struct.calcsize(HEAD)
     size = (n * width + 7) // 8
-    bits = np.zeros((n, 32), np.uint8)
+    wide = 16 if width <= 16 else 32
+    bits = np.zeros((n, wide), np.uint8)
     bits[:, :width] = np.unpackbits(np.frombuffer(data, np.uint8, size, at), bitorder="little",
                                     count=n * width).reshape(n, width)
-    rest = np.packbits(bits, axis=1, bitorder="little").view("<u4")[:, 0].copy()
+    rest = np.packbits(bits, axis=1, bitorder="little").view(f"<u{wide // 8}")[:, 0].astype("<u4")
     at += size
     odd = np.frombuffer(data, "<u2", n_odd, at)
     rest[odd] |= np.frombuffer(data, "<u4", n_odd, at + 2 * n_odd) << np.uint32(width)
@@ -124,7 +126,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, key: s
     ordered = rows.repartitionByRange("doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "row")
 
     def run(batches):
-        bpe, part, number = Bpe(tokenizer), TaskContext.get().partitionId(), 0
+        bpe, part, number = held(tokenizer), TaskContext.get().partitionId(), 0
         doc_ids, ends, chunks, total = [], [], [], 0
 
         def file() -> pa.RecordBatch:
