@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -152,6 +153,19 @@ def test_one_bounded_row_per_sampled_id(spark):
     assert len(kept) == C.MAX_FEATURES and kept[0] == 9 and (values == 1).all()
 
 
+def test_training_rows_are_widened_one_at_a_time():
+    r = np.random.default_rng(1)
+    rows = [(np.sort(r.choice(4096, 2_000, replace=False)).astype("<u4"), r.random(2_000, np.float32), i % 2)
+            for i in range(200)]
+    tracemalloc.start()
+    narrow = C.fit(rows, bits=12)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < sum(a.nbytes + x.nbytes for a, x, _ in rows) / 2
+    wide = [(a.astype(np.int64), x.astype(np.float64), y) for a, x, y in rows]
+    assert np.array_equal(narrow, C.fit(wide, bits=12))
+
+
 def test_score_is_the_sparse_dot_product():
     f, w = C.Features(), np.random.default_rng(0).normal(size=(1 << C.BITS) + 1).astype(np.float32)
     for text in ["", "a b a b a b", "One ONE one!! é 日本", "x" * 5000]:

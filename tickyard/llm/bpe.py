@@ -28,7 +28,6 @@ from functools import lru_cache
 from struct import pack
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -358,16 +357,16 @@ def _encode_long(rows: DataFrame, tokenizer: str, kind: str, leaf: int) -> DataF
                                               ["row", "key", "part", "ids"])
         yield from by_slices(one)(batches)
 
-    def together(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("part")
-        ids = held(tokenizer).concat([np.frombuffer(x, "<u4") for x in pdf["ids"]])
-        return pd.DataFrame({"key": pdf["key"].iloc[:1].array, "ids": [ids.astype(np.int32)]})
+    def together(pieces: pa.Table) -> pa.Table:
+        pieces = pieces.sort_by("part").combine_chunks()
+        ids = held(tokenizer).concat([np.frombuffer(x, "<u4") for x in pieces["ids"].to_pylist()])
+        return pa.table([pieces["key"].slice(0, 1), int_lists(np.array([0, len(ids)]), ids)], ["key", "ids"])
 
     parts = (rows.select(F.monotonically_increasing_id().alias("row"), "key", "text")
              .mapInArrow(cut, f"row bigint, key {kind}, part int, text string")
              .repartition("row", "part")
              .mapInArrow(pieces, f"row bigint, key {kind}, part int, ids binary"))
-    return parts.groupBy("row").applyInPandas(together, f"key {kind}, ids array<int>")
+    return parts.groupBy("row").applyInArrow(together, f"key {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer: str, key: str = "doc_id", ids: str = "ids",

@@ -103,13 +103,14 @@ def sigmoid(v: float) -> float:
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights (the last one is the intercept) from (indices, values, label) rows."""
+    """Weights (the last one is the intercept) from (indices, values, label) rows.
+    A row is widened to 64 bits and given its intercept only while it is used."""
     model = Ftrl(1 << bits)
-    rows = [(np.append(i, model.bias), np.append(x, 1.0), y) for i, x, y in rows]
     order = np.random.default_rng(0)
     for _ in range(epochs):
         for k in order.permutation(len(rows)):
-            model.update(*rows[k])
+            at, x, label = rows[k]
+            model.update(np.append(at.astype(np.int64), model.bias), np.append(x.astype(np.float64), 1.0), label)
     return model.weights(np.arange(model.bias + 1)).astype(np.float32)
 
 
@@ -151,8 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", limit: int =
         F.col("doc_id").cast("string"), F.col("quality").cast("int"), "text").mapInArrow(
         by_slices(one), "doc_id string, quality int, at binary, x binary").collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.at)))
-    return fit([(np.frombuffer(r.at, "<u4").astype(np.int64),
-                 np.frombuffer(r.x, "<f4").astype(np.float64), r.quality) for r in rows])
+    return fit([(np.frombuffer(r.at, "<u4"), np.frombuffer(r.x, "<f4"), r.quality) for r in rows])
 
 
 def score_texts(texts: list[str | None], weights: np.ndarray, f: Features) -> list[float]:
