@@ -8,6 +8,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from tickyard.llm import bpe
+from tickyard.llm.common import by_slices
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -61,6 +62,12 @@ def test_tasks_of_a_worker_share_the_words_they_met():
     assert " sharedword" in bpe.held(PATH).words
 
 
+def test_a_task_that_does_not_encode_frees_the_encoder():
+    bpe.held(PATH)
+    assert list(by_slices(len, encodes=True)([])) == [] and bpe._held.cache_info().currsize == 1
+    assert list(by_slices(len)([])) == [] and bpe._held.cache_info().currsize == 0
+
+
 def test_long_unsplit_text():
     r = random.Random(1)
     text = "".join(r.choice("abcdeé") for _ in range(20_000))

@@ -5,9 +5,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tickyard.llm import quality_classifier as C, quality_rules as R
+from tickyard.llm.common import column_of, slices
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -97,6 +99,25 @@ def test_a_small_group_leans_on_its_language(spark):
     assert got == [(1000 + 50 * 5000) // 51, 3000, (10_000 * 1000 + 50 * 5000) // 10_050]
 
 
+def test_a_row_goes_to_python_once(spark, docs, monkeypatch):
+    """Its text inside it; what comes back are rows as they were."""
+    moved, kind = [], type(docs)
+    real = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **k: moved.append(self.columns) or real(self, *a, **k))
+    weights = np.zeros((1 << C.BITS) + 1, np.float32)
+    rows = {repr(r) for r in docs.collect()}
+    for kept in (R.accepted(docs), C.accepted(docs, weights)):
+        assert moved[-1] == ["k0"]
+        assert {repr(r) for r in kept.collect()} <= rows
+    assert {repr(r) for r in C.accepted(docs, weights).collect()} == rows
+
+
+def test_fields_of_kept_rows(spark):
+    batch = pa.RecordBatch.from_arrays([pa.array([{"text": "aa", "x": 1}, {"text": None, "x": 2}, {"text": "b", "x": 3}])], ["k0"])
+    assert column_of(batch.slice(1), "k0.text").to_pylist() == [None, "b"]
+    assert [s.num_rows for s in slices(batch, "k0.text", 2)] == [2, 1]
+
+
 def test_sketches_merge(spark):
     docs = corpus(spark, random.Random(4))
     m = R.measure(docs, "lang", "source").cache()

@@ -40,6 +40,7 @@ LEAF = 16_384        # characters; longer documents are encoded as several rows
 RUN = 2_048          # characters; longer runs without white space are halved in the task
 MEMO = 400_000       # remembered words per Python worker
 SLICE = 32 << 20     # bytes of text whose distinct words are encoded at once
+PART = 8 << 20       # the same for rows of encode, beside the stored words of a worker
 AGREE = 4            # tokens that must agree on either side of a join
 WINDOW = 16          # tokens of the first window on either side
 AT_ONCE = 4_096      # words of the pre-split in one call of the library
@@ -329,7 +330,7 @@ def _encode_short(rows: DataFrame, tokenizer: str, kind: str) -> DataFrame:
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([b.column(0), int_lists(*bpe.encode_all(b.column(1)))],
                                               ["key", "ids"])
-        yield from by_slices(one, max_bytes=SLICE)(batches)
+        yield from by_slices(one, max_bytes=PART, encodes=True)(batches)
     return rows.mapInArrow(run, f"key {kind}, ids array<int>")
 
 
@@ -355,7 +356,7 @@ def _encode_long(rows: DataFrame, tokenizer: str, kind: str, leaf: int) -> DataF
             ids = [flat[s:e].tobytes() for s, e in zip(ends, ends[1:], strict=False)]
             return pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(ids, pa.binary())],
                                               ["row", "key", "part", "ids"])
-        yield from by_slices(one)(batches)
+        yield from by_slices(one, encodes=True)(batches)
 
     def together(pieces: pa.Table) -> pa.Table:
         pieces = pieces.sort_by("part").combine_chunks()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -37,10 +39,31 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_text(docs: DataFrame, keep: tuple[str, ...], text: str) -> tuple[DataFrame, list[str], str]:
+    """Rows for a mapInArrow function: the columns ``keep`` as k0, k1 and so on and
+    the text; their names, and where ``column_of`` finds the text.  A field of a
+    kept struct, like ``row.text``, goes to Python once, inside its struct."""
+    names = [f"k{i}" for i in range(len(keep))]
+    rows = [F.col(k).alias(n) for k, n in zip(keep, names, strict=True)]
+    column, _, field = text.partition(".")
+    if field and column in keep:
+        return docs.select(*rows), names, f"{names[keep.index(column)]}.{field}"
+    return docs.select(*rows, F.col(text).alias("text")), names, "text"
+
+
+def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
+    """A column of the batch; ``row.text`` is the field of a struct column."""
+    column, *fields = name.split(".")
+    col = batch.column(batch.schema.get_field_index(column))
+    for field in fields:
+        col = col.field(field)
+    return col
+
+
 def slices(batch: pa.RecordBatch, text: str, max_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that no slice holds more than ``max_bytes`` of ``text``
     (one text longer than that is a slice of its own)."""
-    col = batch.column(batch.schema.get_field_index(text))
+    col = column_of(batch, text)
     size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), dtype=np.int64)
     start, total = 0, 0
     for i, n in enumerate(size):
@@ -52,11 +75,26 @@ def slices(batch: pa.RecordBatch, text: str, max_bytes: int = 16 << 20) -> Itera
         yield batch.slice(start)
 
 
+def let_go() -> None:
+    """Free the encoder that earlier tasks left in this Python worker, if any, and
+    give its pages back to the system where the C library can.  It is looked up
+    among the loaded modules, since functions come here by value."""
+    bpe = sys.modules.get("tickyard.llm.bpe")
+    if bpe is not None and bpe._held.cache_info().currsize:
+        bpe._held.cache_clear()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def by_slices(fn: Callable[[pa.RecordBatch], pa.RecordBatch], text: str = "text",
-              max_bytes: int = 4 << 20):
+              max_bytes: int = 4 << 20, encodes: bool = False):
     """A mapInArrow function that applies ``fn`` to bounded slices.  Freed Arrow
-    buffers go back to the system after each batch, not at the worker's end."""
+    buffers go back to the system after each batch, not at the worker's end; what
+    the encoder remembered goes when a task starts that does not encode."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not encodes:
+            let_go()
         for batch in batches:
             for part in slices(batch, text, max_bytes):
                 yield fn(part)

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import by_slices
+from .common import by_slices, column_of, with_text
 
 BITS = 18
 MAX_LABELS = 4_000     # labelled documents that the model is fitted on, at most
@@ -166,20 +166,19 @@ def score_texts(texts: list[str | None], weights: np.ndarray, f: Features) -> li
 
 def with_scores(docs: DataFrame, weights: np.ndarray, *keep: str, text: str = "text",
                 out: str = "score") -> DataFrame:
-    """Columns ``keep`` and the score; empty and null texts get the intercept's score."""
-    names = [f"k{i}" for i in range(len(keep))]
-    rows = docs.select(*[F.col(k).alias(n) for k, n in zip(keep, names, strict=True)],
-                       F.col(text).alias("text"))
+    """Columns ``keep`` and the score; empty and null texts get the intercept's score.
+    ``text`` may be a field of a struct in ``keep``, like ``row.text``."""
+    rows, names, place = with_text(docs, keep, text)
     shared = docs.sparkSession.sparkContext.broadcast(weights)   # 2 ** BITS floats: 1 MB
 
     def run(batches):
         f, w = Features(), shared.value
 
         def one(b: pa.RecordBatch) -> pa.RecordBatch:
-            score = score_texts(b.column(len(names)).to_pylist(), w, f)
+            score = score_texts(column_of(b, place).to_pylist(), w, f)
             return pa.RecordBatch.from_arrays([*b.columns[:len(names)], pa.array(score, pa.float64())],
                                               [*names, "score"])
-        yield from by_slices(one)(batches)
+        yield from by_slices(one, place)(batches)
 
     schema = rows.select(*names).schema.add("score", "double")
     return rows.mapInArrow(run, schema).withColumnsRenamed(
@@ -196,6 +195,5 @@ def scores(docs: DataFrame, weights: np.ndarray, key: str = "doc_id") -> DataFra
 def accepted(docs: DataFrame, weights: np.ndarray, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, all columns as they were."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(whole.alias("__row"), F.col("text").alias("__text"))
-    return (with_scores(rows, weights, "__row", text="__text", out="__score")
+    return (with_scores(docs.select(whole.alias("__row")), weights, "__row", text="__row.text", out="__score")
             .filter(F.col("__score") >= threshold).select("__row.*"))
