@@ -1,8 +1,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tickyard.llm import fill_in_middle as M
@@ -92,3 +94,56 @@ def test_percentages(spark):
     forms = {r.form for r in M.transform(df, fim_percent=100, spm_percent=0).select("form").distinct().collect()}
     assert forms == {"psm"}
     assert M.transform(df, fim_percent=0).filter("form <> 'plain'").isEmpty()
+
+
+class Rows:
+    """Stands for a DataFrame and keeps the function that its batches go through."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+    def withColumnRenamed(self, old, new):
+        return self
+
+
+def peak(spark, texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["key", "text"])
+    run = M.transform(Rows()).run
+    tracemalloc.start()
+    try:
+        n = sum(b.num_rows for b in run(iter([batch])))
+        return n, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_batch(spark):
+    """The hash takes several times the bytes it is made of: neither many texts nor one long text are hashed at once."""
+    text = " ".join(f"word{i}" for i in range(250))
+    n, most = peak(spark, [text] * 4000)            # 8 MB
+    assert n == 4000 and most < 20 << 20
+    n, most = peak(spark, [text * 4000])            # 8 MB in one text
+    assert n == 1 and most < 60 << 20
+
+
+def test_blocks_of_a_long_text_have_the_ends_of_the_whole(monkeypatch):
+    r = random.Random(9)
+    data = np.frombuffer(" ".join(f"wört{r.randrange(10 ** 6)}" for _ in range(9000)).encode(), np.uint8)
+    starts = np.array([0, 50_001, 50_020, len(data)])
+    whole = M.Chunker().ends(data, starts)
+    assert len(whole) > 100
+    for block in (1, 31, 32, 1000, 65_536, len(data)):
+        monkeypatch.setattr(M, "SLICE_BYTES", block)
+        assert M.Chunker().ends(data, starts).tolist() == whole.tolist()
+
+
+def test_restored_splits_a_row_once(spark):
+    rows = [("<P>a<S>c<M>b", "psm"), ("<S>c<P>a<M>b", "spm"), ("<P>a<S>c<M>b", "plain"), ("<P>a", None), (None, "psm"),
+            ("no marks", "psm"), ("<S><P><M>", "spm")]
+    df = spark.createDataFrame(rows, "output string, form string").select(M.restored().alias("text"))
+    assert [r.text for r in df.collect()] == ["abc", "abc", "<P>a<S>c<M>b", "<P>a", None, None, ""]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1

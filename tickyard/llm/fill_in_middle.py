@@ -35,6 +35,7 @@ WINDOW = 32                 # bytes under the rolling hash, and the least length
 MASK_BITS = 8               # a chunk has some 2 ** MASK_BITS bytes
 LONGEST = 8192              # bytes; a passage without an end is cut there
 MEMO_BYTES = 48 << 20       # bytes of remembered chunks per task
+SLICE_BYTES = 1 << 20       # bytes of texts that are treated at once, and hashed at once of a longer text
 
 SPACES = b" \t\n\r\x0b\x0c"
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -51,13 +52,7 @@ class Chunker:
 
     def ends(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Sorted ends of all chunks; ``starts`` are the texts' offsets and the last one's end."""
-        h = self.gear[data]
-        width = 1
-        while width < WINDOW:       # the hash of 2 w bytes from those of w bytes
-            older = h[:-width] << np.uint32(width)
-            h[width:] += older
-            width *= 2
-        hit = np.flatnonzero(h >> np.uint32(32 - MASK_BITS) == 0) + 1
+        hit = np.concatenate([self._hits(data, a, a + SLICE_BYTES) for a in range(0, len(data), SLICE_BYTES)])
         begin = starts[np.searchsorted(starts, hit, "left") - 1]
         hit = hit[(hit - begin >= WINDOW) & (hit < len(data))]     # the window lies inside the text
         hit = hit[data[hit] & 0xC0 != 0x80]                        # the next byte begins a character
@@ -67,6 +62,18 @@ class Chunker:
         more = [self._cut(data, int(ends[i - 1]) if i else int(starts[0]), int(ends[i])) for i in long]
         return np.union1d(ends, np.concatenate(more)) if more else ends
 
+    def _hits(self, data: np.ndarray, start: int, end: int) -> np.ndarray:
+        """Positions after the bytes from ``start`` to ``end`` whose hash has the zero bits.  The
+        hash is that of the last WINDOW bytes, so a block needs no more of what comes before."""
+        first = max(start - WINDOW + 1, 0)
+        h = self.gear[data[first:end]]
+        width = 1
+        while width < WINDOW:       # the hash of 2 w bytes from those of w bytes
+            older = h[:-width] << np.uint32(width)
+            h[width:] += older
+            width *= 2
+        return np.flatnonzero(h[start - first:] >> np.uint32(32 - MASK_BITS) == 0) + start + 1
+
     @staticmethod
     def _cut(data: np.ndarray, start: int, end: int) -> np.ndarray:
         out = []
@@ -195,7 +202,7 @@ def transform(docs: DataFrame, key: str = "doc_id", text: str = "text", seed: in
                 [b.column(0), pa.array(n, pa.int64()), pa.array(form, pa.string()), pa.array(prefix, pa.int64()),
                  pa.array(middle, pa.int64()), pa.array(output, pa.binary()).cast(pa.string())],
                 ["key", "n", "form", "prefix_chars", "middle_chars", "output"])
-        yield from by_slices(one)(batches)
+        yield from by_slices(one, max_bytes=SLICE_BYTES)(batches)
 
     schema = "key bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output string"
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
@@ -206,7 +213,8 @@ def restored(output: str | Column = "output", form: str | Column = "form") -> Co
 
     A transformed text holds no mark of its own, so the three marks part it."""
     out, form = (F.col(c) if isinstance(c, str) else c for c in (output, form))
-    parts = F.split(out, "|".join((PREFIX, SUFFIX, MIDDLE)), -1)
-    at = lambda i: F.get(parts, F.lit(i))
-    return (F.when(form == "psm", F.concat(at(1), at(3), at(2)))
-            .when(form == "spm", F.concat(at(2), at(3), at(1))).otherwise(out))
+    # the one split in an array, so that it is made once a row, not once a part, and for no plain text
+    split = F.array(F.split(out, "|".join((PREFIX, SUFFIX, MIDDLE)), -1))
+    order = lambda p, *at: F.concat(*(F.get(p, F.lit(i)) for i in at))
+    joined = F.transform(split, lambda p: F.when(form == "psm", order(p, 1, 3, 2)).otherwise(order(p, 2, 3, 1)))
+    return F.when(form.isin("psm", "spm"), joined[0]).otherwise(out)
